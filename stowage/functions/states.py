@@ -25,7 +25,7 @@ def final_task_status(job_status: Column) -> Column:
 
 def submitted_job_id(stdout: Column) -> Column:
     """The job id out of ``Submitted batch job N``; 0 when no line has exactly that form."""
-    found = F.regexp_extract(stdout, r"(?m)^[ \t]*Submitted batch job\s+([0-9]+)[ \t\r]*$", 1)
+    found = F.regexp_extract(stdout, r"(?m)^[ \t]*Submitted batch job[ \t]+([0-9]+)[ \t\r]*$", 1)
     return F.coalesce(found.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
