@@ -290,8 +290,9 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Result documents exist for the customers that have an order."""
-    o = table(spark, sf_dir, "orders")
+    """Result documents exist for the customers that had an urgent order before the catalog."""
+    o = _orders(spark, sf_dir).filter(
+        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") < ts(CATALOG_TIME)))
     return o.groupBy(F.concat(F.lit("S"), F.col("o_custkey")).alias("sample_id")).agg(
         F.count(F.lit(1)).alias("n_results"))
 
