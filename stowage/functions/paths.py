@@ -12,24 +12,25 @@ UNKNOWN_TYPE = "unknown_extension"
 REPORT_TYPES = ("final_summary", "sequencing_summary")
 
 
-def _part(path, position):
-    return F.nullif(F.try_element_at(F.split(path, "/"), F.lit(position)), F.lit(""))
-
-
 def clean_path(path: Column) -> Column:
     """Drop a URI scheme and authority, and squeeze repeated slashes."""
     local = F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/", "/")
-    return F.regexp_replace(local, "/+", "/")
+    return F.regexp_replace(local, "//+", "/")
+
+
+def _part(path, from_end):
+    """A component of an absolute path counted from its end; empty when there are not so many."""
+    return F.substring_index(F.substring_index(path, "/", -from_end), "/", 1)
 
 
 def batch_name(path: Column) -> Column:
-    """The run folder's name without its first three ``_`` tokens; null on a short path."""
-    tokens = F.split(_part(path, -3), "_")
-    return F.array_join(F.slice(tokens, F.lit(4), F.greatest(F.size(tokens), F.lit(1))), "_")
+    """The run folder's name without its first three ``_`` tokens; empty when it has no more."""
+    return F.regexp_extract(_part(path, 3), "^[^_]*_[^_]*_[^_]*_(.*)$", 1)
 
 
 def sample_name(path: Column) -> Column:
-    return _part(path, -4)
+    """The fourth component from the end; empty on a path that has none."""
+    return _part(path, 4)
 
 
 def file_name(path: Column) -> Column:
@@ -47,8 +48,15 @@ def basename(name: Column) -> Column:
 
 def extension(name: Column) -> Column:
     """The first suffix that is a source type; compression suffixes are ignored."""
-    pattern = r"[^/]\.(" + "|".join(SOURCE_TYPES) + r")(\.|$)"
-    return F.nullif(F.lower(F.regexp_extract(name, pattern, 1)), F.lit(""))
+    return _known_type(_type_text(name))
+
+
+def _type_text(name):
+    return F.lower(F.regexp_extract(name, r"[^/]\.(" + "|".join(SOURCE_TYPES) + r")(\.|$)", 1))
+
+
+def _known_type(text):
+    return F.when(text != "", text)
 
 
 def link_folder(name: Column) -> Column:
@@ -104,21 +112,25 @@ def task_dirs(df: DataFrame) -> DataFrame:
 
 
 def with_identity(df: DataFrame, link_dir: str, path: str = "filepath") -> DataFrame:
-    """Add batch, sample, link, names, directory and type to rows that have a path."""
-    named = df.withColumns({
-        "batch": batch_name(F.col(path)),
-        "sample": sample_name(F.col(path)),
-        "file": file_name(F.col(path)),
-        "directory": directory(F.col(path)),
+    """Add batch, sample, link, names, directory and type to rows that have an absolute path.
+
+    Done in steps, so that every string is cut once and not again for each column made from it.
+    """
+    folder = F.lit(link_dir.rstrip("/"))
+    cut = df.withColumns({
+        "batch": batch_name(F.col(path)), "sample": sample_name(F.col(path)), "_file": file_name(F.col(path))})
+    named = cut.withColumns({
+        "directory": F.substr(F.col(path), F.lit(1), F.length(path) - F.length("_file") - 1),
+        "basename": basename(F.col("_file")), "_type": _type_text(F.col("_file")),
+        "name": link_name(F.col("batch"), F.col("sample"), F.col("_file")),
+    })
+    typed = named.withColumns({
+        "extension": _known_type(F.col("_type")),
+        "symlink_dir": F.concat_ws("/", folder, F.when(F.col("_type") != "", F.col("_type")).otherwise(UNKNOWN_TYPE)),
     })
-    return named.withColumns({
-        "basename": basename(F.col("file")),
-        "extension": extension(F.col("file")),
-        "symlink_dir": F.concat_ws("/", F.lit(link_dir.rstrip("/")), link_folder(F.col("file"))),
-        "name": link_name(F.col("batch"), F.col("sample"), F.col("file")),
-    }).withColumn("symlink", F.concat_ws("/", "symlink_dir", "name")).drop("file")
+    return typed.withColumn("symlink", F.concat_ws("/", "symlink_dir", "name")).drop("_file", "_type")
 
 
 def has_identity(df: DataFrame) -> DataFrame:
-    """Keep rows whose path is deep enough to name a batch and a sample."""
-    return df.filter(F.col("batch").isNotNull() & F.col("sample").isNotNull())
+    """Keep rows whose path is deep enough to name a sample."""
+    return df.filter(F.col("sample") != "")

@@ -28,9 +28,9 @@ def as_files(inventory: DataFrame, link_dir: str) -> DataFrame:
 
 
 def unplaceable(inventory: DataFrame, link_dir: str) -> DataFrame:
-    """Listed files whose path names no batch or sample."""
+    """Listed files whose path names no sample."""
     placed = with_identity(inventory.withColumn("filepath", clean_path(F.col("filepath"))), link_dir)
-    return placed.filter(F.col("batch").isNull() | F.col("sample").isNull()).select("filepath")
+    return placed.filter(F.col("sample") == "").select("filepath")
 
 
 def one_per_path(inventory: DataFrame, path: str = "filepath") -> DataFrame:

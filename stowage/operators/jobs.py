@@ -8,7 +8,7 @@ from ..functions.states import (
     exit_status, final_task_status, last_state, live_task_status, node_list, parent_job_id,
     running_time, stream_path,
 )
-from .ordered import DAY, with_neighbour
+from .ordered import DAY, with_neighbours
 from .work import IN_QUEUE
 
 
@@ -139,8 +139,9 @@ def record_in_samples(samples: DataFrame, tasks: DataFrame) -> DataFrame:
     Tasks of one sample are at most one per pipeline, and pipelines are configuration; the newest
     state per (sample, pipeline) is taken before a sample's entries are gathered.
     """
+    when = F.struct(latest(F.col("last_update"), F.col("created")), F.col("task_id"))
     newest = tasks.groupBy("sample_id", "pipeline_id").agg(
-        F.max_by(F.struct("task_id", "status"), latest(F.col("last_update"), F.col("created"))).alias("t"))
+        F.max_by(F.struct("task_id", "status"), when).alias("t"))
     states = newest.groupBy("sample_id").agg(F.map_from_entries(F.collect_list(F.struct(
         "pipeline_id", F.create_map(F.col("t.task_id"), F.col("t.status"))))).alias("_new"))
     joined = samples.join(states, "sample_id", "left")
@@ -158,7 +159,7 @@ def record_state(mapping: Column, pipeline_id: Column, task: Column, status: Col
 def state_transitions(polls: DataFrame, key: str = "task_id", order: str = "polled_at",
                       bucket_seconds: int = DAY) -> DataFrame:
     """Rows where a task's status differs from the poll before, with both; the first poll counts."""
-    near = with_neighbour(polls, [key], order, [F.col("status").alias("status")], "_before",
-                          bucket_seconds=bucket_seconds)
+    near = with_neighbours(polls, [key], order, [F.col("status").alias("status")], before="_before",
+                           bucket_seconds=bucket_seconds)
     moved = near.withColumn("previous_status", F.col("_before.status")).drop("_before")
     return moved.filter(~F.col("previous_status").eqNullSafe(F.col("status")))

@@ -26,30 +26,30 @@ def _attach_edges(rows, edges, keys):
     return rows.join(right, same, "left").drop(*[f"_k{i}" for i in range(len(keys))], "_kb")
 
 
-def with_neighbour(df: DataFrame, keys, order: str, values, into: str, following: bool = False,
-                   tie=(), bucket_seconds: int = DAY) -> DataFrame:
-    """Add ``into``: a struct of the previous (or following) row's ``values`` within the key.
+def with_neighbours(df: DataFrame, keys, order: str, values, before: str | None = None,
+                    after: str | None = None, tie=(), bucket_seconds: int = DAY) -> DataFrame:
+    """Add structs of the previous (``before``) and following (``after``) row's ``values`` in the key.
 
-    It is null on the key's first (or last) row. ``tie`` makes equal times deterministic.
+    They are null on the key's first and last row. ``tie`` makes equal times deterministic.
     """
     keys, order_by = list(keys), [order, *tie]
-    payload = F.struct(*values)
-    offset = F.lead if following else F.lag
-    edge_of = F.min_by if following else F.max_by
-
+    payload, at = F.struct(*values), F.struct(*order_by)
     rows = _bucketed(df, order, bucket_seconds)
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order_by)
     across = Window.partitionBy(*keys).orderBy("_bucket")
-    edges = (
-        rows.groupBy(*keys, "_bucket")
-        .agg(edge_of(payload, F.struct(*order_by)).alias("_edge"))
-        .withColumn("_edge", offset("_edge").over(across))
-    )
-    near = rows.withColumn("_near", offset(payload).over(inside))
+    # The row next to a bucket's first one is the last of the bucket before, and the other way round.
+    sides = [(into, offset, edge_of) for into, offset, edge_of in
+             ((before, F.lag, F.max_by), (after, F.lead, F.min_by)) if into]
+
+    ends = rows.groupBy(*keys, "_bucket").agg(*[
+        edge_of(payload, at).alias(f"_end_{into}") for into, _, edge_of in sides])
+    edges = ends.select(*keys, "_bucket", F.struct(*[
+        offset(f"_end_{into}").over(across).alias(into) for into, offset, _ in sides]).alias("_edge"))
+    near = rows.withColumns({f"_near_{into}": offset(payload).over(inside) for into, offset, _ in sides})
     return (
         _attach_edges(near, edges, keys)
-        .withColumn(into, F.coalesce("_near", "_edge"))
-        .drop("_near", "_edge", "_bucket")
+        .withColumns({into: F.coalesce(f"_near_{into}", f"_edge.{into}") for into, _, _ in sides})
+        .drop(*[f"_near_{into}" for into, _, _ in sides], "_edge", "_bucket")
     )
 
 
@@ -84,8 +84,8 @@ def with_carried(df: DataFrame, keys, order: str, value: Column, into: str,
 def settled(events: DataFrame, keys, ts: str, gap_seconds: float, tie=(),
             bucket_seconds: int = DAY) -> DataFrame:
     """Debounce: keep an event only if none follows on its key within the gap."""
-    near = with_neighbour(events, keys, ts, [F.col(ts).alias("at")], "_next", following=True,
-                          tie=tie, bucket_seconds=bucket_seconds)
+    near = with_neighbours(events, keys, ts, [F.col(ts).alias("at")], after="_next",
+                           tie=tie, bucket_seconds=bucket_seconds)
     micros = _micros("_next.at") - _micros(ts)
     quiet = F.col("_next").isNull() | (micros > int(gap_seconds * 1_000_000))
     return near.filter(quiet).drop("_next")
@@ -95,8 +95,8 @@ def sessions(events: DataFrame, keys, ts: str, gap_seconds: float, aggregates, t
              bucket_seconds: int = DAY) -> DataFrame:
     """Bursts of events per key, separated by more than the gap, with aggregates over each."""
     keys = list(keys)
-    near = with_neighbour(events, keys, ts, [F.col(ts).alias("at")], "_previous", tie=tie,
-                          bucket_seconds=bucket_seconds)
+    near = with_neighbours(events, keys, ts, [F.col(ts).alias("at")], before="_previous", tie=tie,
+                           bucket_seconds=bucket_seconds)
     micros = _micros(ts) - _micros("_previous.at")
     opens = F.col("_previous").isNull() | (micros > int(gap_seconds * 1_000_000))
     marked = with_carried(near, keys, ts, F.when(opens, F.col(ts)), "session_start", tie=tie,

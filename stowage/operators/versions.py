@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.predicates import active
 from ..functions.paths import basename, directory, file_name
-from .ordered import DAY, with_neighbour
+from .ordered import DAY, with_neighbours
 
 # Names of the audit columns.
 INSERTED_AT, UPDATED_AT = "created_at_DB", "updated_at_DB"
@@ -17,11 +17,9 @@ INSERTED_AT, UPDATED_AT = "created_at_DB", "updated_at_DB"
 def version_chain(rows: DataFrame, key: str, order: str, fingerprint: str = "fingerprint",
                   bucket_seconds: int = 30 * DAY) -> DataFrame:
     """Add ``previous_version`` and ``next_version``: the neighbours' fingerprints of the same key."""
-    back = with_neighbour(rows, [key], order, [F.col(fingerprint).alias("fp")], "_back",
-                          tie=[fingerprint], bucket_seconds=bucket_seconds)
-    both = with_neighbour(back, [key], order, [F.col(fingerprint).alias("fp")], "_ahead",
-                          following=True, tie=[fingerprint], bucket_seconds=bucket_seconds)
-    return both.withColumns({
+    chained = with_neighbours(rows, [key], order, [F.col(fingerprint).alias("fp")], before="_back",
+                              after="_ahead", tie=[fingerprint], bucket_seconds=bucket_seconds)
+    return chained.withColumns({
         "previous_version": F.col("_back.fp"), "next_version": F.col("_ahead.fp"),
     }).drop("_back", "_ahead")
 
@@ -36,8 +34,8 @@ def live(rows: DataFrame, key: str, *order: str) -> DataFrame:
 def changes_between_versions(rows: DataFrame, key: str, order: str, properties,
                              bucket_seconds: int = 30 * DAY) -> DataFrame:
     """Long rows of what each version changed against the one before it."""
-    near = with_neighbour(rows, [key], order, [F.col(p) for p in properties], "_before",
-                          bucket_seconds=bucket_seconds)
+    near = with_neighbours(rows, [key], order, [F.col(p) for p in properties], before="_before",
+                           bucket_seconds=bucket_seconds)
     entries = F.array(*[
         F.struct(F.lit(p).alias("property"), F.col(f"_before.{p}").cast("string").alias("old"),
                  F.col(p).cast("string").alias("new")) for p in properties])
