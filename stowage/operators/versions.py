@@ -24,11 +24,12 @@ def version_chain(rows: DataFrame, key: str, order: str, fingerprint: str = "fin
     }).drop("_back", "_ahead")
 
 
-def live(rows: DataFrame, key: str, *order: str) -> DataFrame:
+def live(rows: DataFrame, key, *order: str) -> DataFrame:
     """The newest row per key; keys collapse map-side, so a much-versioned key is no hot spot."""
-    rest = [c for c in rows.columns if c != key]
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in rows.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return rows.groupBy(key).agg(newest).select(key, "_row.*").select(*rows.columns)
+    return rows.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*rows.columns)
 
 
 def changes_between_versions(rows: DataFrame, key: str, order: str, properties,

@@ -58,13 +58,13 @@ def read_rows(spark: SparkSession, root: str, table: str, schema: T.StructType,
     return rows.withColumn("_version", number)
 
 
-def read_live(spark: SparkSession, root: str, table: str, schema: T.StructType, key: str,
+def read_live(spark: SparkSession, root: str, table: str, schema: T.StructType, key,
               upto: int | None = None) -> DataFrame:
     """The newest row per key."""
     return live(read_rows(spark, root, table, schema, upto), key, "_version").drop("_version")
 
 
-def compact(spark: SparkSession, root: str, table: str, schema: T.StructType, key: str) -> int:
+def compact(spark: SparkSession, root: str, table: str, schema: T.StructType, key) -> int:
     """Fold all versions into a base numbered as the newest of them."""
     version = latest_version(spark, root, table)
     if version >= 0:
