@@ -58,7 +58,7 @@ def in_both(current: DataFrame, previous: DataFrame, key: str = "symlink") -> Da
 
 
 def snapshot_diff(current: DataFrame, previous: DataFrame, key: str = "symlink",
-                  properties=CONTENT_PROPERTIES, carried=("batch", "sample", "created")) -> DataFrame:
+                  properties=CONTENT_PROPERTIES, carried=("batch", "sample", "created", "nlink")) -> DataFrame:
     """Classify every file of a listing and of the active catalog.
 
     Both sides hold one row per key. One shuffle per side; every later step - change log, affected

@@ -71,8 +71,9 @@ def event_diff(events: DataFrame, catalog: DataFrame, link_dir: str) -> DataFram
     content = joined.withColumns({
         f"new_{c}": F.when(present, F.coalesce(c, f"_origin.{c}", f"old_{c}")) for c in _STAT
     }).withColumn("new_filepath", F.when(present, F.col("filepath")))
-    placed = with_identity(content, link_dir, "new_filepath").select(
-        *[c for c in content.columns if c not in ("symlink",)], content["symlink"],
+    kept = [c for c in content.columns if c != "symlink"]
+    placed = with_identity(content.withColumnRenamed("symlink", "_link"), link_dir, "new_filepath").select(
+        *kept, F.col("_link").alias("symlink"),
         F.when(present, F.col("batch")).alias("new_batch"), F.when(present, F.col("sample")).alias("new_sample"))
     fingerprint = file_fingerprint(F.col("new_size"), F.col("new_dev"), F.col("new_ino"), F.col("new_modified"))
     printed = placed.withColumn("new_fingerprint", F.when(present, fingerprint))
@@ -83,10 +84,10 @@ def event_diff(events: DataFrame, catalog: DataFrame, link_dir: str) -> DataFram
         F.when(present & ~stored, "added").when(~present & ~stored, "unknown_deleted").when(~present, "deleted")
         .when(moved & modified, "moved_modified").when(modified, "modified").when(moved, "moved").otherwise("unchanged")
     )
-    both = [f"{p}_{c}" for c in ("filepath", "fingerprint", *CONTENT_PROPERTIES, "batch", "sample", "created")
+    both = [f"{p}_{c}" for c in ("filepath", "fingerprint", *CONTENT_PROPERTIES, "batch", "sample", "created", "nlink")
             for p in ("old", "new")]
     return printed.select(
-        "symlink", change.alias("change_type"), *both, F.col("new_nlink"), "ts",
+        "symlink", change.alias("change_type"), *both, "ts",
         F.coalesce("new_batch", "old_batch").alias("batch"), F.coalesce("new_sample", "old_sample").alias("sample"),
         F.when(stored & present, changes_array()).alias("changed"))
 

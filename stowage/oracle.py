@@ -654,3 +654,85 @@ FROM (SELECT DISTINCT sample, batch FROM files) f JOIN held h ON f.batch = h.bat
 SELECT sample, experiment_type, pore, count(*) AS n_files, CAST(sum(f.size) AS BIGINT) AS size
 FROM files f JOIN held h ON f.batch = h.batch GROUP BY 1, 2, 3""", "files", "held"),
 }
+
+_BORN_OLD = """
+SELECT o.symlink, CAST(0 AS BIGINT) AS born, o.fingerprint, o.size, o.filepath, n.symlink AS n_symlink,
+       n.fingerprint AS n_fingerprint, n.filepath AS n_filepath
+FROM active o LEFT JOIN files n ON o.symlink = n.symlink"""
+_cte("pair", _BORN_OLD, "active", "files")
+_cte("first_batches", """
+SELECT batch, min(CASE WHEN report_type = 'final_summary' THEN r.filepath END) AS final_summary
+FROM new_batches b LEFT JOIN reports r ON contains(string_split(r.filepath, '/')[-1], b.batch) GROUP BY 1""",
+     "new_batches", "reports")
+_cte("bursts", _sessions("src_path", "file_events", _GAP, ", arg_max(event_id, (ts, event_id)) AS event_id"), "file_events")
+_cte("report_rows", """
+SELECT '/r/new/final_summary_' || user_id || '.txt' AS filepath, ts, event_type NOT IN ('click', 'error') AS present FROM events
+UNION ALL SELECT '/r/kept/final_summary_' || user_id || '.txt', ts, true FROM events WHERE event_type = 'click'""")
+_REPORT_SET = "SELECT filepath FROM report_rows GROUP BY 1 HAVING arg_max(present, ts)"
+_cte("cycle", f"""
+SELECT task_id, {_NEXT_STATUS} AS status, sorting, input_files_size, minutes FROM reconciled
+UNION ALL
+SELECT c.sample_id || '_' || pipeline_id, CASE WHEN pipeline_id <> 'report_v1-2-0' AND s.size > 0 THEN 'prepared'
+         ELSE 'disprepared' END, {_TASK_RULE.format('SJF', 'LJF', 'SJF')}, s.size,
+       CAST({_TASK_RULE.format(4320, 750, 0)} AS BIGINT)
+FROM candidates c LEFT JOIN new_samples s ON c.sample_id = s.sample
+WHERE c.sample_id IN (SELECT sample_id FROM results) AND NOT EXISTS (
+  SELECT 1 FROM tasks t WHERE t.sample_id = c.sample_id AND t.pipeline_id = c.pipeline_id)""",
+     "reconciled", "candidates", "new_samples", "results", "tasks")
+
+ORACLE.update({
+    "indexed_files": sql(f"""
+SELECT symlink, born, CASE WHEN n_symlink IS NOT NULL AND n_fingerprint = fingerprint THEN n_filepath ELSE filepath END
+         AS filepath, size,
+       CASE WHEN n_symlink IS NULL THEN 'deleted' WHEN n_fingerprint <> fingerprint THEN 'deprecated' ELSE 'indexed' END
+         AS status, '' AS previous_version,
+       CASE WHEN n_fingerprint <> fingerprint THEN n_fingerprint END AS next_version,
+       CASE WHEN n_symlink IS NULL THEN epoch_us({NOW}) END AS deleted_us FROM pair
+UNION ALL
+SELECT symlink, CAST(1 AS BIGINT), new_filepath, new_size, 'indexed', coalesce(old_fingerprint, ''), NULL, NULL
+FROM diff WHERE change_type IN ('added', 'modified', 'moved_modified')""", "pair", "diff"),
+    "indexed_batches": sql("""
+SELECT o.batch, CAST(0 AS BIGINT) AS born, o.n_files, o.size,
+       CASE WHEN n.batch IS NULL OR n.fingerprint <> o.fingerprint THEN 'deprecated' ELSE 'indexed' END AS status,
+       o.fingerprint, '' AS previous_version, CASE WHEN n.fingerprint <> o.fingerprint THEN n.fingerprint END AS next_version,
+       CASE WHEN n.fingerprint = o.fingerprint THEN NULL ELSE f.final_summary END AS final_summary
+FROM old_batches o LEFT JOIN new_batches n ON o.batch = n.batch LEFT JOIN first_batches f ON o.batch = f.batch
+UNION ALL
+SELECT n.batch, CAST(1 AS BIGINT), n.n_files, n.size, 'indexed', n.fingerprint, coalesce(o.fingerprint, ''), NULL,
+       f.final_summary
+FROM new_batches n LEFT JOIN old_batches o ON n.batch = o.batch LEFT JOIN first_batches f ON n.batch = f.batch
+WHERE o.batch IS NULL OR n.fingerprint <> o.fingerprint""", "old_batches", "new_batches", "first_batches"),
+    "indexed_samples": sql("""
+SELECT sample, n_batches, n_files, size, fingerprint, sample || '_' || substr(fingerprint, 1, 6) AS sample_id,
+       '/results/' || sample || '/' || substr(fingerprint, 1, 6) AS result_dir FROM new_samples""", "new_samples"),
+    "scheduling_cycle": sql("""
+SELECT c.task_id, c.status, c.sorting, CASE WHEN r."rank" <= CASE c.sorting WHEN 'SJF' THEN 150 ELSE 400 END
+         - coalesce(in_use, 0) THEN r."rank" END AS "rank"
+FROM cycle c
+LEFT JOIN (SELECT task_id, row_number() OVER (PARTITION BY sorting
+             ORDER BY CASE WHEN sorting = 'LJF' THEN -ratio ELSE ratio END NULLS LAST, task_id) AS "rank"
+           FROM (SELECT *, CASE WHEN minutes > 0 THEN CAST(input_files_size AS DOUBLE) / minutes END AS ratio FROM cycle)
+           WHERE status = 'prepared') r ON c.task_id = r.task_id
+LEFT JOIN (SELECT sorting, count(*) AS in_use FROM cycle WHERE status IN ('queued', 'processing') GROUP BY 1) u
+  ON c.sorting = u.sorting""", "cycle"),
+    "event_diff": sql("""
+SELECT symlink, change_type, new_filepath, new_size FROM diff
+UNION ALL
+SELECT '/links/fastq/B' || ((o_orderkey + 2000000000) % 40) || ':S' || o_custkey || ':' || (o_orderkey + 2000000000)
+         || '.fastq.gz', 'unknown_deleted', NULL, NULL
+FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'P'""", "diff"),
+    "rejected_events": sql("""
+SELECT '/links/fastq/B' || ((o_orderkey + 2000000000) % 40) || ':S' || o_custkey || ':' || (o_orderkey + 2000000000)
+         || '.fastq.gz' AS symlink, 'deleted, not in catalog' AS reason
+FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderstatus = 'P'"""),
+    "stream_debounce": sql(
+        "SELECT src_path, start_us, end_us AS settled_us, n_events, event_id FROM bursts", "bursts"),
+    "stream_batch_holds": ORACLE["batch_holds"],
+    "stream_sync": ORACLE["batch_rollup"],
+    "stream_transitions": ORACLE["state_transitions"],
+    "stream_entities": sql("""
+SELECT batch AS name, n_files, size, 'stored' AS origin FROM new_batches
+WHERE batch IN (SELECT batch FROM diff WHERE change_type NOT IN ('unchanged', 'moved'))""", "new_batches", "diff"),
+    "report_set": sql(_REPORT_SET, "report_rows"),
+    "stream_reports": sql(_REPORT_SET, "report_rows"),
+})

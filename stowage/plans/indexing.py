@@ -28,7 +28,7 @@ def _schema(**fields):
 
 FILES = _schema(
     row_id=_S, born=_L, symlink=_S, filepath=_S, name=_S, directory=_S, basename=_S, extension=_S, batch=_S,
-    sample=_S, size=_L, created=_TS, modified=_TS, dev=_L, ino=_L, status=_S, previous_version=_S,
+    sample=_S, size=_L, created=_TS, modified=_TS, dev=_L, ino=_L, nlink=_L, status=_S, previous_version=_S,
     next_version=_S, fingerprint=_S, deleted_at=_TS, updated_at_DB=_TS)
 MEMBERSHIP = _schema(
     batch=_S, sample=_S, n_files=_L, size=_L, created=_TS, modified=_TS, **{w: _L for w in WORDS})
@@ -120,7 +120,7 @@ def _write_pass(spark, root, version, changed, link_dir, now, reports=None,
 
 _DIFF = ["symlink", "change_type", "changed", "batch", "sample"] + [
     f"{p}_{c}" for p in ("old", "new")
-    for c in ("filepath", "fingerprint", "size", "dev", "ino", "modified", "created", "batch", "sample")]
+    for c in ("filepath", "fingerprint", "size", "dev", "ino", "modified", "created", "nlink", "batch", "sample")]
 
 
 def _fit(df, schema):
@@ -133,11 +133,10 @@ def _file_rows(stored, changed, link_dir, version, now):
     born = F.lit(version).cast("bigint")
     arrived = changed.filter(F.col("change_type").isin("added", "modified", "moved_modified"))
     new = with_identity(arrived.drop("batch", "sample").withColumnRenamed("new_filepath", "filepath"), link_dir)
-    new = new.drop("symlink").join(arrived.select("symlink", F.col("new_filepath").alias("filepath")), "filepath")
     new = new.select(
         F.concat_ws("@", "symlink", born).alias("row_id"), born.alias("born"), "symlink", "filepath", "name",
         "directory", "basename", "extension", "batch", "sample",
-        *[F.col(f"new_{c}").alias(c) for c in ("size", "created", "modified", "dev", "ino", "fingerprint")],
+        *[F.col(f"new_{c}").alias(c) for c in ("size", "created", "modified", "dev", "ino", "nlink", "fingerprint")],
         F.lit("indexed").alias("status"), F.coalesce("old_fingerprint", F.lit("")).alias("previous_version"),
         now.alias("updated_at_DB"))
     touched = changed.filter(F.col("change_type") != "added").select(

@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import views as V
 from .functions import documents, durations, fingerprints, paths, predicates, states, templates
-from .operators import curation, diff, jobs, ordered, outputs, reports, rollup, shapers, versions, work
+from .operators import curation, diff, events, jobs, ordered, outputs, reports, rollup, shapers, versions, work
+from .plans import indexing, scheduling
 from .schemas import SAMPLE_DEFAULTS, SAMPLES
-from .session import run_dir
+from .session import run_dir, written
 from .sources import rules as rule_source, tables
+from .streaming import events as event_stream, state as state_stream
 
 QUERIES = {}
 HOUR = 3600
@@ -987,3 +989,195 @@ def curated_sample_rollup(spark, d):
 @query
 def run_groups(spark, d):
     return curation.run_groups(_pairs(spark, d), _curated(spark, d))
+
+
+# --- whole passes --------------------------------------------------------------------------------
+
+def _indexed(spark, d):
+    """A catalog made from the previous listing and synced with the present one."""
+    root = run_dir(spark, "indexed")
+    before = V.previous_inventory(spark, d).filter("state is null or state = 'indexed'")
+    indexing.sync_listing(spark, root, before, V.LINK_DIR, V.ts(V.CATALOG_TIME))
+    indexing.sync_listing(spark, root, V.inventory(spark, d), V.LINK_DIR, _now(),
+                          reports=reports.find_reports(V.report_listing(spark, d)))
+    return root
+
+
+@query
+def indexed_files(spark, d):
+    """Every file version the two passes left, with the links between them."""
+    return indexing.read_files(spark, _indexed(spark, d)).select(
+        "symlink", "born", "filepath", "size", "status", "previous_version", "next_version",
+        us("deleted_at").alias("deleted_us"))
+
+
+@query
+def indexed_batches(spark, d):
+    return indexing.read_batches(spark, _indexed(spark, d)).select(
+        "batch", "born", "n_files", "size", "status", "fingerprint", "previous_version", "next_version",
+        "final_summary")
+
+
+@query
+def indexed_samples(spark, d):
+    return indexing.read_samples(spark, _indexed(spark, d)).filter(predicates.active()).select(
+        "sample", "n_batches", "n_files", "size", "fingerprint", "sample_id", "result_dir")
+
+
+@query
+def scheduling_cycle(spark, d):
+    """One cycle over all tasks: their next states, and which of them get a slot."""
+    cycle = scheduling.run_cycle(
+        V.tasks(spark, d), _jobs(spark, d), V.exit_codes(spark, d),
+        V.samples(spark, d).withColumn("input_files_size", F.col("size")), V.results(spark, d), _rules(),
+        rule_source.load_rules(spark, V.RULES), _cycle_shapers(spark, d), V.QUEUES, _now())
+    admitted = cycle.admitted.select("task_id", F.col("rank").cast("bigint").alias("rank"))
+    return cycle.tasks.select("task_id", "status", "sorting").join(admitted, "task_id", "left")
+
+
+def _cycle_shapers(spark, d):
+    """Shapers that take a task's bytes from its sample's files."""
+    totals = rollup.sample_rollup(_pairs(spark, d)).select(F.col("sample").alias("sample_id"), F.col("size").alias("input_files_size"))
+
+    def shape(t):
+        return t.join(totals, "sample_id", "left").withColumns({
+            "command": F.concat(F.lit("run "), "task_id"), "n_groups": F.lit(1), "n_expected": F.lit(1)})
+
+    def none(t):
+        return t.select("task_id", F.lit("").alias("group"), F.lit("").alias("type"), F.lit("").alias("value"))
+
+    registry = shapers.Shapers()
+    for rule in ("basecall_v1-0-0", "align_v2-1-0"):
+        registry.register(rule, shape, none)
+    return registry
+
+
+# --- streams -------------------------------------------------------------------------------------
+
+def _staged(df, name):
+    """Rows as a folder a file stream can read."""
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
+def _drained(stream, spark, name):
+    path, checkpoint = run_dir(spark, name), run_dir(spark, name + "-checkpoint")
+    event_stream.start(stream, path, checkpoint).awaitTermination()
+    return path, checkpoint
+
+
+@query
+def event_diff(spark, d):
+    found = events.event_diff(V.change_events(spark, d), V.catalog(spark, d), V.LINK_DIR)
+    return found.select("symlink", "change_type", "new_filepath", "new_size")
+
+
+@query
+def rejected_events(spark, d):
+    found = events.event_diff(V.change_events(spark, d), V.catalog(spark, d), V.LINK_DIR)
+    return events.rejected(found).select("symlink", "reason")
+
+
+@query
+def stream_debounce(spark, d):
+    """The per-file debounce as a stream, drained by a closing event."""
+    rows = V.file_events(spark, d).select("event_id", "src_path", "ts", "size")
+    source = _staged(rows, "events")
+    stream = event_stream.debounce(
+        event_stream.read_events(spark, source, schema=rows.schema), ["src_path"], gap="6 hours",
+        payload=["event_id"], tie=["event_id"])
+    target, checkpoint = _drained(stream, spark, "debounced")
+    event_stream.close_sessions(spark, source, rows.schema, "2100-01-01 00:00:00")
+    event_stream.start(stream, target, checkpoint).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(target).select(
+        "src_path", us("session_start").alias("start_us"), us("settled_at").alias("settled_us"), "n_events", "event_id")
+
+
+@query
+def stream_batch_holds(spark, d):
+    """The ten-minute hold of batches as a stream."""
+    rows = V.file_events(spark, d).select("src_path", "ts")
+    source = _staged(rows, "hold-events")
+    stream = event_stream.hold_batches(event_stream.read_events(spark, source, schema=rows.schema))
+    target, checkpoint = _drained(stream, spark, "held")
+    event_stream.close_sessions(spark, source, rows.schema, "2100-01-01 00:00:00")
+    event_stream.start(stream, target, checkpoint).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(target).select(
+        "batch", us("session_start").alias("start_us"), us("settled_at").alias("end_us"), "n_events")
+
+
+@query
+def stream_sync(spark, d):
+    """A stored catalog kept up to date by a stream of file events; its batches afterwards."""
+    root = run_dir(spark, "synced")
+    before = V.previous_inventory(spark, d).filter("state is null or state = 'indexed'")
+    first = indexing.sync_listing(spark, root, before, V.LINK_DIR, V.ts(V.CATALOG_TIME)) + 1
+    rows = V.change_events(spark, d)
+    stream = event_stream.read_events(spark, _staged(rows, "change-events"), schema=rows.schema)
+    event_stream.sync_catalog(
+        stream, root, V.LINK_DIR, _now(), run_dir(spark, "sync-checkpoint"), first).awaitTermination()
+    return _flat(indexing.read_batches(spark, root).filter(predicates.active()).select(
+        "batch", "n_samples", "n_files", "size", "created", "modified", "fingerprint"))
+
+
+@query
+def stream_transitions(spark, d):
+    """Job-state changes with keyed state, the polls arriving in three parts."""
+    polls = V.file_events(spark, d).select(
+        F.col("src_path").alias("task_id"), F.col("ts").alias("polled_at"), F.col("event_type").alias("status"))
+    path = run_dir(spark, "polls")
+    cuts = ["1970-01-01", "2024-01-10", "2024-01-20", "2100-01-01"]
+    for start, end in zip(cuts, cuts[1:]):
+        part = polls.filter((F.col("polled_at") >= V.ts(start)) & (F.col("polled_at") < V.ts(end)))
+        part.coalesce(1).write.mode("append").parquet(path)
+    stream = state_stream.state_transitions(
+        event_stream.read_events(spark, path, schema=polls.schema, maxFilesPerTrigger=1))
+    target, _ = _drained(stream, spark, "transitions")
+    return spark.read.schema(stream.schema).parquet(target).select(
+        "task_id", us("polled_at").alias("polled_us"), "previous_status", "status")
+
+
+@query
+def stream_entities(spark, d):
+    """Running batch totals with keyed state, beginning with the stored catalog."""
+    rows = rollup.contributions(_diff(spark, d)).select(
+        F.col("batch").alias("name"), F.col("sign").cast("bigint").alias("n_files"),
+        (F.col("size") * F.col("sign")).alias("size"), us("modified").alias("modified_us"))
+    stored = rollup.batch_rollup(_old_pairs(spark, d)).select(
+        F.col("batch").alias("name"), "n_files", "size", us("modified").alias("modified_us"))
+    # Contributions are summed per entity before they reach its state.
+    folded = rows.groupBy("name").agg(F.sum("n_files").alias("n_files"), F.sum("size").alias("size"),
+                                      F.max("modified_us").alias("modified_us"))
+    source = _staged(folded, "deltas")
+    stream = state_stream.running_entities(
+        event_stream.read_events(spark, source, schema=folded.schema), written(stored, "stored"))
+    path = run_dir(spark, "entities")
+
+    def keep(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{path}/part={batch_id}")
+
+    stream.writeStream.foreachBatch(keep).outputMode("update").option(
+        "checkpointLocation", run_dir(spark, "entities-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(state_stream.ENTITY).option("recursiveFileLookup", True).parquet(path).select(
+        "name", "n_files", "size", "origin")
+
+
+@query
+def report_set(spark, d):
+    return events.report_set(V.report_events(spark, d))
+
+
+@query
+def stream_reports(spark, d):
+    """The set of report files as a running answer."""
+    rows = V.report_events(spark, d)
+    stream = state_stream.report_presence(event_stream.read_events(spark, _staged(rows, "report-events"), schema=rows.schema))
+    path = run_dir(spark, "report-set")
+
+    def keep(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{path}/latest")
+
+    stream.writeStream.foreachBatch(keep).outputMode("complete").option(
+        "checkpointLocation", run_dir(spark, "reports-checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/latest").filter("present").select("filepath")

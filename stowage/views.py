@@ -340,3 +340,50 @@ def batch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("n_nationkey") != 7, F.when(F.col("n_nationkey") > 10, "rna").otherwise("dna"))
     return n.join(pore, "n_regionkey").select(
         F.concat(F.lit("B"), F.col("n_nationkey")).alias("batch"), "pore", kind.alias("experiment_type"))
+
+
+def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that lead from the previous catalog to the listing, and some that lead nowhere.
+
+    Files dated after the catalog are created (or, if pending, reported as merely modified); moved ones
+    move, then everything known is reported with its present stat fields; removed ones are deleted;
+    so are files of failed orders the catalog never had.
+    """
+    o = _orders(spark, sf_dir)
+    key, date, status = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderstatus")
+    urgent, high = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "2-HIGH"
+    path = _source_path(F.col("o_custkey"), key, date, status, F.lit("raw"))
+    before = _source_path(F.col("o_custkey"), key, date, status, F.lit("old"))
+    stat = _stat(date, _bytes(F.col("o_totalprice")), key)
+    none = [F.lit(None).cast(t).alias(n) for n, t in (
+        ("size", "bigint"), ("ctime", "timestamp"), ("mtime", "timestamp"), ("dev", "bigint"), ("ino", "bigint"),
+        ("nlink", "bigint"))]
+    nowhere = F.lit(None).cast("string").alias("dest_path")
+    new = date >= ts(CATALOG_TIME)
+
+    def at(minutes):
+        return (ts(NOW) + F.make_dt_interval(mins=F.lit(minutes))).alias("ts")
+
+    moved = o.filter(~new & ((high & (status == "F")) | (urgent & (status == "O")))).select(
+        F.lit("moved").alias("event_type"), before.alias("src_path"), path.alias("dest_path"), at(1), *none)
+    seen = o.select(
+        F.when(new & (status != "P"), "created").otherwise("modified").alias("event_type"), path.alias("src_path"),
+        nowhere, at(2), *stat)
+    gone = o.filter((F.col("o_orderpriority") == "5-LOW") & (status == "P")).select(
+        F.lit("deleted").alias("event_type"),
+        _source_path(F.col("o_custkey"), key + 1_000_000_000, date, status, F.lit("raw")).alias("src_path"),
+        nowhere, at(3), *none)
+    unknown = o.filter(high & (status == "P")).select(
+        F.lit("deleted").alias("event_type"),
+        _source_path(F.col("o_custkey"), key + 2_000_000_000, date, status, F.lit("raw")).alias("src_path"),
+        nowhere, at(4), *none)
+    rows = moved.unionByName(seen).unionByName(gone).unionByName(unknown)
+    return rows.withColumn("is_dir", F.lit(False))
+
+
+def report_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file events again, on report files that may be moved aside."""
+    e = file_events(spark, sf_dir)
+    name = F.concat(F.lit("/final_summary_"), F.col("ino"), F.lit(".txt"))
+    return e.select("event_type", F.concat(F.lit("/r/new"), name).alias("src_path"),
+                    F.when(F.col("event_type") == "moved", F.concat(F.lit("/r/kept"), name)).alias("dest_path"), "ts")
