@@ -59,8 +59,12 @@ def event_diff(events: DataFrame, catalog: DataFrame, link_dir: str) -> DataFram
     ``unknown_deleted``, to be reported and not applied. A known link found at another place with
     other content is ``moved_modified``.
     """
+    return observed_diff(observations(events, link_dir), catalog, link_dir)
+
+
+def observed_diff(seen: DataFrame, catalog: DataFrame, link_dir: str) -> DataFrame:
+    """The same for events already folded to observations."""
     live = catalog.filter(active())
-    seen = observations(events, link_dir)
     known = live.select(
         "symlink", F.lit(True).alias("_known"), F.col("filepath").alias("old_filepath"),
         *[F.col(c).alias(f"old_{c}") for c in ("fingerprint", *_STAT, "batch", "sample")])

@@ -39,11 +39,15 @@ def batch_rollup(pairs: DataFrame) -> DataFrame:
     return _finished(_merged(pairs, "batch", "samples"))
 
 
-def sample_rollup(pairs: DataFrame) -> DataFrame:
-    """Sizes and fingerprint from the sample's own files, the time range from its whole batches."""
+def sample_rollup(pairs: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Sizes and fingerprint from the sample's own files, the time range from its whole batches.
+
+    ``names`` limits the result to some samples; ``pairs`` must hold their batches completely.
+    """
     ranges = pairs.groupBy("batch").agg(
         F.min("created").alias("_created"), F.max("modified").alias("_modified"))
-    dated = pairs.join(ranges, "batch").withColumns({
+    own = pairs if names is None else pairs.join(names, "sample", "left_semi")
+    dated = own.join(ranges, "batch").withColumns({
         "created": F.col("_created"), "modified": F.col("_modified")})
     return _finished(_merged(dated, "sample", "batches"))
 
@@ -109,17 +113,11 @@ def contributions(diff: DataFrame) -> DataFrame:
     return diff.filter(gives | takes).select(F.inline(parts))
 
 
-def apply_deltas(pairs: DataFrame, diff: DataFrame, files: DataFrame) -> DataFrame:
-    """The membership table after a diff, touching only pairs that changed.
-
-    Counts, sizes and fingerprint words are exact under subtraction. A time range can only shrink
-    when a removed file held one of its ends; those pairs alone are read again from ``files``, the
-    listing after the change. Pairs left without files disappear.
-    """
-    parts = contributions(diff)
+def _deltas(diff):
+    """The signed sum of the contributions per pair, and the ends of the time ranges they touch."""
     sign, gone, came = F.col("sign"), F.col("sign") < 0, F.col("sign") > 0
-    signed = parts.select("*", *fingerprint_words(F.col("fingerprint"), sign))
-    deltas = signed.groupBy(*PAIR).agg(
+    signed = contributions(diff).select("*", *fingerprint_words(F.col("fingerprint"), sign))
+    return signed.groupBy(*PAIR).agg(
         F.sum("sign").alias("_n"), F.sum(F.col("size") * sign).alias("_size"),
         F.min(F.when(came, F.col("created"))).alias("_created"),
         F.max(F.when(came, F.col("modified"))).alias("_modified"),
@@ -127,24 +125,34 @@ def apply_deltas(pairs: DataFrame, diff: DataFrame, files: DataFrame) -> DataFra
         F.max(F.when(gone, F.col("modified"))).alias("_gone_modified"),
         *[F.sum(w).alias(f"_{w}") for w in WORDS],
     )
-    zero = F.lit(0)
-    joined = pairs.join(deltas, PAIR, "full_outer").withColumn(
-        "_stale",
-        F.coalesce((F.col("_gone_created") <= F.col("created"))
-                   | (F.col("_gone_modified") >= F.col("modified")), F.lit(False)))
-    updated = joined.select(
-        *PAIR, "_stale",
+
+
+def apply_deltas(pairs: DataFrame, diff: DataFrame, files) -> DataFrame:
+    """The membership table after a diff, touching only pairs that changed.
+
+    Counts, sizes and fingerprint words are exact under subtraction. A time range can only shrink
+    when a removed file held one of its ends; those pairs alone are read again from ``files``, the
+    listing after the change: a DataFrame, or a function from (batch, sample) rows to their files.
+    Pairs left without files disappear.
+    """
+    deltas = _deltas(diff)
+    lost_end = (F.col("_gone_created") <= F.col("created")) | (F.col("_gone_modified") >= F.col("modified"))
+    stale = deltas.join(pairs.select(*PAIR, "created", "modified"), PAIR).filter(lost_end).select(*PAIR)
+    reread = files(stale) if callable(files) else files.join(stale, PAIR, "left_semi")
+    ranges = reread.groupBy(*PAIR).agg(
+        F.min("created").alias("_min_created"), F.max("modified").alias("_max_modified"))
+
+    zero = F.lit(0).cast("bigint")
+    joined = pairs.join(deltas, PAIR, "full_outer").join(ranges, PAIR, "left")
+    is_stale = F.coalesce(lost_end, F.lit(False))
+    return joined.select(
+        *PAIR,
         (F.coalesce("n_files", zero) + F.coalesce("_n", zero)).alias("n_files"),
         (F.coalesce("size", zero) + F.coalesce("_size", zero)).alias("size"),
-        F.least("created", "_created").alias("created"),
-        F.greatest("modified", "_modified").alias("modified"),
+        F.when(is_stale, F.col("_min_created")).otherwise(F.least("created", "_created")).alias("created"),
+        F.when(is_stale, F.col("_max_modified")).otherwise(F.greatest("modified", "_modified")).alias("modified"),
         *[(F.coalesce(w, zero) + F.coalesce(f"_{w}", zero)).alias(w) for w in WORDS],
     ).filter(F.col("n_files") > 0)
-    stale = updated.filter("_stale")
-    ranges = files.join(stale.select(*PAIR), PAIR, "left_semi").groupBy(*PAIR).agg(
-        F.min("created").alias("created"), F.max("modified").alias("modified"))
-    reread = stale.drop("created", "modified", "_stale").join(ranges, PAIR)
-    return updated.filter(~F.col("_stale")).drop("_stale").unionByName(reread)
 
 
 def affected(diff: DataFrame, key: str) -> DataFrame:

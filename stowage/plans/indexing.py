@@ -51,11 +51,12 @@ def committed(spark: SparkSession, root: str) -> int:
 
 
 def read_files(spark, root, upto=None) -> DataFrame:
+    """Every version of every file."""
     return tables.read_live(spark, root, "files", FILES, "row_id", upto)
 
 
-def read_membership(spark, root, upto=None) -> DataFrame:
-    return tables.read_live(spark, root, "membership", MEMBERSHIP, PAIR, upto).filter("n_files > 0")
+def read_membership(spark, root, upto=None, only=None) -> DataFrame:
+    return tables.read_live(spark, root, "membership", MEMBERSHIP, PAIR, upto, only).filter("n_files > 0")
 
 
 def read_batches(spark, root, upto=None) -> DataFrame:
@@ -66,21 +67,53 @@ def read_samples(spark, root, upto=None) -> DataFrame:
     return tables.read_live(spark, root, "samples", SAMPLES, "row_id", upto)
 
 
+def _current(spark, root, table, schema, key, upto, only=None, columns=None):
+    """The active version per key, found by folding on the key itself: one shuffle, kept for joins."""
+    rows = tables.read_live(spark, root, table, schema, key, upto, only, columns, order=("born",))
+    return rows.filter(active())
+
+
+def current_files(spark, root, upto=None, only=None, columns=None) -> DataFrame:
+    return _current(spark, root, "files", FILES, "symlink", upto, only, columns)
+
+
+def current_batches(spark, root, upto=None, only=None) -> DataFrame:
+    return _current(spark, root, "batches", BATCHES, "batch", upto, only)
+
+
+def current_samples(spark, root, upto=None, only=None) -> DataFrame:
+    return _current(spark, root, "samples", SAMPLES, "sample", upto, only)
+
+
+_COMPARED = ["symlink", "born", "status", "filepath", "fingerprint", "size", "dev", "ino", "nlink", "created",
+             "modified", "batch", "sample"]
+
+
 def sync_listing(spark: SparkSession, root: str, inventory: DataFrame, link_dir: str, now: Column,
                  version: int | None = None, **options) -> int:
-    """Index a full listing; what the catalog has and the listing lacks is deleted."""
+    """Index a full listing; what the catalog has and the listing lacks is deleted.
+
+    Listing and catalog each shuffle once, by link; equal paths have equal links, so duplicates of
+    a path collapse in the same fold.
+    """
     version = committed(spark, root) + 1 if version is None else version
-    files = D.one_per_link(D.as_files(D.one_per_path(inventory), link_dir))
-    stored = read_files(spark, root, version - 1).filter(active())
+    files = D.one_per_link(D.as_files(inventory, link_dir))
+    stored = current_files(spark, root, version - 1, columns=_COMPARED)
     changed = D.changed_files(D.snapshot_diff(files, stored))
     return _write_pass(spark, root, version, changed, link_dir, now, **options)
 
 
 def sync_events(spark: SparkSession, root: str, events: DataFrame, link_dir: str, now: Column,
                 version: int | None = None, **options) -> int:
-    """Index a batch of file events; unknown deletions go to the rejects table."""
+    """Index a batch of file events; unknown deletions go to the rejects table.
+
+    Only the catalog rows of the links the events name are read past the scan.
+    """
     version = committed(spark, root) + 1 if version is None else version
-    found = written(E.event_diff(events, read_files(spark, root, version - 1), link_dir), "event-diff")
+    seen = written(E.observations(events, link_dir), "observed")
+    links = seen.select("symlink").union(seen.select("from_link")).filter("symlink is not null").distinct()
+    stored = current_files(spark, root, version - 1, only=links, columns=_COMPARED)
+    found = written(E.observed_diff(seen, stored, link_dir), "event-diff")
     tables.append_rows(E.rejected(found), root, "rejects", version)
     return _write_pass(spark, root, version, E.applicable(found), link_dir, now, **options)
 
@@ -90,25 +123,34 @@ def _write_pass(spark, root, version, changed, link_dir, now, reports=None,
     before = version - 1
     # Every table below is derived from the changes alone, so they are computed once.
     changed = written(changed.select(*[c for c in _DIFF if c in changed.columns]), "changes")
-    stored = read_files(spark, root, before).filter(active())
+    stored = current_files(spark, root, before, only=changed.select("symlink"))
     tables.append_rows(_file_rows(stored, changed, link_dir, version, now), root, "files", version)
     tables.append_rows(D.change_log(changed).withColumn("version", F.lit(version).cast("bigint")),
                        root, "changes", version)
 
-    files = read_files(spark, root, version).filter(active())
-    old_pairs = read_membership(spark, root, before)
-    tables.append_rows(_pair_rows(old_pairs, changed, files), root, "membership", version)
+    def files_of(some_pairs):
+        columns = ["symlink", "born", "status", *PAIR, "created", "modified"]
+        return current_files(spark, root, version, only=some_pairs, columns=columns)
 
-    pairs = read_membership(spark, root, version)
+    touched = written(R.contributions(changed).select(*PAIR).distinct(), "touched")
+    mine = read_membership(spark, root, before, only=touched)
+    tables.append_rows(_pair_rows(mine, changed, files_of), root, "membership", version)
+
+    names = R.affected(changed, "batch")
+    pairs = read_membership(spark, root, version, only=names)
     batches = _entity_rows(
-        read_batches(spark, root, before), pairs, changed, "batch", R.batch_rollup, version, now)
+        current_batches(spark, root, before, names), R.batch_rollup(pairs), "batch", version, now)
     if reports is not None:
-        names = batch_reports(batches.select("batch").distinct(), reports)
-        batches = batches.drop("final_summary", "sequencing_summary").join(names, "batch")
+        found = batch_reports(batches.select("batch").distinct(), reports)
+        batches = batches.drop("final_summary", "sequencing_summary").join(found, "batch")
     tables.append_rows(_fit(batches, BATCHES), root, "batches", version)
 
-    samples = _entity_rows(
-        read_samples(spark, root, before), pairs, changed, "sample", R.sample_rollup, version, now)
+    # A sample's dates come from its whole batches, so those are read along with its own pairs.
+    names = R.affected(changed, "sample")
+    wanted = read_membership(spark, root, version, only=names).select("batch").distinct()
+    pairs = read_membership(spark, root, version, only=wanted)
+    rolled = R.sample_rollup(pairs, names)
+    samples = _entity_rows(current_samples(spark, root, before, names), rolled, "sample", version, now)
     samples = samples.withColumns({
         "sample_id": sample_id(F.col("sample"), F.col("fingerprint")),
         "processing_dir": entity_dir(F.lit(processing_dir), F.col("sample"), F.col("fingerprint")),
@@ -153,29 +195,19 @@ def _file_rows(stored, changed, link_dir, version, now):
     return _fit(new, FILES).unionByName(_fit(marked, FILES))
 
 
-def _pair_rows(old_pairs, changed, files):
+def _pair_rows(mine, changed, files_of):
     """The touched memberships after the change; an emptied one is written with no files."""
-    touched = R.contributions(changed).select(*PAIR).distinct()
-    mine = old_pairs.join(touched, PAIR, "left_semi")
-    after = R.apply_deltas(mine, changed, files)
+    after = R.apply_deltas(mine, changed, files_of)
     emptied = mine.join(after.select(*PAIR), PAIR, "left_anti").withColumn("n_files", F.lit(0).cast("bigint"))
     return _fit(after, MEMBERSHIP).unionByName(_fit(emptied, MEMBERSHIP))
 
 
-def _entity_rows(stored, pairs, changed, key, roll, version, now):
+def _entity_rows(current, rolled, key, version, now):
     """New versions of the touched entities, and the versions they replace or that ran empty."""
     born = F.lit(version).cast("bigint")
-    names = R.affected(changed, key)
-    # A sample's dates come from its whole batches, so those are read along with its own pairs.
-    mine = pairs.join(names, key, "left_semi")
-    if key == "sample":
-        mine = pairs.join(mine.select("batch").distinct(), "batch", "left_semi")
-    rolled = roll(mine).join(names, key, "left_semi")
-    current = stored.filter(active()).join(names, key, "left_semi")
     new = V.next_versions(current.select(key, "fingerprint", "status"), rolled, key).withColumns({
         "row_id": F.concat_ws("@", key, born), "born": born, "updated_at_DB": now})
-    replaced = current.join(new.select(key, F.col("fingerprint").alias("_next")), key)
-    replaced = replaced.withColumns({"status": F.lit("deprecated"), "next_version": F.col("_next"), "updated_at_DB": now})
-    emptied = V.vanished(current, rolled, key).withColumns({"status": F.lit("deprecated"), "updated_at_DB": now})
-    return new.unionByName(replaced.drop("_next"), allowMissingColumns=True).unionByName(
-        emptied, allowMissingColumns=True)
+    now_there = rolled.select(key, F.col("fingerprint").alias("_next"))
+    old = current.join(now_there, key, "left").filter(~F.col("_next").eqNullSafe(F.col("fingerprint")))
+    old = old.withColumns({"status": F.lit("deprecated"), "next_version": F.col("_next"), "updated_at_DB": now})
+    return new.unionByName(old.drop("_next"), allowMissingColumns=True)

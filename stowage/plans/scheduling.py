@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators import jobs as J, work as W
 from ..operators.shapers import Shapers
+from ..session import written
 
 
 @dataclass(frozen=True)
 class Cycle:
-    """What a cycle decides; every part is a lazy DataFrame."""
+    """What a cycle decides."""
 
-    tasks: DataFrame      # all tasks in their next state, new ones included
+    tasks: DataFrame      # all tasks in their next state, new ones included; written once
     finished: DataFrame   # tasks that left the queue in this cycle
     rejected: DataFrame   # candidates that lack a sample or result document
     admitted: DataFrame   # prepared tasks that get a slot now, ranked per queue
@@ -28,10 +29,11 @@ def run_cycle(tasks: DataFrame, jobs: DataFrame, exit_codes: DataFrame, samples:
     shaped = shapers.shape_inputs(created).select(
         "task_id", "sample_id", "pipeline_id", "sorting", "timeout", "status", "created", "command",
         F.col("input_files_size").cast("bigint").alias("input_files_size"), "reasons")
-    everything = reconciled.unionByName(shaped, allowMissingColumns=True)
+    # Admission and the finished list read the table of next states and do not derive it again.
+    everything = written(reconciled.unionByName(shaped, allowMissingColumns=True), "tasks")
     return Cycle(
         tasks=everything,
-        finished=J.finished(tasks, reconciled),
+        finished=J.finished(tasks, everything),
         rejected=W.without_documents(found, samples, results),
         admitted=W.admit(everything, capacity),
     )

@@ -455,13 +455,15 @@ def batch_memberships(spark, d):
 @query
 def rollup_delta(spark, d):
     """Batch totals kept by deltas; the check recomputes them."""
-    pairs = rollup.apply_deltas(_old_pairs(spark, d), _diff(spark, d), V.files_now(spark, d))
+    changed = written(diff.changed_files(_diff(spark, d)), "changed")
+    pairs = rollup.apply_deltas(_old_pairs(spark, d), changed, V.files_now(spark, d))
     return _flat(rollup.batch_rollup(pairs))
 
 
 @query
 def sample_rollup_delta(spark, d):
-    pairs = rollup.apply_deltas(_old_pairs(spark, d), _diff(spark, d), V.files_now(spark, d))
+    changed = written(diff.changed_files(_diff(spark, d)), "changed")
+    pairs = rollup.apply_deltas(_old_pairs(spark, d), changed, V.files_now(spark, d))
     return _flat(rollup.sample_rollup(pairs))
 
 
@@ -1020,7 +1022,7 @@ def indexed_batches(spark, d):
 
 @query
 def indexed_samples(spark, d):
-    return indexing.read_samples(spark, _indexed(spark, d)).filter(predicates.active()).select(
+    return indexing.current_samples(spark, _indexed(spark, d)).select(
         "sample", "n_batches", "n_files", "size", "fingerprint", "sample_id", "result_dir")
 
 
@@ -1117,7 +1119,7 @@ def stream_sync(spark, d):
     stream = event_stream.read_events(spark, _staged(rows, "change-events"), schema=rows.schema)
     event_stream.sync_catalog(
         stream, root, V.LINK_DIR, _now(), run_dir(spark, "sync-checkpoint"), first).awaitTermination()
-    return _flat(indexing.read_batches(spark, root).filter(predicates.active()).select(
+    return _flat(indexing.current_batches(spark, root).select(
         "batch", "n_samples", "n_files", "size", "created", "modified", "fingerprint"))
 
 

@@ -16,6 +16,8 @@ def local_session(cores: int | str = 8, partitions: int = 8, name: str = "stowag
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # Building a plan is several times faster without a Python stack trace per expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

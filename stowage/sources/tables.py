@@ -59,9 +59,19 @@ def read_rows(spark: SparkSession, root: str, table: str, schema: T.StructType,
 
 
 def read_live(spark: SparkSession, root: str, table: str, schema: T.StructType, key,
-              upto: int | None = None) -> DataFrame:
-    """The newest row per key."""
-    return live(read_rows(spark, root, table, schema, upto), key, "_version").drop("_version")
+              upto: int | None = None, only: DataFrame | None = None, columns=None, order=()) -> DataFrame:
+    """The newest row per key (``order`` decides within one version).
+
+    ``only`` restricts the read to rows whose columns of that name occur in it, before anything is
+    shuffled; it must not cut a key in two. ``columns`` prunes the scan, since a fold of whole rows
+    hides which of them are used.
+    """
+    rows = read_rows(spark, root, table, schema, upto)
+    if columns:
+        rows = rows.select(*columns, "_version")
+    if only is not None:
+        rows = rows.join(only, only.columns, "left_semi")
+    return live(rows, key, "_version", *order).drop("_version")
 
 
 def compact(spark: SparkSession, root: str, table: str, schema: T.StructType, key) -> int:
