@@ -9,6 +9,8 @@ from ..functions.states import (
     running_time, stream_path,
 )
 from .ordered import DAY, with_neighbours
+from .rollup import paged
+from .skew import salted_join
 from .work import IN_QUEUE
 
 
@@ -34,30 +36,26 @@ def normalise_jobs(raw: DataFrame) -> DataFrame:
 def child_jobs(jobs: DataFrame) -> DataFrame:
     """Child jobs whose parent is in the listing, one row per child.
 
-    A parent may own any share of the jobs, so children stay rows; parents are unique by id and the
-    child side of this inner join is what adaptive execution splits.
+    A parent may own any share of the jobs, so children stay rows and are spread over tasks.
     """
     parents = jobs.select(F.col("job_id").alias("parent_job_id"), F.col("name").alias("parent_name"))
-    return jobs.filter("parent_job_id != 0").join(parents, "parent_job_id")
+    return salted_join(jobs.filter("parent_job_id != 0"), parents, "parent_job_id", F.col("job_id"))
 
 
 def child_counts(jobs: DataFrame) -> DataFrame:
-    return child_jobs(jobs).groupBy("parent_job_id").agg(
+    """Children per listed parent; they are counted before parents are looked up."""
+    counts = jobs.filter("parent_job_id != 0").groupBy("parent_job_id").agg(
         F.count(F.lit(1)).alias("n_children"),
         F.sum(F.when(F.col("status") == "RUNNING", 1).otherwise(0)).alias("n_running"))
+    return counts.join(jobs.select(F.col("job_id").alias("parent_job_id")), "parent_job_id", "left_semi")
 
 
 def child_map(jobs: DataFrame, page_size: int = 1000) -> DataFrame:
     """``{child id: job}`` per parent in pages of about ``page_size``; a small parent has page 0 only."""
-    children = child_jobs(jobs)
-    pages = children.groupBy("parent_job_id").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(page_size)).cast("bigint").alias("_pages"))
     entry = F.struct("job_id", F.struct("name", "status", "exit_code", "work_dir"))
-    return (
-        children.join(pages, "parent_job_id").withColumn("page", F.col("job_id") % F.col("_pages"))
-        .groupBy("parent_job_id", "page")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("child_jobs"))
-    )
+    pages = paged(child_jobs(jobs), "parent_job_id", F.col("job_id").cast("string"), page_size)
+    return pages.groupBy("parent_job_id", "page").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("child_jobs"))
 
 
 def enrich_tasks(tasks: DataFrame, samples: DataFrame, results: DataFrame) -> DataFrame:

@@ -6,24 +6,22 @@ most time range / bucket width - carries the value across bucket borders. The re
 plain window.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 DAY = 86_400
 
 
-def _bucketed(df, order, seconds):
+def _cells(df, keys, order, seconds):
+    """Rows with their (key, bucket), by which windows, edges and the join back are partitioned.
+
+    The key is a struct, so that null keys are keys like any other in joins too.
+    """
     micros = F.unix_micros(F.col(order).cast("timestamp"))
-    return df.withColumn("_bucket", F.floor(micros / F.lit(seconds * 1_000_000)))
+    return df.withColumns({
+        "_key": F.struct(*keys), "_bucket": F.floor(micros / F.lit(seconds * 1_000_000))})
 
 
-def _attach_edges(rows, edges, keys):
-    """Join one carried value per (key, bucket) back to the rows; null keys are keys too."""
-    right = edges.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                         F.col("_bucket").alias("_kb"), "_edge")
-    same = rows["_bucket"] == right["_kb"]
-    for i, k in enumerate(keys):
-        same = same & rows[k].eqNullSafe(right[f"_k{i}"])
-    return rows.join(right, same, "left").drop(*[f"_k{i}" for i in range(len(keys))], "_kb")
+_CELL, _HELPERS = ["_key", "_bucket"], ["_key", "_bucket", "_edge"]
 
 
 def with_neighbours(df: DataFrame, keys, order: str, values, before: str | None = None,
@@ -32,52 +30,23 @@ def with_neighbours(df: DataFrame, keys, order: str, values, before: str | None
 
     They are null on the key's first and last row. ``tie`` makes equal times deterministic.
     """
-    keys, order_by = list(keys), [order, *tie]
+    order_by = [order, *tie]
     payload, at = F.struct(*values), F.struct(*order_by)
-    rows = _bucketed(df, order, bucket_seconds)
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order_by)
-    across = Window.partitionBy(*keys).orderBy("_bucket")
+    rows = _cells(df, keys, order, bucket_seconds)
+    inside = Window.partitionBy(*_CELL).orderBy(*order_by)
+    across = Window.partitionBy("_key").orderBy("_bucket")
     # The row next to a bucket's first one is the last of the bucket before, and the other way round.
     sides = [(into, offset, edge_of) for into, offset, edge_of in
              ((before, F.lag, F.max_by), (after, F.lead, F.min_by)) if into]
 
-    ends = rows.groupBy(*keys, "_bucket").agg(*[
-        edge_of(payload, at).alias(f"_end_{into}") for into, _, edge_of in sides])
-    edges = ends.select(*keys, "_bucket", F.struct(*[
+    ends = rows.groupBy(*_CELL).agg(*[edge_of(payload, at).alias(f"_end_{into}") for into, _, edge_of in sides])
+    edges = ends.select(*_CELL, F.struct(*[
         offset(f"_end_{into}").over(across).alias(into) for into, offset, _ in sides]).alias("_edge"))
     near = rows.withColumns({f"_near_{into}": offset(payload).over(inside) for into, offset, _ in sides})
     return (
-        _attach_edges(near, edges, keys)
+        near.join(edges, _CELL)
         .withColumns({into: F.coalesce(f"_near_{into}", f"_edge.{into}") for into, _, _ in sides})
-        .drop(*[f"_near_{into}" for into, _, _ in sides], "_edge", "_bucket")
-    )
-
-
-def with_carried(df: DataFrame, keys, order: str, value: Column, into: str,
-                 tie=(), bucket_seconds: int = DAY) -> DataFrame:
-    """Add ``into``: the last non-null ``value`` up to and including this row of the key."""
-    keys, order_by = list(keys), [order, *tie]
-    rows = _bucketed(df, order, bucket_seconds).withColumn("_value", value)
-    so_far = (Window.partitionBy(*keys, "_bucket").orderBy(*order_by)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    before = (Window.partitionBy(*keys).orderBy("_bucket")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    edges = (
-        rows.filter(F.col("_value").isNotNull())
-        .groupBy(*keys, "_bucket").agg(F.max_by("_value", F.struct(*order_by)).alias("_last"))
-    )
-    present = rows.select(*keys, "_bucket").distinct()
-    edges = (
-        present.join(edges, [present[k].eqNullSafe(edges[k]) for k in keys]
-                     + [present["_bucket"] == edges["_bucket"]], "left")
-        .select(*[present[k] for k in keys], present["_bucket"], "_last")
-        .withColumn("_edge", F.last("_last", ignorenulls=True).over(before))
-    )
-    near = rows.withColumn("_near", F.last("_value", ignorenulls=True).over(so_far))
-    return (
-        _attach_edges(near, edges, keys)
-        .withColumn(into, F.coalesce("_near", "_edge"))
-        .drop("_near", "_edge", "_bucket", "_value")
+        .drop(*[f"_near_{into}" for into, _, _ in sides], *_HELPERS)
     )
 
 
@@ -93,15 +62,35 @@ def settled(events: DataFrame, keys, ts: str, gap_seconds: float, tie=(),
 
 def sessions(events: DataFrame, keys, ts: str, gap_seconds: float, aggregates, tie=(),
              bucket_seconds: int = DAY) -> DataFrame:
-    """Bursts of events per key, separated by more than the gap, with aggregates over each."""
-    keys = list(keys)
-    near = with_neighbours(events, keys, ts, [F.col(ts).alias("at")], before="_previous", tie=tie,
-                           bucket_seconds=bucket_seconds)
-    micros = _micros(ts) - _micros("_previous.at")
-    opens = F.col("_previous").isNull() | (micros > int(gap_seconds * 1_000_000))
-    marked = with_carried(near, keys, ts, F.when(opens, F.col(ts)), "session_start", tie=tie,
-                          bucket_seconds=bucket_seconds)
-    return marked.groupBy(*keys, "session_start").agg(F.max(ts).alias("session_end"), *aggregates)
+    """Bursts of events per key, separated by more than the gap, with aggregates over each.
+
+    Bursts are found inside each (key, bucket); only a bucket's first burst can go on from the
+    bucket before, so what crosses the borders is decided on one row per bucket.
+    """
+    keys, gap = list(keys), int(gap_seconds * 1_000_000)
+    rows = _cells(events, keys, ts, bucket_seconds)
+    inside = Window.partitionBy(*_CELL).orderBy(ts, *tie)
+    opens = F.col("_at").isNull() | (_micros(ts) - _micros("_at") > gap)
+    local = (
+        rows.withColumn("_at", F.lag(ts).over(inside))
+        .withColumn("_opened", F.last(F.when(opens, F.col(ts)), ignorenulls=True).over(
+            inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    )
+    across = Window.partitionBy("_key").orderBy("_bucket")
+    ends = local.groupBy(*_CELL).agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_opened").alias("_newest"))
+    goes_on = F.coalesce(_micros("_first") - _micros("_before") <= gap, F.lit(False))
+    # Where the burst that is open at the end of a bucket began, if it began in this bucket.
+    began = F.when(~F.col("_goes_on") | (F.col("_newest") != F.col("_first")), F.col("_newest"))
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    edges = (
+        ends.withColumn("_before", F.lag("_last").over(across)).withColumn("_goes_on", goes_on)
+        .withColumn("_carried", F.last(began, ignorenulls=True).over(earlier))
+        .select(*_CELL, F.struct("_first", F.when(F.col("_goes_on"), F.col("_carried")).alias("start")).alias("_edge"))
+    )
+    start = F.when(F.col("_opened") == F.col("_edge._first"), F.coalesce("_edge.start", "_opened")).otherwise(F.col("_opened"))
+    return local.join(edges, _CELL).withColumn("session_start", start).groupBy(*keys, "session_start").agg(
+        F.max(ts).alias("session_end"), *aggregates)
 
 
 def _micros(column):

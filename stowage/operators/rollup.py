@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.fingerprints import (
     WORDS, fingerprint_words, merge_words, set_fingerprint, sum_words,
 )
+from .skew import salted_join
 
 PAIR = ["batch", "sample"]
 
@@ -85,11 +86,15 @@ def member_map(files: DataFrame, entity: str, page_size: int = 10_000) -> DataFr
 
 
 def _paged(rows, entity, page_size):
-    """Spread an entity's rows over count / page_size pages by a hash of their id."""
+    return paged(rows, entity, F.col("_id"), page_size).drop("_id")
+
+
+def paged(rows: DataFrame, entity: str, member, page_size: int) -> DataFrame:
+    """Spread an entity's rows over count / page_size pages by a hash of the member's name."""
     counts = rows.groupBy(entity).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(page_size)).cast("bigint").alias("_pages"))
-    slot = F.conv(F.substring(F.sha2(F.col("_id"), 256), 1, 12), 16, 10).cast("bigint")
-    return rows.join(counts, entity).withColumn("page", slot % F.col("_pages")).drop("_pages", "_id")
+    slot = F.conv(F.substring(F.sha2(member, 256), 1, 12), 16, 10).cast("bigint")
+    return salted_join(rows, counts, entity, member).withColumn("page", slot % F.col("_pages")).drop("_pages")
 
 
 def contributions(diff: DataFrame) -> DataFrame:

@@ -1,0 +1,19 @@
+"""Joining facts to one row per key when a key may own any share of the facts."""
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+SALTS = 16
+
+
+def salted_join(facts: DataFrame, dims: DataFrame, on, spread: Column, salts: int = SALTS,
+                how: str = "inner") -> DataFrame:
+    """Join on the keys and a salt: a key's facts go to ``salts`` tasks, its row to each of them.
+
+    For joins whose result is grouped by the same keys, where adaptive execution may not split a
+    skewed partition without breaking the grouping. The salt also keeps that grouping from being done
+    in place, so it is preceded by a map-side aggregation.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    left = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = dims.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")

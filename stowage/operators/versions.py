@@ -90,7 +90,7 @@ def merge_snapshot(base: DataFrame, changes: DataFrame, key, now: Column, mode:
     """
     keys = [key] if isinstance(key, str) else list(key)
     if mode == "delete":
-        return base.join(changes.select(*keys).distinct(), keys, "left_anti")
+        return base.join(changes.select(*keys), keys, "left_anti")
     if mode == "append":
         return base.unionByName(with_audit(changes, now, inserting=True), allowMissingColumns=True)
     if mode not in ("upsert", "update"):

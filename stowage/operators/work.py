@@ -49,8 +49,8 @@ def new_tasks(found: DataFrame, samples: DataFrame, results: DataFrame, rules: D
 
 
 def with_documents(found: DataFrame, samples: DataFrame, results: DataFrame) -> DataFrame:
-    return (found.join(samples.select("sample_id").distinct(), "sample_id", "left_semi")
-            .join(results.select("sample_id").distinct(), "sample_id", "left_semi"))
+    return (found.join(samples.select("sample_id"), "sample_id", "left_semi")
+            .join(results.select("sample_id"), "sample_id", "left_semi"))
 
 
 def without_documents(found: DataFrame, samples: DataFrame, results: DataFrame) -> DataFrame:

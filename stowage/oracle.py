@@ -567,7 +567,7 @@ SELECT c.job_id, c.parent_job_id, p.name AS parent_name, c.status FROM jobs c JO
 SELECT c.parent_job_id, count(*) AS n_children, count(CASE WHEN c.status = 'RUNNING' THEN 1 END) AS n_running
 FROM jobs c JOIN jobs p ON c.parent_job_id = p.job_id GROUP BY 1""", "jobs"),
     "child_job_maps": sql("""
-SELECT parent_job_id, job_id % pages AS page, string_agg(CAST(job_id AS VARCHAR), ',' ORDER BY job_id) AS children
+SELECT parent_job_id, CAST('0x' || substr(sha256(CAST(job_id AS VARCHAR)), 1, 12) AS BIGINT) % pages AS page, string_agg(CAST(job_id AS VARCHAR), ',' ORDER BY job_id) AS children
 FROM (SELECT c.parent_job_id, c.job_id, CAST(ceil(count(*) OVER (PARTITION BY c.parent_job_id) / 2.0) AS BIGINT) AS pages
       FROM jobs c JOIN jobs p ON c.parent_job_id = p.job_id) GROUP BY 1, 2""", "jobs"),
     "task_documents": sql("""

@@ -33,15 +33,6 @@ def test_neighbours_are_those_of_a_plain_window(events, bucket):
     assert rows(both.select("id", "b.status", "a.id")) == rows(plain)
 
 
-@pytest.mark.parametrize("bucket", [HOUR, ordered.DAY])
-def test_carried_value_is_that_of_a_plain_window(events, bucket):
-    value = F.when(F.col("status") == "a", F.col("id"))
-    window = Window.partitionBy("key").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
-    plain = events.select("id", F.last(value, ignorenulls=True).over(window))
-    carried = ordered.with_carried(events, ["key"], "ts", value, "c", tie=["id"], bucket_seconds=bucket)
-    assert rows(carried.select("id", "c")) == rows(plain)
-
-
 def bursts(events, gap):
     """Bursts in plain Python: a later event within the gap belongs to the one before."""
     out, by_key = [], {}
@@ -74,13 +65,21 @@ def test_an_event_exactly_one_gap_later_continues_the_burst(spark):
     assert ordered.settled(frame, ["key"], "ts", 4.999).count() == 2
 
 
-def test_no_window_sorts_a_whole_key(events):
-    """The only window over a bare key runs over one row per (key, bucket)."""
-    plan = ordered.with_neighbours(events, ["key"], "ts", [F.col("id")], before="b", tie=["id"])
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
+@pytest.mark.parametrize("bucket", [600, HOUR, 30 * ordered.DAY])
+def test_sessions_across_many_buckets(events, bucket):
+    found = ordered.sessions(events, ["key"], "ts", 3 * HOUR, [F.sum("id").alias("n")], tie=["id"], bucket_seconds=bucket)
+    assert rows(found.select("key", "session_start", "n")) == sorted(
+        ((k, b[0][0], sum(i for _, i in b)) for k, b in bursts(events, 3 * HOUR)), key=repr)
+
+
+def test_rows_are_windowed_by_key_and_bucket(events):
+    """The only window over a bare key runs over one row per (key, bucket), gathered map-side."""
+    frame = ordered.with_neighbours(events, ["key"], "ts", [F.col("id")], before="b", tie=["id"])
+    text = frame._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in text.splitlines() if "Window [" in line]
-    assert len(windows) == 2
-    assert sum("_bucket" in line.split("], [")[1] for line in windows) >= 1
+    assert len(windows) == 2 and sum("_bucket" in line.split("], [")[1] for line in windows) == 1
+    physical = frame._jdf.queryExecution().sparkPlan().toString()
+    assert "partial_max_by" in physical
 
 
 def test_version_chain_links_both_ways(spark):
