@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..schemas import ENTITIES
+
 
 def _literal(value, dtype):
     """A typed literal, including empty maps and lists."""
@@ -30,6 +32,11 @@ def from_documents(df: DataFrame, column: str, schema: T.StructType, defaults: d
     return fill_defaults(rows, schema, defaults or {})
 
 
+def read_entities(df: DataFrame, column: str, entity: str) -> DataFrame:
+    """JSON documents of a stored entity, by its name, to rows with its defaults."""
+    return from_documents(df, column, *ENTITIES[entity])
+
+
 def drop_private(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_")])
 

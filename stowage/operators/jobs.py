@@ -67,6 +67,11 @@ def enrich_tasks(tasks: DataFrame, samples: DataFrame, results: DataFrame) -> Da
         documents(results, "result_meta"), "sample_id", "left")
 
 
+def reference_documents(enriched: DataFrame) -> DataFrame:
+    """The form tasks are stored in: the embedded documents give way to the sample id they share."""
+    return enriched.drop("sample_meta", "result_meta")
+
+
 def tasks_in(tasks: DataFrame, statuses) -> DataFrame:
     return tasks.filter(F.col("status").isin(*statuses) & F.col("sample_id").isNotNull())
 

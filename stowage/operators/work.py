@@ -44,7 +44,7 @@ def new_tasks(found: DataFrame, samples: DataFrame, results: DataFrame, rules: D
                          F.col("version").alias("pipeline_version"))
     return complete.join(known, "pipeline_id").withColumns({
         "task_id": task_id(F.col("sample_id"), F.col("pipeline_id")),
-        "status": F.lit("created"), "created": now,
+        "status": F.lit("created"), "created": now, "last_update": now,
     })
 
 

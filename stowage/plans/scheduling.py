@@ -1,12 +1,25 @@
-"""One scheduling cycle: reconcile, create, shape, admit."""
+"""One scheduling cycle: reconcile, create, shape, admit; and the same over stored tables."""
 
 from dataclasses import dataclass
+from typing import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..operators import jobs as J, work as W
+from ..operators import jobs as J, versions as V, work as W
 from ..operators.shapers import Shapers
 from ..session import written
+from ..sources import tables
+
+_S, _L, _TS = T.StringType(), T.LongType(), T.TimestampType()
+TASKS = T.StructType([T.StructField(n, t) for n, t in dict(
+    task_id=_S, sample_id=_S, pipeline_id=_S, status=_S, sorting=_S, timeout=_S, input_files_size=_L, command=_S,
+    reasons=T.ArrayType(_S), created=_TS, queued=_TS, job_id=_L, job_status=_S, start=_TS, limit=_TS, finish=_TS,
+    exit_code=T.IntegerType(), last_update=_TS, time_from_creation_to_finish=_S, time_in_processing=_S).items()])
+SAMPLE_TASKS = T.StructType([
+    T.StructField("sample_id", _S), T.StructField("tasks", T.MapType(_S, T.MapType(_S, _S)))])
+ADMITTED = T.StructType([
+    T.StructField("task_id", _S), T.StructField("sorting", _S), T.StructField("rank", _L),
+    T.StructField("job_id", _L)])
 
 
 @dataclass(frozen=True)
@@ -27,7 +40,7 @@ def run_cycle(tasks: DataFrame, jobs: DataFrame, exit_codes: DataFrame, samples:
     found = W.candidates(samples, rules, tasks)
     created = W.new_tasks(found, samples, results, rules_table, now)
     shaped = shapers.shape_inputs(created).select(
-        "task_id", "sample_id", "pipeline_id", "sorting", "timeout", "status", "created", "command",
+        "task_id", "sample_id", "pipeline_id", "sorting", "timeout", "status", "created", "last_update", "command",
         F.col("input_files_size").cast("bigint").alias("input_files_size"), "reasons")
     # Admission and the finished list read the table of next states and do not derive it again.
     everything = written(reconciled.unionByName(shaped, allowMissingColumns=True), "tasks")
@@ -37,3 +50,56 @@ def run_cycle(tasks: DataFrame, jobs: DataFrame, exit_codes: DataFrame, samples:
         rejected=W.without_documents(found, samples, results),
         admitted=W.admit(everything, capacity),
     )
+
+
+def read_tasks(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    return tables.read_live(spark, root, "tasks", TASKS, "task_id", upto)
+
+
+def read_sample_tasks(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame:
+    """Each sample's ``{rule: {task: status}}`` map."""
+    return tables.read_live(spark, root, "sample_tasks", SAMPLE_TASKS, "sample_id", upto)
+
+
+def committed(spark: SparkSession, root: str) -> int:
+    return tables.latest_version(spark, root, "cycles")
+
+
+def _fit(df, schema):
+    return df.select(*[
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def run_stored_cycle(spark: SparkSession, root: str, jobs: DataFrame, exit_codes: DataFrame, samples: DataFrame,
+                     results: DataFrame, rules: list[dict], rules_table: DataFrame, shapers: Shapers,
+                     capacity: dict[str, int], now: Column, hand_over: Callable[[DataFrame], DataFrame],
+                     version: int | None = None) -> int:
+    """A cycle over the stored tasks; the rows it changes are appended as one version.
+
+    ``samples`` are the sample documents without their ``tasks``, which are kept here. ``hand_over``
+    turns admitted tasks into (task_id, job_id) rows, 0 where the cluster refused. It is asked once
+    per version; the answer is written first, so a repeated pass does not hand a task over again.
+    """
+    version = committed(spark, root) + 1 if version is None else version
+    before = version - 1
+    stored = read_tasks(spark, root, before)
+    states = read_sample_tasks(spark, root, before)
+    documents = samples.join(states, "sample_id", "left")
+    cycle = run_cycle(stored, jobs, exit_codes, documents, results, rules, rules_table, shapers, capacity, now)
+    if tables.latest_version(spark, root, "admitted") < version:
+        admitted = written(cycle.admitted, "admitted")
+        given = admitted.select("task_id", "sorting", "rank").join(
+            hand_over(admitted).select("task_id", "job_id"), "task_id")
+        tables.append_rows(_fit(given, ADMITTED), root, "admitted", version)
+    given = tables.read_rows(spark, root, "admitted", ADMITTED, version).filter(
+        F.col("_version") == version).select("task_id", "job_id")
+    moved = cycle.tasks.filter(F.col("last_update") == now)
+    queued = J.queue_task(_fit(cycle.tasks, TASKS), given, now).withColumn("last_update", now)
+    changed = written(V.live(
+        _fit(moved, TASKS).withColumn("_step", F.lit(0)).unionByName(_fit(queued, TASKS).withColumn("_step", F.lit(1))),
+        "task_id", "_step").drop("_step"), "changed-tasks")
+    tables.append_rows(changed, root, "tasks", version)
+    touched = documents.join(changed.select("sample_id"), "sample_id", "left_semi")
+    tables.append_rows(_fit(J.record_in_samples(touched, changed), SAMPLE_TASKS), root, "sample_tasks", version)
+    tables.append_rows(changed.groupBy("status").agg(F.count(F.lit(1)).alias("n")), root, "cycles", version)
+    return version

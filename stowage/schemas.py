@@ -63,7 +63,7 @@ JOBS = _struct(
 TASKS = _struct(
     task_id=STR, sample_id=STR, pipeline_id=STR, status=STR, sorting=STR, data=TASK_DATA,
     created=TS, queued=TS, finish=TS, last_update=TS, time_from_creation_to_finish=STR,
-    time_in_processing=STR, slurm_main_job=JOBS, slurm_child_jobs=T.MapType(LONG, JOBS),
+    time_in_processing=STR, slurm_main_job=JOBS, slurm_child_jobs=T.MapType(STR, JOBS),  # by job id; document keys are text
     exit_code=INT,
 )
 
@@ -119,3 +119,16 @@ TASK_DATA_DEFAULTS = {
     "output_files_size": 0, "start_script": "", "work_dir": "", "result_dir": "", "log_dir": "",
     "head_job_stdout": "", "head_job_stderr": "", "head_job_exitcode_f": "",
 }
+RESULT_DEFAULTS = {"name": "", "fingerprint": "", "sample_id": "", "results": {}}
+JOB_DEFAULTS = {"job_id": 0, "parent_job_id": 0}
+TASK_DEFAULTS = {
+    "task_id": "", "sample_id": "", "pipeline_id": "", "status": "", "sorting": "",
+    "time_from_creation_to_finish": "", "time_in_processing": "", "slurm_child_jobs": {},
+}
+
+# Schema and defaults of every stored entity.
+ENTITIES = {
+    "files": (FILES, FILE_DEFAULTS), "batches": (BATCHES, BATCH_DEFAULTS),
+    "samples": (SAMPLES, SAMPLE_DEFAULTS), "results": (RESULTS, RESULT_DEFAULTS),
+    "tasks": (TASKS, TASK_DEFAULTS), "jobs": (JOBS, JOB_DEFAULTS), "task_data": (TASK_DATA, TASK_DATA_DEFAULTS),
+}
