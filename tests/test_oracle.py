@@ -36,6 +36,8 @@ def test_query(name, spark, sf_dir, duck):
     result = duck.execute(ORACLE[name])
     columns = [c[0] for c in result.description]
     assert sorted(frame.columns) == sorted(columns)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert _rows(frame.columns, [tuple(r) for r in frame.collect()]) == _rows(columns, result.fetchall())
 
 
