@@ -10,7 +10,6 @@ from ..functions.states import (
 )
 from .ordered import DAY, with_neighbours
 from .rollup import paged
-from .skew import salted_join
 from .work import IN_QUEUE
 
 
@@ -36,10 +35,11 @@ def normalise_jobs(raw: DataFrame) -> DataFrame:
 def child_jobs(jobs: DataFrame) -> DataFrame:
     """Child jobs whose parent is in the listing, one row per child.
 
-    A parent may own any share of the jobs, so children stay rows and are spread over tasks.
+    A parent may own any share of the jobs, so children stay rows. Parents are as many as jobs, too
+    many to salt; a skewed child partition is split by adaptive execution.
     """
     parents = jobs.select(F.col("job_id").alias("parent_job_id"), F.col("name").alias("parent_name"))
-    return salted_join(jobs.filter("parent_job_id != 0"), parents, "parent_job_id", F.col("job_id"))
+    return jobs.filter("parent_job_id != 0").join(parents, "parent_job_id")
 
 
 def child_counts(jobs: DataFrame) -> DataFrame:
