@@ -44,6 +44,12 @@ def hold_batches(events: DataFrame, ts: str = "ts", hold: str = BATCH_HOLD, wate
     return debounce(named, ["batch"], ts, hold, watermark)
 
 
+def due_writes(changes: DataFrame, target: str = "target", ts: str = "ts", gap: str = WRITE_DEBOUNCE,
+               watermark: str = "0 seconds") -> DataFrame:
+    """Targets whose buffered changes are due: no change came for the write debounce."""
+    return debounce(changes, [target], ts, gap, watermark)
+
+
 def close_sessions(spark: SparkSession, path: str, schema: T.StructType, at: str, ts: str = "ts") -> None:
     """Drop one keyless event of a far time into the folder: the watermark passes all open bursts.
 

@@ -28,6 +28,20 @@ def test_debounce_stream_equals_batch(spark, sf_dir, tmp_path):
     assert streamed == {(r["src_path"], r["event_id"]) for r in batch.collect()}
 
 
+def test_writes_are_due_after_their_target_is_quiet(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("files", START + timedelta(seconds=n)) for n in (0, 5, 14, 30)] + [("batches", START)],
+        "target string, ts timestamp")
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    rows.write.parquet(source)
+    stream = S.due_writes(S.read_events(spark, source, schema=rows.schema))
+    S.start(stream, target, checkpoint).awaitTermination()
+    S.close_sessions(spark, source, rows.schema, "2100-01-01")
+    S.start(stream, target, checkpoint).awaitTermination()
+    found = {(r["target"], (r["settled_at"] - START).seconds, r["n_events"]) for r in spark.read.parquet(target).collect()}
+    assert found == {("files", 14, 3), ("files", 30, 1), ("batches", 0, 1)}
+
+
 def event(kind, path, minute, size=None, dest=None, ino=1):
     stat = (size, START, START + timedelta(minutes=minute), 1, ino, 1) if size is not None else (None,) * 6
     return (kind, path, dest, START + timedelta(minutes=minute), *stat, False)
