@@ -4,10 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from stowage.oracle import ORACLE
+from stowage.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-QUERIES, ORACLE = entry_module.queries(), entry_module.oracle_sql()
 # No SQL engine here has this digest; tests/test_functions.py checks it against the standard library.
 WITHOUT_SQL = {"file_fingerprint_blake2s"}
 
@@ -41,5 +42,9 @@ def test_query(name, spark, sf_dir, duck):
     assert _rows(frame.columns, [tuple(r) for r in frame.collect()]) == _rows(columns, result.fetchall())
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
