@@ -1,3 +1,34 @@
 """The queries of this package that SQL can express, for another engine over the same tables."""
 
-ORACLE = {}
+ORACLE = {
+    "op3_line_dedup": """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM documents WHERE text IS NOT NULL),
+three AS (
+  SELECT doc_id, pos, line AS a, lead(line, 1) OVER w AS b, lead(line, 2) OVER w AS c FROM lines
+  WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+later AS (
+  SELECT doc_id, pos FROM three WHERE c IS NOT NULL AND trim(a) || trim(b) || trim(c) <> ''
+  QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) > 1),
+covered AS (SELECT DISTINCT doc_id, pos + k AS pos FROM later, (VALUES (0), (1), (2)) s(k)),
+cut AS (
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text,
+         CAST(count(*) FILTER (WHERE gone) AS INTEGER) AS lines_removed
+  FROM (SELECT l.*, c.pos IS NOT NULL AS gone FROM lines l LEFT JOIN covered c ON l.doc_id = c.doc_id AND l.pos = c.pos)
+  GROUP BY doc_id)
+SELECT d.doc_id, c.text, coalesce(c.lines_removed, 0) AS lines_removed FROM documents d LEFT JOIN cut c USING (doc_id)
+""",
+    "op4_warc": """
+WITH own AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+digests AS (SELECT page_id, body, sha1(body) AS hex, max(page_id) OVER (PARTITION BY body) AS holder FROM own)
+SELECT page_id, octet_length(encode(body)) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+         (CAST('0x' || substr(hex, 1 + 5 * (k // 4), 5) AS BIGINT) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31 AS INTEGER), 1)
+         FOR k IN range(32)], '')
+         AS payload_digest,
+       CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> holder THEN holder END AS refers_to
+FROM digests
+""",
+}

@@ -19,26 +19,30 @@ CELL = 2048
 BROADCAST_ROWS = 100_000
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """64 bits: the majority of the XXH64 of each run of ``shingle`` words. No word: zero."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of each run of ``shingle`` words, lower-cased in ASCII and joined by spaces; of all words if they are fewer."""
     words = text.encode().lower().split() if text else []
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words]).tolist()
     starts, ends = [0, *ends[:-1]], ends[min(shingle, len(words)) - 1:]
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
-    for k in range(0, len(ends), 1 << 16):
-        hashes = np.array([digest(joined[s:e - 1], SEED) for s, e in zip(
-            starts[k:k + (1 << 16)], ends[k:k + (1 << 16)])], np.uint64)
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(ends), bitorder="little").view(np.uint64)[0])
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(joined[s:e - 1], SEED) for s, e in zip(starts, ends)), np.uint64, len(ends))
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """64 bits, each set if more than half of the hashes have it. No hash: zero."""
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), 1 << 16):
+        ones += _bits(hashes[k:k + (1 << 16)]).sum(0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """``key`` and ``fingerprint`` (long) of every row; null, empty and blank texts have fingerprint zero."""
 
     def step(batch):
-        values = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
+        values = np.array([fingerprint(shingle_hashes(t, shingle)) for t in batch.column(1).to_pylist()], np.uint64)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=[key, "fingerprint"])
 
     kept = docs.select(key, text)
@@ -309,3 +313,75 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     least = named.groupBy("_root").agg(F.min("_least").alias("component_id"))
     named = named.join(least, "_root").select("fingerprint", "component_id")
     return marks.join(named, "fingerprint").select(F.col("_key").alias(key), "fingerprint", "component_id")
+
+
+# --- one document of each group --------------------------------------------------------------------------
+
+def _sketches(shingle: int, check: int):
+    def step(batch):
+        found = []
+        for text in batch.column(2).to_pylist():
+            found.append((fingerprint(np.unique(shingle_hashes(text, shingle))), len(np.unique(shingle_hashes(text, check)))))
+        return pa.RecordBatch.from_arrays([
+            batch.column(0), batch.column(1), pa.array(np.array([f for f, _ in found], np.uint64).view(np.int64)),
+            pa.array([n for _, n in found], pa.int32())], names=["_key", "node", "fp", "size"])
+
+    return by_batch(step)
+
+
+def _alike(similarity: float):
+    def step(batch):
+        left, right = ([np.frombuffer(x, np.uint64) for x in batch.column(k).to_pylist()] for k in (2, 3))
+        keep = []
+        for x, y in zip(left, right):
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep.append(both >= similarity * (len(x) + len(y) - both))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+
+    return by_batch(step)
+
+
+def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 2, max_bits: int = 7,
+                     check: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row of each group of near duplicates, with all its columns: the one with the least key.
+
+    Two texts are near duplicates if their fingerprints (over the different runs of ``shingle`` words) are at ``max_bits``
+    bits or fewer and the sets of their ``check``-word shingles have a Jaccard similarity of ``similarity`` or more, which
+    is computed exactly. Groups are connected components. Equal texts are one group; null texts and texts
+    without a word are equal in this. Of rows with equal key and text any one stays; null keys come last. An empty
+    table stays empty.
+    """
+    blank = F.coalesce(F.col(text), F.lit(""))
+    words = F.when(blank.rlike(r"[^\x20\x09-\x0D]"), blank).otherwise("")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_key"),
+                       F.xxhash64(words).alias("node"), words.alias("_text"))
+    marks = stored(rows.select("_key", "node", "_text").mapInArrow(
+        _sketches(shingle, check), rows.select("_key", "node", F.lit(0).cast("long").alias("fp"), F.lit(0).alias("size")).schema), "sketches")
+    nodes = stored(marks.groupBy("node").agg(
+        F.min("_key").alias("_least"), F.first("fp").alias("fp"), F.first("size").alias("size")), "texts")
+    pairs = stored(near_pairs(nodes.select("node", "fp", "size"), max_bits, (3, 4, 5), similarity, forest=False).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+
+    def sets(batch):
+        found = [np.unique(shingle_hashes(t, check)).tobytes() for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "set"])
+
+    # The text of one row for each node that has a partner.
+    chosen = wanted.join(nodes, "node").select(F.struct("node", F.col("_least").alias("key")).alias("_of"))
+    texts = rows.select(F.struct("node", F.col("_key").alias("key")).alias("_at"), "node", "_text").join(
+        chosen, F.col("_at") == F.col("_of"), "left_semi").select("node", "_text").dropDuplicates(["node"])
+    shingles = stored(texts.mapInArrow(by_batch(sets), "node long, set binary"), "shingles")
+    both = pairs.join(shingles.select(F.col("node").alias("a"), F.col("set").alias("left")), "a").join(
+        shingles.select(F.col("node").alias("b"), F.col("set").alias("right")), "b").select("a", "b", "left", "right")
+    roots_of = components(both.mapInArrow(_alike(similarity), "a long, b long"), "near-duplicates")
+    named = nodes.join(roots_of, "node", "left").select("node", "_least", F.coalesce("root", "node").alias("_root"))
+    # The least key of the group, and of texts that share it the least.
+    winners = named.groupBy("_root").agg(F.min(F.struct(F.col("_least").isNull(), "_least", "node")).alias("w")).select(
+        F.struct(F.col("w.node"), F.col("w._least").alias("key")).alias("_of"))
+    counts = marks.groupBy(F.struct("node", F.col("_key").alias("key")).alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    winners = stored(winners.join(counts, "_of"), "kept")
+    kept = rows.select(F.struct("node", F.col("_key").alias("key")).alias("_at"), "_row").join(
+        winners, F.col("_at") == F.col("_of"))
+    single = kept.filter("_rows = 1").select("_row.*")
+    return single.union(kept.filter("_rows > 1").dropDuplicates(["_of"]).select("_row.*"))
