@@ -16,7 +16,7 @@ WINDOW = 13
 SUBSTITUTIONS = 2
 #: Word positions that a seed reads; it ignores the others. Whichever two words of thirteen differ, one of the seeds
 #: has a place that reads neither (tests/llm/test_decontamination.py tries all), so no overlap is missed.
-SEEDS = ((0, 1, 2, 4, 6, 7), (0, 1, 2, 5, 7, 8))
+SEEDS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 #: Shorter items than ``WINDOW`` must be found word for word; items of fewer words than this are not searched.
 SHORTEST = 5
 #: Characters of benchmark text that are held by a task at once (about 30 bytes of memory each). A larger benchmark
