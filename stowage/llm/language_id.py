@@ -2,64 +2,87 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import by_batch
+
 #: Sampled texts of each language, and bytes of each that its dictionary takes: the bound on what is fitted.
-SAMPLES, SAMPLE_BYTES = 256, 512
+SAMPLES, SAMPLE_BYTES = 256, 256
 #: Drawn texts up to this number are broadcast (some 30 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
-#: Texts are compressed in parts of this size, so that a long text does not become its own dictionary.
+#: Texts are compressed in parts of this many bytes, so that a long text does not become its own dictionary.
 PART = 2048
-LEVEL = 3
+#: Greedy search with a chain of eight, matches of three bytes and more.
+SETTINGS = dict(window_log=18, chain_log=17, hash_log=17, search_log=3, min_match=3, target_length=32,
+                strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_dict_id=False)
 #: Two languages closer than this share of the better one's bytes are not told apart.
 MARGIN = 0.005
 
 _LETTER = regex.compile(r"\p{L}")
+_BETWEEN = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> bytes:
+    """The text's letters in lower case, runs of anything else as one space: case and signs tell no language."""
+    return _BETWEEN.sub(" ", text).lower().encode()
 
 
 def dictionaries(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
                  samples: int = SAMPLES, sample_bytes: int = SAMPLE_BYTES) -> dict[str, bytes]:
-    """A raw-content dictionary for every language: pieces of at most ``samples`` texts drawn by hash of the text.
+    """A raw-content dictionary for every language, that of most documents first: pieces of at most ``samples`` texts.
 
-    Null texts and languages, and texts without a letter, are not learned from. Of repeated texts one is enough.
+    Texts are drawn by their hash. Null texts and languages, and texts without a letter, are not learned from; of
+    repeated texts one is enough.
     """
     rows = docs.select(F.col(lang).alias("_lang"), F.col(text).alias("_text")).filter(
         F.col("_lang").isNotNull() & F.col("_text").rlike(r"\p{L}"))
     draw = F.xxhash64(F.lit(21), "_text")
     # One hash for each language and slot; the texts that have it are fetched afterwards.
-    drawn = rows.groupBy("_lang", F.pmod(draw, F.lit(samples)).alias("_slot")).agg(F.min(draw).alias("_draw")).select(
-        "_lang", "_draw")
+    drawn = rows.groupBy("_lang", F.pmod(draw, F.lit(samples)).alias("_slot")).agg(
+        F.min(draw).alias("_draw"), F.count(F.lit(1)).alias("_many")).select("_lang", "_draw", "_many")
     if drawn.count() <= BROADCAST_ROWS:
         drawn = F.broadcast(drawn)
-    whole = F.encode("_text", "UTF-8")
     # The piece begins at a place that the hash names, anywhere in the whole text.
-    room = F.greatest(F.octet_length("_text") - sample_bytes, F.lit(0))
-    piece = F.substring(whole, F.pmod(F.abs(F.col("_draw") % 1_000_003), room + 1).cast("int") + 1, F.lit(sample_bytes))
     found = rows.withColumn("_draw", draw).join(drawn, ["_lang", "_draw"]).groupBy("_lang", "_draw").agg(
-        F.min(piece).alias("piece")).collect()
+        F.min("_text").alias("text"), F.max("_many").alias("many"))
+
+    def step(batch):
+        pieces = []
+        for at, text in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
+            whole = letters(text)
+            start = at % max(1, len(whole) - sample_bytes + 1)
+            pieces.append(whole[start:start + sample_bytes])
+        return pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(pieces, pa.binary())],
+                                          names=["lang", "draw", "many", "piece"])
+
+    got = found.select("_lang", "_draw", "many", "text").mapInArrow(
+        by_batch(step), "lang string, draw long, many long, piece binary").collect()
     pieces: dict[str, list] = {}
-    for row in sorted(found, key=lambda r: (r["_lang"], r["_draw"])):
-        pieces.setdefault(row["_lang"], []).append(bytes(row["piece"]))
-    return {name: b"\n".join(p) for name, p in pieces.items()}
+    many: dict[str, int] = {}
+    for row in sorted(got, key=lambda r: (r["lang"], r["draw"])):
+        pieces.setdefault(row["lang"], []).append(bytes(row["piece"]))
+        many[row["lang"]] = many.get(row["lang"], 0) + row["many"]
+    return {name: b"\n".join(pieces[name]) for name in sorted(pieces, key=lambda n: (-many[n], n))}
 
 
 class _Compressors:
     def __init__(self, found: dict[str, bytes]):
-        self.names = sorted(found)
-        self.all = []
+        self.names, self.all = list(found), []
+        settings = zstandard.ZstdCompressionParameters(**SETTINGS)
         for name in self.names:
             content = zstandard.ZstdCompressionDict(found[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(level=LEVEL)
-            self.all.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=content, write_checksum=False,
-                                                     write_content_size=False, write_dict_id=False))
+            content.precompute_compress(compression_params=settings)
+            self.all.append(zstandard.ZstdCompressor(compression_params=settings, dict_data=content))
 
     def sizes(self, text: str) -> list[int]:
         """Bytes that the whole text takes with each dictionary."""
-        data = text.encode()
+        data = letters(text)
         parts = [data[k:k + PART] for k in range(0, len(data), PART)]
         return [sum(len(c.compress(p)) for p in parts) for c in self.all]
 
@@ -68,7 +91,7 @@ def languages(docs: DataFrame, found: dict[str, bytes], key: str = "doc_id", tex
               margin: float = MARGIN) -> DataFrame:
     """``key``, ``lang_best``, ``score``, ``accepted`` for every row of ``docs``, from its whole text alone.
 
-    ``lang_best`` is the language whose dictionary makes the text smallest (ties: the first by name); ``score`` the margin
+    ``lang_best`` is the language whose dictionary makes the text smallest (ties: the one with more documents learned from, then by name); ``score`` the margin
     to the next, as a share from 0 to 1 of the next one's bytes (1 if there is no other); ``accepted`` whether that is
     ``margin`` or more. A null text, one without a letter, and every text if no language was learned is ``und`` with
     score 0, not accepted. Repeated rows give repeated results; other columns are ignored.

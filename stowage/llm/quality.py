@@ -58,9 +58,13 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -60, 60)))
 
 
-def fit_model(rows: list[np.ndarray], grades: np.ndarray, steps: int = 300, rate: float = 0.3,
-              sparse: float = 2e-4) -> Model:
-    """Proximal AdaGrad on the mean negative log-likelihood, grades weighing the same, with an L1 penalty."""
+def fit_model(rows: list[np.ndarray], grades: np.ndarray, totals: dict[int, int] | None = None, steps: int = 600,
+              rate: float = 0.3, sparse: float = 3e-4) -> Model:
+    """Proximal AdaGrad on the mean negative log-likelihood with an L1 penalty.
+
+    A grade weighs in as its number of labelled documents (``totals``) to the power 0.75, shared by those fitted on:
+    rare grades are heard, and frequent ones keep most of their prior.
+    """
     levels = sorted(set(grades.tolist()))
     y = np.searchsorted(levels, grades)
     count = np.bincount(np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64), minlength=WIDTH)
@@ -70,7 +74,9 @@ def fit_model(rows: list[np.ndarray], grades: np.ndarray, steps: int = 300, rate
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     column = place[np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)]
     row, column = row[column >= 0], column[column >= 0]
-    k, weight = len(levels) - 1, (1 / np.bincount(y) / len(levels))[y]
+    k, fitted = max(0, len(levels) - 1), np.bincount(y, minlength=len(levels))
+    share = np.array([(totals or {}).get(g, n) for g, n in zip(levels, fitted)], float) ** 0.75
+    weight = (share / max(share.sum(), 1) / np.maximum(fitted, 1))[y]
     w, cuts = np.zeros(len(used)), np.arange(k) - (k - 1) / 2
     sum_w, sum_c = np.full(len(used), 1e-8), np.full(k, 1e-8)
     for _ in range(steps if k else 0):
@@ -103,6 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, key: str = "doc_id",
     """
     rated = labels.select(F.col(key).alias("_key"), grade.cast("int").alias("_grade")).dropna().groupBy("_key").agg(
         F.min("_grade").alias("_grade"))
+    totals = {r["_grade"]: r["count"] for r in rated.groupBy("_grade").count().collect()}
     draw = F.xxhash64(F.lit(11), "_key")
     chosen = rated.groupBy("_grade", F.pmod(draw, F.lit(per_grade)).alias("_slot")).agg(
         F.min_by("_key", F.struct(draw, "_key")).alias("_key")).select("_key", "_grade")
@@ -121,7 +128,7 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, key: str = "doc_id",
     lists = rows.column("found").combine_chunks()
     found = np.split(lists.flatten().to_numpy(), lists.offsets.to_numpy()[1:-1] - lists.offsets[0].as_py()) if len(rows) else []
     order = sorted(range(len(found)), key=lambda i: (grades[i], found[i].tobytes()))  # rows come in any order
-    return fit_model([found[i] for i in order], grades[order] if len(order) else np.zeros(0, int))
+    return fit_model([found[i] for i in order], grades[order] if len(order) else np.zeros(0, int), totals)
 
 
 GRADES = "expected_grade double, tail_probability double, accepted boolean"

@@ -66,7 +66,7 @@ def op7_tokens(spark, d) -> DataFrame:
 @query
 def op8_quality(spark, d) -> DataFrame:
     docs = table(spark, d, "documents")
-    model = quality.fit(docs, table(spark, d, "labels"), corpus_pipeline.GRADE)
+    model = quality.fit(docs, table(spark, d, "labels"), corpus_pipeline.grade())
     return quality.graded(docs.select("doc_id", "text"), model, at_least=2).drop("text")
 
 
