@@ -2,16 +2,23 @@
 
 from pyspark.sql import Column, functions as F
 
-_TIMEOUT = r"^\s*(?:(\d{1,6})-)?(\d{1,6}):(\d{1,6})\s*$"
+_TIMEOUT = r"^\s*(?:(\d+)-)?(\d+):(\d+)\s*$"
 
 
 def timeout_minutes(timeout: Column) -> Column:
-    """``D-HH:MM`` or ``HH:MM`` to minutes; anything else is 0."""
-    days, hours, minutes = (
-        F.regexp_extract(timeout, _TIMEOUT, i).try_cast("bigint") for i in (1, 2, 3)
-    )
-    total = F.coalesce(days, F.lit(0)) * 1440 + hours * 60 + minutes
-    return F.coalesce(total, F.lit(0).cast("bigint"))
+    """``D-HH:MM`` or ``HH:MM`` to minutes; anything else is 0. More minutes than a long holds are its greatest."""
+    days, hours, minutes = (F.regexp_extract(timeout, _TIMEOUT, i) for i in (1, 2, 3))
+    most = F.lit((1 << 63) - 1)
+
+    def number(digits):
+        # Digits that no DECIMAL(30) holds exceed a long however they are weighted.
+        value = F.coalesce(digits.try_cast("decimal(30,0)"), F.lit("1" + 29 * "0").cast("decimal(30,0)"))
+        return F.when(digits == "", F.lit(0).cast("decimal(30,0)")).otherwise(value).cast("decimal(38,0)")
+
+    total = F.try_add(F.try_add(number(days) * 1440, number(hours) * 60), number(minutes))
+    return F.when(minutes == "", F.lit(0).cast("bigint")).when(
+        F.coalesce(minutes, F.lit("")) != "", F.coalesce(F.least(total, most.cast("decimal(38,0)")).cast("bigint"), most)
+    ).otherwise(F.lit(0).cast("bigint"))
 
 
 def priority_ratio(size: Column, timeout: Column) -> Column:

@@ -126,22 +126,26 @@ def requirement_path(requirements) -> Column:
 
 def mask_regex(mask: str) -> str:
     """A glob as an anchored regular expression over a name (or path tail, if it has a slash)."""
+    return ("(^|/)" if "/" in mask else "^") + _mask_body(mask) + "$"
+
+
+def _mask_body(mask):
     out, i = [], 0
     while i < len(mask):
         char = mask[i]
-        closing = mask.find("]", i + 2) if char == "[" else -1
+        closing = mask.find("]", i + (3 if mask[i + 1:i + 2] == "!" else 2)) if char == "[" else -1
         if char == "*":
             out.append("[^/]*")
         elif char == "?":
             out.append("[^/]")
         elif closing > 0:
-            members = mask[i + 1:closing].replace("\\", "\\\\").replace("[", "\\[")
+            members = re.sub(r"([\\\[\]^&])", r"\\\1", mask[i + 1:closing])
             out.append("[" + ("^" + members[1:] if members[0] == "!" else members) + "]")
             i = closing
         else:
             out.append(re.escape(char) if not char.isalnum() and char != "_" else char)
         i += 1
-    return ("(^|/)" if "/" in mask else "^") + "".join(out) + "$"
+    return "".join(out)
 
 
 def matches_mask(name: Column, mask: str) -> Column:
@@ -149,10 +153,20 @@ def matches_mask(name: Column, mask: str) -> Column:
 
 
 def matches_mask_column(name: Column, mask: Column) -> Column:
-    """The same with the mask in a column (``*`` and ``?`` only): the pattern is built per row."""
-    quoted = F.regexp_replace(mask, r"([\\.^$|()\[\]{}+])", r"\\$1")
-    pattern = F.replace(F.replace(quoted, F.lit("*"), F.lit("[^/]*")), F.lit("?"), F.lit("[^/]"))
-    return F.rlike(name, F.concat(F.lit("^"), pattern, F.lit("$")))
+    """The same with the mask in a column: the pattern is built per row."""
+    # A class, or a single character; an opening bracket without a closing one is a character.
+    parts = F.regexp_extract_all(mask, F.lit(r"(?s)\[(?:!.|[^!])[^\]]*\]|."), F.lit(0))
+
+    def as_regex(part):
+        inner = F.substr(part, F.lit(2), F.length(part) - 2)
+        members = F.regexp_replace(inner, r"([\\\[\]^&])", r"\\$1")
+        members = F.when(F.startswith(inner, F.lit("!")), F.concat(F.lit("^"), F.substr(members, F.lit(2)))).otherwise(members)
+        return (F.when(F.length(part) > 1, F.concat(F.lit("["), members, F.lit("]")))
+                .when(part == "*", F.lit("[^/]*")).when(part == "?", F.lit("[^/]"))
+                .otherwise(F.regexp_replace(part, r"([\\.^$|()\[\]{}+])", r"\\$1")))
+
+    start = F.when(F.contains(mask, F.lit("/")), F.lit("(^|/)")).otherwise(F.lit("^"))
+    return F.rlike(name, F.concat(start, F.array_join(F.transform(parts, as_regex), ""), F.lit("$")))
 
 
 def matching_masks(name: Column, masks) -> Column:
@@ -167,5 +181,5 @@ def has_extension(name: Column, extensions) -> Column:
 
 def matches_event_patterns(path: Column, patterns) -> Column:
     """Case-insensitive globs over an event's path; ``*`` also crosses folders here."""
-    alternatives = "|".join(mask_regex(p).strip("^$").replace("[^/]*", ".*") for p in patterns)
+    alternatives = "|".join(("(?:.*/)?" if "/" in p else "") + _mask_body(p).replace("[^/]*", ".*") for p in patterns)
     return path.rlike(f"(?i)^(?:{alternatives})$")

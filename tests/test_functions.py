@@ -49,8 +49,11 @@ def test_identity_of_rows(spark):
 
 
 def test_timeouts(spark):
-    given = ["3-00:00", "04:05", "1-2:3", "", "x", "1:2:3", "1-2-3:4", "-1:00", None]
-    assert column(spark, given, durations.timeout_minutes) == [4320, 245, 1563, 0, 0, 0, 0, 0, 0]
+    given = ["3-00:00", "04:05", "1-2:3", "", "x", "1:2:3", "1-2-3:4", "-1:00", None, "1234567:00", "9999999-0:1", "0" * 40 + "5:1",
+             "9" * 25 + ":0", "9" * 60 + "-1:1"]
+    most = (1 << 63) - 1
+    assert column(spark, given, durations.timeout_minutes) == [
+        4320, 245, 1563, 0, 0, 0, 0, 0, 0, 1234567 * 60, 9999999 * 1440 + 1, 301, most, most]
 
 
 def test_hms(spark):
@@ -80,13 +83,12 @@ def test_exit_states(spark):
     assert column(spark, [0, 124, 1, None], states.exit_status, "int") == ["COMPLETED", "TIMEOUT", "FAILED", "UNKNOWN"]
 
 
-@pytest.mark.parametrize("mask", ["*.html", "a?c", "*_x.*", "[ab]*", "[!ab]*", "x[", "a.b", "a+b(1).txt", "*", "[]]x"])
+@pytest.mark.parametrize("mask", ["*.html", "a?c", "*_x.*", "[ab]*", "[!ab]*", "x[", "a.b", "a+b(1).txt", "*", "[]]x", "[!]]x", "[^a]*", "[a-c]?", "[!a", "*$", "a[b", "[&&]", "[a&&b]*"])
 def test_masks_are_globs(spark, mask):
-    names = ["a.html", "abc", "a_x.txt", "b", "zz", "x[", "a.b", "axb", "a+b(1).txt", "]x", ".hidden", "A.HTML"]
+    names = ["^x", "$", "c$", "&", "a[b", "[!a", "a.html", "abc", "a_x.txt", "b", "zz", "x[", "a.b", "axb", "a+b(1).txt", "]x", ".hidden", "A.HTML"]
     expected = [fnmatch.fnmatchcase(n, mask) for n in names]
     assert column(spark, names, lambda c: predicates.matches_mask(c, mask)) == expected
-    if "[" not in mask:
-        assert column(spark, names, lambda c: predicates.matches_mask_column(c, F.lit(mask))) == expected
+    assert column(spark, names, lambda c: predicates.matches_mask_column(c, F.lit(mask))) == expected
 
 
 def test_conditions_follow_document_semantics(spark):
@@ -124,6 +126,7 @@ def test_unknown_requirement(spark):
 def test_event_patterns_ignore_case(spark):
     given = ["/A/B.POD5", "/a/b.pod5.tmp", "/a/c.fast5"]
     assert column(spark, given, lambda c: predicates.matches_event_patterns(c, ["*.pod5", "*.fast5"])) == [True, False, True]
+    assert column(spark, ["/a/x$", "/a/x", "/b/a/x$"], lambda c: predicates.matches_event_patterns(c, ["a/*$"])) == [True, False, True]
 
 
 def test_template_fills_once_and_keeps_unknown(spark):
