@@ -13,8 +13,11 @@ CONTENT_PROPERTIES = ("size", "dev", "ino", "modified")
 CHANGE_TYPES = ("added", "deleted", "unchanged", "moved", "modified", "moved_modified")
 
 
-def as_files(inventory: DataFrame, link_dir: str) -> DataFrame:
-    """Listed files as catalog rows: identity from the path, fingerprint from the stat fields."""
+def as_files(inventory: DataFrame, link_dir: str, keep=()) -> DataFrame:
+    """Listed files as catalog rows: identity from the path, fingerprint from the stat fields.
+
+    ``keep`` names columns of the inventory that come along.
+    """
     listed = inventory.withColumn("filepath", clean_path(F.col("filepath")))
     return has_identity(with_identity(listed, link_dir)).select(
         "filepath", "symlink_dir", "name", "directory", "symlink", "extension", "basename",
@@ -23,7 +26,7 @@ def as_files(inventory: DataFrame, link_dir: str) -> DataFrame:
         F.col("mtime").cast("timestamp").alias("modified"),
         "dev", "ino", "nlink",
         F.lit("indexed").alias("status"),
-        file_fingerprint(F.col("size"), F.col("dev"), F.col("ino"), F.col("mtime")).alias("fingerprint"),
+        file_fingerprint(F.col("size"), F.col("dev"), F.col("ino"), F.col("mtime")).alias("fingerprint"), *keep,
     )
 
 
@@ -39,9 +42,13 @@ def one_per_path(inventory: DataFrame, path: str = "filepath") -> DataFrame:
 
 
 def one_per_link(files: DataFrame) -> DataFrame:
-    """Each link once: of several files under one link name the smallest path stands."""
+    """Each link once: of several files under one link name the smallest path stands.
+
+    Of rows with that path the one modified last stands, and of those the least by all other columns.
+    """
     rest = [c for c in files.columns if c != "symlink"]
-    first = F.min_by(F.struct(*rest), F.col("filepath")).alias("_row")
+    age = [-F.unix_micros("modified")] if "modified" in rest else []
+    first = F.min_by(F.struct(*rest), F.struct("filepath", *age, *[c for c in rest if c != "filepath"])).alias("_row")
     return files.groupBy("symlink").agg(first).select("symlink", "_row.*").select(*files.columns)
 
 
@@ -110,6 +117,21 @@ def changes_array(properties=CONTENT_PROPERTIES):
     return F.array_compact(F.array(*[entry(p) for p in properties], fingerprint))
 
 
+def side_files(diff: DataFrame, side: str, key: str = "symlink") -> DataFrame:
+    """The files of one side (``old`` or ``new``) of a diff, which has both completely."""
+    columns = [c.removeprefix(f"{side}_") for c in diff.columns if c.startswith(f"{side}_")]
+    return diff.filter(F.col(f"{side}_filepath").isNotNull()).select(
+        key, *[F.col(f"{side}_{c}").alias(c) for c in columns])
+
+
+def key_sides(current: DataFrame, previous: DataFrame, key: str = "symlink") -> DataFrame:
+    """Every key once, with the side it is on: ``listing``, ``catalog`` or ``both``."""
+    here = current.select(key).distinct().withColumn("_here", F.lit(True))
+    there = previous.select(key).distinct().withColumn("_there", F.lit(True))
+    side = F.when(F.col("_there").isNull(), "listing").when(F.col("_here").isNull(), "catalog").otherwise("both")
+    return here.join(there, key, "full_outer").select(key, side.alias("side"))
+
+
 def changed_files(diff: DataFrame) -> DataFrame:
     return diff.filter(F.col("change_type") != "unchanged")
 

@@ -5,11 +5,14 @@ one observation - is it there, where, with what content - by map-side aggregatio
 changes all the time costs no more than any other.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.fingerprints import file_fingerprint
-from ..functions.paths import with_identity
+from ..functions.paths import sample_name, with_identity
 from ..functions.predicates import active, matches_event_patterns
+from ..session import written
 from .diff import CONTENT_PROPERTIES, changes_array
 
 _STAT = ["size", "dev", "ino", "nlink", "created", "modified"]
@@ -24,7 +27,9 @@ def observations(events: DataFrame, link_dir: str) -> DataFrame:
     """One row per link named by the events: its last place, and the last content seen there.
 
     A move within one link name only changes the place. A move to another name makes the old link
-    absent and the new one present, carrying on the old link's content (``from_link``).
+    absent and the new one present, carrying on the old link's content: that which the events brought before the
+    move, over any number of moves, or else that of the stored link ``from_link``. ``appeared`` tells
+    whether the events ever showed the link present.
     """
     # A move without a destination is a loss of the source.
     kind = F.when((F.col("event_type") == "moved") & F.col("dest_path").isNull(), "deleted").otherwise(F.col("event_type"))
@@ -44,17 +49,65 @@ def observations(events: DataFrame, link_dir: str) -> DataFrame:
     stat = F.struct("size", "dev", "ino", "nlink", F.col("ctime").alias("created"), F.col("mtime").alias("modified"))
     seen = there.select("ts", F.when(F.col("size").isNotNull(), stat).alias("stat"), F.inline(parts))
     at = F.struct("ts", "present", "filepath")
-    folded = seen.groupBy("symlink").agg(
-        F.max_by(F.struct("present", "filepath", "from_link"), at).alias("last"),
-        F.max_by("stat", F.when(F.col("stat").isNotNull(), at)).alias("stat"),
-        F.max("ts").alias("ts"),
-    )
-    return folded.select("symlink", "ts", "last.*", *[F.col(f"stat.{c}").alias(c) for c in _STAT])
+    seen = written(seen, "seen")
+    # What a link holds comes from the last event that brought content, or from the link it was renamed from then.
+    brings = F.col("stat").isNotNull() | F.col("from_link").isNotNull()
+    content = F.struct("ts", "stat", "from_link")
+    folded = written(seen.groupBy("symlink").agg(
+        F.max_by(F.struct("present", "filepath"), at).alias("last"),
+        F.max_by(content, F.when(brings, F.struct("ts", F.col("stat").isNotNull()))).alias("content"),
+        F.max("ts").alias("ts"), F.max("present").alias("appeared"),
+    ), "folded")
+    columns = ["symlink", "ts", "last.*", "appeared"]
+    settled = folded.filter("content.from_link is null or content.stat is not null").select(
+        *columns, F.lit(None).cast("string").alias("from_link"), "content.stat")
+    moved = folded.filter("content.from_link is not null and content.stat is null")
+    origin = _origins(moved.select("symlink", F.col("content.ts").alias("at"), "content.from_link"), seen.filter(brings))
+    moved = moved.select(*columns).join(origin, "symlink")
+    return settled.unionByName(moved).select(
+        *[c for c in settled.columns if c != "stat"], *[F.col(f"stat.{c}").alias(c) for c in _STAT])
+
+
+def _origins(renamed, contents):
+    """For each renamed link (``symlink``, ``at``, ``from_link``) the content its file had before the move.
+
+    ``stat`` where the events brought it, else ``from_link``, the stored link at the beginning of the chain of moves.
+    Only renamed rows take part; each hop goes back in time, so the hops end.
+    """
+    earlier = contents.select(F.col("symlink").alias("from_link"), F.col("ts").alias("_ts"), F.col("stat").alias("_stat"),
+                              F.col("from_link").alias("_before"))
+    done, open_ = [renamed.limit(0).select("symlink", "from_link", F.lit(None).cast(contents.schema["stat"].dataType).alias("stat"))], renamed
+    while not open_.isEmpty():
+        # Of two events at one time the one that brings content came first.
+        met = open_.join(earlier, "from_link").filter(
+            (F.col("_ts") < F.col("at")) | ((F.col("_ts") == F.col("at")) & F.col("_stat").isNotNull()))
+        last = met.groupBy("symlink").agg(F.max_by(
+            F.struct("_ts", "_stat", "_before"), F.struct("_ts", F.col("_stat").isNotNull())).alias("c"))
+        hop = written(open_.join(last, "symlink", "left"), "hops")
+        done.append(hop.filter("c is null or c._stat is not null").select(
+            "symlink", F.when(F.col("c").isNull(), F.col("from_link")).alias("from_link"), F.col("c._stat").alias("stat")))
+        open_ = hop.filter("c._stat is null and c._before is not null").select(
+            "symlink", F.col("c._ts").alias("at"), F.col("c._before").alias("from_link"))
+    return reduce(DataFrame.unionByName, done)
+
+
+def placeable(events: DataFrame, link_dir: str) -> DataFrame:
+    """Events on paths that name a sample; a move keeps the end that does, as a deletion or a creation."""
+    deep = {side: F.coalesce(sample_name(F.col(side)) != "", F.lit(False)) for side in ("src_path", "dest_path")}
+    moved = (F.col("event_type") == "moved") & F.col("dest_path").isNotNull()
+    kept = events.filter(deep["src_path"] | (moved & deep["dest_path"]))
+    arrived, left = moved & ~deep["src_path"], moved & ~deep["dest_path"]
+    return kept.withColumns({
+        "event_type": F.when(arrived, "created").when(left, "deleted").otherwise(F.col("event_type")),
+        "src_path": F.when(arrived, F.col("dest_path")).otherwise(F.col("src_path")),
+        "dest_path": F.when(arrived | left, F.lit(None)).otherwise(F.col("dest_path"))})
 
 
 def event_diff(events: DataFrame, catalog: DataFrame, link_dir: str) -> DataFrame:
     """Classify events against the catalog's active files, in the shape of a listing diff.
 
+    A link that the same events made and took away again, and the catalog lacks, is no change.
+
     A modification of an unknown file is an addition. A deletion of an unknown file is
     ``unknown_deleted``, to be reported and not applied. A known link found at another place with
     other content is ``moved_modified``.
@@ -70,7 +123,10 @@ def observed_diff(seen: DataFrame, catalog: DataFrame, link_dir: str) -> DataFra
         *[F.col(c).alias(f"old_{c}") for c in ("fingerprint", *_STAT, "batch", "sample")])
     # Content of a renamed file comes from its old link, unless an event brought it.
     origin = live.select(F.col("symlink").alias("from_link"), F.struct(*_STAT).alias("_origin"))
-    joined = seen.join(known, "symlink", "left").join(origin, "from_link", "left")
+    joined = seen.join(known, "symlink", "left")
+    # Few rows were renamed; the others stay out of that join, and so do their null keys.
+    renamed = joined.filter("from_link is not null").join(origin, "from_link", "left")
+    joined = joined.filter("from_link is null").unionByName(renamed, allowMissingColumns=True)
     present = F.col("present")
     content = joined.withColumns({
         f"new_{c}": F.when(present, F.coalesce(c, f"_origin.{c}", f"old_{c}")) for c in _STAT
@@ -90,7 +146,8 @@ def observed_diff(seen: DataFrame, catalog: DataFrame, link_dir: str) -> DataFra
     )
     both = [f"{p}_{c}" for c in ("filepath", "fingerprint", *CONTENT_PROPERTIES, "batch", "sample", "created", "nlink")
             for p in ("old", "new")]
-    return printed.select(
+    passing = ~present & ~stored & F.col("appeared")
+    return printed.filter(~passing).select(
         "symlink", change.alias("change_type"), *both, "ts",
         F.coalesce("new_batch", "old_batch").alias("batch"), F.coalesce("new_sample", "old_sample").alias("sample"),
         F.when(stored & present, changes_array()).alias("changed"))

@@ -53,18 +53,23 @@ def child_counts(jobs: DataFrame) -> DataFrame:
 def child_map(jobs: DataFrame, page_size: int = 1000) -> DataFrame:
     """``{child id: job}`` per parent in pages of about ``page_size``; a small parent has page 0 only."""
     entry = F.struct("job_id", F.struct("name", "status", "exit_code", "work_dir"))
-    pages = paged(child_jobs(jobs), "parent_job_id", F.col("job_id").cast("string"), page_size)
+    children = jobs.filter("parent_job_id != 0").groupBy("parent_job_id").agg(F.count(F.lit(1)).alias("n"))
+    pages = paged(child_jobs(jobs), "parent_job_id", F.col("job_id").cast("string"), page_size, children)
     return pages.groupBy("parent_job_id", "page").agg(
         F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("child_jobs"))
 
 
 def enrich_tasks(tasks: DataFrame, samples: DataFrame, results: DataFrame) -> DataFrame:
-    """Tasks with their sample and result documents, null where there is none."""
+    """Tasks with their sample and result documents, null where there is none.
+
+    The documents meet first, one row a sample, so that tasks are joined once and a sample that has many of them can
+    be split.
+    """
     def documents(df, name):
         return df.select("sample_id", F.struct(*[c for c in df.columns if c != "sample_id"]).alias(name))
 
-    return tasks.join(documents(samples, "sample_meta"), "sample_id", "left").join(
-        documents(results, "result_meta"), "sample_id", "left")
+    both = documents(samples, "sample_meta").join(documents(results, "result_meta"), "sample_id", "full_outer")
+    return tasks.join(both, "sample_id", "left")
 
 
 def reference_documents(enriched: DataFrame) -> DataFrame:
@@ -89,8 +94,8 @@ def queue_task(tasks: DataFrame, admitted: DataFrame, now: Column) -> DataFrame:
     }).drop("_job")
 
 
-def reconcile(tasks: DataFrame, jobs: DataFrame, exit_codes: DataFrame, now: Column) -> DataFrame:
-    """The next state of every task, given the current job listing.
+def reconcile(tasks: DataFrame, jobs: DataFrame, exit_codes: DataFrame, now: Column, flag: str | None = None) -> DataFrame:
+    """The next state of every task, given the current job listing; ``flag`` names a column that tells which were judged.
 
     A queued or processing task whose job is listed follows it; one whose job is gone is finished and
     judged by its exit code (``job_id, exit_code``), a missing code counting as failure. Other tasks,
@@ -119,6 +124,8 @@ def reconcile(tasks: DataFrame, jobs: DataFrame, exit_codes: DataFrame, now: Col
         elapsed(F.col("created"), now).alias("time_from_creation_to_finish"),
         F.when(live | F.col("queued").isNotNull(), elapsed(F.col("queued"), now)).alias("time_in_processing"),
     )
+    if flag:
+        held, followed = held.withColumn(flag, F.lit(False)), followed.withColumn(flag, F.lit(True))
     return held.unionByName(followed, allowMissingColumns=True)
 
 
@@ -162,7 +169,7 @@ def record_state(mapping: Column, pipeline_id: Column, task: Column, status: Col
 def state_transitions(polls: DataFrame, key: str = "task_id", order: str = "polled_at",
                       bucket_seconds: int = DAY) -> DataFrame:
     """Rows where a task's status differs from the poll before, with both; the first poll counts."""
-    near = with_neighbours(polls, [key], order, [F.col("status").alias("status")], before="_before",
+    near = with_neighbours(polls, [key], order, [F.col("status").alias("status")], before="_before", tie=["status"],
                            bucket_seconds=bucket_seconds)
     moved = near.withColumn("previous_status", F.col("_before.status")).drop("_before")
     return moved.filter(~F.col("previous_status").eqNullSafe(F.col("status")))

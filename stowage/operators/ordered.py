@@ -9,16 +9,19 @@ plain window.
 from pyspark.sql import DataFrame, Window, functions as F
 
 DAY = 86_400
+# The bucket of rows without a time: below that of any time.
+NO_TIME = -(1 << 62)
 
 
 def _cells(df, keys, order, seconds):
     """Rows with their (key, bucket), by which windows, edges and the join back are partitioned.
 
-    The key is a struct, so that null keys are keys like any other in joins too.
+    The key is a struct, so that null keys are keys like any other in joins too. Rows without a time have a bucket
+    of their own before all others, as a plain window sorts them.
     """
     micros = F.unix_micros(F.col(order).cast("timestamp"))
-    return df.withColumns({
-        "_key": F.struct(*keys), "_bucket": F.floor(micros / F.lit(seconds * 1_000_000))})
+    bucket = F.coalesce(F.floor(micros / F.lit(seconds * 1_000_000)), F.lit(NO_TIME))
+    return df.withColumns({"_key": F.struct(*keys), "_bucket": bucket})
 
 
 _CELL, _HELPERS = ["_key", "_bucket"], ["_key", "_bucket", "_edge"]
@@ -52,11 +55,14 @@ def with_neighbours(df: DataFrame, keys, order: str, values, before: str | None
 
 def settled(events: DataFrame, keys, ts: str, gap_seconds: float, tie=(),
             bucket_seconds: int = DAY) -> DataFrame:
-    """Debounce: keep an event only if none follows on its key within the gap."""
+    """Debounce: keep an event only if none follows on its key within the gap.
+
+    An event without a time is followed by none.
+    """
     near = with_neighbours(events, keys, ts, [F.col(ts).alias("at")], after="_next",
                            tie=tie, bucket_seconds=bucket_seconds)
     micros = _micros("_next.at") - _micros(ts)
-    quiet = F.col("_next").isNull() | (micros > int(gap_seconds * 1_000_000))
+    quiet = F.col("_next").isNull() | F.col(ts).isNull() | (micros > int(gap_seconds * 1_000_000))
     return near.filter(quiet).drop("_next")
 
 
@@ -65,7 +71,8 @@ def sessions(events: DataFrame, keys, ts: str, gap_seconds: float, aggregates, t
     """Bursts of events per key, separated by more than the gap, with aggregates over each.
 
     Bursts are found inside each (key, bucket); only a bucket's first burst can go on from the
-    bucket before, so what crosses the borders is decided on one row per bucket.
+    bucket before, so what crosses the borders is decided on one row per bucket. Events without a time
+    are one burst of their key, with neither start nor end.
     """
     keys, gap = list(keys), int(gap_seconds * 1_000_000)
     rows = _cells(events, keys, ts, bucket_seconds)

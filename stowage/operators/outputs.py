@@ -5,7 +5,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.documents import explode_two_levels
 from ..functions.paths import file_name
 from ..functions.predicates import matches_mask_column, matching_masks
-from .skew import salted_join
 
 SLOT = ["task_id", "group", "type"]
 
@@ -25,16 +24,16 @@ def match_outputs(expected: DataFrame, listing: DataFrame, masks: list[str] | No
 
     With ``masks``, the distinct masks of the configuration, every file is tested once against
     compiled literal patterns and only its hits go on, as keys of a plain equi-join. Without, the
-    mask comes from the row: the join is on the task, a task's files being spread over several
-    partitions, and the pattern is a residual test.
+    mask comes from the row: the join is on the task and the pattern is a residual test. What is found goes on by
+    slot, an exchange that lets adaptive execution split a task with very many files.
     """
     files = usable(listing).select("task_id", "filepath", "size")
     name = file_name(F.col("filepath"))
     if masks is not None:
         hits = files.withColumn("mask", F.explode(matching_masks(name, masks)))
         return hits.join(expected, ["task_id", "mask"]).select(*SLOT, "filepath", "size")
-    joined = salted_join(files, expected, "task_id", F.col("filepath"))
-    return joined.filter(matches_mask_column(name, F.col("mask"))).select(*SLOT, "filepath", "size")
+    joined = files.join(expected, "task_id").filter(matches_mask_column(name, F.col("mask")))
+    return joined.select(*SLOT, "filepath", "size").repartition(*SLOT)
 
 
 def output_totals(expected: DataFrame, found: DataFrame) -> DataFrame:

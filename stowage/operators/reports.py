@@ -4,9 +4,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.paths import REPORT_TYPES, file_name, report_type
 
-# Fixed value: the longest name a file or folder can have; a longer batch name is in no file name.
-MAX_NAME = 255
-
 
 def find_reports(inventory: DataFrame) -> DataFrame:
     """Text files whose name holds a known report kind."""
@@ -18,16 +15,14 @@ def batch_reports(batches: DataFrame, reports: DataFrame, name: str = "batch") -
     """For each batch and report kind the first report whose name contains the batch name.
 
     Containment is turned into equality: a report name is cut into all its substrings of the lengths
-    batch names have (file names have at most 255 characters, so both are bounded), the smallest path
-    per substring is taken map-side, and batches look themselves up by an equi-join. Only the
-    distinct lengths, at most ``MAX_NAME`` rows, are broadcast.
+    batch names have, the smallest path per substring is taken map-side, and batches look themselves up by
+    an equi-join. Lengths are those that occur, and end at the longest report name.
     """
-    lengths = batches.select(F.length(name).alias("_length")).filter(
-        F.col("_length").between(1, MAX_NAME)).distinct()
+    lengths = batches.select(F.length(name).alias("_length")).filter("_length > 0").distinct()
     text = file_name(F.col("filepath"))
     sized = reports.withColumn("_text", text).withColumn(
         "_length", F.explode(F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1)))))
-    cut = sized.join(F.broadcast(lengths), "_length").withColumn(
+    cut = sized.join(lengths, "_length").withColumn(
         "_from", F.explode(F.sequence(F.lit(1), F.length("_text") - F.col("_length") + 1)))
     pieces = cut.select(
         F.substring(F.col("_text"), F.col("_from"), F.col("_length")).alias(name),

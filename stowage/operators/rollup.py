@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.fingerprints import (
     WORDS, fingerprint_words, merge_words, set_fingerprint, sum_words,
 )
-from .skew import salted_join
 
 PAIR = ["batch", "sample"]
 
@@ -89,12 +88,17 @@ def _paged(rows, entity, page_size):
     return paged(rows, entity, F.col("_id"), page_size).drop("_id")
 
 
-def paged(rows: DataFrame, entity: str, member, page_size: int) -> DataFrame:
-    """Spread an entity's rows over count / page_size pages by a hash of the member's name."""
-    counts = rows.groupBy(entity).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(page_size)).cast("bigint").alias("_pages"))
+def paged(rows: DataFrame, entity: str, member, page_size: int, counts: DataFrame | None = None) -> DataFrame:
+    """Spread an entity's rows over count / page_size pages by a hash of the member's name.
+
+    ``counts`` are (entity, n) where they are known. Rows go on by entity and page: since that is another exchange,
+    adaptive execution may split the join of an entity that has any share of all rows, and nothing is copied.
+    """
+    if counts is None:
+        counts = rows.groupBy(entity).agg(F.count(F.lit(1)).alias("n"))
+    pages = counts.select(entity, F.ceil(F.col("n") / F.lit(page_size)).cast("bigint").alias("_pages"))
     slot = F.conv(F.substring(F.sha2(member, 256), 1, 12), 16, 10).cast("bigint")
-    return salted_join(rows, counts, entity, member).withColumn("page", slot % F.col("_pages")).drop("_pages")
+    return rows.join(pages, entity).withColumn("page", slot % F.col("_pages")).drop("_pages").repartition(entity, "page")
 
 
 def contributions(diff: DataFrame) -> DataFrame:
@@ -143,9 +147,11 @@ def apply_deltas(pairs: DataFrame, diff: DataFrame, files) -> DataFrame:
     deltas = _deltas(diff)
     lost_end = (F.col("_gone_created") <= F.col("created")) | (F.col("_gone_modified") >= F.col("modified"))
     stale = deltas.join(pairs.select(*PAIR, "created", "modified"), PAIR).filter(lost_end).select(*PAIR)
-    reread = files(stale) if callable(files) else files.join(stale, PAIR, "left_semi")
-    ranges = reread.groupBy(*PAIR).agg(
+    # A pair may own any share of the files: they are summed up in every task before they meet the stale pairs.
+    ranges = (files(stale) if callable(files) else files).groupBy(*PAIR).agg(
         F.min("created").alias("_min_created"), F.max("modified").alias("_max_modified"))
+    if not callable(files):
+        ranges = ranges.join(stale, PAIR, "left_semi")
 
     zero = F.lit(0).cast("bigint")
     joined = pairs.join(deltas, PAIR, "full_outer").join(ranges, PAIR, "left")
@@ -172,6 +178,12 @@ def affected_files(files: DataFrame, diff: DataFrame, key: str) -> DataFrame:
     return files.join(affected(diff, key), key, "left_semi")
 
 
+def affected_totals(files: DataFrame, diff: DataFrame, key: str) -> DataFrame:
+    """Files and bytes of the touched batches or samples, summed up before they are selected."""
+    totals = files.groupBy(key).agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("size"))
+    return totals.join(affected(diff, key), key, "left_semi")
+
+
 def mark_empty(entities: DataFrame, files: DataFrame, name: str, owner: str) -> DataFrame:
     """An entity none of whose files is left becomes deprecated."""
     owners = files.select(F.col(owner).alias(name)).distinct().withColumn("_owns", F.lit(True))
@@ -200,7 +212,6 @@ def child_directories(directories: DataFrame) -> DataFrame:
     return child.join(directories.select("directory"), "directory", "left_semi")
 
 
-def hierarchy(files: DataFrame) -> DataFrame:
-    """Totals per (sample, batch), per sample and overall."""
-    return files.rollup("sample", "batch").agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("size"))
+def hierarchy(pairs: DataFrame) -> DataFrame:
+    """Totals per (sample, batch), per sample and overall, from the membership and not from every file."""
+    return pairs.rollup("sample", "batch").agg(F.sum("n_files").alias("n_files"), F.sum("size").alias("size"))

@@ -57,11 +57,16 @@ class Shapers:
     def shape_inputs(self, tasks: DataFrame) -> DataFrame:
         """Tasks of every registered rule, shaped and judged; a rule without a shaper is disprepared."""
         shaped = validate(self._per_rule(tasks, 0, INPUT_CONTRACT))
-        orphans = tasks.filter(~F.col("pipeline_id").isin(*self._functions)).withColumns({
-            "status": F.lit("disprepared"), "reasons": F.array(F.lit("no shaper"))})
+        orphans = self.unshaped(tasks).withColumns({"status": F.lit("disprepared"), "reasons": F.array("reason")}).drop("reason")
         return shaped.unionByName(orphans, allowMissingColumns=True)
 
+    def unshaped(self, tasks: DataFrame) -> DataFrame:
+        """Tasks that no registered rule shapes, those without a rule among them, with the ``reason``."""
+        known = F.coalesce(F.col("pipeline_id").isin(*self._functions), F.lit(False))
+        return tasks.filter(~known).withColumn("reason", F.lit("no shaper"))
+
     def shape_outputs(self, tasks: DataFrame) -> DataFrame:
+        """Long rows of the outputs of tasks of registered rules; ``unshaped`` has the others."""
         return self._per_rule(tasks, 1, OUTPUT_CONTRACT).select(*OUTPUT_CONTRACT)
 
 

@@ -7,7 +7,7 @@ should be. ``now`` is always an argument.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.predicates import active
-from ..functions.paths import basename, directory, file_name
+from ..functions.paths import basename, directory, file_name, with_identity
 from .ordered import DAY, with_neighbours
 
 # Names of the audit columns.
@@ -32,11 +32,11 @@ def live(rows: DataFrame, key, *order: str) -> DataFrame:
     return rows.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*rows.columns)
 
 
-def changes_between_versions(rows: DataFrame, key: str, order: str, properties,
+def changes_between_versions(rows: DataFrame, key: str, order: str, properties, tie=("fingerprint",),
                              bucket_seconds: int = 30 * DAY) -> DataFrame:
-    """Long rows of what each version changed against the one before it."""
+    """Long rows of what each version changed against the one before it; ``tie`` orders versions of one time."""
     near = with_neighbours(rows, [key], order, [F.col(p) for p in properties], before="_before",
-                           bucket_seconds=bucket_seconds)
+                           tie=list(tie), bucket_seconds=bucket_seconds)
     entries = F.array(*[
         F.struct(F.lit(p).alias("property"), F.col(f"_before.{p}").cast("string").alias("old"),
                  F.col(p).cast("string").alias("new")) for p in properties])
@@ -140,8 +140,21 @@ def soft_delete(base: DataFrame, gone: DataFrame, now: Column, key: str = "symli
     return marked.drop("_gone")
 
 
-def move_files(base: DataFrame, moves: DataFrame, now: Column) -> DataFrame:
-    """Give active rows the path their link now points to: ``moves`` is (symlink, new_filepath)."""
+def move_files(base: DataFrame, moves: DataFrame, now: Column, link_dir: str | None = None) -> DataFrame:
+    """Give active rows the path their link now points to: ``moves`` is (symlink, new_filepath).
+
+    With ``link_dir`` a move may also change the names: link, type, batch and sample follow from the new path, as
+    far as the table has those columns.
+    """
+    if link_dir is not None:
+        placed = with_identity(moves.select("symlink", "new_filepath").withColumnRenamed("symlink", "_link"), link_dir, "new_filepath")
+        names = [c for c in ("symlink", "symlink_dir", "name", "directory", "basename", "extension", "batch", "sample")
+                 if c in base.columns]
+        known = placed.select(F.col("_link"), "new_filepath", *[F.col(c).alias(f"_new_{c}") for c in names])
+        flagged = base.join(known, F.col("symlink") == F.col("_link"), "left")
+        hit = F.col("_link").isNotNull() & active()
+        values = {"filepath": F.col("new_filepath"), **{c: F.col(f"_new_{c}") for c in names}}
+        return update_where(flagged, hit, values, now).drop("_link", "new_filepath", *[f"_new_{c}" for c in names])
     flagged = base.join(moves.select("symlink", "new_filepath"), "symlink", "left")
     hit = F.col("new_filepath").isNotNull() & active()
     path = F.col("new_filepath")

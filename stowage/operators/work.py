@@ -1,7 +1,5 @@
 """Choosing work: which samples a processing rule accepts, what is ready, what gets a slot."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.durations import priority_ratio
@@ -14,8 +12,8 @@ from ..functions.predicates import (
 # The two admission orders and the states that occupy a slot.
 SHORTEST_FIRST, LONGEST_FIRST = "SJF", "LJF"
 IN_QUEUE = ("queued", "processing")
-# Up to this capacity Spark cuts each partition to the first rows before the shuffle.
-GROUP_LIMIT = 1000
+# A queue's prepared tasks are ranked in so many parts first; it may hold any share of all tasks.
+RANK_PARTS = 64
 
 
 def candidates(samples: DataFrame, rules: list[dict], tasks: DataFrame | None = None) -> DataFrame:
@@ -162,16 +160,17 @@ def weighted(tasks: DataFrame) -> DataFrame:
 def first_per_queue(tasks: DataFrame, capacity: dict[str, int]) -> DataFrame:
     """At most a full queue's worth of prepared tasks per queue, best first, with their rank.
 
-    A queue may hold any share of all tasks. Small capacities use a ranked window, which Spark cuts
-    to the limit in every partition before it shuffles; larger ones an ordered limit per queue.
+    Tasks are ranked within parts of a queue, and only the first of each part, as many as the queue holds, are ranked
+    again by queue: at most ``RANK_PARTS`` times its capacity.
     """
     ready = weighted(tasks).filter(F.col("sorting").isin(*capacity))
     order = [F.col("position").asc_nulls_last(), F.col("task_id")]
+    sizes = F.create_map(*[F.lit(x) for pair in sorted(capacity.items()) for x in pair])
+    most, part = F.try_element_at(sizes, F.col("sorting")), F.pmod(F.xxhash64("task_id"), F.lit(RANK_PARTS))
+    within = F.row_number().over(Window.partitionBy("sorting", "_part").orderBy(*order))
+    first = ready.withColumn("_part", part).withColumn("rank", within).filter(F.col("rank") <= most)
     rank = F.row_number().over(Window.partitionBy("sorting").orderBy(*order))
-    if max(capacity.values()) > GROUP_LIMIT:
-        parts = [ready.filter(F.col("sorting") == q).orderBy(*order).limit(n) for q, n in sorted(capacity.items())]
-        ready = reduce(DataFrame.unionByName, parts)
-    return ready.withColumn("rank", rank).filter(F.col("rank") <= max(capacity.values())).drop("position")
+    return first.withColumn("rank", rank).filter(F.col("rank") <= most).drop("position", "_part")
 
 
 def admit(tasks: DataFrame, capacity: dict[str, int]) -> DataFrame:

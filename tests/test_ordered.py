@@ -99,3 +99,23 @@ def test_state_transitions(events):
     found = jobs.state_transitions(polls)
     assert rows(found.select("task_id", "polled_at", "previous_status", "status")) == rows(
         plain.select("task_id", "polled_at", "p", "status"))
+
+
+def test_rows_without_a_time_are_neighbours_too(spark):
+    rows = spark.createDataFrame([("k", None, 1, "a"), ("k", START, 2, "b"), ("k", None, 3, "c"), (None, None, 4, "d")],
+                                 "key string, ts timestamp, id int, status string")
+    near = ordered.with_neighbours(rows, ["key"], "ts", [F.col("id")], before="b", after="a", tie=["id"])
+    assert sorted((r["id"], r["b"] and r["b"]["id"], r["a"] and r["a"]["id"]) for r in near.collect()) == [
+        (1, None, 3), (2, 3, None), (3, 1, 2), (4, None, None)]
+    assert sorted(r["id"] for r in ordered.settled(rows, ["key"], "ts", 60, tie=["id"]).collect()) == [1, 2, 3, 4]
+    found = ordered.sessions(rows, ["key"], "ts", 60, [F.count(F.lit(1)).alias("n")], tie=["id"]).collect()
+    assert sorted((r["key"] or "", r["session_start"] is None, r["n"]) for r in found) == [("", True, 1), ("k", False, 1), ("k", True, 2)]
+
+
+def test_one_key_with_a_third_of_all_rows(spark):
+    rows = spark.range(3000).selectExpr("IF(id % 3 = 0, 'hot', concat('k', id % 50)) AS key", "id",
+                                        "timestamp_seconds(id * 977 % 500000) AS ts", "concat('s', id % 3) AS status")
+    plain = Window.partitionBy("key").orderBy("ts", "id")
+    expected = {r["id"]: r["p"] for r in rows.select("id", F.lag("id").over(plain).alias("p")).collect()}
+    near = ordered.with_neighbours(rows, ["key"], "ts", [F.col("id")], before="b", tie=["id"], bucket_seconds=3600)
+    assert {r["id"]: r["b"] and r["b"]["id"] for r in near.collect()} == expected
