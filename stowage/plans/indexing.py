@@ -12,11 +12,11 @@ entity: its key and the pass it was born in.
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.fingerprints import WORDS
-from ..functions.paths import entity_dir, sample_id, with_identity
+from ..functions.paths import REPORT_TYPES, entity_dir, sample_id, with_identity
 from ..functions.predicates import active
 from ..operators import diff as D, events as E, rollup as R, versions as V
 from ..operators.reports import batch_reports
-from ..session import written
+from ..session import fixed, intermediates, written
 from ..sources import tables
 
 _S, _L, _TS = T.StringType(), T.LongType(), T.TimestampType()
@@ -67,6 +67,11 @@ def read_samples(spark, root, upto=None) -> DataFrame:
     return tables.read_live(spark, root, "samples", SAMPLES, "row_id", upto)
 
 
+def read_rejects(spark, root, upto=None) -> DataFrame:
+    """What passes set aside: paths that name no sample, deletions of unknown files."""
+    return tables.read_rows(spark, root, "rejects", REJECTS, upto).drop("_version")
+
+
 def _current(spark, root, table, schema, key, upto, only=None, columns=None):
     """The active version per key, found by folding on the key itself: one shuffle, kept for joins."""
     rows = tables.read_live(spark, root, table, schema, key, upto, only, columns, order=("born",))
@@ -94,28 +99,39 @@ def sync_listing(spark: SparkSession, root: str, inventory: DataFrame, link_dir:
     """Index a full listing; what the catalog has and the listing lacks is deleted.
 
     Listing and catalog each shuffle once, by link; equal paths have equal links, so duplicates of
-    a path collapse in the same fold.
+    a path collapse in the same fold. Files whose path names no sample go to the rejects table.
     """
     version = committed(spark, root) + 1 if version is None else version
-    files = D.one_per_link(D.as_files(inventory, link_dir))
-    stored = current_files(spark, root, version - 1, columns=_COMPARED)
-    changed = D.changed_files(D.snapshot_diff(files, stored))
-    return _write_pass(spark, root, version, changed, link_dir, now, **options)
+    now = fixed(spark, now)
+    with intermediates(spark):
+        shallow = D.unplaceable(inventory, link_dir).select(F.col("filepath").alias("symlink"), now.alias("ts"), F.lit(
+            "path names no sample").alias("reason"))
+        tables.append_rows(_fit(shallow, REJECTS), root, "rejects", version)
+        files = D.one_per_link(D.as_files(inventory, link_dir))
+        stored = current_files(spark, root, version - 1, columns=_COMPARED)
+        changed = D.changed_files(D.snapshot_diff(files, stored))
+        return _write_pass(spark, root, version, changed, link_dir, now, **options)
 
 
 def sync_events(spark: SparkSession, root: str, events: DataFrame, link_dir: str, now: Column,
                 version: int | None = None, **options) -> int:
-    """Index a batch of file events; unknown deletions go to the rejects table.
+    """Index a batch of file events; unknown deletions and paths that name no sample go to the rejects table.
 
     Only the catalog rows of the links the events name are read past the scan.
     """
     version = committed(spark, root) + 1 if version is None else version
-    seen = written(E.observations(events, link_dir), "observed")
-    links = seen.select("symlink").union(seen.select("from_link")).filter("symlink is not null").distinct()
-    stored = current_files(spark, root, version - 1, only=links, columns=_COMPARED)
-    found = written(E.observed_diff(seen, stored, link_dir), "event-diff")
-    tables.append_rows(E.rejected(found), root, "rejects", version)
-    return _write_pass(spark, root, version, E.applicable(found), link_dir, now, **options)
+    now = fixed(spark, now)
+    with intermediates(spark):
+        shallow = events.select(F.explode(F.array_compact(F.array("src_path", "dest_path"))).alias("filepath"), "ts")
+        lost = with_identity(shallow, link_dir).filter("sample = ''").groupBy(F.col("filepath").alias("symlink")).agg(
+            F.max("ts").alias("ts")).withColumn("reason", F.lit("path names no sample"))
+        placed = E.placeable(events, link_dir)
+        seen = written(E.observations(placed, link_dir), "observed")
+        links = seen.select("symlink").union(seen.select("from_link")).filter("symlink is not null").distinct()
+        stored = current_files(spark, root, version - 1, only=links, columns=_COMPARED)
+        found = written(E.observed_diff(seen, stored, link_dir), "event-diff")
+        tables.append_rows(_fit(E.rejected(found), REJECTS).unionByName(_fit(lost, REJECTS)), root, "rejects", version)
+        return _write_pass(spark, root, version, E.applicable(found), link_dir, now, **options)
 
 
 def _write_pass(spark, root, version, changed, link_dir, now, reports=None,
@@ -138,11 +154,10 @@ def _write_pass(spark, root, version, changed, link_dir, now, reports=None,
 
     names = R.affected(changed, "batch")
     pairs = read_membership(spark, root, version, only=names)
-    batches = _entity_rows(
-        current_batches(spark, root, before, names), R.batch_rollup(pairs), "batch", version, now)
-    if reports is not None:
-        found = batch_reports(batches.select("batch").distinct(), reports)
-        batches = batches.drop("final_summary", "sequencing_summary").join(found, "batch")
+    current = current_batches(spark, root, before, names)
+    batches = _fit(_entity_rows(current, R.batch_rollup(pairs), "batch", version, now), BATCHES)
+    batches = _with_reports(batches, current, None if reports is None else current_batches(spark, root, before), reports,
+                            version, now)
     tables.append_rows(_fit(batches, BATCHES), root, "batches", version)
 
     # A sample's dates come from its whole batches, so those are read along with its own pairs.
@@ -195,6 +210,36 @@ def _file_rows(stored, changed, link_dir, version, now):
     return _fit(new, FILES).unionByName(_fit(marked, FILES))
 
 
+def _with_reports(batches, current, every, reports, version, now):
+    """The batch rows of a pass with their report files.
+
+    A new version keeps the reports of the version it replaces. With ``reports``, those it lacks are looked up, and so
+    are those that any other batch lacks: a batch that finds one is written again, as the version it is.
+    """
+    new = batches.filter(F.col("born") == version)
+    kept = current.select("batch", *[F.col(k).alias(f"_{k}") for k in REPORT_TYPES])
+    carried = new.join(kept, "batch", "left").withColumns({
+        k: F.coalesce(k, f"_{k}") for k in REPORT_TYPES}).drop(*[f"_{k}" for k in REPORT_TYPES])
+    old = batches.filter(F.col("born") != version)
+    if every is None:
+        return carried.unionByName(old)
+    lacking = F.lit(False)
+    for k in REPORT_TYPES:
+        lacking = lacking | F.col(k).isNull()
+    others = every.join(batches.select("batch").distinct(), "batch", "left_anti").filter(lacking)
+    asked = carried.withColumn("_others", F.lit(False)).unionByName(
+        _fit(others, BATCHES).withColumn("_others", F.lit(True)))
+    found = batch_reports(asked.select("batch"), reports).select("batch", *[F.col(k).alias(f"_{k}") for k in REPORT_TYPES])
+    joined = asked.join(found, "batch")
+    gained = F.lit(False)
+    for k in REPORT_TYPES:
+        gained = gained | (F.col(k).isNull() & F.col(f"_{k}").isNotNull())
+    filled = joined.filter(~F.col("_others") | gained).withColumns({
+        "updated_at_DB": F.when(F.col("_others"), now).otherwise(F.col("updated_at_DB")),
+        **{k: F.coalesce(k, f"_{k}") for k in REPORT_TYPES}})
+    return _fit(filled, BATCHES).unionByName(old)
+
+
 def _pair_rows(mine, changed, files_of):
     """The touched memberships after the change; an emptied one is written with no files."""
     after = R.apply_deltas(mine, changed, files_of)

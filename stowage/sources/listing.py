@@ -1,32 +1,77 @@
 """Listing file trees."""
 
+import os
 import re
+from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.paths import REPORT_TYPES, clean_path, file_name, report_type
+from ..functions.paths import clean_path, file_name, report_type
+from ..functions.predicates import has_extension
 from ..schemas import INVENTORY
+from ..session import written
 
 
 class EmptyListing(FileNotFoundError):
     """No file with a wanted extension was found."""
 
 
+WALKED = "filepath string, size long, mtime timestamp, ctime timestamp, dev long, ino long, nlink long, is_dir boolean, error string"
+
+
+def _visit(batches):
+    """For folders: a row for every file and folder in them, and one with the error of a folder that cannot be read."""
+    for batch in batches:
+        rows = []
+        for folder in batch.column(0).to_pylist():
+            try:
+                with os.scandir(folder) as entries:
+                    found = list(entries)
+            except OSError as error:
+                rows.append((folder, None, None, None, None, None, None, True, error.strerror or "unreadable"))
+                continue
+            for entry in found:
+                try:
+                    stat = entry.stat()
+                    rows.append((entry.path, stat.st_size, stat.st_mtime_ns // 1000, stat.st_ctime_ns // 1000, stat.st_dev,
+                                 stat.st_ino, stat.st_nlink, entry.is_dir(follow_symlinks=False), None))
+                except OSError as error:  # it went meanwhile, or is a link to nowhere
+                    rows.append((entry.path, None, None, None, None, None, None, False, error.strerror or "unreadable"))
+        columns = list(zip(*rows)) or [()] * 9
+        kinds = [pa.string(), pa.int64(), pa.timestamp("us", "UTC"), pa.timestamp("us", "UTC"), pa.int64(), pa.int64(),
+                 pa.int64(), pa.bool_(), pa.string()]
+        names = [c.split()[0] for c in WALKED.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def walk(spark: SparkSession, roots) -> DataFrame:
+    """Everything below folders of a mount that all executors have: files, folders, and what could not be read.
+
+    One job for each level of the tree lists its folders in parallel; nothing of the tree is held by the driver, names of
+    any form are kept, and an unreadable folder is a row with its ``error`` and does not stop the others.
+    """
+    folders = spark.createDataFrame([(r.rstrip("/") or "/",) for r in roots], "filepath string")
+    levels = []
+    while True:
+        # Spread anew, since a few folders may hold most of the next level.
+        found = written(folders.repartition(spark.sparkContext.defaultParallelism).mapInArrow(_visit, WALKED), "listing")
+        levels.append(found)
+        folders = found.filter("is_dir and error is null").select("filepath")
+        if folders.isEmpty():
+            return reduce(DataFrame.unionByName, levels)
+
+
 def scan_listing(spark: SparkSession, roots, extensions=(), exclude_dirs=(), empty_ok: bool = False) -> DataFrame:
-    """Files under the roots by extension, without the excluded folders.
+    """Files under the roots by extension, without the excluded folders; contents are never read.
 
-    Rows are (filepath, size, mtime); file contents are never read. Names that begin with ``_`` or
-    ``.`` are skipped by Spark itself. Listing many folders runs as a distributed job.
+    Rows are (filepath, size, mtime). Roots are folders of a mount, walked by executors. For an object store, where
+    listing a tree of this size is a service of its own, take an inventory: ``read_inventory``.
     """
-    reader = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-    )
+    listed = walk(spark, roots).filter("not is_dir and error is null").select(
+        clean_path(F.col("filepath")).alias("filepath"), "size", "mtime")
     if extensions:
-        reader = reader.option("pathGlobFilter", "*{" + ",".join(extensions) + "}")
-    listed = reader.load(list(roots)).select(
-        clean_path(F.col("path")).alias("filepath"), F.col("length").alias("size"),
-        F.col("modificationTime").alias("mtime"))
+        listed = listed.filter(has_extension(F.col("filepath"), extensions))
     if exclude_dirs:
         names = "|".join(re.escape(d) for d in exclude_dirs)
         listed = listed.filter(~F.col("filepath").rlike(f"/({names})/"))
@@ -35,15 +80,15 @@ def scan_listing(spark: SparkSession, roots, extensions=(), exclude_dirs=(), emp
     return listed
 
 
+def unreadable(spark: SparkSession, roots) -> DataFrame:
+    """Folders and files under the roots that could not be read, with the error."""
+    return walk(spark, roots).filter("error is not null").select("filepath", "error")
+
+
 def scan_reports(spark: SparkSession, roots) -> DataFrame:
     """Report files (filepath, report_type) under the roots."""
-    glob = "*{" + ",".join(REPORT_TYPES) + "}*.txt"
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("ignoreMissingFiles", True).option("pathGlobFilter", glob).load(list(roots))
-        .select(clean_path(F.col("path")).alias("filepath"))
-    )
-    return listed.withColumn("report_type", report_type(file_name(F.col("filepath"))))
+    listed = walk(spark, roots).filter("not is_dir and error is null").select(clean_path(F.col("filepath")).alias("filepath"))
+    return listed.withColumn("report_type", report_type(file_name(F.col("filepath")))).filter("report_type is not null")
 
 
 def read_inventory(spark: SparkSession, path: str, format: str = "parquet", **options) -> DataFrame:

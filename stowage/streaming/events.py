@@ -12,8 +12,6 @@ FILE_DEBOUNCE = "5 seconds"
 WRITE_DEBOUNCE = "10 seconds"
 FLUSH_INTERVAL = "30 seconds"
 BATCH_HOLD = "10 minutes"
-# Sessions of a key are merged before the shuffle, so a busy key sends its bursts and not its events.
-LOCAL_SESSION_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
 def read_events(spark: SparkSession, path: str, format: str = "parquet", schema: T.StructType = FILE_EVENTS,
@@ -27,9 +25,10 @@ def debounce(events: DataFrame, keys, ts: str = "ts", gap: str = FILE_DEBOUNCE,
     """One row per burst of a key: its last event, once the gap has passed without another.
 
     Rows: the keys, ``session_start``, ``settled_at`` (the last event's time), ``n_events`` and the last
-    event's payload. An event exactly one gap after another still belongs to its burst.
+    event's payload. An event exactly one gap after another still belongs to its burst. The session should set
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``, so that a busy key sends its bursts
+    and not its events through the shuffle.
     """
-    events.sparkSession.conf.set(LOCAL_SESSION_MERGE, "true")
     last = F.max_by(F.struct(F.col(ts).alias("at"), *payload), F.struct(ts, *tie)).alias("_last")
     bursts = events.withWatermark(ts, watermark).groupBy(*keys, F.session_window(ts, gap)).agg(
         last, F.count(F.lit(1)).alias("n_events"))
@@ -38,6 +37,26 @@ def debounce(events: DataFrame, keys, ts: str = "ts", gap: str = FILE_DEBOUNCE,
         "n_events", *[F.col(f"_last.{p}").alias(p) for p in payload])
 
 
+def quiet_events(events: DataFrame, ts: str = "ts", gap: str = WRITE_DEBOUNCE, watermark: str = "0 seconds") -> DataFrame:
+    """File events in front of the catalog: of each burst of a path the last one, once the path is quiet.
+
+    A move stands for the path it names as its source; only the last event of a burst goes on, with the newest stat
+    fields that the burst brought. The last event decides what the burst is; a burst that
+    begins with a creation and ends otherwise than by a loss is a creation.
+    """
+    stat = F.struct("size", "ctime", "mtime", "dev", "ino", "nlink")
+    last = F.max_by(F.struct("event_type", "dest_path", "is_dir"), F.struct(ts, "event_type")).alias("_last")
+    bursts = events.withWatermark(ts, watermark).groupBy("src_path", F.session_window(ts, gap)).agg(
+        last, F.max(ts).alias("_at"), F.max_by(stat, F.when(F.col("size").isNotNull(), F.col(ts))).alias("_stat"),
+        F.max(F.col("event_type") == "created").alias("_made"))
+    kept = F.col("_last.event_type").isin("deleted", "moved")
+    return bursts.select(
+        F.when(F.col("_made") & ~kept, "created").otherwise(F.col("_last.event_type")).alias("event_type"), "src_path",
+        F.col("_last.dest_path").alias("dest_path"), F.col("_at").alias("ts"),
+        *[F.col(f"_stat.{c}").alias(c) for c in ("size", "ctime", "mtime", "dev", "ino", "nlink")],
+        F.col("_last.is_dir").alias("is_dir"))
+
+
 def hold_batches(events: DataFrame, ts: str = "ts", hold: str = BATCH_HOLD, watermark: str = "0 seconds") -> DataFrame:
     """Batches released after the hold time without a change."""
     named = events.withColumn("batch", batch_name(F.col("src_path")))
@@ -50,14 +69,19 @@ def due_writes(changes: DataFrame, target: str = "target", ts: str = "ts", gap:
     return debounce(changes, [target], ts, gap, watermark)
 
 
-def close_sessions(spark: SparkSession, path: str, schema: T.StructType, at: str, ts: str = "ts") -> None:
-    """Drop one keyless event of a far time into the folder: the watermark passes all open bursts.
+def open_bursts(spark: SparkSession, checkpoint: str, keys, payload=()) -> DataFrame:
+    """The bursts a stopped ``debounce`` stream still holds open, in the shape of its rows.
 
-    Used on shutdown; the event itself opens a burst of no key that is never due.
+    Used on shutdown. They are read from the stream's state, which stays as it is: after a restart a burst
+    goes on where it was, and is due when its gap has passed.
     """
-    row = [F.lit(at).cast(f.dataType).alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name)
-           for f in schema]
-    spark.range(1).select(*row).write.mode("append").parquet(path)
+    state = spark.read.format("statestore").load(checkpoint).select("value.*")
+    # Columns follow the query's: the keys, the window, the last event with its order, the count.
+    names = state.columns
+    last = names[names.index("session_window") + 1]
+    return state.select(
+        *keys, F.col("session_window.start").alias("session_start"), F.col(f"{last}.at").alias("settled_at"),
+        F.col("count").alias("n_events"), *[F.col(f"{last}.{p}").alias(p) for p in payload])
 
 
 def start(df: DataFrame, path: str, checkpoint: str, once: bool = True, interval: str = FLUSH_INTERVAL) -> StreamingQuery:
@@ -71,6 +95,8 @@ def sync_catalog(events: DataFrame, root: str, link_dir: str, now: Column, check
                  once: bool = True, interval: str = FLUSH_INTERVAL) -> StreamingQuery:
     """Keep a stored catalog up to date with a stream of file events.
 
+    To index a file only once it is no longer written, give it ``quiet_events``.
+
     Micro-batch ``n`` is pass ``first_version + n``; one that was already finished before a restart is
     skipped, one that was interrupted is written again. Deletions, additions, moves, batches and
     samples are written by the pass in that order of dependence.

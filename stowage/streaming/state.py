@@ -1,108 +1,114 @@
-"""Keyed state that lives between micro-batches."""
+"""Keyed state that lives between micro-batches, as stored tables.
 
-from typing import Iterator
+Each micro-batch is a pass over the keys it names: their last state is read, the rows that follow from it are
+appended, and so is the new state. Passes are numbered; one that is repeated writes the same again, one
+that was finished before a restart is skipped.
+"""
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from ..operators.ordered import DAY, with_neighbours
+from ..session import intermediates, written
+from ..sources import tables
+from .events import FLUSH_INTERVAL
 
+_S, _L = T.StringType(), T.LongType()
+LAST = T.StructType([T.StructField("task_id", _S), T.StructField("polled_at", T.TimestampType()), T.StructField("status", _S)])
 TRANSITIONS = T.StructType([
-    T.StructField("task_id", T.StringType()), T.StructField("polled_at", T.TimestampType()),
-    T.StructField("previous_status", T.StringType()), T.StructField("status", T.StringType()),
-])
+    T.StructField("task_id", _S), T.StructField("polled_at", T.TimestampType()),
+    T.StructField("previous_status", _S), T.StructField("status", _S)])
+TOTALS = T.StructType([
+    T.StructField("name", _S), T.StructField("n_files", _L), T.StructField("size", _L), T.StructField("origin", _S)])
+PRESENT = T.StructType([
+    T.StructField("filepath", _S), T.StructField("ts", T.TimestampType()), T.StructField("present", T.BooleanType())])
 
 
-class _LastStatus(StatefulProcessor):
-    """Keeps a task's last status; emits a row whenever it changes."""
+def _started(stream, apply, root, commit, checkpoint, first_version, once, interval) -> StreamingQuery:
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, version = batch.sparkSession, first_version + batch_id
+        if version > tables.latest_version(spark, root, commit):
+            with intermediates(spark):
+                apply(spark, written(batch, "batch"), version)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", T.StructType([T.StructField("status", T.StringType())]))
+    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        before = self.last.get()[0] if self.last.exists() else None
-        first = before
-        for frame in rows:
-            ordered = frame.sort_values("polled_at", kind="stable")
-            shifted = ordered["status"].shift(1)
-            shifted.iloc[0] = before
-            changed = ordered["status"] != shifted
-            out = ordered.assign(previous_status=shifted, task_id=key[0])[changed.values]
-            before = ordered["status"].iloc[-1]
-            if len(out):
-                yield out[["task_id", "polled_at", "previous_status", "status"]]
-        if before != first:
-            self.last.update((before,))
 
-    def close(self) -> None:
-        pass
+def track_transitions(polls: DataFrame, root: str, checkpoint: str, first_version: int = 0, once: bool = True,
+                      interval: str = FLUSH_INTERVAL, bucket_seconds: int = DAY) -> StreamingQuery:
+    """Status changes of tasks across polls (``task_id, polled_at, status``), kept below ``root``.
 
-
-def state_transitions(polls: DataFrame) -> DataFrame:
-    """Status changes of tasks across polls (``task_id, polled_at, status``), each poll one micro-batch.
-
-    A poll lists a task once, so a key's rows per micro-batch are few; the state is one word per task.
+    A poll is compared with the one before it in its micro-batch, the first of a task with the task's stored
+    status. Polls are ordered by time, then status.
     """
-    polls.sparkSession.conf.set(STATE_STORE, ROCKSDB)
-    return polls.groupBy("task_id").transformWithStateInPandas(
-        statefulProcessor=_LastStatus(), outputStructType=TRANSITIONS, outputMode="Append", timeMode="None")
-
+    def apply(spark, batch, version):
+        before = tables.read_live(spark, root, "last_status", LAST, "task_id", version - 1, batch.select("task_id").distinct())
+        # The stored row has no time here and so comes first.
+        rows = batch.select("task_id", "polled_at", "status", F.lit(False).alias("_old")).unionByName(
+            before.select("task_id", F.lit(None).cast("timestamp").alias("polled_at"), "status", F.lit(True).alias("_old")))
+        near = with_neighbours(rows, ["task_id"], "polled_at", [F.col("status").alias("status")], before="_before",
+                               tie=[~F.col("_old"), F.col("status")], bucket_seconds=bucket_seconds)
+        moved = near.filter(~F.col("_old") & ~F.col("_before.status").eqNullSafe(F.col("status"))).select(
+            "task_id", "polled_at", F.col("_before.status").alias("previous_status"), "status")
+        last = batch.groupBy("task_id").agg(F.max(F.struct("polled_at", "status")).alias("l")).select("task_id", "l.*")
+        tables.append_rows(last, root, "last_status", version)
+        tables.append_rows(moved, root, "transitions", version)
 
-ENTITY = T.StructType([
-    T.StructField("name", T.StringType()), T.StructField("n_files", T.LongType()),
-    T.StructField("size", T.LongType()), T.StructField("modified_us", T.LongType()),
-    T.StructField("origin", T.StringType()),
-])
-_ENTITY_STATE = T.StructType([ENTITY["n_files"], ENTITY["size"], ENTITY["modified_us"], ENTITY["origin"]])
+    return _started(polls, apply, root, "transitions", checkpoint, first_version, once, interval)
 
 
-class _Entity(StatefulProcessor):
-    """Keeps an entity's totals, beginning with what the catalog stored for it, if anything."""
+def read_transitions(spark: SparkSession, root: str) -> DataFrame:
+    return tables.read_rows(spark, root, "transitions", TRANSITIONS).drop("_version")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", _ENTITY_STATE)
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        row = initialState.iloc[0]
-        self.totals.update((int(row["n_files"]), int(row["size"]), int(row["modified_us"]), "stored"))
+def track_totals(deltas: DataFrame, stored: DataFrame, root: str, checkpoint: str, first_version: int = 0,
+                 once: bool = True, interval: str = FLUSH_INTERVAL) -> StreamingQuery:
+    """Current totals of every entity, kept below ``root``, beginning with the stored catalog's.
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        n_files, size, modified, origin = self.totals.get() if self.totals.exists() else (0, 0, 0, "new")
-        for frame in rows:
-            n_files += int(frame["n_files"].sum())
-            size += int(frame["size"].sum())
-            modified = max(modified, int(frame["modified_us"].max()))
-        self.totals.update((n_files, size, modified, origin))
-        yield pd.DataFrame([(key[0], n_files, size, modified, origin)], columns=ENTITY.names)
-
-    def close(self) -> None:
-        pass
+    ``deltas`` streams (name, n_files, size) signed contributions; ``stored`` is a batch DataFrame of (name, n_files, size).
+    """
+    def apply(spark, batch, version):
+        summed = batch.groupBy("name").agg(F.sum("n_files").alias("_n"), F.sum("size").alias("_size"))
+        names = summed.select("name")
+        known = tables.read_live(spark, root, "totals", TOTALS, "name", version - 1, names)
+        first = stored.join(names, "name", "left_semi").join(known.select("name"), "name", "left_anti").select(
+            "name", "n_files", "size", F.lit("stored").alias("origin"))
+        zero = F.lit(0).cast("bigint")
+        after = summed.join(known.unionByName(first), "name", "left").select(
+            "name", (F.coalesce("n_files", zero) + F.col("_n")).cast("bigint").alias("n_files"),
+            (F.coalesce("size", zero) + F.col("_size")).cast("bigint").alias("size"), F.coalesce("origin", F.lit("new")).alias("origin"))
+        tables.append_rows(after, root, "totals", version)
 
+    return _started(deltas, apply, root, "totals", checkpoint, first_version, once, interval)
 
-def running_entities(deltas: DataFrame, stored: DataFrame) -> DataFrame:
-    """Current totals of every entity an update names, starting from the stored catalog.
 
-    ``deltas`` streams (name, n_files, size, modified_us) signed contributions; ``stored`` is a batch
-    DataFrame of (name, n_files, size, modified_us). Rows of a key pass through in chunks and only
-    its totals are kept.
-    """
-    deltas.sparkSession.conf.set(STATE_STORE, ROCKSDB)
-    return deltas.groupBy("name").transformWithStateInPandas(
-        statefulProcessor=_Entity(), outputStructType=ENTITY, outputMode="Update", timeMode="None",
-        initialState=stored.groupBy("name"))
+def read_totals(spark: SparkSession, root: str) -> DataFrame:
+    """The newest totals of every entity that a delta has named."""
+    return tables.read_live(spark, root, "totals", TOTALS, "name")
 
 
-def report_presence(events: DataFrame) -> DataFrame:
-    """Whether each report path exists, as a running answer (update or complete mode).
+def track_reports(events: DataFrame, root: str, checkpoint: str, first_version: int = 0, once: bool = True,
+                  interval: str = FLUSH_INTERVAL) -> StreamingQuery:
+    """Whether each report path exists, kept below ``root``: a micro-batch writes the paths it names.
 
-    The last event per path is a built-in aggregate: it is taken map-side and its state is one row.
+    The last event per path decides, also where micro-batches bring events late; it is taken map-side.
     """
     gone = F.col("event_type").isin("deleted", "moved")
     parts = F.array_compact(F.array(
         F.struct(F.col("src_path").alias("filepath"), (~gone).alias("present")),
         F.when((F.col("event_type") == "moved") & F.col("dest_path").isNotNull(),
                F.struct(F.col("dest_path").alias("filepath"), F.lit(True).alias("present")))))
-    rows = events.select("ts", F.inline(parts))
-    return rows.groupBy("filepath").agg(F.max_by("present", F.struct("ts", "present")).alias("present"))
+
+    def apply(spark, batch, version):
+        rows = batch.select("ts", F.inline(parts)).filter("filepath is not null").select("filepath", "ts", "present")
+        known = tables.read_live(spark, root, "reports", PRESENT, "filepath", version - 1, rows.select("filepath").distinct())
+        last = rows.unionByName(known).groupBy("filepath").agg(F.max(F.struct("ts", "present")).alias("l"))
+        tables.append_rows(last.select("filepath", "l.*"), root, "reports", version)
+
+    return _started(events, apply, root, "reports", checkpoint, first_version, once, interval)
+
+
+def read_reports(spark: SparkSession, root: str) -> DataFrame:
+    """The report files that exist."""
+    return tables.read_live(spark, root, "reports", PRESENT, "filepath").filter("present").select("filepath")
