@@ -102,8 +102,8 @@ FROM (SELECT *, CASE WHEN s_acctbal >= 5000 THEN 'final_summary' WHEN s_acctbal
                 ELSE 'notes' END AS kind FROM supplier)""")
 _cte("tasks", f"""
 SELECT 'T' || o_orderkey AS task_id, 'S' || o_custkey AS sample_id,
-       CASE o_orderpriority WHEN '1-URGENT' THEN 'basecall_v1-0-0' WHEN '2-HIGH' THEN 'align_v2-1-0'
-         ELSE 'report_v1-2-0' END AS pipeline_id,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'polish_v0-3-1' WHEN '2-HIGH' THEN 'assemble_v5-0-0'
+         ELSE 'survey_v2-2-2' END AS pipeline_id,
        CASE WHEN o_orderstatus = 'F' THEN 'completed' WHEN o_orderstatus = 'P' THEN 'prepared'
          WHEN o_orderdate >= TIMESTAMP '2001-07-26' THEN 'queued'
          WHEN o_orderdate >= TIMESTAMP '2001-07-20' THEN 'processing' ELSE 'failed' END AS status,
@@ -135,27 +135,27 @@ _cte("samples", """
 SELECT 'S' || c_custkey AS sample_id, c_name AS name,
        CASE c_mktsegment WHEN 'FURNITURE' THEN 'deprecated' WHEN 'HOUSEHOLD' THEN NULL ELSE 'indexed' END AS status,
        CAST(floor(c_acctbal * 100) AS BIGINT) AS size, CASE WHEN c_nationkey <> 12 THEN c_mktsegment END AS kit_name,
-       'B' || (c_custkey % 40) AS batch_a, 'B' || c_nationkey AS batch_b, c_nationkey % 5 AS region,
+       'B' || (c_custkey % 40) AS batch_a, 'B' || c_nationkey AS batch_b, c_nationkey % 5 AS region, c_nationkey AS kit_code,
        CASE WHEN c_nationkey > 8 THEN 'r' || c_nationkey END AS pore, c_nationkey < 5 AS basecalled
 FROM customer""")
 _cte("results", f"""
 SELECT 'S' || o_custkey AS sample_id, count(*) AS n_results FROM orders
 WHERE o_orderpriority = '1-URGENT' AND o_orderdate < {CATALOG_TIME} GROUP BY 1""")
 _cte("listing", """
-SELECT 'T' || p_size AS task_id, '/res/T' || p_size || '/out/' || name AS filepath, name,
+SELECT 'T' || p_size AS task_id, p_partkey, '/res/T' || p_size || '/out/' || name AS filepath, name,
        CASE WHEN p_brand = 'Brand#1' THEN 0 ELSE CAST(floor(p_retailprice) AS BIGINT) END AS size,
        p_brand <> 'Brand#2' AS is_file, ending
 FROM (SELECT *, replace(p_name, ' ', '_') || '_' || p_partkey || ending AS name FROM (SELECT *,
-        CASE p_type WHEN 'ECONOMY' THEN '.ubam' WHEN 'SMALL' THEN '_sequali.json' WHEN 'LARGE' THEN '_sequali.html'
-          WHEN 'MEDIUM' THEN '_multiqc_report.html' ELSE '.log' END AS ending FROM part))""")
+        CASE p_type WHEN 'ECONOMY' THEN '.tsv' WHEN 'SMALL' THEN '_a.csv' WHEN 'LARGE' THEN '_ab.csv'
+          WHEN 'MEDIUM' THEN '.svg' ELSE '.log' END AS ending FROM part))""")
 _cte("slots", """
-SELECT 'data' AS grp, 'ubam' AS type, '*.ubam' AS mask UNION ALL SELECT 'qc', 'json', '*_sequali.json'
-UNION ALL SELECT 'qc', 'html', '*_sequali.html' UNION ALL SELECT 'qc', 'report', '*_multiqc_report.html'""")
+SELECT 'tables' AS grp, 'counts' AS type, '*[0-9].tsv' AS mask, '^.*[0-9][.]tsv$' AS pattern
+UNION ALL SELECT 'tables', 'sheet', '*_?.csv', '^.*_.[.]csv$' UNION ALL SELECT 'plots', 'page', '[!x]*.svg', '^[^x].*[.]svg$'""")
 _cte("expected", """
-SELECT task_id, grp, type, mask FROM (SELECT DISTINCT 'T' || p_size AS task_id FROM part), slots""", "slots")
+SELECT task_id, grp, type, mask, pattern FROM (SELECT DISTINCT 'T' || p_size AS task_id FROM part), slots""", "slots")
 _cte("found", """
 SELECT e.task_id, grp, type, filepath, size FROM expected e JOIN listing l
-ON e.task_id = l.task_id AND l.name LIKE '%' || replace(replace(substr(mask, 2), '_', '\\_'), '%', '\\%') ESCAPE '\\'
+ON e.task_id = l.task_id AND regexp_matches(l.name, e.pattern)
 WHERE is_file AND size > 0""", "expected", "listing")
 _cte("totals", """
 SELECT e.task_id, e.grp, e.type, e.mask, count(filepath) AS n_files, CAST(coalesce(sum(size), 0) AS BIGINT) AS size
@@ -216,18 +216,19 @@ SELECT sample, batch, symlink, unnest(['size', 'dev', 'ino', 'modified', 'finger
                strftime(new_modified, '%Y-%m-%d %H:%M:%S'), new_fingerprint]) AS new
 FROM diff WHERE change_type NOT IN ('added', 'deleted')""", "diff")
 _RULE_HITS = """
-SELECT sample_id, 'basecall_v1-0-0' AS pipeline_id FROM samples WHERE status = 'indexed' AND NOT basecalled
+SELECT sample_id, 'polish_v0-3-1' AS pipeline_id FROM samples WHERE status = 'indexed' AND NOT basecalled
+  AND kit_code < 20 AND name IS NOT NULL
 UNION ALL
-SELECT sample_id, 'align_v2-1-0' FROM samples WHERE status = 'indexed' AND size >= 100000
-  AND (kit_name IS NULL OR kit_name NOT IN ('BUILDING', 'MACHINERY')) AND (batch_a = 'B7' OR batch_b = 'B7')
+SELECT sample_id, 'assemble_v5-0-0' FROM samples WHERE status = 'indexed' AND size > 250000
+  AND kit_name <> 'AUTOMOBILE' AND (batch_a IN ('B3', 'B9') OR batch_b IN ('B3', 'B9'))
 UNION ALL
-SELECT sample_id, 'report_v1-2-0' FROM samples WHERE status = 'indexed' AND region = 1 AND pore IS NOT NULL"""
+SELECT sample_id, 'survey_v2-2-2' FROM samples WHERE status = 'indexed' AND region IN (1, 3, 4) AND pore IS NULL"""
 _cte("candidates", _RULE_HITS, "samples")
 _cte("grouped", """
-SELECT sample AS task_id, 'source_files' AS grp, f.filepath AS path, f.size FROM files f
-WHERE extension IN ('fast5', 'pod5') AND f.size > 0
+SELECT sample AS task_id, 'signal' AS grp, symlink AS path, f.size FROM files f
+WHERE (extension = 'pod5' AND f.size <= 40000000) OR (extension = 'fast5' AND file < '5' AND f.size > 0)
 UNION ALL
-SELECT sample, 'reads', symlink, f.size FROM files f WHERE f.filepath LIKE '%.fastq.gz' AND f.size >= 5000000""", "files")
+SELECT sample, 'sequence', f.filepath, f.size FROM files f WHERE f.filepath LIKE '%.fastq.gz' AND f.size >= 2500000""", "files")
 _cte("reconciled", f"""
 SELECT t.*, running, coalesce(j.status, CASE WHEN e.exit_code IS NULL THEN 'UNKNOWN' WHEN e.exit_code = 0 THEN 'COMPLETED'
            WHEN e.exit_code = 124 THEN 'TIMEOUT' ELSE 'FAILED' END) AS job_state,
@@ -263,10 +264,24 @@ FROM (SELECT *, sum(opens) OVER (PARTITION BY {key} ORDER BY ts, event_id) AS no
   FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY ts, event_id))) GROUP BY {key}, no"""
 
 
-_TASK_RULE = """CASE pipeline_id WHEN 'basecall_v1-0-0' THEN '{0}' WHEN 'align_v2-1-0' THEN '{1}' ELSE '{2}' END"""
-_STEP = _TASK_RULE.format("basecall/v100", "align/v210", "report/v120")
+_TASK_RULE = """CASE pipeline_id WHEN 'polish_v0-3-1' THEN '{0}' WHEN 'assemble_v5-0-0' THEN '{1}' ELSE '{2}' END"""
+_STEP = _TASK_RULE.format("polish/v031", "assemble/v500", "survey/v222")
 _ID = "task_id || '_' || sample_id || '_' || pipeline_id"
 
+
+
+def _shaped_inputs(rule):
+    return f"""
+SELECT task_id, CASE WHEN rule = 'polish_v0-3-1' AND input_files_size > 0 THEN 'prepared'
+         WHEN rule = 'assemble_v5-0-0' AND input_files_size > 20000000 THEN 'prepared' ELSE 'disprepared' END AS status,
+       CASE rule WHEN 'polish_v0-3-1' THEN
+           'polish --in=' || sample_id || ' --threads={{{{ CORES }}}} > {{{{ OUT }}}}/{{{{ RUN_ID }}}}.log'
+         WHEN 'assemble_v5-0-0' THEN 'assemble ' || task_id END AS command,
+       CASE WHEN rule IS NULL OR rule = 'survey_v2-2-2' THEN 'no shaper' WHEN rule = 'assemble_v5-0-0' AND
+         input_files_size <= 20000000 THEN 'no expected outputs' ELSE '' END AS reasons
+FROM (SELECT *, {rule} AS rule FROM tasks)"""
+
+
 ORACLE = {
     "path_identity": sql("""
 SELECT filepath, batch, sample, symlink, name, basename, directory, extension, symlink_dir FROM files""", "files"),
@@ -283,10 +298,10 @@ SELECT id AS task_id, work AS work_dir, res AS task_result_dir, res || '/logs' A
 FROM (SELECT {_ID} AS id, '/proc/' || sample_id || '/' || {_STEP} AS work, '/res/' || sample_id || '/' || {_STEP} AS res
       FROM tasks)""", "tasks"),
     "rules_in_use": sql(f"""
-SELECT pipeline_id, {_TASK_RULE.format('v1.0.0', 'v2.1.0', 'v1.2.0')} AS pipeline_version,
-       {_TASK_RULE.format('3-00:00', '12:30', 'bad')} AS rule_timeout, count(*) AS n_tasks,
-       CAST({_TASK_RULE.format(1, 3, 3)} AS BIGINT) AS n_conditions,
-       CAST({_TASK_RULE.format(4320, 750, 0)} AS BIGINT) AS minutes
+SELECT pipeline_id, {_TASK_RULE.format('v0.3.1', 'v5.0.0', 'v2.2.2')} AS pipeline_version,
+       {_TASK_RULE.format('1-02:45', '07:20', 'soon')} AS rule_timeout, count(*) AS n_tasks,
+       CAST({_TASK_RULE.format(2, 3, 3)} AS BIGINT) AS n_conditions,
+       CAST({_TASK_RULE.format(1605, 440, 0)} AS BIGINT) AS minutes
 FROM tasks GROUP BY pipeline_id""", "tasks"),
     "submitted_job_ids": sql("""
 SELECT task_id, CASE WHEN status IN ('failed', 'queued') THEN job_id ELSE 0 END AS submitted FROM tasks""", "tasks"),
@@ -294,8 +309,8 @@ SELECT task_id, CASE WHEN status IN ('failed', 'queued') THEN job_id ELSE 0 END
 SELECT job_id, name, CAST(0 AS BIGINT) AS array_job_id, parent_job_id, nodes, 'gpu' AS "partition", priority, status, stderr,
        stdout, CAST(NULL AS INTEGER) AS exit_code, '/work/' || job_id AS work_dir, start_us, limit_us FROM jobs""", "jobs"),
     "command_lines": sql("""
-SELECT task_id, 'run -c {{ CFG }} --sample ' || sample_id || ' --run_id ' || coalesce(CAST(job_id AS VARCHAR), '')
-       || ' --outdir /res/$1/' || sample_id AS command FROM tasks""", "tasks"),
+SELECT task_id, 'polish --in=' || sample_id || ' --threads={{ CORES }} > /res/$1/' || sample_id || '/'
+       || coalesce(CAST(job_id AS VARCHAR), '') || '.log' AS command FROM tasks""", "tasks"),
     "timeout_minutes": sql("SELECT task_id, timeout, CAST(minutes AS BIGINT) AS minutes FROM tasks", "tasks"),
     "priority_ratio": sql("""
 SELECT task_id, CASE WHEN minutes > 0 THEN CAST(input_files_size AS DOUBLE) / minutes END AS ratio FROM tasks""", "tasks"),
@@ -314,12 +329,12 @@ SELECT job_id, CASE WHEN exit_code IS NULL THEN 'UNKNOWN' WHEN exit_code = 0 THE
        CASE WHEN exit_code = 0 THEN 'completed' ELSE 'failed' END AS task_status, 'queued' AS if_listed
 FROM exit_codes""", "exit_codes"),
     "map_edits": sql("""
-SELECT sample_id, CASE WHEN basecalled THEN 'align_v2-1-0,basecall_v1-0-0' ELSE 'align_v2-1-0' END AS put_keys,
+SELECT sample_id, CASE WHEN basecalled THEN 'assemble_v5-0-0,polish_v0-3-1' ELSE 'assemble_v5-0-0' END AS put_keys,
        'failed' AS replaced, CASE WHEN basecalled THEN CAST(0 AS BIGINT) END AS "left" FROM samples""", "samples"),
     "sample_documents": sql("""
 SELECT sample_id, size, kit_name, CAST(NULL AS VARCHAR) AS private,
        CASE WHEN batch_a = batch_b THEN batch_a ELSE least(batch_a, batch_b) || ',' || greatest(batch_a, batch_b) END
-         AS batches, CASE WHEN basecalled THEN 'basecall_v1-0-0' END AS task_rules FROM samples""", "samples"),
+         AS batches, CASE WHEN basecalled THEN 'polish_v0-3-1' END AS task_rules FROM samples""", "samples"),
     "defaulted_samples": sql("""
 SELECT sample_id, name, coalesce(status, 'indexed') AS status, '' AS processing_dir, '' AS previous_version, size,
        CAST(0 AS BIGINT) AS n_files, CAST(basecalled AS BIGINT) AS n_tasks FROM samples""", "samples"),
@@ -339,15 +354,16 @@ SELECT sample_id, coalesce(status = 'indexed', false) AS eq, status IS NULL AS e
        batch_a = 'B7' OR batch_b = 'B7' AS array_eq, batch_a <> 'B7' AND batch_b <> 'B7' AS array_ne,
        batch_a > 'B8' OR batch_b > 'B8' AS array_gt FROM samples""", "samples"),
     "rule_matches": sql("""
-SELECT sample_id, size FROM samples WHERE size >= 100000 AND coalesce(kit_name NOT IN ('BUILDING', 'MACHINERY'), true)
-  AND (batch_a = 'B7' OR batch_b = 'B7')""", "samples"),
+SELECT sample_id, size FROM samples WHERE size > 250000 AND kit_name <> 'AUTOMOBILE'
+  AND (batch_a IN ('B3', 'B9') OR batch_b IN ('B3', 'B9'))""", "samples"),
     "inventory_filter": sql("""
 SELECT filepath, filepath AS path, symlink AS link, size FROM files
 WHERE size BETWEEN 5000000 AND 40000000 AND extension IN ('fast5', 'fastq') AND NOT is_symlink""", "files"),
     "mask_matches": sql("""
 SELECT page_id, name LIKE '%.html' AS html, regexp_matches(name, '^[1-4].') AS digits,
        regexp_matches(name, '^[^1-4]') AS others, regexp_matches(path, '/en/[^/]*[.]html$') AS english,
-       name <> '' AS own_mask
+       name <> '' AS own_mask, CASE WHEN page_id % 2 = 0 THEN regexp_matches(name, '^[1-4].') ELSE regexp_matches(name, '^[^1-4]') END
+         AS own_class, true AS dollar
 FROM (SELECT *, string_split(path, '/')[-1] AS name FROM (
   SELECT page_id, regexp_extract(url, '^[a-z]+://([^?#]*)', 1) AS path FROM pages))""" .replace(
         "name <> '' AS own_mask", "true AS own_mask")),
@@ -358,7 +374,7 @@ SELECT task_id, CASE WHEN reasons = '' THEN 'prepared' ELSE 'disprepared' END AS
 FROM (SELECT task_id, concat_ws(';', CASE WHEN sorting <> 'SJF' THEN 'no command' END,
         CASE WHEN status = 'failed' THEN 'no input groups' END,
         CASE WHEN status = 'completed' OR input_files_size <= 0 THEN 'no input bytes' END,
-        CASE WHEN pipeline_id = 'align_v2-1-0' THEN 'no expected outputs' END) AS reasons FROM tasks)""", "tasks"),
+        CASE WHEN pipeline_id = 'assemble_v5-0-0' THEN 'no expected outputs' END) AS reasons FROM tasks)""", "tasks"),
 
     "snapshot_diff": sql("""
 SELECT symlink, change_type, old_filepath, new_filepath, old_size, new_size, batch, sample,
@@ -380,7 +396,7 @@ SELECT symlink, CASE change_type WHEN 'added' THEN 'listing' WHEN 'deleted' THEN
 FROM diff""", "diff"),
     "dedupe_paths": sql("SELECT DISTINCT filepath FROM repeated", "repeated"),
     "one_per_link": sql("""
-SELECT symlink, min(filepath) AS filepath, arg_min(size, filepath) AS size
+SELECT symlink, min(filepath) AS filepath, arg_min(size, (filepath, size)) AS size
 FROM (SELECT symlink, filepath, size FROM active UNION ALL SELECT symlink, filepath, size FROM files) GROUP BY symlink""",
                         "active", "files"),
     "union_roots": sql("""
@@ -523,7 +539,7 @@ SELECT sample_id, pipeline_id FROM candidates c WHERE NOT EXISTS (
   SELECT 1 FROM tasks t WHERE t.sample_id = c.sample_id AND t.pipeline_id = c.pipeline_id)""", "candidates", "tasks"),
     "new_tasks": sql(f"""
 SELECT sample_id || '_' || pipeline_id AS task_id, {_TASK_RULE.format('SJF', 'LJF', 'SJF')} AS sorting,
-       {_TASK_RULE.format('3-00:00', '12:30', 'bad')} AS timeout, 'created' AS status, epoch_us({NOW}) AS created_us
+       {_TASK_RULE.format('1-02:45', '07:20', 'soon')} AS timeout, 'created' AS status, epoch_us({NOW}) AS created_us
 FROM candidates WHERE sample_id IN (SELECT sample_id FROM results)""", "candidates", "results"),
     "rejected_candidates": sql("""
 SELECT sample_id, pipeline_id, 'result' AS lacking FROM candidates WHERE sample_id NOT IN (SELECT sample_id FROM results)""",
@@ -535,10 +551,10 @@ SELECT task_id, grp AS "group", count(*) AS n_files, CAST(sum(size) AS BIGINT) A
     "input_sizes": sql("""
 SELECT task_id, count(*) AS n_files, CAST(sum(size) AS BIGINT) AS size FROM grouped GROUP BY 1""", "grouped"),
     "group_readiness": sql("""
-SELECT sample_id AS task_id, CASE WHEN n_source = 0 THEN 'source_files' ELSE '' END AS missing_required,
-       CASE WHEN n_reads = 0 THEN 'reads' ELSE '' END AS missing_preferred, n_source > 0 AS ready
-FROM (SELECT sample_id, count(CASE WHEN grp = 'source_files' THEN 1 END) AS n_source,
-        count(CASE WHEN grp = 'reads' THEN 1 END) AS n_reads
+SELECT sample_id AS task_id, CASE WHEN n_reads = 0 THEN 'sequence' ELSE '' END AS missing_required,
+       CASE WHEN n_source = 0 THEN 'signal' ELSE '' END AS missing_preferred, n_reads > 0 AS ready
+FROM (SELECT sample_id, count(CASE WHEN grp = 'signal' THEN 1 END) AS n_source,
+        count(CASE WHEN grp = 'sequence' THEN 1 END) AS n_reads
       FROM samples LEFT JOIN grouped ON sample_id = task_id GROUP BY 1)""", "samples", "grouped"),
     "queue_usage": sql("""
 SELECT sorting, count(*) AS in_use FROM tasks WHERE status IN ('queued', 'processing') GROUP BY 1""", "tasks"),
@@ -592,8 +608,8 @@ FROM (SELECT *, input_files_size < 40000000 AS ok FROM tasks WHERE status = 'pre
     "sample_task_states": sql("""
 SELECT t.sample_id, pipeline_id, arg_max(t.status, (epoch_us(queued), task_id)) AS status
 FROM tasks t JOIN samples s ON t.sample_id = s.sample_id GROUP BY 1, 2
-UNION ALL SELECT sample_id, 'basecall_v1-0-0', 'completed' FROM samples WHERE basecalled AND sample_id NOT IN (
-  SELECT sample_id FROM tasks WHERE pipeline_id = 'basecall_v1-0-0')""", "tasks", "samples"),
+UNION ALL SELECT sample_id, 'polish_v0-3-1', 'completed' FROM samples WHERE basecalled AND sample_id NOT IN (
+  SELECT sample_id FROM tasks WHERE pipeline_id = 'polish_v0-3-1')""", "tasks", "samples"),
     "merged_task_tables": sql(f"SELECT task_id, {_NEXT_STATUS} AS status FROM reconciled", "reconciled"),
     "expected_outputs": sql('SELECT task_id, grp AS "group", type, mask, n_files, size FROM totals', "totals"),
     "output_files": sql('SELECT task_id, grp AS "group", type, filepath, size FROM found', "found"),
@@ -605,24 +621,20 @@ SELECT task_id, CAST(sum(size) AS BIGINT) AS output_files_size, CAST(sum(n_files
 SELECT coalesce(t.task_id, s.task_id) AS task_id, coalesce(t.grp, s.grp) AS "group", coalesce(t.type, s.type) AS type,
        coalesce(s.value, t.value) AS value
 FROM (SELECT task_id, grp, type, CAST(sum(size) AS VARCHAR) AS value FROM found GROUP BY 1, 2, 3) t
-FULL OUTER JOIN (SELECT task_id, 'qc' AS grp, unnest(['json', 'summary']) AS type, CAST(n AS VARCHAR) AS value
+FULL OUTER JOIN (SELECT task_id, 'plots' AS grp, unnest(['page', 'summary']) AS type, CAST(n AS VARCHAR) AS value
                  FROM (SELECT task_id, count(*) AS n FROM listing GROUP BY 1)) s
 ON t.task_id = s.task_id AND t.grp = s.grp AND t.type = s.type""", "found", "listing"),
     "rerun_list": sql("""
 SELECT t.task_id, status, coalesce(n, 0) AS n_missing FROM tasks t
 LEFT JOIN (SELECT task_id, count(*) AS n FROM totals WHERE n_files = 0 GROUP BY 1) m ON t.task_id = m.task_id
 WHERE status = 'failed' OR (status = 'completed' AND n > 0)""", "tasks", "totals"),
-    "shaped_inputs": sql("""
-SELECT task_id, CASE WHEN pipeline_id = 'report_v1-2-0' THEN 'disprepared' WHEN input_files_size <= 0 OR
-         (pipeline_id = 'align_v2-1-0' AND input_files_size <= 20000000) THEN 'disprepared' ELSE 'prepared' END AS status,
-       CASE pipeline_id WHEN 'basecall_v1-0-0' THEN
-           'run -c {{ CFG }} --sample ' || sample_id || ' --run_id {{ RUN_ID }} --outdir {{OUT}}'
-         WHEN 'align_v2-1-0' THEN 'align ' || task_id END AS command,
-       CASE WHEN pipeline_id = 'report_v1-2-0' THEN 'no shaper' WHEN pipeline_id = 'align_v2-1-0' AND
-         input_files_size <= 20000000 THEN 'no expected outputs' ELSE '' END AS reasons FROM tasks""", "tasks"),
+    "shaped_inputs": sql(_shaped_inputs("pipeline_id"), "tasks"),
+    "ruleless_inputs": sql(_shaped_inputs("CASE WHEN input_files_size % 3 <> 0 THEN pipeline_id END"), "tasks"),
+    "unshaped_tasks": sql("""
+SELECT task_id, 'no shaper' AS reason FROM tasks WHERE input_files_size % 3 = 0 OR pipeline_id = 'survey_v2-2-2'""", "tasks"),
     "shaped_outputs": sql("""
 SELECT task_id, 'data' AS "group", 'bytes' AS type, CAST(input_files_size AS VARCHAR) AS value FROM tasks
-WHERE status = 'completed' AND pipeline_id <> 'report_v1-2-0'""", "tasks"),
+WHERE status = 'completed' AND pipeline_id <> 'survey_v2-2-2'""", "tasks"),
 
     "debounced_events": sql(f"""
 SELECT event_id, src_path, epoch_us(ts) AS ts_us FROM (
@@ -672,9 +684,9 @@ _REPORT_SET = "SELECT filepath FROM report_rows GROUP BY 1 HAVING arg_max(presen
 _cte("cycle", f"""
 SELECT task_id, {_NEXT_STATUS} AS status, sorting, input_files_size, minutes FROM reconciled
 UNION ALL
-SELECT c.sample_id || '_' || pipeline_id, CASE WHEN pipeline_id <> 'report_v1-2-0' AND s.size > 0 THEN 'prepared'
+SELECT c.sample_id || '_' || pipeline_id, CASE WHEN pipeline_id <> 'survey_v2-2-2' AND s.size > 0 THEN 'prepared'
          ELSE 'disprepared' END, {_TASK_RULE.format('SJF', 'LJF', 'SJF')}, s.size,
-       CAST({_TASK_RULE.format(4320, 750, 0)} AS BIGINT)
+       CAST({_TASK_RULE.format(1605, 440, 0)} AS BIGINT)
 FROM candidates c LEFT JOIN new_samples s ON c.sample_id = s.sample
 WHERE c.sample_id IN (SELECT sample_id FROM results) AND NOT EXISTS (
   SELECT 1 FROM tasks t WHERE t.sample_id = c.sample_id AND t.pipeline_id = c.pipeline_id)""",
@@ -695,7 +707,7 @@ FROM diff WHERE change_type IN ('added', 'modified', 'moved_modified')""", "pair
 SELECT o.batch, CAST(0 AS BIGINT) AS born, o.n_files, o.size,
        CASE WHEN n.batch IS NULL OR n.fingerprint <> o.fingerprint THEN 'deprecated' ELSE 'indexed' END AS status,
        o.fingerprint, '' AS previous_version, CASE WHEN n.fingerprint <> o.fingerprint THEN n.fingerprint END AS next_version,
-       CASE WHEN n.fingerprint = o.fingerprint THEN NULL ELSE f.final_summary END AS final_summary
+       CASE WHEN n.fingerprint = o.fingerprint THEN f.final_summary END AS final_summary
 FROM old_batches o LEFT JOIN new_batches n ON o.batch = n.batch LEFT JOIN first_batches f ON o.batch = f.batch
 UNION ALL
 SELECT n.batch, CAST(1 AS BIGINT), n.n_files, n.size, 'indexed', n.fingerprint, coalesce(o.fingerprint, ''), NULL,
@@ -736,3 +748,72 @@ WHERE batch IN (SELECT batch FROM diff WHERE change_type NOT IN ('unchanged', 'm
     "report_set": sql(_REPORT_SET, "report_rows"),
     "stream_reports": sql(_REPORT_SET, "report_rows"),
 })
+
+_cte("untimed", "SELECT * REPLACE (CASE WHEN event_id % 5 <> 0 THEN ts END AS ts) FROM file_events", "file_events")
+_cte("timed", "SELECT * FROM untimed WHERE ts IS NOT NULL", "untimed")
+_cte("rules_met", """
+SELECT sample_id, 'polish_v0-3-1' AS pipeline_id FROM samples WHERE status = 'indexed' AND kit_code < 20 AND name IS NOT NULL
+UNION ALL
+SELECT sample_id, 'assemble_v5-0-0' FROM samples WHERE status = 'indexed' AND size > 250000
+  AND kit_name <> 'AUTOMOBILE' AND (batch_a IN ('B3', 'B9') OR batch_b IN ('B3', 'B9'))""", "samples")
+_cte("ended", """
+SELECT r.sample_id || '_' || pipeline_id AS task_id, r.sample_id, pipeline_id FROM rules_met r
+JOIN new_samples s ON r.sample_id = s.sample
+WHERE r.sample_id IN (SELECT sample_id FROM results) AND s.size > 0 AND CAST(substr(r.sample_id, 2) AS BIGINT) % 3 <> 0""",
+     "rules_met", "new_samples", "results")
+
+ORACLE.update({
+    "null_time_neighbours": sql("""
+SELECT event_id, lag(event_id) OVER w AS before_id, lead(event_id) OVER w AS after_id FROM untimed
+WINDOW w AS (PARTITION BY src_path ORDER BY ts NULLS FIRST, event_id)""", "untimed"),
+    "null_time_settled": sql(f"""
+SELECT event_id, src_path, epoch_us(ts) AS ts_us FROM (
+  SELECT *, lead(ts) OVER (PARTITION BY src_path ORDER BY ts NULLS FIRST, event_id) AS later FROM untimed)
+WHERE ts IS NULL OR later IS NULL OR epoch_us(later) - epoch_us(ts) > {_GAP}""", "untimed"),
+    "null_time_sessions": sql(_sessions("src_path", "timed", _GAP, "") + """
+UNION ALL SELECT src_path, NULL, NULL, count(*) FROM untimed WHERE ts IS NULL GROUP BY 1""", "timed", "untimed"),
+    "queue_heads": sql("""
+SELECT * FROM (
+  SELECT task_id, sorting, row_number() OVER (PARTITION BY sorting
+           ORDER BY CASE WHEN sorting = 'LJF' THEN -ratio ELSE ratio END NULLS LAST, task_id) AS "rank"
+  FROM (SELECT *, CASE WHEN minutes > 0 THEN CAST(input_files_size AS DOUBLE) / minutes END AS ratio FROM tasks)
+  WHERE status = 'prepared') WHERE "rank" <= CASE sorting WHEN 'SJF' THEN 2 ELSE 2000 END""", "tasks"),
+    "long_timeouts": sql("""
+SELECT o_orderkey, CAST(lpad(CAST(o_orderkey AS VARCHAR), 9, '1') AS BIGINT) * 1440 + o_custkey * 60 + 7 AS minutes FROM orders"""),
+    "rejected_files": sql("""
+SELECT '/loose/' || p_partkey || '.pod5' AS symlink, 'path names no sample' AS reason FROM part"""),
+    "reports_over_passes": sql("""
+SELECT b.batch, b.n_files, b.size + grown AS size,
+       min(CASE WHEN report_type = 'final_summary' THEN filepath END) AS final_summary,
+       min(CASE WHEN report_type = 'sequencing_summary' THEN filepath END) AS sequencing_summary
+FROM (SELECT b.*, g.grown FROM new_batches b JOIN (
+        SELECT batch, count(CASE WHEN ino % 7 = 0 THEN 1 END) AS grown FROM files GROUP BY 1) g ON b.batch = g.batch) b
+LEFT JOIN reports r ON contains(string_split(r.filepath, '/')[-1], b.batch) GROUP BY 1, 2, 3""",
+                               "new_batches", "files", "reports"),
+    "renamed_in_batch": sql(f"""
+SELECT '/links/pod5/B' || (o_orderkey % 40) || ':S' || o_custkey || ':done-' || o_orderkey || '.pod5' AS symlink,
+       'added' AS change_type, '/src/S' || o_custkey || '/' || strftime(o_orderdate, '%Y%m%d') || '_1200_P1_B'
+         || (o_orderkey % 40) || '/raw/done-' || o_orderkey || '.pod5' AS new_filepath, {_SIZE} AS new_size
+FROM orders WHERE o_orderpriority <> '1-URGENT'
+UNION ALL
+SELECT '/links/' || CASE o_orderstatus WHEN 'F' THEN 'fast5' WHEN 'O' THEN 'pod5' ELSE 'fastq' END || '/B' || (o_orderkey % 40)
+         || ':S' || o_custkey || ':' || o_orderkey || '.'
+         || CASE o_orderstatus WHEN 'F' THEN 'fast5' WHEN 'O' THEN 'pod5' ELSE 'fastq.gz' END, 'deleted', NULL, NULL
+FROM orders WHERE o_orderpriority = '3-MEDIUM' AND o_orderdate < {CATALOG_TIME}"""),
+    "renamed_files": sql("""
+SELECT CASE WHEN hit THEN symlink_dir || '/' || batch || ':T' || substr(sample, 2) || ':n-' || file ELSE symlink END AS symlink,
+       CASE WHEN hit THEN replace(folder, '/src/S', '/src/T') || '/n-' || file ELSE filepath END AS filepath,
+       CASE WHEN hit THEN batch || ':T' || substr(sample, 2) || ':n-' || file ELSE name END AS name, batch,
+       CASE WHEN hit THEN 'T' || substr(sample, 2) ELSE sample END AS sample, extension,
+       CASE WHEN hit THEN replace(folder, '/src/S', '/src/T') ELSE folder END AS directory, size, status
+FROM (SELECT *, directory AS folder, (status IS NULL OR status = 'indexed') AND symlink IN (
+        SELECT symlink FROM active WHERE size % 2 = 0) AS hit FROM catalog)""", "catalog", "active"),
+    "completed_cycle": sql("""
+SELECT task_id, pipeline_id, grp AS "group", type, value FROM (
+  SELECT e.task_id, e.pipeline_id, s.grp, s.type, l.filepath AS value FROM ended e
+  JOIN listing l ON e.task_id = 'S' || l.p_partkey || '_polish_v0-3-1'
+  JOIN slots s ON regexp_matches(l.name, s.pattern) AND s.grp = 'tables'
+  WHERE is_file AND l.size > 0 AND e.pipeline_id = 'polish_v0-3-1'
+  UNION ALL
+  SELECT task_id, pipeline_id, 'plots', 'page', 'shaped ' || sample_id FROM ended)""", "ended", "listing", "slots"),
+})

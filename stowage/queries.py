@@ -16,6 +16,7 @@ from .streaming import events as event_stream, state as state_stream
 
 QUERIES = {}
 HOUR = 3600
+FLAGS = ["is_file", "is_dir", "is_symlink"]
 
 
 def query(function):
@@ -66,13 +67,6 @@ def file_fingerprint(spark, d):
     return V.files_now(spark, d).select("filepath", "fingerprint")
 
 
-@query
-def file_fingerprint_blake2s(spark, d):
-    digest = fingerprints.file_fingerprint_blake2s()
-    return V.inventory(spark, d).select(
-        "filepath", digest(F.col("size"), F.col("dev"), F.col("ino"), F.col("mtime")).alias("fingerprint"))
-
-
 @query
 def sample_identity(spark, d):
     s = rollup.sample_rollup(_pairs(spark, d))
@@ -131,7 +125,7 @@ def normalised_jobs(spark, d):
 
 @query
 def command_lines(spark, d):
-    template = V.RULES["basecall_v1-0-0"]["command_template"]
+    template = V.RULES["polish_v0-3-1"]["command_template"]
     return V.tasks(spark, d).select("task_id", templates.render(template, {
         "SAMPLE": F.col("sample_id"), "RUN_ID": F.col("job_id"), "OUT": F.concat(F.lit("/res/$1/"), "sample_id"),
     }).alias("command"))
@@ -184,11 +178,11 @@ def exit_status(spark, d):
 @query
 def map_edits(spark, d):
     s = V.samples(spark, d)
-    put = documents.put_key(F.col("tasks"), F.lit("align_v2-1-0"), F.create_map(F.col("sample_id"), F.lit("queued")))
-    again = documents.put_key(put, F.lit("basecall_v1-0-0"), F.create_map(F.lit("t"), F.lit("failed")))
-    dropped = documents.drop_key(F.col("tasks"), F.lit("basecall_v1-0-0"))
+    put = documents.put_key(F.col("tasks"), F.lit("assemble_v5-0-0"), F.create_map(F.col("sample_id"), F.lit("queued")))
+    again = documents.put_key(put, F.lit("polish_v0-3-1"), F.create_map(F.lit("t"), F.lit("failed")))
+    dropped = documents.drop_key(F.col("tasks"), F.lit("polish_v0-3-1"))
     return s.select("sample_id", joined(F.array_sort(F.map_keys(put))).alias("put_keys"),
-                    joined(F.map_values(again["basecall_v1-0-0"])).alias("replaced"),
+                    joined(F.map_values(again["polish_v0-3-1"])).alias("replaced"),
                     F.size(dropped).cast("bigint").alias("left"))
 
 
@@ -247,7 +241,7 @@ def find_one_file(spark, d):
 
 @query
 def tasks_not_exists(spark, d):
-    return V.samples(spark, d).filter(predicates.lacks_key(F.col("tasks"), "basecall_v1-0-0")).select("sample_id")
+    return V.samples(spark, d).filter(predicates.lacks_key(F.col("tasks"), "polish_v0-3-1")).select("sample_id")
 
 
 def _rule_matches(spark, d, conditions):
@@ -274,15 +268,14 @@ def rule_filter(spark, d):
 
 @query
 def rule_matches(spark, d):
-    rule = V.RULES["align_v2-1-0"]["conditions"]
+    rule = V.RULES["assemble_v5-0-0"]["conditions"]
     return _rule_matches(spark, d, rule).select("sample_id", "size")
 
 
 @query
 def inventory_filter(spark, d):
     needed = ["is_file", "not_empty", "realpath", "size_gte 5000000", "size_lte 40000000"]
-    i = diff.as_files(V.inventory(spark, d), V.LINK_DIR).join(
-        V.inventory(spark, d).select("filepath", "is_file", "is_dir", "is_symlink"), "filepath")
+    i = V.files_now(spark, d, FLAGS)
     return i.filter(
         predicates.compile_requirements(needed) & predicates.has_extension(F.col("filepath"), ["fast5", "fastq.gz"])
         & ~predicates.compile_requirements(["is_symlink"])
@@ -298,7 +291,9 @@ def mask_matches(spark, d):
         "page_id", predicates.matches_mask(name, "*.html").alias("html"),
         predicates.matches_mask(name, "[1-4]?*").alias("digits"), predicates.matches_mask(name, "[!1-4]*").alias("others"),
         predicates.matches_mask(F.col("filepath"), "en/*.html").alias("english"),
-        predicates.matches_mask_column(name, F.concat(F.substring(name, 1, 1), F.lit("*"))).alias("own_mask"))
+        predicates.matches_mask_column(name, F.concat(F.substring(name, 1, 1), F.lit("*"))).alias("own_mask"),
+        predicates.matches_mask_column(name, F.when(F.col("page_id") % 2 == 0, "[1-4]?*").otherwise("[!1-4]*")).alias("own_class"),
+        predicates.matches_mask_column(F.concat(name, F.lit("$")), F.lit("*$")).alias("dollar"))
 
 
 @query
@@ -315,7 +310,7 @@ def validated_tasks(spark, d):
         "task_id", F.when(F.col("sorting") == "SJF", "run").when(F.col("timeout") == "3-00:00", "").alias("command"),
         F.when(F.col("status") == "failed", 0).otherwise(2).alias("n_groups"),
         F.when(F.col("status") != "completed", F.col("input_files_size")).otherwise(0).alias("input_files_size"),
-        F.when(F.col("pipeline_id") == "align_v2-1-0", 0).otherwise(4).alias("n_expected"))
+        F.when(F.col("pipeline_id") == "assemble_v5-0-0", 0).otherwise(4).alias("n_expected"))
     return work.validate(shaped).select("task_id", "status", F.array_join("reasons", ";").alias("reasons"))
 
 
@@ -368,11 +363,8 @@ def in_both(spark, d):
 
 @query
 def three_way_keys(spark, d):
-    """The same three sets by set operations on keys."""
-    now, before = V.files_now(spark, d).select("symlink"), V.catalog_active(spark, d).select("symlink")
-    return (now.exceptAll(before).withColumn("side", F.lit("listing"))
-            .unionByName(now.intersect(before).withColumn("side", F.lit("both")))
-            .unionByName(before.exceptAll(now).withColumn("side", F.lit("catalog"))))
+    """The same three sets from the keys alone, each side read once."""
+    return diff.key_sides(V.files_now(spark, d), V.catalog_active(spark, d))
 
 
 @query
@@ -455,16 +447,19 @@ def batch_memberships(spark, d):
 @query
 def rollup_delta(spark, d):
     """Batch totals kept by deltas; the check recomputes them."""
-    changed = written(diff.changed_files(_diff(spark, d)), "changed")
-    pairs = rollup.apply_deltas(_old_pairs(spark, d), changed, V.files_now(spark, d))
-    return _flat(rollup.batch_rollup(pairs))
+    return _flat(rollup.batch_rollup(_kept_pairs(spark, d)))
+
+
+def _kept_pairs(spark, d):
+    """The memberships of the catalog brought up to date; listing and catalog are read once, for the diff."""
+    found = written(_diff(spark, d), "diff")
+    old = rollup.membership(diff.side_files(found, "old"))
+    return rollup.apply_deltas(old, diff.changed_files(found), diff.side_files(found, "new"))
 
 
 @query
 def sample_rollup_delta(spark, d):
-    changed = written(diff.changed_files(_diff(spark, d)), "changed")
-    pairs = rollup.apply_deltas(_old_pairs(spark, d), changed, V.files_now(spark, d))
-    return _flat(rollup.sample_rollup(pairs))
+    return _flat(rollup.sample_rollup(_kept_pairs(spark, d)))
 
 
 @query
@@ -475,8 +470,7 @@ def affected_batches(spark, d):
 @query
 def affected_samples(spark, d):
     """File to sample cascade: all files of the touched samples."""
-    files = rollup.affected_files(V.files_now(spark, d), _diff(spark, d), "sample")
-    return files.groupBy("sample").agg(F.count(F.lit(1)).alias("n_files"), F.sum("size").alias("size"))
+    return rollup.affected_totals(V.files_now(spark, d), _diff(spark, d), "sample")
 
 
 @query
@@ -487,7 +481,7 @@ def empty_entities(spark, d):
 
 @query
 def hierarchy_totals(spark, d):
-    return rollup.hierarchy(V.files_now(spark, d)).withColumns({
+    return rollup.hierarchy(_pairs(spark, d)).withColumns({
         "sample": F.coalesce("sample", F.lit("*")), "batch": F.coalesce("batch", F.lit("*"))})
 
 
@@ -696,9 +690,8 @@ def rejected_candidates(spark, d):
 
 
 def _grouped(spark, d):
-    flags = V.inventory(spark, d).select("filepath", "is_file", "is_dir", "is_symlink")
-    files = V.files_now(spark, d).join(flags, "filepath").withColumn("task_id", F.col("sample"))
-    return work.input_groups(files, V.RULES["basecall_v1-0-0"]["input_data"])
+    files = V.files_now(spark, d, FLAGS).withColumn("task_id", F.col("sample"))
+    return work.input_groups(files, V.RULES["polish_v0-3-1"]["input_data"])
 
 
 @query
@@ -719,7 +712,7 @@ def input_sizes(spark, d):
 @query
 def group_readiness(spark, d):
     all_tasks = V.samples(spark, d).select(F.col("sample_id").alias("task_id"))
-    out = work.group_readiness(all_tasks, work.input_totals(_grouped(spark, d)), V.RULES["basecall_v1-0-0"]["input_data"])
+    out = work.group_readiness(all_tasks, work.input_totals(_grouped(spark, d)), V.RULES["polish_v0-3-1"]["input_data"])
     return out.withColumns({c: joined(c) for c in ("missing_required", "missing_preferred")})
 
 
@@ -855,7 +848,7 @@ def overlaid_outputs(spark, d):
     """Byte totals per slot, replaced or completed by a shaper's values."""
     totals = _found(spark, d).groupBy(*outputs.SLOT).agg(F.sum("size").cast("string").alias("value"))
     shaped = V.listing(spark, d).groupBy("task_id").agg(F.count(F.lit(1)).cast("string").alias("value")).select(
-        "task_id", F.lit("qc").alias("group"), F.explode(F.array(F.lit("json"), F.lit("summary"))).alias("type"), "value")
+        "task_id", F.lit("plots").alias("group"), F.explode(F.array(F.lit("page"), F.lit("summary"))).alias("type"), "value")
     return outputs.overlay(totals, shaped)
 
 
@@ -868,16 +861,16 @@ def rerun_list(spark, d):
 def _shapers(spark, d):
     """A declarative shaper for one rule, a pandas one for another, none for the third."""
     registry = shapers.Shapers()
-    template = V.RULES["basecall_v1-0-0"]["command_template"]
+    template = V.RULES["polish_v0-3-1"]["command_template"]
 
     def declarative(t):
         return t.withColumns({
             "command": templates.render(template, {"SAMPLE": F.col("sample_id")}),
-            "n_groups": F.lit(1), "n_expected": F.lit(4)})
+            "n_groups": F.lit(1), "n_expected": F.lit(3)})
 
     def rowwise(frame):
         frame = frame[["task_id", "pipeline_id", "status", "input_files_size"]].copy()
-        frame["command"] = "align " + frame["task_id"]
+        frame["command"] = "assemble " + frame["task_id"]
         frame["n_groups"] = 1
         frame["n_expected"] = (frame["input_files_size"] > 20_000_000).astype("int64")
         return frame
@@ -889,8 +882,8 @@ def _shapers(spark, d):
         return t.select("task_id", F.lit("data").alias("group"), F.lit("bytes").alias("type"),
                         F.col("input_files_size").cast("string").alias("value"))
 
-    registry.register("basecall_v1-0-0", declarative, output)
-    registry.register("align_v2-1-0", shapers.row_shaper(rowwise, schema), output)
+    registry.register("polish_v0-3-1", declarative, output)
+    registry.register("assemble_v5-0-0", shapers.row_shaper(rowwise, schema), output)
     return registry
 
 
@@ -1049,26 +1042,13 @@ def _cycle_shapers(spark, d):
         return t.select("task_id", F.lit("").alias("group"), F.lit("").alias("type"), F.lit("").alias("value"))
 
     registry = shapers.Shapers()
-    for rule in ("basecall_v1-0-0", "align_v2-1-0"):
+    for rule in ("polish_v0-3-1", "assemble_v5-0-0"):
         registry.register(rule, shape, none)
     return registry
 
 
 # --- streams -------------------------------------------------------------------------------------
 
-def _staged(df, name):
-    """Rows as a folder a file stream can read."""
-    path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return path
-
-
-def _drained(stream, spark, name):
-    path, checkpoint = run_dir(spark, name), run_dir(spark, name + "-checkpoint")
-    event_stream.start(stream, path, checkpoint).awaitTermination()
-    return path, checkpoint
-
-
 @query
 def event_diff(spark, d):
     found = events.event_diff(V.change_events(spark, d), V.catalog(spark, d), V.LINK_DIR)
@@ -1081,32 +1061,45 @@ def rejected_events(spark, d):
     return events.rejected(found).select("symlink", "reason")
 
 
+# Where the stream queries cut their rows: each part arrives after the stream has stopped, and starts it again.
+CUTS = ["2024-01-10", "2024-01-20"]
+
+
+def _in_parts(spark, rows, name, run, cuts=CUTS, ts="ts"):
+    """Rows dropped into a folder part by part, the first and the last open-ended; the stream runs after each."""
+    path = run_dir(spark, name)
+    number = F.lit(0)
+    for cut in cuts:
+        number = number + F.coalesce(F.col(ts) >= V.ts(cut), F.lit(False)).cast("int")
+    for k in range(len(cuts) + 1):
+        rows.filter(number == k).write.mode("append").parquet(path)
+        run(path)
+
+
+def _bursts(spark, rows, keys, name, start, payload=()):
+    """What a debounce stream settles over several runs, and what it then still holds open."""
+    target, checkpoint = run_dir(spark, name), run_dir(spark, name + "-checkpoint")
+    _in_parts(spark, rows, name + "-events", lambda path: event_stream.start(
+        start(event_stream.read_events(spark, path, schema=rows.schema)), target, checkpoint).awaitTermination())
+    held = event_stream.open_bursts(spark, checkpoint, keys, payload)
+    return spark.read.schema(held.schema).parquet(target).unionByName(held)
+
+
 @query
 def stream_debounce(spark, d):
-    """The per-file debounce as a stream, drained by a closing event."""
+    """The per-file debounce as a stream that stops twice."""
     rows = V.file_events(spark, d).select("event_id", "src_path", "ts", "size")
-    source = _staged(rows, "events")
-    stream = event_stream.debounce(
-        event_stream.read_events(spark, source, schema=rows.schema), ["src_path"], gap="6 hours",
-        payload=["event_id"], tie=["event_id"])
-    target, checkpoint = _drained(stream, spark, "debounced")
-    event_stream.close_sessions(spark, source, rows.schema, "2100-01-01 00:00:00")
-    event_stream.start(stream, target, checkpoint).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(target).select(
-        "src_path", us("session_start").alias("start_us"), us("settled_at").alias("settled_us"), "n_events", "event_id")
+    found = _bursts(spark, rows, ["src_path"], "debounced", lambda events: event_stream.debounce(
+        events, ["src_path"], gap="6 hours", payload=["event_id"], tie=["event_id"]), ["event_id"])
+    return found.select("src_path", us("session_start").alias("start_us"), us("settled_at").alias("settled_us"), "n_events", "event_id")
 
 
 @query
 def stream_batch_holds(spark, d):
-    """The ten-minute hold of batches as a stream."""
+    """The ten-minute hold of batches as a stream that stops twice."""
     rows = V.file_events(spark, d).select("src_path", "ts")
-    source = _staged(rows, "hold-events")
-    stream = event_stream.hold_batches(event_stream.read_events(spark, source, schema=rows.schema))
-    target, checkpoint = _drained(stream, spark, "held")
-    event_stream.close_sessions(spark, source, rows.schema, "2100-01-01 00:00:00")
-    event_stream.start(stream, target, checkpoint).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(target).select(
-        "batch", us("session_start").alias("start_us"), us("settled_at").alias("end_us"), "n_events")
+    found = _bursts(spark, rows, ["batch"], "held", event_stream.hold_batches)
+    return found.select("batch", us("session_start").alias("start_us"), us("settled_at").alias("end_us"), "n_events")
 
 
 @query
@@ -1115,54 +1108,39 @@ def stream_sync(spark, d):
     root = run_dir(spark, "synced")
     before = V.previous_inventory(spark, d).filter("state is null or state = 'indexed'")
     first = indexing.sync_listing(spark, root, before, V.LINK_DIR, V.ts(V.CATALOG_TIME)) + 1
-    rows = V.change_events(spark, d)
-    stream = event_stream.read_events(spark, _staged(rows, "change-events"), schema=rows.schema)
-    event_stream.sync_catalog(
-        stream, root, V.LINK_DIR, _now(), run_dir(spark, "sync-checkpoint"), first).awaitTermination()
+    rows, checkpoint = V.change_events(spark, d), run_dir(spark, "sync-checkpoint")
+    cuts = ["2002-01-01 00:02:00", "2002-01-01 00:03:00"]
+    _in_parts(spark, rows, "change-events", lambda path: event_stream.sync_catalog(
+        event_stream.read_events(spark, path, schema=rows.schema), root, V.LINK_DIR, _now(), checkpoint, first
+    ).awaitTermination(), cuts)
     return _flat(indexing.current_batches(spark, root).select(
         "batch", "n_samples", "n_files", "size", "created", "modified", "fingerprint"))
 
 
 @query
 def stream_transitions(spark, d):
-    """Job-state changes with keyed state, the polls arriving in three parts."""
+    """Job-state changes with stored state, the polls arriving in three parts."""
     polls = V.file_events(spark, d).select(
         F.col("src_path").alias("task_id"), F.col("ts").alias("polled_at"), F.col("event_type").alias("status"))
-    path = run_dir(spark, "polls")
-    cuts = ["1970-01-01", "2024-01-10", "2024-01-20", "2100-01-01"]
-    for start, end in zip(cuts, cuts[1:]):
-        part = polls.filter((F.col("polled_at") >= V.ts(start)) & (F.col("polled_at") < V.ts(end)))
-        part.coalesce(1).write.mode("append").parquet(path)
-    stream = state_stream.state_transitions(
-        event_stream.read_events(spark, path, schema=polls.schema, maxFilesPerTrigger=1))
-    target, _ = _drained(stream, spark, "transitions")
-    return spark.read.schema(stream.schema).parquet(target).select(
+    root, checkpoint = run_dir(spark, "transitions"), run_dir(spark, "transitions-checkpoint")
+    _in_parts(spark, polls, "polls", lambda path: state_stream.track_transitions(
+        event_stream.read_events(spark, path, schema=polls.schema), root, checkpoint).awaitTermination(), ts="polled_at")
+    return state_stream.read_transitions(spark, root).select(
         "task_id", us("polled_at").alias("polled_us"), "previous_status", "status")
 
 
 @query
 def stream_entities(spark, d):
-    """Running batch totals with keyed state, beginning with the stored catalog."""
+    """Running batch totals with stored state, beginning with the stored catalog; deltas come in three parts."""
     rows = rollup.contributions(_diff(spark, d)).select(
         F.col("batch").alias("name"), F.col("sign").cast("bigint").alias("n_files"),
-        (F.col("size") * F.col("sign")).alias("size"), us("modified").alias("modified_us"))
-    stored = rollup.batch_rollup(_old_pairs(spark, d)).select(
-        F.col("batch").alias("name"), "n_files", "size", us("modified").alias("modified_us"))
-    # Contributions are summed per entity before they reach its state.
-    folded = rows.groupBy("name").agg(F.sum("n_files").alias("n_files"), F.sum("size").alias("size"),
-                                      F.max("modified_us").alias("modified_us"))
-    source = _staged(folded, "deltas")
-    stream = state_stream.running_entities(
-        event_stream.read_events(spark, source, schema=folded.schema), written(stored, "stored"))
-    path = run_dir(spark, "entities")
-
-    def keep(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{path}/part={batch_id}")
-
-    stream.writeStream.foreachBatch(keep).outputMode("update").option(
-        "checkpointLocation", run_dir(spark, "entities-checkpoint")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(state_stream.ENTITY).option("recursiveFileLookup", True).parquet(path).select(
-        "name", "n_files", "size", "origin")
+        (F.col("size") * F.col("sign")).alias("size"), F.col("modified").alias("ts"))
+    stored = written(rollup.batch_rollup(_old_pairs(spark, d)).select(F.col("batch").alias("name"), "n_files", "size"), "stored")
+    root, checkpoint = run_dir(spark, "entities"), run_dir(spark, "entities-checkpoint")
+    _in_parts(spark, written(rows, "contributions"), "deltas", lambda path: state_stream.track_totals(
+        event_stream.read_events(spark, path, schema=rows.schema).drop("ts"), stored, root, checkpoint).awaitTermination(),
+        ["1996-01-01", "1999-01-01"])
+    return state_stream.read_totals(spark, root)
 
 
 @query
@@ -1172,14 +1150,136 @@ def report_set(spark, d):
 
 @query
 def stream_reports(spark, d):
-    """The set of report files as a running answer."""
+    """The set of report files as a running answer over three parts."""
     rows = V.report_events(spark, d)
-    stream = state_stream.report_presence(event_stream.read_events(spark, _staged(rows, "report-events"), schema=rows.schema))
-    path = run_dir(spark, "report-set")
+    root, checkpoint = run_dir(spark, "report-set"), run_dir(spark, "reports-checkpoint")
+    _in_parts(spark, rows, "report-events", lambda path: state_stream.track_reports(
+        event_stream.read_events(spark, path, schema=rows.schema), root, checkpoint).awaitTermination())
+    return state_stream.read_reports(spark, root)
+
+
+# --- rows that are easily lost -------------------------------------------------------------------
+
+@query
+def null_time_neighbours(spark, d):
+    """Events without a time come first in their key and are neighbours like others."""
+    near = ordered.with_neighbours(V.untimed_events(spark, d), ["src_path"], "ts", [F.col("event_id")], before="_before",
+                                   after="_after", tie=["event_id"])
+    return near.select("event_id", F.col("_before.event_id").alias("before_id"), F.col("_after.event_id").alias("after_id"))
+
+
+@query
+def null_time_settled(spark, d):
+    kept = ordered.settled(V.untimed_events(spark, d), ["src_path"], "ts", 6 * HOUR, tie=["event_id"])
+    return kept.select("event_id", "src_path", us("ts").alias("ts_us"))
+
+
+@query
+def null_time_sessions(spark, d):
+    out = ordered.sessions(V.untimed_events(spark, d), ["src_path"], "ts", 6 * HOUR,
+                           [F.count(F.lit(1)).alias("n_events")], tie=["event_id"])
+    return out.select("src_path", us("session_start").alias("start_us"), us("session_end").alias("end_us"), "n_events")
+
+
+def _ruleless(spark, d):
+    return V.tasks(spark, d).withColumn("pipeline_id", F.when(F.col("input_files_size") % 3 != 0, F.col("pipeline_id")))
+
+
+@query
+def ruleless_inputs(spark, d):
+    """Tasks some of which have no rule: every one is judged."""
+    out = _shapers(spark, d).shape_inputs(_ruleless(spark, d))
+    return out.select("task_id", "status", "command", F.array_join("reasons", ";").alias("reasons"))
+
+
+@query
+def unshaped_tasks(spark, d):
+    """What the output shapers leave out, with the reason."""
+    return _shapers(spark, d).unshaped(_ruleless(spark, d)).select("task_id", "reason")
+
 
-    def keep(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{path}/latest")
+@query
+def queue_heads(spark, d):
+    """A queue of 2 beside one of 2,000: each gives its own number at most."""
+    heads = work.first_per_queue(V.tasks(spark, d), {"SJF": 2, "LJF": 2000})
+    return heads.select("task_id", "sorting", F.col("rank").cast("bigint").alias("rank"))
+
+
+@query
+def long_timeouts(spark, d):
+    """Timeouts of any number of digits."""
+    text = F.concat(F.lpad(F.col("o_orderkey").cast("string"), 9, "1"), F.lit("-"), F.col("o_custkey"), F.lit(":0000000007"))
+    o = V.table(spark, d, "orders")
+    return o.select("o_orderkey", durations.timeout_minutes(text).alias("minutes"))
 
-    stream.writeStream.foreachBatch(keep).outputMode("complete").option(
-        "checkpointLocation", run_dir(spark, "reports-checkpoint")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/latest").filter("present").select("filepath")
+
+@query
+def rejected_files(spark, d):
+    """Listed files whose path names no sample, as a pass records them."""
+    root = run_dir(spark, "rejects")
+    indexing.sync_listing(spark, root, V.shallow_inventory(spark, d), V.LINK_DIR, _now())
+    return indexing.read_rejects(spark, root).select("symlink", "reason")
+
+
+@query
+def reports_over_passes(spark, d):
+    """Reports found in the second of three passes stay with the versions that the third makes."""
+    root = _indexed(spark, d)
+    grown = V.inventory(spark, d).withColumn("size", F.col("size") + (F.col("ino") % 7 == 0).cast("bigint"))
+    indexing.sync_listing(spark, root, grown, V.LINK_DIR, _now())
+    return indexing.current_batches(spark, root).select("batch", "n_files", "size", "final_summary", "sequencing_summary")
+
+
+@query
+def renamed_in_batch(spark, d):
+    """Files made under a temporary name and renamed twice within one batch of events."""
+    found = events.event_diff(V.renaming_events(spark, d), V.catalog(spark, d), V.LINK_DIR)
+    return found.select("symlink", "change_type", "new_filepath", "new_size")
+
+
+@query
+def renamed_files(spark, d):
+    """Moves that change sample and file name: link, type, batch and sample follow."""
+    path = F.regexp_replace(F.regexp_replace("filepath", "^/src/S", "/src/T"), "/([^/]*)$", "/n-$1")
+    moves = V.catalog_active(spark, d).filter("size % 2 = 0").select("symlink", path.alias("new_filepath"))
+    out = versions.move_files(V.catalog(spark, d), moves, _now(), V.LINK_DIR)
+    return out.select("symlink", "filepath", "name", "batch", "sample", "extension", "directory", "size", "status")
+
+
+@query
+def completed_cycle(spark, d):
+    """Three stored cycles: tasks are handed over, run, and end; what the completed ones put out."""
+    root = run_dir(spark, "cycles")
+    customers = V.table(spark, d, "customer").select("c_custkey")
+    heads = customers.select(F.explode(F.array(F.col("c_custkey") * 10 + 1, F.col("c_custkey") * 10 + 2)).alias("job_id"))
+    none = F.lit(None)
+    running = heads.select(
+        "job_id", F.lit("head").alias("name"), F.lit(0).cast("bigint").alias("parent_job_id"), F.lit("RUNNING").alias("status"),
+        none.cast("int").alias("exit_code"), F.lit("/w").alias("work_dir"), _now().alias("start"), _now().alias("limit"))
+    codes = heads.select("job_id", F.when(F.floor(F.col("job_id") / 10) % 3 == 0, 1).otherwise(0).alias("exit_code"))
+
+    def hand_over(admitted):
+        number = F.regexp_extract("task_id", "^S([0-9]+)_", 1).cast("bigint") * 10
+        return admitted.select("task_id", (number + F.when(F.col("pipeline_id") == "polish_v0-3-1", 1).otherwise(2)).alias("job_id"))
+
+    totals = rollup.sample_rollup(_pairs(spark, d)).select(F.col("sample").alias("sample_id"), F.col("size").alias("input_files_size"))
+
+    def shape(t):
+        return t.join(totals, "sample_id", "left").withColumns(
+            {"command": F.concat(F.lit("run "), "task_id"), "n_groups": F.lit(1), "n_expected": F.lit(1)})
+
+    def output(t):
+        return t.select("task_id", F.lit("plots").alias("group"), F.lit("page").alias("type"),
+                        F.concat(F.lit("shaped "), "sample_id").alias("value"))
+
+    registry = shapers.Shapers()
+    for rule in ("polish_v0-3-1", "assemble_v5-0-0"):
+        registry.register(rule, shape, output)
+    listing = V.listing(spark, d).withColumn("task_id", F.concat(
+        F.lit("S"), F.regexp_extract("filepath", "_([0-9]+)(_a|_ab)?[.][a-z]+$", 1), F.lit("_polish_v0-3-1")))
+    given = dict(samples=V.samples(spark, d).drop("tasks"), results=V.results(spark, d), rules=_rules(),
+                 rules_table=rule_source.load_rules(spark, V.RULES), shapers=registry, capacity={"SJF": 10**6, "LJF": 10**6},
+                 now=F.current_timestamp(), hand_over=hand_over, listing=listing)
+    for listed, ended in ((running.limit(0), codes.limit(0)), (running, codes.limit(0)), (running.limit(0), codes)):
+        scheduling.run_stored_cycle(spark, root, listed, ended, **given)
+    return scheduling.read_results(spark, root).select("task_id", "pipeline_id", "group", "type", "value")

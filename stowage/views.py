@@ -18,35 +18,41 @@ EXTENSIONS = {"F": "fast5", "O": "pod5", "P": "fastq.gz"}
 QUEUES = {"SJF": 150, "LJF": 400}
 
 RULES = {
-    "basecall_v1-0-0": {
-        "name": "basecall", "version": "v1.0.0", "sorting": "SJF", "timeout": "3-00:00",
-        "conditions": [{"field": "status", "type": "eq", "value": "indexed"}],
-        "command_template": "run -c {{ CFG }} --sample {{ SAMPLE }} --run_id {{ RUN_ID }} --outdir {{OUT}}",
+    "polish_v0-3-1": {
+        "name": "polish", "version": "v0.3.1", "sorting": "SJF", "timeout": "1-02:45",
+        "conditions": [
+            {"field": "kit.code", "type": "lt", "value": 20},
+            {"field": "name", "type": "exists"},
+        ],
+        "command_template": "polish --in={{SAMPLE}} --threads={{ CORES }} > {{ OUT }}/{{ RUN_ID }}.log",
         "input_data": {
-            "source_files": [{"source": "sample", "file_mask": ["*.fast5", "*.pod5"],
-                              "requirements": ["is_file", "not_empty", "realpath"], "condition": "required"}],
-            "reads": [{"source": "sample", "file_mask": ["*.fastq.gz"],
-                       "requirements": ["is_file", "size_gte 5000000"], "condition": "preferred"}],
+            "signal": [
+                {"source": "sample", "file_mask": ["*.pod5"], "requirements": ["is_file", "size_lte 40000000"],
+                 "condition": "preferred"},
+                {"source": "sample", "file_mask": ["[0-4]*.fast?"], "requirements": ["not_empty"], "condition": "preferred"},
+            ],
+            "sequence": [{"source": "sample", "file_mask": ["*.f*q.gz"], "condition": "required",
+                          "requirements": ["is_file", "size_gte 2500000", "realpath"]}],
         },
         "expected_output_data": {
-            "data": {"ubam": "*.ubam"},
-            "qc": {"json": "*_sequali.json", "html": "*_sequali.html", "report": "*_multiqc_report.html"},
+            "tables": {"counts": "*[0-9].tsv", "sheet": "*_?.csv"},
+            "plots": {"page": "[!x]*.svg"},
         },
     },
-    "align_v2-1-0": {
-        "name": "align", "version": "v2.1.0", "sorting": "LJF", "timeout": "12:30",
+    "assemble_v5-0-0": {
+        "name": "assemble", "version": "v5.0.0", "sorting": "LJF", "timeout": "07:20",
         "conditions": [
-            {"field": "size", "type": "gte", "value": 100000},
-            {"field": "kit.name", "type": "ne", "value": ["BUILDING", "MACHINERY"]},
-            {"field": "batches", "type": "eq", "value": "B7"},
+            {"field": "size", "type": "gt", "value": 250000},
+            {"field": "kit.name", "type": "nin", "value": ["AUTOMOBILE", None]},
+            {"field": "batches", "type": "in", "value": ["B3", "B9"]},
         ],
     },
-    "report_v1-2-0": {
-        "name": "report", "version": "v1.2.0", "sorting": "SJF", "timeout": "bad",
+    "survey_v2-2-2": {
+        "name": "survey", "version": "v2.2.2", "sorting": "SJF", "timeout": "soon",
         "conditions": [
-            {"field": "region", "type": "in", "value": [1, 3]},
-            {"field": "region", "type": "lt", "value": 3},
-            {"field": "pore", "type": "exists", "value": True},
+            {"field": "region", "type": "ne", "value": 2},
+            {"field": "region", "type": "gte", "value": 1},
+            {"field": "pore", "type": "exists", "value": False},
         ],
     },
 }
@@ -56,8 +62,7 @@ _schemas = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; its schema is read from the file once."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """One of the given tables; its schema is read from the file once. The session's time zone is to be UTC."""
     path = f"{sf_dir}/{name}.parquet"
     if path not in _schemas:
         _schemas[path] = spark.read.parquet(path).schema
@@ -142,9 +147,9 @@ def previous_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.unionByName(removed).unionByName(older)
 
 
-def files_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+def files_now(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
     from .operators.diff import as_files
-    return as_files(inventory(spark, sf_dir), LINK_DIR)
+    return as_files(inventory(spark, sf_dir), LINK_DIR, keep)
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,8 +228,8 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(priority == "1-URGENT", "04:00").when(priority == "2-HIGH", "0-12:30")
         .when(priority == "3-MEDIUM", "1-00:00").when(priority == "5-LOW", "3-00:00").otherwise("unlimited")
     )
-    rule = F.when(priority == "1-URGENT", "basecall_v1-0-0").when(
-        priority == "2-HIGH", "align_v2-1-0").otherwise("report_v1-2-0")
+    rule = F.when(priority == "1-URGENT", "polish_v0-3-1").when(
+        priority == "2-HIGH", "assemble_v5-0-0").otherwise("survey_v2-2-2")
     return o.select(
         F.concat(F.lit("T"), F.col("o_orderkey")).alias("task_id"),
         F.concat(F.lit("S"), F.col("o_custkey")).alias("sample_id"), rule.alias("pipeline_id"),
@@ -282,8 +287,8 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sample document per customer."""
     c = table(spark, sf_dir, "customer")
     key, segment, nation = F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_nationkey")
-    done = F.when(nation < 5, F.create_map(F.lit("basecall_v1-0-0"), F.create_map(
-        F.concat(F.lit("S"), key, F.lit("_basecall_v1-0-0")), F.lit("completed"))))
+    done = F.when(nation < 5, F.create_map(F.lit("polish_v0-3-1"), F.create_map(
+        F.concat(F.lit("S"), key, F.lit("_polish_v0-3-1")), F.lit("completed"))))
     return c.select(
         F.concat(F.lit("S"), key).alias("sample_id"), F.col("c_name").alias("name"),
         F.when(segment == "FURNITURE", "deprecated").when(segment == "HOUSEHOLD", None)
@@ -308,9 +313,8 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result files: one per part, spread over fifty tasks by part size."""
     p = table(spark, sf_dir, "part")
     suffix = (
-        F.when(F.col("p_type") == "ECONOMY", ".ubam").when(F.col("p_type") == "SMALL", "_sequali.json")
-        .when(F.col("p_type") == "LARGE", "_sequali.html").when(F.col("p_type") == "MEDIUM", "_multiqc_report.html")
-        .otherwise(".log")
+        F.when(F.col("p_type") == "ECONOMY", ".tsv").when(F.col("p_type") == "SMALL", "_a.csv")
+        .when(F.col("p_type") == "LARGE", "_ab.csv").when(F.col("p_type") == "MEDIUM", ".svg").otherwise(".log")
     )
     name = F.concat(F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"), F.col("p_partkey"), suffix)
     return p.select(
@@ -323,7 +327,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def expected_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each task with result files should have written."""
-    outputs = RULES["basecall_v1-0-0"]["expected_output_data"]
+    outputs = RULES["polish_v0-3-1"]["expected_output_data"]
     inner = {g: F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv]) for g, kinds in outputs.items()}
     document = F.create_map(*[part for g, m in inner.items() for part in (F.lit(g), m)])
     p = table(spark, sf_dir, "part")
@@ -394,3 +398,56 @@ def report_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("/final_summary_"), F.col("ino"), F.lit(".txt"))
     return e.select("event_type", F.concat(F.lit("/r/new"), name).alias("src_path"),
                     F.when(F.col("event_type") == "moved", F.concat(F.lit("/r/kept"), name)).alias("dest_path"), "ts")
+
+
+def shallow_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing with a file for each part that lies too high in the tree to have a sample."""
+    p = table(spark, sf_dir, "part")
+    date = ts(CATALOG_TIME)
+    shallow = p.select(
+        F.concat(F.lit("/loose/"), F.col("p_partkey"), F.lit(".pod5")).alias("filepath"),
+        *_stat(date, F.col("p_size").cast("bigint"), F.col("p_partkey")),
+        F.lit(True).alias("is_file"), F.lit(False).alias("is_dir"), F.lit(False).alias("is_symlink"), ts(NOW).alias("observed_at"))
+    return inventory(spark, sf_dir).unionByName(shallow)
+
+
+def untimed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file events, every fifth without a time."""
+    return file_events(spark, sf_dir).withColumn("ts", F.when(F.col("event_id") % 5 != 0, F.col("ts")))
+
+
+def renaming_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order's file written under a temporary name and renamed twice, all in one batch.
+
+    Files of urgent orders are renamed once more, to a name whose file is then lost; those of medium priority begin as
+    files that the catalog has.
+    """
+    o = _orders(spark, sf_dir)
+    key, date, status, priority = (F.col(c) for c in ("o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"))
+    known = (priority == "3-MEDIUM") & (date < ts(CATALOG_TIME))
+    folder = F.concat(F.lit("/src/S"), F.col("o_custkey"), F.lit("/"), F.date_format(date, "yyyyMMdd"), F.lit("_1200_P1_B"),
+                      key % 40, F.lit("/raw/"))
+    stored = F.concat(folder, key, F.lit("."), _ext(status))
+    names = [F.concat(folder, F.lit(p), key, F.lit(".pod5")) for p in ("part1-", "part2-", "done-", "lost-")]
+    none = F.lit(None).cast("string")
+    size = _bytes(F.col("o_totalprice"))
+    at = [(ts(NOW) + F.make_dt_interval(mins=F.lit(m))) for m in range(6)]
+
+    def event(kind, src, dest, when, with_stat=False):
+        stat = _stat(date, size, key)
+        kinds = ("bigint", "timestamp", "timestamp", "bigint", "bigint", "bigint")
+        cells = stat if with_stat else [F.lit(None).cast(k).alias(n) for k, n in zip(kinds, ("size", "ctime", "mtime", "dev", "ino", "nlink"))]
+        return [F.lit(kind).alias("event_type"), src.alias("src_path"), dest.alias("dest_path"), when.alias("ts"), *cells]
+
+    parts = [
+        o.filter(~known).select(*event("created", names[0], none, at[0], True)),
+        o.filter(~known).select(*event("moved", names[0], names[1], at[1])),
+        o.filter(known).select(*event("moved", stored, names[1], at[1])),
+        o.select(*event("moved", names[1], names[2], at[2])),
+        o.filter(priority == "1-URGENT").select(*event("moved", names[2], names[3], at[3])),
+        o.filter(priority == "1-URGENT").select(*event("deleted", names[3], none, at[4])),
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows.withColumn("is_dir", F.lit(False))

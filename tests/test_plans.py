@@ -5,7 +5,7 @@ import re
 import pytest
 
 from stowage import views as V
-from stowage.operators import rollup as R, versions, work as W
+from stowage.operators import diff as D, events as E, rollup as R, versions, work as W
 from stowage.sources import rules
 
 
@@ -40,15 +40,58 @@ def test_rules_are_one_scan_with_a_pushed_filter(stored):
     assert plan.count("FileScan") == 1 and "EqualTo(status,indexed)" in plan and "Exchange" not in plan
 
 
-def test_small_queues_are_cut_before_the_shuffle(stored):
-    plan = physical(W.first_per_queue(stored("tasks"), {"SJF": 2, "LJF": 14}))
-    limits = re.findall(r"WindowGroupLimit.*?(Partial|Final)", plan)
-    assert "Partial" in limits and plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+@pytest.mark.parametrize("capacity", [{"SJF": 2, "LJF": 14}, {"SJF": 5000, "LJF": 14}])
+def test_queues_are_ranked_in_parts_first(stored, capacity):
+    plan = physical(W.first_per_queue(stored("tasks"), capacity))
+    keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    # The plan is printed from its end: by queue last, by queue and part before.
+    assert len(keys) == 2 and "_part" not in keys[0] and "_part" in keys[1]
 
 
-def test_large_queues_never_rank_a_whole_queue(stored):
-    plan = physical(W.first_per_queue(stored("tasks"), {"SJF": 5000, "LJF": 14}))
-    assert plan.count("TakeOrderedAndProject") == 2
+def exchanges_below(frame, node):
+    """The lines of the plan below the first such node, to the next exchange."""
+    lines = physical(frame).splitlines()
+    start = next(i for i, line in enumerate(lines) if node in line)
+    below = []
+    for line in lines[start + 1:]:
+        below.append(line)
+        if "Exchange" in line:
+            break
+    return below
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_keys_are_not_grouped_where_they_were_joined(spark, sf_dir, no_broadcast, stored):
+    """A join in place of a grouping could not be split: another exchange or a smaller side lies between."""
+    files = stored("files_now")
+    diff = D.snapshot_diff(files, files.filter("size % 2 = 0"))
+    totals = physical(R.affected_totals(files, diff, "sample"))
+    assert totals.index("Join") < totals.index("HashAggregate") and totals.count("LeftSemi") == 1
+    pages = R.member_map(files, "batch", 10)
+    assert any("REPARTITION_BY_COL" in line for line in exchanges_below(pages, "Aggregate"))
+
+
+def test_only_renamed_rows_look_for_their_origin(spark, sf_dir, no_broadcast):
+    found = E.event_diff(V.renaming_events(spark, sf_dir), V.catalog(spark, sf_dir), V.LINK_DIR)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    below = plan.split("Join LeftOuter, (from_link", 1)[1]
+    assert "isnotnull(from_link" in below and "Join LeftOuter, (from_link" not in below
+
+
+def test_diff_reads_each_side_once(spark, sf_dir):
+    both = D.key_sides(V.files_now(spark, sf_dir), V.catalog_active(spark, sf_dir))
+    assert physical(both).count("FileScan") <= 4 and physical(both).count("FullOuter") == 1
+
+
+def test_hierarchy_expands_pairs_and_not_files(stored):
+    plan = physical(R.hierarchy(R.membership(stored("files_now"))))
+    assert plan.count("Exchange") == 2 and plan.index("Expand") < plan.rindex("HashAggregate")
 
 
 def test_newest_versions_are_folded_before_the_shuffle(stored):

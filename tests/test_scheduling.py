@@ -24,12 +24,13 @@ def inputs(spark):
     results = spark.createDataFrame([(f"S{i}",) for i in range(1, 6)], "sample_id string")
     registry = Shapers()
     registry.register("call_v1", lambda t: t.join(samples.select("sample_id", F.col("size").alias("input_files_size")), "sample_id")
-                      .withColumns({"command": F.lit("run"), "n_groups": F.lit(1), "n_expected": F.lit(1)}), lambda t: t)
+                      .withColumns({"command": F.lit("run"), "n_groups": F.lit(1), "n_expected": F.lit(1)}),
+                      lambda t: t.select("task_id", F.lit("sum").alias("group"), F.lit("n").alias("type"), F.lit("7").alias("value")))
     codes = spark.createDataFrame([(101, 0), (103, 124)], "job_id long, exit_code int")
     return dict(
         exit_codes=codes, samples=samples, results=results, rules=R.normalise_rules(RULES),
         rules_table=R.load_rules(spark, RULES), shapers=registry, capacity={"SJF": 2, "LJF": 1},
-        now=F.lit("2024-01-01 10:00:00").cast("timestamp"),
+        now=F.current_timestamp(),
         hand_over=lambda admitted: admitted.select(
             "task_id", (F.lit(100) + F.substring("sample_id", 2, 1).cast("long")).alias("job_id")))
 
@@ -56,6 +57,7 @@ def test_cycles_follow_the_snapshots(spark, tmp_path):
     rows = {r["sample_id"]: r for r in P.read_tasks(spark, root).collect()}
     assert rows["S1"]["exit_code"] == 0 and rows["S3"]["job_status"] == "TIMEOUT"
     assert rows["S2"]["start"] is not None and rows["S1"]["finish"] is not None
+    assert [tuple(r) for r in P.read_results(spark, root).collect()] == [("S1", "call_v1", "S1_call_v1", "sum", "n", "7")]
     states = {r["sample_id"]: r["tasks"] for r in P.read_sample_tasks(spark, root).collect()}
     assert states["S1"] == {"call_v1": {"S1_call_v1": "completed"}} and set(states) == {"S1", "S2", "S3"}
     # Replaying all snapshots with a fresh checkpoint finds every cycle finished.
@@ -77,6 +79,20 @@ def test_a_repeated_cycle_does_not_hand_over_again(spark, tmp_path):
     assert sorted(r["status"] for r in P.read_tasks(spark, root).collect()) == ["prepared", "queued", "queued"]
 
 
+def test_child_jobs_stay_with_their_task(spark, tmp_path):
+    root = str(tmp_path)
+    kind = "job_id long, parent_job_id long, name string, status string, exit_code int, work_dir string, start timestamp, limit timestamp"
+    given = inputs(spark)
+    none = spark.createDataFrame([], kind)
+    listed = spark.createDataFrame([(101, 0, "h", "RUNNING", None, "/w", None, None), (7, 101, "c1", "RUNNING", None, "/w7", None, None),
+                                    (8, 101, "c2", "PENDING", None, "/w8", None, None), (9, 999, "x", "RUNNING", None, "/w9", None, None)], kind)
+    later = listed.filter("job_id in (101, 8)").withColumn("status", F.lit("RUNNING"))
+    for jobs in (none, listed, later):
+        P.run_stored_cycle(spark, root, jobs, **given)
+    rows = {r["job_id"]: (r["task_id"], r["status"]) for r in P.read_children(spark, root).collect()}
+    assert rows == {7: ("S1_call_v1", "RUNNING"), 8: ("S1_call_v1", "RUNNING")}
+
+
 @pytest.mark.parametrize("entity", sorted(ENTITIES))
 def test_every_entity_reads_an_empty_document_and_writes_it_back(spark, entity):
     schema, defaults = ENTITIES[entity]

@@ -1,11 +1,12 @@
 """Readers and the stored catalog."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from stowage import views as V
+from stowage import session, views as V
 from stowage.functions.predicates import active
 from stowage.operators import diff as D, rollup as R
 from stowage.operators.shapers import INPUT_CONTRACT, ContractError, Shapers, check_contract, row_shaper
@@ -31,6 +32,54 @@ def test_listing(spark, tree):
     assert "content" not in found._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
 
 
+def test_listing_keeps_any_name_and_goes_on_past_what_it_cannot_read(spark, tree, monkeypatch):
+    for name in ("_a.pod5", ".b.pod5", "c d[1].pod5"):
+        (tree / name).write_bytes(b"1")
+    (tree / "gone.pod5").symlink_to(tree / "nowhere")
+    names = {r["filepath"].rsplit("/", 1)[1] for r in listing.scan_listing(spark, [str(tree)], ["pod5"]).collect()}
+    assert names == {"_a.pod5", ".b.pod5", "c d[1].pod5", "a.pod5", "c.pod5"}
+    lost = {r["filepath"]: r["error"] for r in listing.unreadable(spark, [str(tree), f"{tree}/absent"]).collect()}
+    assert set(lost) == {f"{tree}/gone.pod5", f"{tree}/absent"}
+
+
+def test_shared_folder(spark):
+    assert session._folder("hdfs:///x", "yarn") == "hdfs:///x"
+    assert session._folder(None, "local[4]") == session._folder(None, "local")
+    with pytest.raises(session.NoSharedFolder, match="spark.checkpoint.dir"):
+        session._folder(None, "spark://host:7077")
+
+
+def test_intermediates_go_when_their_pass_ends(spark, tmp_path):
+    with session.intermediates(spark):
+        kept = session.written(spark.range(3).toDF("i"), "gone").inputFiles()
+    assert kept and not any(os.path.exists(f.removeprefix("file://")) for f in kept)
+
+
+def test_reports_are_kept_and_looked_up(spark, tmp_path):
+    root = str(tmp_path)
+    at = V.ts(V.NOW)
+
+    def listed(size):
+        return spark.createDataFrame([(f"/s/S/1_2_3_{b}/raw/{b}.pod5", s) for b, s in (("B1", size), ("B2", 5))], "filepath string, size long").selectExpr(
+            "filepath", "size", "timestamp'2024-01-01' AS ctime", "timestamp'2024-01-01' AS mtime", "1L AS dev", "1L AS ino", "1L AS nlink")
+
+    def reports(*names):
+        return spark.createDataFrame([(f"/r/final_summary_{n}.txt", "final_summary") for n in names], "filepath string, report_type string")
+
+    def state():
+        return {r["batch"]: r["final_summary"] for r in I.current_batches(spark, root).collect()}
+
+    I.sync_listing(spark, root, listed(1), "/links", at, reports=reports("B1"))
+    assert state() == {"B1": "/r/final_summary_B1.txt", "B2": None}
+    I.sync_listing(spark, root, listed(2), "/links", at)
+    assert state() == {"B1": "/r/final_summary_B1.txt", "B2": None}
+    # A report that comes later reaches a batch whose files did not change.
+    I.sync_listing(spark, root, listed(3), "/links", at, reports=reports("B2"))
+    assert state() == {"B1": "/r/final_summary_B1.txt", "B2": "/r/final_summary_B2.txt"}
+    old = I.read_batches(spark, root).filter("batch = 'B1' and status = 'deprecated'")
+    assert old.count() == 2 and I.read_batches(spark, root).filter("batch = 'B2'").count() == 1
+
+
 def test_empty_listing(spark, tree):
     with pytest.raises(listing.EmptyListing):
         listing.scan_listing(spark, [str(tree)], ["bam"])

@@ -1,5 +1,6 @@
 """Streams against their batch counterparts."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from stowage import views as V
 from stowage.operators import events as E, ordered
 from stowage.plans import indexing as I
 from stowage.schemas import FILE_EVENTS
-from stowage.streaming import events as S
+from stowage.streaming import events as S, state as T
 
 START = datetime(2024, 1, 1)
 
@@ -21,9 +22,9 @@ def test_debounce_stream_equals_batch(spark, sf_dir, tmp_path):
     stream = S.debounce(S.read_events(spark, source, schema=rows.schema), ["src_path"], gap="3 hours",
                         payload=["event_id"], tie=["event_id"])
     S.start(stream, target, checkpoint).awaitTermination()
-    S.close_sessions(spark, source, rows.schema, "2100-01-01")
-    S.start(stream, target, checkpoint).awaitTermination()
-    streamed = {(r["src_path"], r["event_id"]) for r in spark.read.parquet(target).collect()}
+    held = S.open_bursts(spark, checkpoint, ["src_path"], ["event_id"])
+    assert held.columns == stream.columns and held.count() > 0
+    streamed = {(r["src_path"], r["event_id"]) for r in spark.read.parquet(target).unionByName(held).collect()}
     batch = ordered.settled(rows, ["src_path"], "ts", 3 * 3600, tie=["event_id"])
     assert streamed == {(r["src_path"], r["event_id"]) for r in batch.collect()}
 
@@ -36,12 +37,80 @@ def test_writes_are_due_after_their_target_is_quiet(spark, tmp_path):
     rows.write.parquet(source)
     stream = S.due_writes(S.read_events(spark, source, schema=rows.schema))
     S.start(stream, target, checkpoint).awaitTermination()
-    S.close_sessions(spark, source, rows.schema, "2100-01-01")
-    S.start(stream, target, checkpoint).awaitTermination()
-    found = {(r["target"], (r["settled_at"] - START).seconds, r["n_events"]) for r in spark.read.parquet(target).collect()}
+    due = spark.read.parquet(target).unionByName(S.open_bursts(spark, checkpoint, ["target"]))
+    found = {(r["target"], (r["settled_at"] - START).seconds, r["n_events"]) for r in due.collect()}
     assert found == {("files", 14, 3), ("files", 30, 1), ("batches", 0, 1)}
 
 
+def test_open_bursts_go_on_after_a_restart(spark, tmp_path):
+    """Reading what is open changes nothing: later events join their bursts, over any number of restarts."""
+    source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema = spark.createDataFrame([("a", START)], "src_path string, ts timestamp").schema
+
+    def drop(*seconds):
+        spark.createDataFrame([("a", START + timedelta(seconds=n)) for n in seconds], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = S.debounce(S.read_events(spark, source, schema=schema), ["src_path"], gap="10 seconds")
+        S.start(stream, target, checkpoint).awaitTermination()
+        return [(r["settled_at"] - START).seconds for r in S.open_bursts(spark, checkpoint, ["src_path"]).collect()]
+
+    assert drop(0, 4) == [4] and drop(9) == [9] and drop(30) == [30] and drop(35, 39) == [39]
+    settled = sorted(((r["settled_at"] - START).seconds, r["n_events"]) for r in spark.read.parquet(target).collect())
+    assert settled == [(9, 3)]
+    assert drop(100) == [100]
+    assert spark.read.parquet(target).count() == 2
+
+
+def test_transitions_within_a_micro_batch_and_across_restarts(spark, tmp_path):
+    source, root, checkpoint = (str(tmp_path / n) for n in ("in", "root", "cp"))
+    schema = "task_id string, polled_at timestamp, status string"
+    many = [("t", START + timedelta(seconds=k), "a" if k < 15000 else "b") for k in range(30000)]
+    random.Random(1).shuffle(many)
+    later = [("t", START + timedelta(days=1), "b"), ("u", None, "x"), ("t", START + timedelta(days=2), "c")]
+    for rows in (many, later):
+        frame = spark.createDataFrame(rows, schema)
+        frame.write.mode("append").parquet(source)
+        T.track_transitions(S.read_events(spark, source, schema=frame.schema), root, checkpoint).awaitTermination()
+    found = sorted((r["task_id"], r["previous_status"] or "", r["status"]) for r in T.read_transitions(spark, root).collect())
+    assert found == [("t", "", "a"), ("t", "a", "b"), ("t", "b", "c"), ("u", "", "x")]
+
+
+def test_a_file_is_indexed_once_it_is_quiet(spark, tmp_path):
+    root, source, checkpoint = (str(tmp_path / n) for n in ("cat", "in", "cp"))
+    a, b, c = path("S1", "B1", "a.pod5"), path("S1", "B1", "b.pod5"), path("S1", "B1", "c.pod5")
+
+    def drop(*rows):
+        spark.createDataFrame(list(rows), FILE_EVENTS).coalesce(1).write.mode("append").parquet(source)
+        S.sync_catalog(S.quiet_events(S.read_events(spark, source), gap="90 seconds"), root, "/links", V.ts(V.NOW), checkpoint, 0
+                       ).awaitTermination()
+        return {r["filepath"]: r["size"] for r in I.current_files(spark, root).collect()}
+
+    assert drop(event("created", a, 1, 10), event("modified", a, 2, 20), event("created", b, 2, 5)) == {}
+    # The watermark passes b and a; c is still being written.
+    assert drop(event("created", c, 10, 7), event("modified", c, 11, 8)) == {a: 20, b: 5}
+    assert drop(event("modified", c, 12, 9), event("deleted", b, 30)) == {a: 20, b: 5, c: 9}
+
+
+def test_create_then_rename_twice_then_create_again(spark):
+    """A file's content follows it as of each move, whatever its old names hold later."""
+    t1, t2, t3 = (path("S1", "B1", n) for n in ("1.pod5", "2.pod5", "3.pod5"))
+    rows = [event("created", t1, 1, 10), event("moved", t1, 2, dest=t2), event("created", t1, 3, 99, ino=5),
+            event("moved", t2, 4, dest=t3), event("moved", t1, 5, dest=t2)]
+    empty = ("symlink string, filepath string, size long, dev long, ino long, nlink long, created timestamp, "
+             "modified timestamp, batch string, sample string, status string, fingerprint string")
+    found = E.event_diff(spark.createDataFrame(rows, FILE_EVENTS), spark.createDataFrame([], empty), "/links").collect()
+    assert {r["new_filepath"]: (r["change_type"], r["new_size"]) for r in found} == {
+        t3: ("added", 10), t2: ("added", 99)}
+
+
+def test_shallow_paths_are_rejected_by_event_passes(spark, tmp_path):
+    root, good = str(tmp_path), path("S1", "B1", "a.pod5")
+    rows = [event("created", "/x/y.pod5", 1, 1), event("created", good, 1, 2), event("moved", good, 2, dest="/x/z.pod5")]
+    I.sync_events(spark, root, spark.createDataFrame(rows, FILE_EVENTS), "/links", F.current_timestamp())
+    assert sorted((r["symlink"], r["reason"]) for r in I.read_rejects(spark, root).collect()) == [
+        ("/x/y.pod5", "path names no sample"), ("/x/z.pod5", "path names no sample")]
+    assert I.current_files(spark, root).count() == 0
+
+
 def event(kind, path, minute, size=None, dest=None, ino=1):
     stat = (size, START, START + timedelta(minutes=minute), 1, ino, 1) if size is not None else (None,) * 6
     return (kind, path, dest, START + timedelta(minutes=minute), *stat, False)
