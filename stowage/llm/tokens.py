@@ -9,8 +9,7 @@ import sys
 import numpy as np
 
 #: Words whose ids are remembered by one Python worker; beyond it the memory starts anew.
-REMEMBERED = 400_000
-_LOWER = {c: c + 32 for c in range(65, 91)}
+REMEMBERED = 700_000
 _BEFORE_STOP = re.compile(r"(?<=[a-z0-9à-öø-ÿ])(?=[.,])")
 
 
@@ -27,28 +26,46 @@ class WordEncoder:
     with a full stop or comma after it. Ids of words are remembered across the tasks of a Python worker.
     """
 
-    def __init__(self, path: str, rows=None):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         # Kept on a module that outlives the task, since this class is sent anew with each.
         store = sys.modules["tokenizers"].__dict__.setdefault("_stowage_words", {})
         if path not in store:
-            store[path] = Tokenizer.from_file(path), {}
-        self.tokenizer, self.known = store[path]
+            tokenizer = Tokenizer.from_file(path)
+            ends = np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(tokenizer.get_vocab_size())])
+            store[path] = tokenizer, ends, {}
+        self.tokenizer, self.ends_word, self.known = store[path]
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of new words.
+
+        Lower-case Latin words are encoded in one text and cut where a token ends a word; others one by one.
+        """
+        plain = [w for w in words if w.isalpha() and w.islower() and max(w) < "\u0250"]
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.nonzero(self.ends_word[ids])[0] + 1
+            if len(ends) != len(plain):
+                raise ValueError("the tokenizer does not mark the ends of words")
+            data, cuts = ids.tobytes(), (4 * ends).tolist()
+            self.known.update(zip(plain, map(data.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
+        other = [w for w in words if w not in self.known]
+        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            self.known[word] = np.array(found.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str | None], end: int | None = None) -> list[np.ndarray]:
         """Little-endian unsigned 32-bit ids of each text, with ``end`` after them."""
-        split = [_BEFORE_STOP.sub(" ", t.translate(_LOWER)).split() if t else [] for t in texts]
+        # Only A-Z change case here, whatever else the tokenizer does with other letters.
+        split = [_BEFORE_STOP.sub(" ", t.encode().lower().decode()).split() if t else [] for t in texts]
         known = self.known
         for start in range(0, len(split), 256):
-            new = {w for words in split[start:start + 256] for w in words if w not in known}
+            new = set().union(*split[start:start + 256]).difference(known)
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
-                new = {w for words in split[start:start + 256] for w in words}
-            new = list(new)
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
+                new = set().union(*split[start:start + 256])
+            self._learn(list(new))
             for k in range(start, min(start + 256, len(split))):
                 split[k] = b"".join(map(known.__getitem__, split[k]))
         last = b"" if end is None else np.array([end], "<u4").tobytes()
