@@ -9,4 +9,11 @@ plans       whole passes built from operators: indexing, scheduling
 streaming   the same operators over event streams
 """
 
-__version__ = "0.1.0"
+import sys
+
+from pyspark.cloudpickle import register_pickle_by_value
+
+# Functions travel to executors by value, so that these need not have the package.
+register_pickle_by_value(sys.modules[__name__])
+
+__version__ = "0.2.0"
