@@ -31,7 +31,7 @@ class _Hashes(dict):
     """64-bit hashes of lower-cased words, remembered within bounds."""
 
     def __missing__(self, word):
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word.lower())
         return value

@@ -39,7 +39,7 @@ class _Places(dict):
     """The feature of each token, remembered within bounds."""
 
     def __missing__(self, token):
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         value = self[token] = xxhash.xxh64_intdigest(token.lower(), 8) % WIDTH
         return value
@@ -151,9 +151,11 @@ def graded(docs: DataFrame, model: Model, text: str = "text", at_least: int | No
         model, known = Model(*held.value), _Places()
         grades = np.array(model.grades, float)
         for batch in batches:
-            found = [features(t, known) if t else set() for t in batch.column(place).to_pylist()]
-            score = np.array([model.weights[list(f)].sum() for f in found])
-            some = np.array([bool(f) for f in found])
+            score, some = np.zeros(batch.num_rows), np.zeros(batch.num_rows, bool)
+            for k, t in enumerate(batch.column(place)):
+                found = features(t.as_py(), known) if t.is_valid else ()
+                if found:
+                    score[k], some[k] = model.weights[sorted(found)].sum(), True
             if len(grades):
                 above = model.above(score)
                 expected = grades[0] + above @ np.diff(grades)

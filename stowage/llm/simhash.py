@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 
@@ -15,6 +16,8 @@ from .common import by_batch, components, forget, roots, stored
 SEED = 42
 #: Rows with one block value that are compared in one task at once; more are dealt to pairs of groups.
 CELL = 2048
+#: Pairs that are compared, or links that are held, at once.
+STEP = 1 << 19
 #: Hot block values up to this number are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 
@@ -195,89 +198,120 @@ def _signatures(layout, thresholds):
 SIGNATURES = "key long, role byte, node long, fp long, size int"
 
 
-def _runs(max_bits, size_ratio, forest):
-    """For rows sorted by key, cell and role: pairs of an index row and a later row of its cell that verify."""
-    limit = 1 << 21
-
-    def verified(run, role, node, fp, size):
-        ends = np.append(np.nonzero(run[1:] != run[:-1])[0] + 1, len(run))
-        last = ends[np.searchsorted(ends, np.arange(len(run)), side="right")]
-        many = np.where(role == 0, last - np.arange(len(run)) - 1, 0)
-        total = np.cumsum(many)
-        start = 0
-        while start < len(run):
-            stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + limit, side="right")))
-            left = np.repeat(np.arange(start, stop), many[start:stop])
-            if len(left):
-                base = np.repeat(total[start:stop] - many[start:stop], many[start:stop])
-                right = left + 1 + np.arange(len(left)) + (total[start - 1] if start else 0) - base
-                near = (np.bitwise_count(fp[left] ^ fp[right]) <= max_bits) & (node[left] != node[right])
-                if size_ratio:
-                    low, high = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
-                    near &= low >= size_ratio * high
-                yield node[left[near]], node[right[near]]
-            start = stop
+def _near(run, role, node, fp, size, label, max_bits, size_ratio):
+    """For rows in order of their run, index rows first: the places of index rows and later rows of their run that are near."""
+    ends = np.append(np.nonzero(run[1:] != run[:-1])[0] + 1, len(run))
+    last = ends[np.searchsorted(ends, np.arange(len(run)), side="right")]
+    many = np.where(role == 0, last - np.arange(len(run)) - 1, 0)
+    total, start = np.cumsum(many), 0
+    while start < len(run):
+        done = total[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(total, done + STEP, side="right")))
+        left = np.repeat(np.arange(start, stop), many[start:stop])
+        if len(left):
+            right = left + 1 + np.arange(len(left)) + done - np.repeat(total[start:stop] - many[start:stop], many[start:stop])
+            near = (np.bitwise_count(fp[left] ^ fp[right]) <= max_bits) & (label[left] != label[right])
+            if size_ratio:
+                low, high = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
+                near &= low >= size_ratio * high
+            yield left[near], right[near]
+        start = stop
+
+
+def _by_run(batches):
+    """Rows sorted by key, cell and role, with the number of their run; a run comes whole unless its probes are very many.
+
+    Of such a run the index rows come again with the next probes.
+    """
+    tail = None
+    for batch in batches:
+        got = [np.asarray(batch.column(i)) for i in range(8)]
+        got[5] = got[5].astype(np.int64).view(np.uint64)
+        if tail is not None:
+            got = [np.concatenate(x) for x in zip(tail, got)]
+        key, lo, hi = got[:3]
+        new = np.append(0, ((key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])).astype(np.int64))
+        whole = int(np.nonzero(new)[0][-1]) if new.any() else 0
+        if whole:
+            yield np.cumsum(new)[:whole], [x[:whole] for x in got]
+        tail = [x[whole:] for x in got]
+        if len(tail[0]) > 1 << 18:
+            yield np.zeros(len(tail[0]), np.int64), tail
+            tail = [x[tail[3] == 0] for x in tail]
+    if tail is not None and len(tail[0]):
+        yield np.zeros(len(tail[0]), np.int64), tail
+
+
+def _stars(max_bits):
+    """Links that connect what is near, within a task."""
 
     def step(batches):
-        tail, kept = None, []
-
-        def out(force=False):
-            nonlocal kept
-            if kept and (force or sum(len(a) for a, _ in kept) > limit):
-                a, b = np.concatenate([x for x, _ in kept]), np.concatenate([x for _, x in kept])
-                if forest:
-                    a, b = roots(a, b)
-                    kept = [] if force or len(a) > limit // 2 else [(a, b)]
-                else:
-                    kept = []
-                if not kept and len(a):
-                    for k in range(0, len(a), 1 << 18):
-                        yield pa.RecordBatch.from_pydict({"a": a[k:k + (1 << 18)], "b": b[k:k + (1 << 18)]})
-
-        for batch in batches:
-            got = [np.asarray(batch.column(i)) for i in range(7)]
-            got[5] = got[5].astype(np.int64).view(np.uint64)
-            if tail is not None:
-                got = [np.concatenate(x) for x in zip(tail, got)]
-            key, lo, hi = got[:3]
-            breaks = np.nonzero((key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))[0] + 1
-            run = np.zeros(len(key), np.int64)
-            run[breaks] = 1
-            whole = breaks[-1] if len(breaks) else 0
-            if whole:
-                for pair in verified(np.cumsum(run)[:whole], *(x[:whole] for x in got[3:])):
-                    kept.append(pair)
-                    yield from out()
-            tail = [x[whole:] for x in got]
-            if len(tail[0]) > 1 << 18:  # a value that is probed very often: its index rows stay for the next probes
-                for pair in verified(np.zeros(len(tail[0]), np.int64), *tail[3:]):
-                    kept.append(pair)
-                    yield from out()
-                tail = [x[tail[3] == 0] for x in tail]
-        if tail is not None and len(tail[0]):
-            for pair in verified(np.zeros(len(tail[0]), np.int64), *tail[3:]):
-                kept.append(pair)
-                yield from out()
-        yield from out(force=True)
+        kept = []
+        for run, (_, _, _, role, node, fp, size, label) in _by_run(batches):
+            for left, right in _near(run, role, node, fp, size, label, max_bits, 0):
+                kept.append((node[left], node[right]))
+                if sum(len(a) for a, _ in kept) > STEP:
+                    a, b = roots(*(np.concatenate(x) for x in zip(*kept)))
+                    kept = [(a, b)]
+                    if len(a) > STEP // 2:
+                        kept = []
+                        yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+        if kept:
+            a, b = roots(*(np.concatenate(x) for x in zip(*kept)))
+            for k in range(0, len(a), 1 << 18):
+                yield pa.RecordBatch.from_pydict({"a": a[k:k + (1 << 18)], "b": b[k:k + (1 << 18)]})
 
     return step
 
 
-def near_pairs(points: DataFrame, max_bits: int, parts: tuple[int, ...] = (2, 3, 4), size_ratio: float = 0.0,
-               forest: bool = True) -> DataFrame:
-    """Links ``a``, ``b`` between the nodes of ``points`` (``node`` long, ``fp`` long, ``size`` int; nodes distinct).
+PAIRS = "kind byte, a long, b long, key long, lo int, hi int, role byte, fp long, size int"
+
+
+def _pairs(max_bits, size_ratio, most):
+    """Near pairs as rows of kind 0: for each row of a run the first ``most`` rows before it that are near.
+
+    The rows of runs where some row has more of them come along as kind 1.
+    """
+
+    def step(batches):
+        for run, (key, lo, hi, role, node, fp, size, label) in _by_run(batches):
+            seen, more = np.zeros(len(run), np.int64), np.zeros(int(run[-1]) + 1, bool)
+            for left, right in _near(run, role, node, fp, size, label, max_bits, size_ratio):
+                order = np.argsort(right, kind="stable")
+                left, right = left[order], right[order]
+                begin = np.append(True, right[1:] != right[:-1]) if len(right) else np.zeros(0, bool)
+                group = np.cumsum(begin) - 1
+                rank = np.arange(len(right)) - np.nonzero(begin)[0][group] + seen[right]
+                np.add.at(seen, right, 1)
+                first = rank < most
+                more[run[right[~first]]] = True
+                a, b = node[left[first]], node[right[first]]
+                for k in range(0, len(a), 1 << 18):
+                    x, y = a[k:k + (1 << 18)], b[k:k + (1 << 18)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.zeros(len(x), np.int8)), pa.array(x), pa.array(y)] + [pa.nulls(len(x), t) for t in (
+                            pa.int64(), pa.int32(), pa.int32(), pa.int8(), pa.int64(), pa.int32())],
+                        names=[c.split()[0] for c in PAIRS.split(", ")])
+            rows = more[run]
+            if rows.any():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.ones(rows.sum(), np.int8)), pa.array(node[rows]), pa.array(node[rows]), *(pa.array(x[rows]) for x in (
+                        key, lo, hi, role)), pa.array(fp[rows].view(np.int64)), pa.array(size[rows])],
+                    names=[c.split()[0] for c in PAIRS.split(", ")])
+
+    return step
+
 
-    With ``forest``, only as many links as connect what is linked; else every pair of nodes at ``max_bits`` or
-    fewer bits and with sizes in that ratio or closer, each perhaps several times.
+def _cells(points: DataFrame, max_bits: int, parts: tuple[int, ...]) -> DataFrame:
+    """The signature rows of ``points``, dealt to cells.
 
     A block value with more than ``CELL`` fingerprints is dealt to groups, and each pair of groups is a cell of its
     own; probes of it go to each group once. So a task holds two groups, whatever the value's share of the rows.
     """
-    spark = points.sparkSession
+    points = points.select("node", "fp", "size")
     layout, thresholds = plan(points, "fp", max_bits, parts)
-    rows = points.select("node", "fp", "size").mapInArrow(_signatures(layout, thresholds), SIGNATURES)
-    exact = points.select("node", "fp", "size").mapInArrow(
-        _signatures(layout, [min(t, 0) for t in thresholds]), SIGNATURES)
+    rows = points.mapInArrow(_signatures(layout, thresholds), SIGNATURES)
+    exact = points.mapInArrow(_signatures(layout, [min(t, 0) for t in thresholds]), SIGNATURES)
     hot = stored(exact.groupBy("key").count().filter(F.col("count") > CELL).select(
         "key", F.ceil(F.col("count") / CELL).cast("int").alias("groups")), "hot-blocks")
     number = hot.count()
@@ -290,9 +324,44 @@ def near_pairs(points: DataFrame, max_bits: int, parts: tuple[int, ...] = (2, 3,
         hi = F.when(F.col("role") == 0, F.greatest("own", "other")).otherwise(F.col("other"))
     else:
         lo = hi = F.lit(0)
-    rows = rows.select("key", lo.alias("lo"), hi.alias("hi"), "role", "node", "fp", "size")
-    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "role").mapInArrow(
-        _runs(max_bits, size_ratio, forest), "a long, b long")
+    return rows.select("key", lo.alias("lo"), hi.alias("hi"), "role", "node", "fp", "size", F.col("node").alias("label"))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "role", "node")
+
+
+def near_links(points: DataFrame, max_bits: int, parts: tuple[int, ...] = (2, 3, 4)) -> DataFrame:
+    """Links ``a``, ``b`` that connect the nodes of ``points`` (``node`` long, ``fp`` long, ``size`` int; nodes distinct).
+
+    As many as it takes to connect what pairs at ``max_bits`` bits or fewer connect; no pairs within a group are emitted
+    beyond that.
+    """
+    return _dealt(_cells(points, max_bits, parts)).mapInArrow(_stars(max_bits), "a long, b long")
+
+
+def verified_groups(points: DataFrame, max_bits: int, parts: tuple[int, ...], size_ratio: float, verify,
+                    rounds: tuple[int, ...] = (8, 64)) -> DataFrame:
+    """``node``, ``root`` of the components of near pairs (sizes in that ratio or closer) that ``verify`` leaves.
+
+    ``verify(pairs, nodes)`` takes pairs ``a``, ``b`` and the nodes that later pairs may have, and returns those that hold.
+    In each run a row first meets as many rows before it as the first round says; where it has more, the run waits for
+    the next round and the pairs that are not connected by then. The last round takes all of them. So a large group
+    that holds together is connected through its first members, and every pair that could still connect something
+    is tried.
+    """
+    rows, links = _cells(points, max_bits, parts), []
+    for most in (*rounds, 1 << 62):
+        found = stored(_dealt(rows).mapInArrow(_pairs(max_bits, size_ratio, most), PAIRS), "pairs")
+        pairs = found.filter("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        waiting = found.filter("kind = 1")
+        links.append(stored(verify(pairs, waiting.select(F.col("a").alias("node")).distinct()), "links"))
+        joined = components(functools.reduce(DataFrame.union, links), "near-duplicates")
+        if waiting.isEmpty():
+            return joined
+        rows = waiting.join(joined.withColumnRenamed("node", "a"), "a", "left").select(
+            "key", "lo", "hi", "role", F.col("a").alias("node"), "fp", "size", F.coalesce("root", "a").alias("label"))
+    raise AssertionError("the last round leaves nothing to wait")
 
 
 def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
@@ -306,7 +375,7 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
     marks = stored(fingerprints(docs, key, text, shingle).withColumnRenamed(key, "_key"), "fingerprints")
     distinct = stored(marks.groupBy("fingerprint").agg(F.min("_key").alias("_least")), "distinct")
     points = distinct.select(F.col("fingerprint").alias("node"), F.col("fingerprint").alias("fp"), F.lit(0).alias("size"))
-    joined = components(near_pairs(points, max_bits), "simhash")
+    joined = components(near_links(points, max_bits), "simhash")
     # Most fingerprints have no link; they are their own component.
     named = distinct.join(joined, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "_least", F.coalesce("root", "fingerprint").alias("_root"))
@@ -342,12 +411,13 @@ def _alike(similarity: float):
 
 
 def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 2, max_bits: int = 7,
-                     check: int = 5, similarity: float = 0.8) -> DataFrame:
+                     check: int = 5, similarity: float = 0.8, parts: tuple[int, ...] = (3, 4, 5)) -> DataFrame:
     """One row of each group of near duplicates, with all its columns: the one with the least key.
 
     Two texts are near duplicates if their fingerprints (over the different runs of ``shingle`` words) are at ``max_bits``
     bits or fewer and the sets of their ``check``-word shingles have a Jaccard similarity of ``similarity`` or more, which
-    is computed exactly. Groups are connected components. Equal texts are one group; null texts and texts
+    is computed exactly; of pairs that alike, 9 in 10 have such fingerprints. Groups are connected components.
+    Equal texts are one group; null texts and texts
     without a word are equal in this. Of rows with equal key and text any one stays; null keys come last. An empty
     table stays empty.
     """
@@ -359,22 +429,27 @@ def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", s
         _sketches(shingle, check), rows.select("_key", "node", F.lit(0).cast("long").alias("fp"), F.lit(0).alias("size")).schema), "sketches")
     nodes = stored(marks.groupBy("node").agg(
         F.min("_key").alias("_least"), F.first("fp").alias("fp"), F.first("size").alias("size")), "texts")
-    pairs = stored(near_pairs(nodes.select("node", "fp", "size"), max_bits, (3, 4, 5), similarity, forest=False).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
 
     def sets(batch):
         found = [np.unique(shingle_hashes(t, check)).tobytes() for t in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "set"])
 
-    # The text of one row for each node that has a partner.
-    chosen = wanted.join(nodes, "node").select(F.struct("node", F.col("_least").alias("key")).alias("_of"))
-    texts = rows.select(F.struct("node", F.col("_key").alias("key")).alias("_at"), "node", "_text").join(
-        chosen, F.col("_at") == F.col("_of"), "left_semi").select("node", "_text").dropDuplicates(["node"])
-    shingles = stored(texts.mapInArrow(by_batch(sets), "node long, set binary"), "shingles")
-    both = pairs.join(shingles.select(F.col("node").alias("a"), F.col("set").alias("left")), "a").join(
-        shingles.select(F.col("node").alias("b"), F.col("set").alias("right")), "b").select("a", "b", "left", "right")
-    roots_of = components(both.mapInArrow(_alike(similarity), "a long, b long"), "near-duplicates")
+    known = []
+
+    def verify(pairs, later):
+        pairs = stored(pairs, "candidates")
+        if not known:
+            # The text of one row for each node that has a partner, or may yet get one.
+            wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(later).distinct()
+            chosen = wanted.join(nodes, "node").select(F.struct("node", F.col("_least").alias("key")).alias("_of"))
+            texts = rows.select(F.struct("node", F.col("_key").alias("key")).alias("_at"), "node", "_text").join(
+                chosen, F.col("_at") == F.col("_of"), "left_semi").select("node", "_text").dropDuplicates(["node"])
+            known.append(stored(texts.mapInArrow(by_batch(sets), "node long, set binary"), "shingles"))
+        left, right = (known[0].select(F.col("node").alias(n), F.col("set").alias(f"_{n}")) for n in "ab")
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "_a", "_b")
+        return both.mapInArrow(_alike(similarity), "a long, b long")
+
+    roots_of = verified_groups(nodes, max_bits, parts, similarity, verify)
     named = nodes.join(roots_of, "node", "left").select("node", "_least", F.coalesce("root", "node").alias("_root"))
     # The least key of the group, and of texts that share it the least.
     winners = named.groupBy("_root").agg(F.min(F.struct(F.col("_least").isNull(), "_least", "node")).alias("w")).select(

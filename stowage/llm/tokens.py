@@ -9,7 +9,7 @@ import sys
 import numpy as np
 
 #: Words whose ids are remembered by one Python worker; beyond it the memory starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 250_000
 _BEFORE_STOP = re.compile(r"(?<=[a-z0-9à-öø-ÿ])(?=[.,])")
 
 

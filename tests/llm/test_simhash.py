@@ -69,12 +69,22 @@ def test_no_link_is_lost(spark, monkeypatch, max_bits, parts, cell):
     values = sorted({c ^ sum(1 << b for b in set(draw.randint(0, 64, draw.randint(0, 7)).tolist())) for c in centres for _ in range(12)})
     points = spark.createDataFrame([(k, v - (v >> 63 << 64), 10) for k, v in enumerate(values)], "node long, fp long, size int")
     expected = {(a, b) for a in range(len(values)) for b in range(a + 1, len(values)) if (values[a] ^ values[b]).bit_count() <= max_bits}
-    found = {(min(r), max(r)) for r in map(tuple, S.near_pairs(points, max_bits, parts, forest=False).collect())}
-    assert found == expected
-    forest = S.near_pairs(points, max_bits, parts)
-    tree = {r.node: r.root for r in components(forest).collect()}
+    tree = {r.node: r.root for r in components(S.near_links(points, max_bits, parts)).collect()}
     assert [tree.get(k, k) for k in range(len(values))] == plain_groups(
         list(range(len(values))), lambda a, b: (min(a, b), max(a, b)) in expected)
+    # With a check that leaves few pairs, every pair that could connect something has to be tried.
+    holds = {(a, b) for a, b in expected if (a * 7 + b * 13) % 5 == 0}
+    tried = []
+
+    def verify(pairs, later):
+        got = [tuple(r) for r in pairs.collect()]
+        assert set(got) <= expected
+        tried.append(len(got))
+        return spark.createDataFrame([p for p in got if p in holds], "a long, b long")
+
+    tree = {r.node: r.root for r in S.verified_groups(points, max_bits, parts, 0.0, verify, rounds=(1, 2)).collect()}
+    assert [tree.get(k, k) for k in range(len(values))] == plain_groups(
+        list(range(len(values))), lambda a, b: (min(a, b), max(a, b)) in holds)
 
 
 def test_thresholds_are_the_cheapest():
@@ -114,6 +124,18 @@ def test_one_document_of_each_group(spark):
     assert sorted(((r.doc_id is None, r.doc_id or 0) for r in kept)) == sorted(set(least))
 
 
+def test_a_large_group_is_connected_through_its_first_members(spark):
+    points = spark.createDataFrame([(k, (1 << (k % 40)) - (1 << 62), 10) for k in range(400)], "node long, fp long, size int")
+    tried = []
+
+    def verify(pairs, later):
+        tried.append(pairs.count())
+        return pairs
+
+    assert {r.root for r in S.verified_groups(points, 7, (3, 4, 5), 0.8, verify).collect()} == {0}
+    assert sum(tried) < 400 * 60  # of 79,800 pairs
+
+
 def test_many_copies_and_empty_table(spark):
     rows = [(k % 40, sentence(1, 50)) for k in range(400)] + [(1000 + k, None) for k in range(50)]
     assert sorted(r.doc_id for r in S.unique_documents(documents(spark, rows)).collect()) == [0, 1000]
