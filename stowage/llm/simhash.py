@@ -20,6 +20,8 @@ CELL = 2048
 STEP = 1 << 19
 #: Hot block values up to this number are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
+#: Columns of the parity sketch of a set, 64 bits each.
+PARITY = ("odd0", "odd1", "odd2", "odd3")
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -52,6 +54,15 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
     return kept.mapInArrow(by_batch(step), kept.select(key, F.lit(0).cast("long").alias("fingerprint")).schema)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Of different hashes, whether the number in each of 256 ranges is odd, as four words of 64 bits.
+
+    The sketches of two sets differ in no more bits than the sets have elements that the other lacks.
+    """
+    count = np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=64 * len(PARITY))
+    return np.packbits(count & 1, bitorder="little").view(np.uint64)
+
+
 # --- which bits belong together, and how far each part is searched -------------------------------------
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -165,7 +176,7 @@ def plan(points: DataFrame, column: str, max_bits: int, parts: tuple[int, ...])
 # --- probing and verifying -------------------------------------------------------------------------------
 
 def _signatures(layout, thresholds):
-    """Rows (key, role, node, fp, size): role 0 under the fingerprint's own block values, 1 under those it probes."""
+    """Rows (key, role, node, fp, size, further columns): role 0 under the fingerprint's own block values, 1 under those it probes."""
     flips = []
     for part, most in zip(layout, thresholds):
         masks = [sum(1 << p for p in at) for s in range(1, most + 1) for at in itertools.combinations(range(len(part)), s)]
@@ -190,7 +201,8 @@ def _signatures(layout, thresholds):
             rows = np.concatenate([np.arange(len(own)), who])
             yield pa.RecordBatch.from_pydict({
                 "key": keys.view(np.int64), "role": (np.arange(len(rows)) >= len(own)).astype(np.int8),
-                "node": node[rows], "fp": values[rows].view(np.int64), "size": size[rows]})
+                "node": node[rows], "fp": values[rows].view(np.int64), "size": size[rows]} | {
+                batch.schema.names[k]: np.asarray(batch.column(k))[rows] for k in range(3, batch.num_columns)})
 
     return step
 
@@ -198,8 +210,20 @@ def _signatures(layout, thresholds):
 SIGNATURES = "key long, role byte, node long, fp long, size int"
 
 
-def _near(run, role, node, fp, size, label, max_bits, size_ratio):
-    """For rows in order of their run, index rows first: the places of index rows and later rows of their run that are near."""
+def _with(schema: str, further: list[str]) -> str:
+    return ", ".join([schema, *(f"{c} long" for c in further)])
+
+
+def _further(points: DataFrame) -> list[str]:
+    return [c for c in PARITY if c in points.columns]
+
+
+def _near(run, role, node, fp, size, label, max_bits, similarity=0, odd=()):
+    """For rows in order of their run, index rows first: the places of index rows and later rows of their run that are near.
+
+    With a similarity, pairs are left out whose sets cannot have it: sizes too far apart, or too many elements that
+    only one has, by the parity sketches ``odd``.
+    """
     ends = np.append(np.nonzero(run[1:] != run[:-1])[0] + 1, len(run))
     last = ends[np.searchsorted(ends, np.arange(len(run)), side="right")]
     many = np.where(role == 0, last - np.arange(len(run)) - 1, 0)
@@ -211,10 +235,16 @@ def _near(run, role, node, fp, size, label, max_bits, size_ratio):
         if len(left):
             right = left + 1 + np.arange(len(left)) + done - np.repeat(total[start:stop] - many[start:stop], many[start:stop])
             near = (np.bitwise_count(fp[left] ^ fp[right]) <= max_bits) & (label[left] != label[right])
-            if size_ratio:
+            left, right = left[near], right[near]
+            if similarity:
                 low, high = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
-                near &= low >= size_ratio * high
-            yield left[near], right[near]
+                can = low >= similarity * high
+                if odd:
+                    differ = sum(np.bitwise_count(x[left] ^ x[right]).astype(np.int64) for x in odd)
+                    # Of two sets that alike, (1 - s) / (1 + s) of both sizes are in one only; rounding rejects nothing.
+                    can &= (differ - 1e-6) * (1 + similarity) <= (1 - similarity) * (low.astype(np.int64) + high)
+                left, right = left[can], right[can]
+            yield left, right
         start = stop
 
 
@@ -225,8 +255,9 @@ def _by_run(batches):
     """
     tail = None
     for batch in batches:
-        got = [np.asarray(batch.column(i)) for i in range(8)]
-        got[5] = got[5].astype(np.int64).view(np.uint64)
+        got = [np.asarray(batch.column(i)) for i in range(batch.num_columns)]
+        for i in (5, *range(8, len(got))):
+            got[i] = got[i].astype(np.int64).view(np.uint64)
         if tail is not None:
             got = [np.concatenate(x) for x in zip(tail, got)]
         key, lo, hi = got[:3]
@@ -248,7 +279,7 @@ def _stars(max_bits):
     def step(batches):
         kept = []
         for run, (_, _, _, role, node, fp, size, label) in _by_run(batches):
-            for left, right in _near(run, role, node, fp, size, label, max_bits, 0):
+            for left, right in _near(run, role, node, fp, size, label, max_bits):
                 kept.append((node[left], node[right]))
                 if sum(len(a) for a, _ in kept) > STEP:
                     a, b = roots(*(np.concatenate(x) for x in zip(*kept)))
@@ -267,16 +298,18 @@ def _stars(max_bits):
 PAIRS = "kind byte, a long, b long, key long, lo int, hi int, role byte, fp long, size int"
 
 
-def _pairs(max_bits, size_ratio, most):
+def _pairs(max_bits, similarity, most):
     """Near pairs as rows of kind 0: for each row of a run the first ``most`` rows before it that are near.
 
     The rows of runs where some row has more of them come along as kind 1.
     """
 
     def step(batches):
-        for run, (key, lo, hi, role, node, fp, size, label) in _by_run(batches):
+        for run, (key, lo, hi, role, node, fp, size, label, *odd) in _by_run(batches):
+            further = PARITY[:len(odd)]
+            names = [c.split()[0] for c in _with(PAIRS, further).split(", ")]
             seen, more = np.zeros(len(run), np.int64), np.zeros(int(run[-1]) + 1, bool)
-            for left, right in _near(run, role, node, fp, size, label, max_bits, size_ratio):
+            for left, right in _near(run, role, node, fp, size, label, max_bits, similarity, odd):
                 order = np.argsort(right, kind="stable")
                 left, right = left[order], right[order]
                 begin = np.append(True, right[1:] != right[:-1]) if len(right) else np.zeros(0, bool)
@@ -290,14 +323,14 @@ def _pairs(max_bits, size_ratio, most):
                     x, y = a[k:k + (1 << 18)], b[k:k + (1 << 18)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.zeros(len(x), np.int8)), pa.array(x), pa.array(y)] + [pa.nulls(len(x), t) for t in (
-                            pa.int64(), pa.int32(), pa.int32(), pa.int8(), pa.int64(), pa.int32())],
-                        names=[c.split()[0] for c in PAIRS.split(", ")])
+                            pa.int64(), pa.int32(), pa.int32(), pa.int8(), pa.int64(), pa.int32(), *[pa.int64()] * len(odd))],
+                        names=names)
             rows = more[run]
             if rows.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.ones(rows.sum(), np.int8)), pa.array(node[rows]), pa.array(node[rows]), *(pa.array(x[rows]) for x in (
-                        key, lo, hi, role)), pa.array(fp[rows].view(np.int64)), pa.array(size[rows])],
-                    names=[c.split()[0] for c in PAIRS.split(", ")])
+                        key, lo, hi, role)), pa.array(fp[rows].view(np.int64)), pa.array(size[rows]), *(pa.array(x[rows].view(np.int64)) for x in odd)],
+                    names=names)
 
     return step
 
@@ -308,10 +341,11 @@ def _cells(points: DataFrame, max_bits: int, parts: tuple[int, ...]) -> DataFram
     A block value with more than ``CELL`` fingerprints is dealt to groups, and each pair of groups is a cell of its
     own; probes of it go to each group once. So a task holds two groups, whatever the value's share of the rows.
     """
-    points = points.select("node", "fp", "size")
+    further = _further(points)
+    points = points.select("node", "fp", "size", *further)
     layout, thresholds = plan(points, "fp", max_bits, parts)
-    rows = points.mapInArrow(_signatures(layout, thresholds), SIGNATURES)
-    exact = points.mapInArrow(_signatures(layout, [min(t, 0) for t in thresholds]), SIGNATURES)
+    rows = points.mapInArrow(_signatures(layout, thresholds), _with(SIGNATURES, further))
+    exact = points.select("node", "fp", "size").mapInArrow(_signatures(layout, [min(t, 0) for t in thresholds]), SIGNATURES)
     hot = stored(exact.groupBy("key").count().filter(F.col("count") > CELL).select(
         "key", F.ceil(F.col("count") / CELL).cast("int").alias("groups")), "hot-blocks")
     number = hot.count()
@@ -324,7 +358,7 @@ def _cells(points: DataFrame, max_bits: int, parts: tuple[int, ...]) -> DataFram
         hi = F.when(F.col("role") == 0, F.greatest("own", "other")).otherwise(F.col("other"))
     else:
         lo = hi = F.lit(0)
-    return rows.select("key", lo.alias("lo"), hi.alias("hi"), "role", "node", "fp", "size", F.col("node").alias("label"))
+    return rows.select("key", lo.alias("lo"), hi.alias("hi"), "role", "node", "fp", "size", F.col("node").alias("label"), *further)
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
@@ -340,10 +374,12 @@ def near_links(points: DataFrame, max_bits: int, parts: tuple[int, ...] = (2, 3,
     return _dealt(_cells(points, max_bits, parts)).mapInArrow(_stars(max_bits), "a long, b long")
 
 
-def verified_groups(points: DataFrame, max_bits: int, parts: tuple[int, ...], size_ratio: float, verify,
+def verified_groups(points: DataFrame, max_bits: int, parts: tuple[int, ...], similarity: float, verify,
                     rounds: tuple[int, ...] = (8, 64)) -> DataFrame:
-    """``node``, ``root`` of the components of near pairs (sizes in that ratio or closer) that ``verify`` leaves.
+    """``node``, ``root`` of the components of near pairs that ``verify`` leaves.
 
+    Pairs whose sets cannot have that Jaccard similarity, by their sizes and by the columns ``PARITY`` where ``points``
+    has them, are left out where they are found: texts of one mould that are not alike make no rows.
     ``verify(pairs, nodes)`` takes pairs ``a``, ``b`` and the nodes that later pairs may have, and returns those that hold.
     In each run a row first meets as many rows before it as the first round says; where it has more, the run waits for
     the next round and the pairs that are not connected by then. The last round takes all of them. So a large group
@@ -352,7 +388,7 @@ def verified_groups(points: DataFrame, max_bits: int, parts: tuple[int, ...], si
     """
     rows, links = _cells(points, max_bits, parts), []
     for most in (*rounds, 1 << 62):
-        found = stored(_dealt(rows).mapInArrow(_pairs(max_bits, size_ratio, most), PAIRS), "pairs")
+        found = stored(_dealt(rows).mapInArrow(_pairs(max_bits, similarity, most), _with(PAIRS, _further(points))), "pairs")
         pairs = found.filter("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         waiting = found.filter("kind = 1")
         links.append(stored(verify(pairs, waiting.select(F.col("a").alias("node")).distinct()), "links"))
@@ -360,7 +396,7 @@ def verified_groups(points: DataFrame, max_bits: int, parts: tuple[int, ...], si
         if waiting.isEmpty():
             return joined
         rows = waiting.join(joined.withColumnRenamed("node", "a"), "a", "left").select(
-            "key", "lo", "hi", "role", F.col("a").alias("node"), "fp", "size", F.coalesce("root", "a").alias("label"))
+            "key", "lo", "hi", "role", F.col("a").alias("node"), "fp", "size", F.coalesce("root", "a").alias("label"), *_further(points))
     raise AssertionError("the last round leaves nothing to wait")
 
 
@@ -388,12 +424,15 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
 
 def _sketches(shingle: int, check: int):
     def step(batch):
-        found = []
+        found, odd = [], []
         for text in batch.column(2).to_pylist():
-            found.append((fingerprint(np.unique(shingle_hashes(text, shingle))), len(np.unique(shingle_hashes(text, check)))))
+            checked = np.unique(shingle_hashes(text, check))
+            found.append((fingerprint(np.unique(shingle_hashes(text, shingle))), len(checked)))
+            odd.append(parities(checked))
         return pa.RecordBatch.from_arrays([
             batch.column(0), batch.column(1), pa.array(np.array([f for f, _ in found], np.uint64).view(np.int64)),
-            pa.array([n for _, n in found], pa.int32())], names=["_key", "node", "fp", "size"])
+            pa.array([n for _, n in found], pa.int32()), *(pa.array(x.view(np.int64)) for x in np.ascontiguousarray(np.array(odd).T))],
+            names=["_key", "node", "fp", "size", *PARITY])
 
     return by_batch(step)
 
@@ -425,10 +464,11 @@ def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     words = F.when(blank.rlike(r"[^\x20\x09-\x0D]"), blank).otherwise("")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_key"),
                        F.xxhash64(words).alias("node"), words.alias("_text"))
-    marks = stored(rows.select("_key", "node", "_text").mapInArrow(
-        _sketches(shingle, check), rows.select("_key", "node", F.lit(0).cast("long").alias("fp"), F.lit(0).alias("size")).schema), "sketches")
+    marks = stored(rows.select("_key", "node", "_text").mapInArrow(_sketches(shingle, check), rows.select(
+        "_key", "node", F.lit(0).cast("long").alias("fp"), F.lit(0).alias("size"),
+        *(F.lit(0).cast("long").alias(c) for c in PARITY)).schema), "sketches")
     nodes = stored(marks.groupBy("node").agg(
-        F.min("_key").alias("_least"), F.first("fp").alias("fp"), F.first("size").alias("size")), "texts")
+        F.min("_key").alias("_least"), *(F.first(c).alias(c) for c in ("fp", "size", *PARITY))), "texts")
 
     def sets(batch):
         found = [np.unique(shingle_hashes(t, check)).tobytes() for t in batch.column(1).to_pylist()]

@@ -147,3 +147,40 @@ def test_query(spark, sf_dir):
     rows = op9_simhash(spark, sf_dir).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     assert all(r.fingerprint == f"{plain_fingerprint(texts[r.doc_id]):016x}" for r in rows) and len(rows) == len(texts)
+
+
+def test_parity_sketches_reject_no_pair_that_is_alike():
+    draw = np.random.RandomState(3)
+    rejected = 0
+    for k in range(400):
+        size = int(draw.randint(1, 400))
+        common = draw.randint(0, 2**64, size, np.uint64)
+        own = [draw.randint(0, 2**64, int(draw.randint(0, 1 + size // 2)), np.uint64) for _ in "ab"]
+        a, b = (np.unique(np.concatenate([common, x])) for x in own)
+        both = len(np.intersect1d(a, b))
+        odd = [np.array(x) for x in zip(S.parities(a), S.parities(b))]
+        assert sum(int(x[0] ^ x[1]).bit_count() for x in odd) <= len(a) + len(b) - 2 * both
+        near = list(S._near(np.zeros(2, int), np.array([0, 1]), None, np.zeros(2, np.uint64), np.array([len(a), len(b)], np.int32),
+                            np.array([0, 1]), 7, 0.8, odd))
+        found = sum(len(x) for x, _ in near)
+        if both >= 0.8 * (len(a) + len(b) - both):
+            assert found == 1
+        else:
+            rejected += 1 - found
+    assert rejected > 150
+    assert not S.parities(np.zeros(0, np.uint64)).any()
+
+
+def test_texts_of_one_mould_are_rejected_where_they_are_found(spark, monkeypatch):
+    """Near by their fingerprints, but not alike: the pairs do not reach the exact check."""
+    rows, seen, whole = [(k, sentence(1, 60) + " " + sentence(100 + k, 30)) for k in range(60)], [], S.verified_groups
+
+    def counted(points, max_bits, parts, similarity, verify):
+        def check(pairs, later):
+            seen.append(pairs.count())
+            return verify(pairs, later)
+        return whole(points, max_bits, parts, similarity, check)
+
+    monkeypatch.setattr(S, "verified_groups", counted)
+    assert S.unique_documents(documents(spark, rows), max_bits=20, parts=(18,)).count() == 60
+    assert sum(seen) < 60
