@@ -18,7 +18,7 @@ SEED = 42
 CELL = 2048
 #: Pairs that are compared, or links that are held, at once.
 STEP = 1 << 19
-#: Hot block values up to this number are broadcast (16 bytes each); more are joined by a shuffle.
+#: Hot block values up to this number go to all tasks (12 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 #: Columns of the parity sketch of a set, 64 bits each.
 PARITY = ("odd0", "odd1", "odd2", "odd3")
@@ -175,8 +175,11 @@ def plan(points: DataFrame, column: str, max_bits: int, parts: tuple[int, ...])
 
 # --- probing and verifying -------------------------------------------------------------------------------
 
-def _signatures(layout, thresholds):
-    """Rows (key, role, node, fp, size, further columns): role 0 under the fingerprint's own block values, 1 under those it probes."""
+def _signatures(layout, thresholds, hot=None):
+    """Rows (key, role, node, fp, size, further columns): role 0 under the fingerprint's own block values, 1 under those it probes.
+
+    With ``hot``, keys in order and the number of groups of each, also ``groups``: that number, or 1.
+    """
     flips = []
     for part, most in zip(layout, thresholds):
         masks = [sum(1 << p for p in at) for s in range(1, most + 1) for at in itertools.combinations(range(len(part)), s)]
@@ -202,7 +205,15 @@ def _signatures(layout, thresholds):
             yield pa.RecordBatch.from_pydict({
                 "key": keys.view(np.int64), "role": (np.arange(len(rows)) >= len(own)).astype(np.int8),
                 "node": node[rows], "fp": values[rows].view(np.int64), "size": size[rows]} | {
-                batch.schema.names[k]: np.asarray(batch.column(k))[rows] for k in range(3, batch.num_columns)})
+                batch.schema.names[k]: np.asarray(batch.column(k))[rows] for k in range(3, batch.num_columns)} | (
+                {} if hot is None else {"groups": groups_of(keys.view(np.int64))}))
+
+    def groups_of(keys):
+        known, groups = hot
+        if not len(known):
+            return np.ones(len(keys), np.int32)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return np.where(known[at] == keys, groups[at], 1).astype(np.int32)
 
     return step
 
@@ -344,20 +355,21 @@ def _cells(points: DataFrame, max_bits: int, parts: tuple[int, ...]) -> DataFram
     further = _further(points)
     points = points.select("node", "fp", "size", *further)
     layout, thresholds = plan(points, "fp", max_bits, parts)
-    rows = points.mapInArrow(_signatures(layout, thresholds), _with(SIGNATURES, further))
     exact = points.select("node", "fp", "size").mapInArrow(_signatures(layout, [min(t, 0) for t in thresholds]), SIGNATURES)
     hot = stored(exact.groupBy("key").count().filter(F.col("count") > CELL).select(
         "key", F.ceil(F.col("count") / CELL).cast("int").alias("groups")), "hot-blocks")
-    number = hot.count()
-    if number:
-        rows = rows.join(F.broadcast(hot) if number <= BROADCAST_ROWS else hot, "key", "left")
-        groups = F.coalesce("groups", F.lit(1))
-        rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), groups).cast("int")).withColumn(
-            "other", F.explode(F.sequence(F.lit(0), groups - 1)))
-        lo = F.when(F.col("role") == 0, F.least("own", "other")).otherwise(F.col("other"))
-        hi = F.when(F.col("role") == 0, F.greatest("own", "other")).otherwise(F.col("other"))
+    schema = _with(SIGNATURES, further)
+    if hot.count() <= BROADCAST_ROWS:
+        known = hot.orderBy("key").collect()
+        known = np.array([r["key"] for r in known], np.int64), np.array([r["groups"] for r in known], np.int32)
+        rows = points.mapInArrow(_signatures(layout, thresholds, known), schema + ", groups int")
     else:
-        lo = hi = F.lit(0)
+        rows = points.mapInArrow(_signatures(layout, thresholds), schema).join(hot, "key", "left").withColumn(
+            "groups", F.coalesce("groups", F.lit(1)))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "groups").cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    lo = F.when(F.col("role") == 0, F.least("own", "other")).otherwise(F.col("other"))
+    hi = F.when(F.col("role") == 0, F.greatest("own", "other")).otherwise(F.col("other"))
     return rows.select("key", lo.alias("lo"), hi.alias("hi"), "role", "node", "fp", "size", F.col("node").alias("label"), *further)
 
 
