@@ -22,6 +22,9 @@ STEP = 1 << 19
 BROADCAST_ROWS = 100_000
 #: Columns of the parity sketch of a set, 64 bits each.
 PARITY = ("odd0", "odd1", "odd2", "odd3")
+#: Min-wise hashes that make one band, and the share of pairs at the similarity asked for that may agree in no band.
+BAND = 4
+MISSED = 1e-7
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -63,6 +66,38 @@ def parities(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(count & 1, bitorder="little").view(np.uint64)
 
 
+# --- bands of min-wise hashes ---------------------------------------------------------------------------
+
+@functools.cache
+def _permutations(similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and terms of the hashes of as many bands as it takes: two sets agree in a band with odds of similarity ** BAND."""
+    odds = similarity ** BAND
+    bands = max(1, math.ceil(math.log(MISSED) / math.log1p(-odds))) if odds < 1 else 1
+    draw = np.random.RandomState(SEED)
+    factors, terms = (draw.randint(0, 1 << 32, (bands * BAND, 1), np.uint32) for _ in "ab")
+    return factors | np.uint32(1), terms
+
+
+def band_values(hashes: np.ndarray, similarity: float) -> np.ndarray:
+    """One value (long) for each band of min-wise hashes of a set; no element, no value.
+
+    Whether two sets share a value depends on their Jaccard similarity alone, not on which elements differ.
+    """
+    if not len(hashes):
+        return np.zeros(0, np.int64)
+    factors, terms = _permutations(similarity)
+    short, least = (hashes >> np.uint64(32)).astype(np.uint32), np.full(len(factors), (1 << 32) - 1, np.uint32)
+    for k in range(0, len(short), 1024):
+        moved = short[None, k:k + 1024] * factors
+        moved += terms
+        np.minimum(least, moved.min(1), out=least)
+    values = np.arange(len(factors) // BAND, dtype=np.uint64)
+    for column in least.reshape(-1, BAND).T:
+        values = (values ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        values ^= values >> np.uint64(29)
+    return values.view(np.int64)
+
+
 # --- which bits belong together, and how far each part is searched -------------------------------------
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -206,14 +241,38 @@ def _signatures(layout, thresholds, hot=None):
                 "key": keys.view(np.int64), "role": (np.arange(len(rows)) >= len(own)).astype(np.int8),
                 "node": node[rows], "fp": values[rows].view(np.int64), "size": size[rows]} | {
                 batch.schema.names[k]: np.asarray(batch.column(k))[rows] for k in range(3, batch.num_columns)} | (
-                {} if hot is None else {"groups": groups_of(keys.view(np.int64))}))
+                {} if hot is None else {"groups": _groups_of(hot, keys.view(np.int64))}))
+
+    return step
+
+
+def _groups_of(hot, keys):
+    known, groups = hot
+    if not len(known):
+        return np.ones(len(keys), np.int32)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[at] == keys, groups[at], 1).astype(np.int32)
 
-    def groups_of(keys):
-        known, groups = hot
-        if not len(known):
-            return np.ones(len(keys), np.int32)
-        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-        return np.where(known[at] == keys, groups[at], 1).astype(np.int32)
+
+def _band_signatures(hot=None):
+    """Rows like those of ``_signatures``, all of role 0, under the values of the bands; without ``hot`` the keys alone."""
+
+    def step(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1024):
+                yield piece(batch.slice(start, 1024))
+
+    def piece(batch):
+        found = [np.frombuffer(x, np.int64) for x in batch.column(0).to_pylist()]
+        keys = np.concatenate(found)
+        if hot is None:
+            return pa.RecordBatch.from_pydict({"key": keys})
+        rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
+        node, size = np.asarray(batch.column(1)), np.asarray(batch.column(2))
+        return pa.RecordBatch.from_pydict({
+            "key": keys, "role": np.zeros(len(rows), np.int8), "node": node[rows], "fp": np.zeros(len(rows), np.int64), "size": size[rows]} | {
+            batch.schema.names[k]: np.asarray(batch.column(k))[rows] for k in range(3, batch.num_columns)} | {
+            "groups": _groups_of(hot, keys)})
 
     return step
 
@@ -347,24 +406,30 @@ def _pairs(max_bits, similarity, most):
 
 
 def _cells(points: DataFrame, max_bits: int, parts: tuple[int, ...]) -> DataFrame:
-    """The signature rows of ``points``, dealt to cells.
+    """The signature rows of ``points``, dealt to cells: by their ``bands`` (binary) if they have them, else by ``fp``.
 
     A block value with more than ``CELL`` fingerprints is dealt to groups, and each pair of groups is a cell of its
     own; probes of it go to each group once. So a task holds two groups, whatever the value's share of the rows.
     """
-    further = _further(points)
-    points = points.select("node", "fp", "size", *further)
-    layout, thresholds = plan(points, "fp", max_bits, parts)
-    exact = points.select("node", "fp", "size").mapInArrow(_signatures(layout, [min(t, 0) for t in thresholds]), SIGNATURES)
+    further, banded = _further(points), "bands" in points.columns
+    if banded:
+        points = points.select("bands", "node", "size", *further)
+        exact, signatures = points.select("bands").mapInArrow(_band_signatures(), "key long"), _band_signatures
+    else:
+        points = points.select("node", "fp", "size", *further)
+        layout, thresholds = plan(points, "fp", max_bits, parts)
+        exact = points.select("node", "fp", "size").mapInArrow(_signatures(layout, [min(t, 0) for t in thresholds]), SIGNATURES)
+        signatures = functools.partial(_signatures, layout, thresholds)
     hot = stored(exact.groupBy("key").count().filter(F.col("count") > CELL).select(
         "key", F.ceil(F.col("count") / CELL).cast("int").alias("groups")), "hot-blocks")
     schema = _with(SIGNATURES, further)
     if hot.count() <= BROADCAST_ROWS:
         known = hot.orderBy("key").collect()
         known = np.array([r["key"] for r in known], np.int64), np.array([r["groups"] for r in known], np.int32)
-        rows = points.mapInArrow(_signatures(layout, thresholds, known), schema + ", groups int")
+        rows = points.mapInArrow(signatures(known), schema + ", groups int")
     else:
-        rows = points.mapInArrow(_signatures(layout, thresholds), schema).join(hot, "key", "left").withColumn(
+        none = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        rows = points.mapInArrow(signatures(none), schema + ", groups int").drop("groups").join(hot, "key", "left").withColumn(
             "groups", F.coalesce("groups", F.lit(1)))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), "groups").cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
@@ -387,9 +452,10 @@ def near_links(points: DataFrame, max_bits: int, parts: tuple[int, ...] = (2, 3,
 
 
 def verified_groups(points: DataFrame, max_bits: int, parts: tuple[int, ...], similarity: float, verify,
-                    rounds: tuple[int, ...] = (8, 64)) -> DataFrame:
+                    rounds: tuple[int, ...] = (1, 64)) -> DataFrame:
     """``node``, ``root`` of the components of near pairs that ``verify`` leaves.
 
+    Near are pairs that share a band where ``points`` has ``bands``, whatever their bits; otherwise those at ``max_bits`` or fewer.
     Pairs whose sets cannot have that Jaccard similarity, by their sizes and by the columns ``PARITY`` where ``points``
     has them, are left out where they are found: texts of one mould that are not alike make no rows.
     ``verify(pairs, nodes)`` takes pairs ``a``, ``b`` and the nodes that later pairs may have, and returns those that hold.
@@ -399,6 +465,7 @@ def verified_groups(points: DataFrame, max_bits: int, parts: tuple[int, ...], si
     is tried.
     """
     rows, links = _cells(points, max_bits, parts), []
+    max_bits = 64 if "bands" in points.columns else max_bits
     for most in (*rounds, 1 << 62):
         found = stored(_dealt(rows).mapInArrow(_pairs(max_bits, similarity, most), _with(PAIRS, _further(points))), "pairs")
         pairs = found.filter("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -434,17 +501,20 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
 
 # --- one document of each group --------------------------------------------------------------------------
 
-def _sketches(shingle: int, check: int):
+def _sketches(check: int, mark, name: str, kind):
+    """With ``mark`` of the text and its different hashes as the column ``name``."""
+
     def step(batch):
-        found, odd = [], []
+        marks, sizes, odd = [], [], []
         for text in batch.column(2).to_pylist():
             checked = np.unique(shingle_hashes(text, check))
-            found.append((fingerprint(np.unique(shingle_hashes(text, shingle))), len(checked)))
+            marks.append(mark(text, checked))
+            sizes.append(len(checked))
             odd.append(parities(checked))
         return pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(1), pa.array(np.array([f for f, _ in found], np.uint64).view(np.int64)),
-            pa.array([n for _, n in found], pa.int32()), *(pa.array(x.view(np.int64)) for x in np.ascontiguousarray(np.array(odd).T))],
-            names=["_key", "node", "fp", "size", *PARITY])
+            batch.column(0), batch.column(1), pa.array(marks, kind), pa.array(sizes, pa.int32()),
+            *(pa.array(x.view(np.int64)) for x in np.ascontiguousarray(np.array(odd).T))],
+            names=["_key", "node", name, "size", *PARITY])
 
     return by_batch(step)
 
@@ -461,13 +531,15 @@ def _alike(similarity: float):
     return by_batch(step)
 
 
-def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 2, max_bits: int = 7,
+def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 2, max_bits: int | None = None,
                      check: int = 5, similarity: float = 0.8, parts: tuple[int, ...] = (3, 4, 5)) -> DataFrame:
     """One row of each group of near duplicates, with all its columns: the one with the least key.
 
-    Two texts are near duplicates if their fingerprints (over the different runs of ``shingle`` words) are at ``max_bits``
-    bits or fewer and the sets of their ``check``-word shingles have a Jaccard similarity of ``similarity`` or more, which
-    is computed exactly; of pairs that alike, 9 in 10 have such fingerprints. Groups are connected components.
+    Two texts are near duplicates if the sets of their ``check``-word shingles have a Jaccard similarity of ``similarity``
+    or more, which is computed exactly. It is computed for the pairs that share a band of min-wise hashes; a pair at
+    ``similarity`` shares none with odds of ``MISSED``, whichever words differ, and one more alike with less. With
+    ``max_bits``, only for the pairs whose fingerprints (over the different runs of ``shingle`` words) are at so many bits
+    or fewer, which loses pairs. Groups are connected components.
     Equal texts are one group; null texts and texts
     without a word are equal in this. Of rows with equal key and text any one stays; null keys come last. An empty
     table stays empty.
@@ -476,11 +548,18 @@ def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     words = F.when(blank.rlike(r"[^\x20\x09-\x0D]"), blank).otherwise("")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_key"),
                        F.xxhash64(words).alias("node"), words.alias("_text"))
-    marks = stored(rows.select("_key", "node", "_text").mapInArrow(_sketches(shingle, check), rows.select(
-        "_key", "node", F.lit(0).cast("long").alias("fp"), F.lit(0).alias("size"),
+    if max_bits is None:
+        name, none, kind = "bands", F.lit(b""), pa.binary()
+        step = _sketches(check, lambda text, checked: band_values(checked, similarity).tobytes(), name, kind)
+    else:
+        name, none, kind = "fp", F.lit(0).cast("long"), pa.int64()
+        step = _sketches(check, lambda text, checked: int(
+            np.uint64(fingerprint(np.unique(shingle_hashes(text, shingle)))).view(np.int64)), name, kind)
+    marks = stored(rows.select("_key", "node", "_text").mapInArrow(step, rows.select(
+        "_key", "node", none.alias(name), F.lit(0).alias("size"),
         *(F.lit(0).cast("long").alias(c) for c in PARITY)).schema), "sketches")
     nodes = stored(marks.groupBy("node").agg(
-        F.min("_key").alias("_least"), *(F.first(c).alias(c) for c in ("fp", "size", *PARITY))), "texts")
+        F.min("_key").alias("_least"), *(F.first(c).alias(c) for c in (name, "size", *PARITY))), "texts")
 
     def sets(batch):
         found = [np.unique(shingle_hashes(t, check)).tobytes() for t in batch.column(1).to_pylist()]

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -186,3 +187,62 @@ def test_texts_of_one_mould_are_rejected_where_they_are_found(spark, monkeypatch
     monkeypatch.setattr(S, "verified_groups", counted)
     assert S.unique_documents(documents(spark, rows), max_bits=20, parts=(18,)).count() == 60
     assert sum(seen) < 60
+
+
+def copies_of_kinds(number=30):
+    """By kind, pairs of a text and a copy whose Jaccard similarity is 0.8 or a little more."""
+    kinds = {k: [] for k in ("appended", "truncated", "put in front", "substituted", "short")}
+    for k in range(number):
+        draw, base = random.Random(k), [f"w{random.Random(10_000 * k + n).randrange(10**6)}" for n in range(60 + 17 * k)]
+        further = [f"v{draw.randrange(10**6)}" for _ in range(int((len(base) - 4) * 0.25))]
+        swapped = list(base)
+        for n in range(len(base) // 50):
+            swapped[25 + 50 * n] = "other"
+        kinds["appended"].append((base, base + further))
+        kinds["truncated"].append((base, base[:4 + math.ceil((len(base) - 4) * 0.8)]))
+        kinds["put in front"].append((base, further + base))
+        kinds["substituted"].append((base, swapped))
+        kinds["short"].append((base[:14], base[:13]))
+    return {kind: [(" ".join(a), " ".join(b)) for a, b in pairs] for kind, pairs in kinds.items()}
+
+
+@pytest.mark.parametrize("cell", [2048, 4])
+def test_every_kind_of_copy_goes_by_jaccard_alone(spark, monkeypatch, cell):
+    monkeypatch.setattr(S, "CELL", cell)
+    kinds = copies_of_kinds()
+    pairs = [p for found in kinds.values() for p in found]
+    # Half of them no fingerprint search at seven bits would find.
+    marks = [[S.fingerprint(np.unique(S.shingle_hashes(t, 2))) for t in p] for p in pairs]
+    assert all(jaccard(a, b) >= 0.8 for a, b in pairs) and sum((a ^ b).bit_count() > 7 for a, b in marks) > 40
+    for kind, found in kinds.items():
+        rows = [(2 * k + side, t) for k, p in enumerate(found) for side, t in enumerate(p)]
+        assert sorted(r.doc_id for r in S.unique_documents(documents(spark, rows)).collect()) == list(range(0, len(rows), 2)), kind
+    rows = corpus()
+    least = plain_groups([(i is None, i or 0) for i, _ in rows], lambda a, b: jaccard(rows[a][1], rows[b][1]) >= 0.8)
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in S.unique_documents(documents(spark, rows)).collect()) == sorted(set(least))
+
+
+def test_bands_agree_by_similarity_alone():
+    draw = np.random.RandomState(8)
+    for common, left, right in [(80, 0, 20), (80, 20, 0), (80, 10, 10), (800, 0, 200), (8, 1, 1)]:
+        agree = []
+        for _ in range(200):
+            x, y, z = (draw.randint(0, 2**64, n, np.uint64) for n in (common, left, right))
+            agree.append(np.mean(S.band_values(np.concatenate([x, y]), 0.8) == S.band_values(np.concatenate([x, z]), 0.8)))
+        assert abs(np.mean(agree) - 0.8 ** S.BAND) < 0.03 and min(agree) > 0
+    assert not len(S.band_values(np.zeros(0, np.uint64), 0.8)) and len(S.band_values(np.arange(3, dtype=np.uint64), 1.0)) == 1
+
+
+def test_texts_of_one_mould_are_rejected_by_their_bands(spark, monkeypatch):
+    rows, seen, whole = [(k, sentence(1, 60) + " " + sentence(100 + k, 30)) for k in range(60)], [], S.verified_groups
+
+    def counted(points, max_bits, parts, similarity, verify):
+        assert "bands" in points.columns
+        def check(pairs, later):
+            seen.append(pairs.count())
+            return verify(pairs, later)
+        return whole(points, max_bits, parts, similarity, check)
+
+    monkeypatch.setattr(S, "verified_groups", counted)
+    assert S.unique_documents(documents(spark, rows)).count() == 60
+    assert sum(seen) < 60
