@@ -10,6 +10,9 @@ import numpy as np
 
 #: Words whose ids are remembered by one Python worker; beyond it the memory starts anew.
 REMEMBERED = 250_000
+#: Characters that Python's white space has and the tokenizer's has not.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+_SPACE = re.compile(r"[^\S\x1c-\x1f]+")
 _BEFORE_STOP = re.compile(r"(?<=[a-z0-9à-öø-ÿ])(?=[.,])")
 
 
@@ -35,8 +38,19 @@ class WordEncoder:
         if path not in store:
             tokenizer = Tokenizer.from_file(path)
             ends = np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(tokenizer.get_vocab_size())])
-            store[path] = tokenizer, ends, {}
-        self.tokenizer, self.ends_word, self.known = store[path]
+            added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+            store[path] = tokenizer, ends, re.compile("|".join(added) or r"(?!)", re.IGNORECASE), {}
+        self.tokenizer, self.ends_word, self.added, self.known = store[path]
+
+    def _words(self, text: str | None) -> list[str] | None:
+        """What is encoded one by one; of a text with an added token's string, in whatever case, None: it is encoded whole."""
+        if not text:
+            return []
+        if self.added.search(text):
+            return None
+        # Only A-Z change case here, whatever else the tokenizer does with other letters.
+        text = _BEFORE_STOP.sub(" ", text.encode().lower().decode())
+        return [w for w in _SPACE.split(text) if w] if _SEPARATORS.search(text) else text.split()
 
     def _learn(self, words: list[str]) -> None:
         """Remember the ids of new words.
@@ -57,16 +71,20 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None], end: int | None = None) -> list[np.ndarray]:
         """Little-endian unsigned 32-bit ids of each text, with ``end`` after them."""
-        # Only A-Z change case here, whatever else the tokenizer does with other letters.
-        split = [_BEFORE_STOP.sub(" ", t.encode().lower().decode()).split() if t else [] for t in texts]
+        split = [self._words(t) for t in texts]
         known = self.known
         for start in range(0, len(split), 256):
-            new = set().union(*split[start:start + 256]).difference(known)
+            part = [words for words in split[start:start + 256] if words]
+            new = set().union(*part).difference(known)
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
-                new = set().union(*split[start:start + 256])
+                new = set().union(*part)
             self._learn(list(new))
             for k in range(start, min(start + 256, len(split))):
-                split[k] = b"".join(map(known.__getitem__, split[k]))
+                if split[k] is None:
+                    ids = self.tokenizer.encode(texts[k], add_special_tokens=False).ids
+                    split[k] = np.array(ids, "<u4").tobytes()
+                else:
+                    split[k] = b"".join(map(known.__getitem__, split[k]))
         last = b"" if end is None else np.array([end], "<u4").tobytes()
         return [np.frombuffer(ids + last, "<u4") for ids in split]

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+from hypothesis import example, given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from helpers import STRANGE, documents
@@ -38,6 +39,22 @@ def test_words_encode_like_whole_texts():
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+WHOLE, BY_WORDS = Tokenizer.from_file(default_tokenizer()), WordEncoder(default_tokenizer())
+CONTROLS = [chr(k) for k in range(33)] + ["\x7f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000", "\u200b", "\ufeff"]
+MARKS = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|STARTOFTEXT|>", "<|", "|>", "endoftext"]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from([*CONTROLS, *MARKS, "a", "B", "word", "É", "7", ".", ",", "'s", "!"]), max_size=12).map("".join))
+@example("a\x1cb")
+@example("a\x1f")
+@example("\x1d \x1e")
+@example("<|ENDOFTEXT|>")
+@example("x<|endoftext|>\x1cY")
+def test_control_characters_and_marks_encode_like_whole_texts(text):
+    assert BY_WORDS.encode([text])[0].tolist() == WHOLE.encode(text, add_special_tokens=False).ids
+
+
 def test_pack(spark):
     docs = documents(spark, STRANGE)
     rows = packing.pack(docs, group_bytes=20_000).collect()
