@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 SPACE = "▁"
+_RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
 #: What an unknown character costs beyond the least score of the vocabulary (fixed value of the tokenizer's rules).
 UNKNOWN_PENALTY = 10.0
 
@@ -33,6 +36,8 @@ class Counter:
 
     def __init__(self, pieces):
         self.automaton, self.single = ahocorasick.Automaton(), set()
+        #: Whether some piece goes on after a space that follows other characters: then texts cannot be cut there.
+        self.joins = any(SPACE in piece.lstrip(SPACE) for piece, _ in pieces)
         for piece, score in pieces:
             self.automaton.add_word(piece, (len(piece), score))
             if len(piece) == 1:
@@ -75,33 +80,41 @@ class Counter:
         return pieces[-1]
 
 
+def _marked(text: str) -> str:
+    marked = text.replace(" ", SPACE)
+    return marked if marked[0] == SPACE else SPACE + marked
+
+
 def words(text: str) -> list[str]:
-    """A text's words as the tokenizer sees them: a space begins each, and a text begins with one."""
+    """A text's words as the tokenizer sees them, each with the run of spaces before it; a text begins with a space.
+
+    Cut before each run, so that pieces of several spaces match. Exact for vocabularies without a piece in which a space
+    follows another character.
+    """
     if not text:
         return []
-    marked = text.replace(" ", SPACE)
-    if marked[0] != SPACE:
-        marked = SPACE + marked
-    return [SPACE + w for w in marked[1:].split(SPACE)]
+    marked = _marked(text)
+    return _RUNS.findall(marked) if SPACE * 2 in marked else [SPACE + w for w in marked[1:].split(SPACE)]
 
 
 def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """``key``, ``n_tokens``, ``n_words`` for every row, over the whole text.
 
-    Null and empty texts have no tokens. Repeated rows give repeated results; other columns are ignored. The vocabulary
+    Null and empty texts have no tokens. Every space begins a word in ``n_words``, also one of a run. Repeated rows give repeated results; other columns are ignored. The vocabulary
     is a parameter and has a fixed size; every task builds its automaton once.
     """
     held = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
     kept = docs.select(key, text)
 
     def step(batches):
-        count = Counter(held.value).count
+        counter = Counter(held.value)
+        count = counter.count
         for batch in batches:
             tokens, number = [], []
             for t in batch.column(1).to_pylist():
-                parts = words(t)
-                tokens.append(sum(map(count, parts)))
-                number.append(len(parts))
+                marked = _marked(t) if t else ""
+                tokens.append(sum(map(count, words(t))) if not counter.joins else count(marked))
+                number.append(marked.count(SPACE))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64()), pa.array(number, pa.int64())],
                                              names=[key, "n_tokens", "n_words"])
 

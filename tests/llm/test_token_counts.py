@@ -43,3 +43,36 @@ def test_strange_texts(spark, whole):
     rows = T.token_counts(docs).collect()
     assert sorted((r.n_tokens for r in rows)) == sorted(whole(t) for _, t in STRANGE) and len(rows) == len(STRANGE)
     assert T.token_counts(documents(spark, [])).collect() == []
+
+
+def unsplit(pieces):
+    """The model over the whole text at once."""
+    tokenizer = Tokenizer(models.Unigram(list(pieces), unk_id=0, byte_fallback=True))
+    tokenizer.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=False)
+    return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids) if text else 0
+
+
+SPACES = [*TIES, ("▁▁", -3.0), ("▁▁▁", -6.0), ("▁▁▁▁", -5.0), ("▁▁a", -4.0)]
+UNSPLIT, RUNS = unsplit(T.vocabulary()), T.Counter(T.vocabulary())
+UNSPLIT_TIES, RUNS_TIES = unsplit(SPACES), T.Counter(SPACES)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab▁    é\n", max_size=40))
+def test_runs_of_spaces(text):
+    assert sum(map(RUNS_TIES.count, T.words(text))) == UNSPLIT_TIES(text)
+    assert sum(map(RUNS.count, T.words(text))) == UNSPLIT(text)
+
+
+def test_indented_text(spark):
+    texts = ["if x:\n    return 1", "a   b", "a" + " " * 40 + "b  ", "    ", "  def f(x):\n        return  x\n"]
+    rows = T.token_counts(documents(spark, list(enumerate(texts)))).collect()
+    assert {r.doc_id: r.n_tokens for r in rows} == {k: UNSPLIT(t) for k, t in enumerate(texts)}
+    assert [UNSPLIT(t) for t in texts[:2]] == [9, 3]
+
+
+def test_pieces_that_go_on_after_a_space(spark, monkeypatch):
+    pieces = (*TIES, ("a▁b", -1.0))
+    monkeypatch.setattr(T, "vocabulary", lambda path: pieces)
+    rows = T.token_counts(documents(spark, [(0, "a b a  b"), (1, None)])).collect()
+    assert {r.doc_id: (r.n_tokens, r.n_words) for r in rows} == {0: (unsplit(pieces)("a b a  b"), 5), 1: (0, 0)}
