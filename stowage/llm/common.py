@@ -26,8 +26,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def forget(df: DataFrame) -> None:
     """Delete a stored intermediate that no later result reads."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    forget_folder(df.sparkSession, df.stored_at)
+
+
+def forget_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def unsigned_hex(column: str | Column) -> Column:

@@ -30,5 +30,31 @@ SELECT page_id, octet_length(encode(body)) AS payload_bytes,
        CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> holder THEN holder END AS refers_to
 FROM digests
+""",
+    "op11_exact_dedup": """
+WITH own AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+  FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
+FROM own WINDOW w AS (PARTITION BY text_sha256)
+""",
+    "op13_ranked_search": r"""
+WITH own AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+sized AS (SELECT doc_id, terms, len(terms) AS n FROM own WHERE len(terms) > 0),
+held AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS tokens FROM sized),
+tfs AS (SELECT doc_id, any_value(n) AS n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM sized) GROUP BY doc_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, held GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * documents) // tokens)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term), held GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER w <= 10
 """,
 }

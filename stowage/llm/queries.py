@@ -4,7 +4,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import run_dir
-from . import decontamination, embedding_dedup, language_id, line_dedup, packing, quality, sharding, simhash, token_counts, warc
+from . import decontamination, embedding_dedup, exact_dedup, language_id, line_dedup, packing, quality, ranked_search, sharding, simhash, token_counts, warc
 from .common import table, unsigned_hex
 
 QUERIES = {}
@@ -81,6 +81,17 @@ def op10_sharding(spark, d) -> DataFrame:
     return sharding.placed(table(spark, d, "documents").select("doc_id"), SHARDS)
 
 
+@query
+def op11_exact_dedup(spark, d) -> DataFrame:
+    return exact_dedup.deduplicated(spark, f"{d}/documents.parquet").select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query
+def op13_ranked_search(spark, d) -> DataFrame:
+    return ranked_search.ranked(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 @query
 def pipeline(spark, d) -> DataFrame:
     return corpus_pipeline.run(spark, d)
