@@ -37,6 +37,33 @@ WITH own AS (
   FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, text_sha256
 FROM own WINDOW w AS (PARTITION BY text_sha256)
+""",
+    "op12_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS own FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(own)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(own[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, own, k, unnest(range(1, len(own) - k + 2)) AS i FROM words, range(1, 6) s(k) WHERE len(own) >= k)),
+counted AS (SELECT lang, phrase, any_value(k) AS k, count(*) AS f FROM grams GROUP BY lang, phrase HAVING count(*) >= 100),
+found AS (SELECT lang, phrase, f AS a, k, string_split(phrase, ' ') AS own FROM counted WHERE k > 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(own[i:i + j - 1], ' ') AS phrase
+    FROM (SELECT lang, a, own, j, unnest(range(1, k - j + 2)) AS i FROM found, range(2, 5) t(j) WHERE j < k)) GROUP BY lang, phrase),
+outer_most AS (SELECT o.* FROM found o LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+cuts AS (
+  SELECT lang, phrase, a, c, array_to_string(own[1:c], ' ') AS head, array_to_string(own[c + 1:k], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM outer_most)),
+scored AS (
+  SELECT x.lang, x.phrase, a, c, l.f AS l, r.f AS r, n, CAST((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts x JOIN counted l ON l.lang = x.lang AND l.phrase = head JOIN counted r ON r.lang = x.lang AND r.phrase = tail
+  JOIN totals t ON t.lang = x.lang),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1)
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n, score FROM lowest
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER w <= 2000
 """,
     "op13_ranked_search": r"""
 WITH own AS (

@@ -4,7 +4,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import run_dir
-from . import decontamination, embedding_dedup, exact_dedup, language_id, line_dedup, packing, quality, ranked_search, sharding, simhash, token_counts, warc
+from . import decontamination, embedding_dedup, exact_dedup, language_id, line_dedup, packing, phrases, quality, ranked_search, sharding, simhash, token_counts, warc
 from .common import table, unsigned_hex
 
 QUERIES = {}
@@ -87,6 +87,11 @@ def op11_exact_dedup(spark, d) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+@query
+def op12_phrases(spark, d) -> DataFrame:
+    return phrases.collocations(table(spark, d, "documents"))
+
+
 @query
 def op13_ranked_search(spark, d) -> DataFrame:
     return ranked_search.ranked(table(spark, d, "documents"), table(spark, d, "benchmark"))
