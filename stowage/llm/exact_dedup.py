@@ -58,7 +58,9 @@ def absorb(spark: SparkSession, source: str, state: str, key: str = "doc_id", te
     session = spark.newSession()  # whose settings are those of this stream alone
     for name, value in (("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")),
                         ("spark.sql.streaming.stateStore.providerClass", _PROVIDER),
-                        ("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")):
+                        ("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true"),
+                        # Else every partition of the state sets megabytes of disk aside, however small it is.
+                        ("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")):
         session.conf.set(name, value)
     stream = session.readStream.schema(_source_schema(spark, source, key, text)).option("maxFilesPerTrigger", files).parquet(
         _as_pattern(spark, source))
