@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import os
-import re
 import sys
 
 import numpy as np
 
-#: Words whose ids are remembered by one Python worker; beyond it the memory starts anew.
-REMEMBERED = 250_000
-#: Characters that Python's white space has and the tokenizer's has not.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
-_SPACE = re.compile(r"[^\S\x1c-\x1f]+")
-_BEFORE_STOP = re.compile(r"(?<=[a-z0-9à-öø-ÿ])(?=[.,])")
+#: Words whose ids are remembered by one Python worker. Beyond it, those not met since the last time are forgotten.
+REMEMBERED = 300_000
+#: Stands after each text; no text in UTF-8 has this byte.
+_END = b"\xff"
+_ALNUM = np.array([48 <= c <= 57 or 97 <= c <= 122 for c in range(256)])
 
 
 def default_tokenizer() -> str:
@@ -22,10 +20,31 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Memory:
+    """Ids by word: those met of late, and those met before that."""
+
+    def __init__(self):
+        self.late, self.before = {}, {}
+
+    def make_room(self, size: int) -> None:
+        if len(self.late) > size:
+            self.late, self.before = {}, self.late
+
+    def recall(self, words) -> list[bytes]:
+        """The words that are not known at all; the others are known of late from now on."""
+        unknown = []
+        for word in words:
+            if (found := self.before.get(word)) is None:
+                unknown.append(word)
+            else:
+                self.late[word] = found
+        return unknown
+
+
 class WordEncoder:
     """Ids by a tokenizer that lower-cases and drops white space, so that words can be encoded one by one.
 
-    Holds for tokenizers whose splitting pattern never joins characters across white space, nor a letter or digit
+    Holds for tokenizers whose splitting pattern never joins characters across ASCII white space, nor a letter or digit
     with a full stop or comma after it. Ids of words are remembered across the tasks of a Python worker.
     """
 
@@ -38,53 +57,72 @@ class WordEncoder:
         if path not in store:
             tokenizer = Tokenizer.from_file(path)
             ends = np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(tokenizer.get_vocab_size())])
-            added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
-            store[path] = tokenizer, ends, re.compile("|".join(added) or r"(?!)", re.IGNORECASE), {}
-        self.tokenizer, self.ends_word, self.added, self.known = store[path]
-
-    def _words(self, text: str | None) -> list[str] | None:
-        """What is encoded one by one; of a text with an added token's string, in whatever case, None: it is encoded whole."""
-        if not text:
-            return []
-        if self.added.search(text):
-            return None
-        # Only A-Z change case here, whatever else the tokenizer does with other letters.
-        text = _BEFORE_STOP.sub(" ", text.encode().lower().decode())
-        return [w for w in _SPACE.split(text) if w] if _SEPARATORS.search(text) else text.split()
-
-    def _learn(self, words: list[str]) -> None:
+            added = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
+            if not all(t.isascii() for t in added):
+                raise ValueError("added tokens are looked for in ASCII only")
+            store[path] = tokenizer, ends, added, _Memory()
+        self.tokenizer, self.ends_word, self.added, self.memory = store[path]
+
+    def _split(self, texts: list[bytes]) -> list[bytes]:
+        """The words of lower-cased texts, with an end after each text; full stops and commas after letters begin a word."""
+        joined = np.frombuffer(b"  " + b" \xff ".join([*texts, b""]), np.uint8)
+        stop = (joined[2:] == 46) | (joined[2:] == 44)
+        before = joined[1:-1]
+        # Of the letters beyond ASCII these are of two bytes: a-grave to y-diaeresis, without the division sign.
+        parts = stop & (_ALNUM[before] | ((joined[:-2] == 0xC3) & (before >= 0xA0) & (before != 0xB7)))
+        at = np.flatnonzero(parts) + 2
+        spaced = np.full(len(joined) + len(at), 32, np.uint8)
+        kept = np.ones(len(spaced), bool)
+        kept[at + np.arange(len(at))] = False
+        spaced[kept] = joined
+        return spaced.tobytes().split()
+
+    def _learn(self, words: list[bytes]) -> None:
         """Remember the ids of new words.
 
         Lower-case Latin words are encoded in one text and cut where a token ends a word; others one by one.
         """
-        plain = [w for w in words if w.isalpha() and w.islower() and max(w) < "\u0250"]
+        known, plain, other = self.memory.late, [], []
+        for word in words:
+            if word.isalpha():  # in ASCII
+                plain.append(word)
+            else:
+                text = word.decode()
+                (plain if text.isalpha() and text.islower() and max(text) < "ɐ" else other).append(word)
         if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, "<u4")
             ends = np.nonzero(self.ends_word[ids])[0] + 1
             if len(ends) != len(plain):
                 raise ValueError("the tokenizer does not mark the ends of words")
             data, cuts = ids.tobytes(), (4 * ends).tolist()
-            self.known.update(zip(plain, map(data.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
-        other = [w for w in words if w not in self.known]
-        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
+            known.update(zip(plain, map(data.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
+        for word, found in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)):
+            known[word] = np.array(found.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str | None], end: int | None = None) -> list[np.ndarray]:
         """Little-endian unsigned 32-bit ids of each text, with ``end`` after them."""
-        split = [self._words(t) for t in texts]
-        known = self.known
-        for start in range(0, len(split), 256):
-            part = [words for words in split[start:start + 256] if words]
-            new = set().union(*part).difference(known)
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = set().union(*part)
-            self._learn(list(new))
-            for k in range(start, min(start + 256, len(split))):
-                if split[k] is None:
-                    ids = self.tokenizer.encode(texts[k], add_special_tokens=False).ids
-                    split[k] = np.array(ids, "<u4").tobytes()
-                else:
-                    split[k] = b"".join(map(known.__getitem__, split[k]))
         last = b"" if end is None else np.array([end], "<u4").tobytes()
-        return [np.frombuffer(ids + last, "<u4") for ids in split]
+        encoded = []
+        for start in range(0, len(texts), 256):
+            self.memory.make_room(REMEMBERED)
+            known = self.memory.late
+            # Only A-Z change case and only ASCII white space parts words here, whatever else the tokenizer does with other characters.
+            lowered = [(t or "").encode().lower() for t in texts[start:start + 256]]
+            whole = {n for n, t in enumerate(lowered) if any(a in t for a in self.added)}
+            words = self._split([b"" if n in whole else t for n, t in enumerate(lowered)])
+            known[_END] = last
+            found = list(map(known.get, words))
+            gaps = [k for k, ids in enumerate(found) if ids is None]
+            self._learn(self.memory.recall({words[k] for k in gaps}))
+            for k in gaps:
+                found[k] = known[words[k]]
+            at = 0
+            for n in range(len(lowered)):
+                stop = words.index(_END, at) + 1
+                own = b"".join(found[at:stop])
+                if n in whole:  # a text with an added token's string, in whatever case
+                    ids = self.tokenizer.encode(texts[start + n], add_special_tokens=False).ids
+                    own = np.array(ids, "<u4").tobytes() + last
+                encoded.append(np.frombuffer(own, "<u4"))
+                at = stop
+        return encoded

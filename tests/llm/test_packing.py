@@ -51,6 +51,9 @@ MARKS = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "
 @example("\x1d \x1e")
 @example("<|ENDOFTEXT|>")
 @example("x<|endoftext|>\x1cY")
+@example("a.")
+@example("É,")
+@example("÷. ÿ.")
 def test_control_characters_and_marks_encode_like_whole_texts(text):
     assert BY_WORDS.encode([text])[0].tolist() == WHOLE.encode(text, add_special_tokens=False).ids
 
