@@ -68,8 +68,7 @@ def parities(hashes: np.ndarray) -> np.ndarray:
 
 # --- bands of min-wise hashes ---------------------------------------------------------------------------
 
-@functools.cache
-def _permutations(similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def permutations(similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Factors and terms of the hashes of as many bands as it takes: two sets agree in a band with odds of similarity ** BAND."""
     odds = similarity ** BAND
     bands = max(1, math.ceil(math.log(MISSED) / math.log1p(-odds))) if odds < 1 else 1
@@ -78,14 +77,14 @@ def _permutations(similarity: float) -> tuple[np.ndarray, np.ndarray]:
     return factors | np.uint32(1), terms
 
 
-def band_values(hashes: np.ndarray, similarity: float) -> np.ndarray:
-    """One value (long) for each band of min-wise hashes of a set; no element, no value.
+def band_values(hashes: np.ndarray, drawn: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """One value (long) for each band of min-wise hashes of a set, by the ``permutations`` drawn; no element, no value.
 
     Whether two sets share a value depends on their Jaccard similarity alone, not on which elements differ.
     """
     if not len(hashes):
         return np.zeros(0, np.int64)
-    factors, terms = _permutations(similarity)
+    factors, terms = drawn
     short, least = (hashes >> np.uint64(32)).astype(np.uint32), np.full(len(factors), (1 << 32) - 1, np.uint32)
     for k in range(0, len(short), 1024):
         moved = short[None, k:k + 1024] * factors
@@ -550,7 +549,8 @@ def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", s
                        F.xxhash64(words).alias("node"), words.alias("_text"))
     if max_bits is None:
         name, none, kind = "bands", F.lit(b""), pa.binary()
-        step = _sketches(check, lambda text, checked: band_values(checked, similarity).tobytes(), name, kind)
+        drawn = permutations(similarity)  # here, so that executors get the numbers with the function
+        step = _sketches(check, lambda text, checked: band_values(checked, drawn).tobytes(), name, kind)
     else:
         name, none, kind = "fp", F.lit(0).cast("long"), pa.int64()
         step = _sketches(check, lambda text, checked: int(

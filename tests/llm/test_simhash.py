@@ -223,14 +223,14 @@ def test_every_kind_of_copy_goes_by_jaccard_alone(spark, monkeypatch, cell):
 
 
 def test_bands_agree_by_similarity_alone():
-    draw = np.random.RandomState(8)
+    draw, drawn = np.random.RandomState(8), S.permutations(0.8)
     for common, left, right in [(80, 0, 20), (80, 20, 0), (80, 10, 10), (800, 0, 200), (8, 1, 1)]:
         agree = []
         for _ in range(200):
             x, y, z = (draw.randint(0, 2**64, n, np.uint64) for n in (common, left, right))
-            agree.append(np.mean(S.band_values(np.concatenate([x, y]), 0.8) == S.band_values(np.concatenate([x, z]), 0.8)))
+            agree.append(np.mean(S.band_values(np.concatenate([x, y]), drawn) == S.band_values(np.concatenate([x, z]), drawn)))
         assert abs(np.mean(agree) - 0.8 ** S.BAND) < 0.03 and min(agree) > 0
-    assert not len(S.band_values(np.zeros(0, np.uint64), 0.8)) and len(S.band_values(np.arange(3, dtype=np.uint64), 1.0)) == 1
+    assert not len(S.band_values(np.zeros(0, np.uint64), drawn)) and len(S.band_values(np.arange(3, dtype=np.uint64), S.permutations(1.0))) == 1
 
 
 def test_texts_of_one_mould_are_rejected_by_their_bands(spark, monkeypatch):
