@@ -1,5 +1,6 @@
 """Sessions, and the shared folder for data that has to outlive executors."""
 
+import contextvars
 import tempfile
 import uuid
 
@@ -55,7 +56,8 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-_collecting = []
+#: What the innermost block of ``intermediates`` of this thread has written.
+_collecting = contextvars.ContextVar("stowage_intermediates", default=None)
 
 
 def written(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -63,22 +65,25 @@ def written(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = run_dir(spark, name)
     df.write.parquet(path)
-    for folders in _collecting:
+    if (folders := _collecting.get()) is not None:
         folders.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 class intermediates:
-    """Deletes what was ``written`` inside the block when it ends: for passes whose results are stored elsewhere."""
+    """Deletes what was ``written`` inside the block when it ends: for passes whose results are stored elsewhere.
+
+    A block has what its own thread writes in it and in no block within it, so that passes may run at once or in each other.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.folders = spark, []
 
     def __enter__(self):
-        _collecting.append(self.folders)
+        self.outer = _collecting.set(self.folders)
 
     def __exit__(self, *_):
-        _collecting.remove(self.folders)
+        _collecting.reset(self.outer)
         for folder in self.folders:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
