@@ -1,8 +1,9 @@
 """Bringing a stored catalog up to date.
 
-A pass reads the catalog as of the version before it and appends one version to each table, the
-``passes`` table last. A pass that is run again reads the same state and writes the same version, so
-a pass interrupted anywhere is simply repeated.
+A pass reads the catalog as of the pass before it and appends its rows to each table, ``passes`` last. A pass that
+is run again reads the same state and writes the same rows, so a pass interrupted anywhere is simply repeated.
+``files``, ``membership`` and ``batches`` lie in buckets of the batch, ``samples`` in buckets of the sample: a pass opens
+the buckets that its changes fall in.
 
 Tables (keys): ``files`` (row_id), ``membership`` (batch, sample), ``batches`` (row_id),
 ``samples`` (row_id), ``changes``, ``rejects``, ``passes``. A ``row_id`` names one version of an
@@ -45,49 +46,91 @@ PASSES = _schema(files=_L, batches=_L, samples=_L)
 PAIR = ["batch", "sample"]
 
 
+def _by_link(link="symlink") -> Column:
+    """The bucket of a file: that of its batch, which its link begins with."""
+    return _by_batch(F.substring_index(link, "/", -1))
+
+
+def _by_batch(batch="batch") -> Column:
+    return tables.bucket(F.substring_index(batch, ":", 1))
+
+
+def _by_sample(sample="sample") -> Column:
+    return tables.bucket(sample)
+
+
+#: Schema, key and bucket of the tables that are folded to the newest row of a key.
+FOLDED = {
+    "files": (FILES, "row_id", _by_link), "membership": (MEMBERSHIP, PAIR, _by_batch),
+    "batches": (BATCHES, "row_id", _by_batch), "samples": (SAMPLES, "row_id", _by_sample)}
+
+
 def committed(spark: SparkSession, root: str) -> int:
     """The newest finished pass, or -1."""
     return tables.latest_version(spark, root, "passes")
 
 
+def _read(spark, root, table, upto=None, **options) -> DataFrame:
+    schema, key, _ = FOLDED[table]
+    return tables.read_live(spark, root, table, schema, key, upto, **options)
+
+
+def _append(df, root, table, version) -> None:
+    schema, _, place = FOLDED[table]
+    tables.append_rows(_fit(df, schema), root, table, version, place())
+
+
 def read_files(spark, root, upto=None) -> DataFrame:
     """Every version of every file."""
-    return tables.read_live(spark, root, "files", FILES, "row_id", upto)
+    return _read(spark, root, "files", upto)
 
 
-def read_membership(spark, root, upto=None, only=None) -> DataFrame:
-    return tables.read_live(spark, root, "membership", MEMBERSHIP, PAIR, upto, only).filter("n_files > 0")
+def read_membership(spark, root, upto=None, only=None, buckets=None) -> DataFrame:
+    return _read(spark, root, "membership", upto, only=only, buckets=buckets).filter("n_files > 0")
 
 
 def read_batches(spark, root, upto=None) -> DataFrame:
-    return tables.read_live(spark, root, "batches", BATCHES, "row_id", upto)
+    return _read(spark, root, "batches", upto)
 
 
 def read_samples(spark, root, upto=None) -> DataFrame:
-    return tables.read_live(spark, root, "samples", SAMPLES, "row_id", upto)
+    return _read(spark, root, "samples", upto)
 
 
 def read_rejects(spark, root, upto=None) -> DataFrame:
     """What passes set aside: paths that name no sample, deletions of unknown files."""
-    return tables.read_rows(spark, root, "rejects", REJECTS, upto).drop("_version")
+    return tables.read_rows(spark, root, "rejects", REJECTS, upto).drop("as_of")
+
+
+def read_pass(spark, root, version) -> DataFrame:
+    """How many files, batches and samples a finished pass touched."""
+    return tables.read_finished(spark, root, "passes", PASSES, version)
+
+
+def compact(spark, root, passes: int = 1) -> None:
+    """Fold what buckets hold of more than so many passes, up to the newest finished one. Earlier passes cannot be read or repeated afterwards."""
+    upto = committed(spark, root)
+    with intermediates(spark):
+        for table, (schema, key, place) in FOLDED.items():
+            tables.compact(spark, root, table, schema, key, upto, passes, place())
 
 
-def _current(spark, root, table, schema, key, upto, only=None, columns=None):
+def _current(spark, root, table, key, upto, only=None, columns=None, buckets=None):
     """The active version per key, found by folding on the key itself: one shuffle, kept for joins."""
-    rows = tables.read_live(spark, root, table, schema, key, upto, only, columns, order=("born",))
+    rows = tables.read_live(spark, root, table, FOLDED[table][0], key, upto, only, columns, order=("born",), buckets=buckets)
     return rows.filter(active())
 
 
-def current_files(spark, root, upto=None, only=None, columns=None) -> DataFrame:
-    return _current(spark, root, "files", FILES, "symlink", upto, only, columns)
+def current_files(spark, root, upto=None, only=None, columns=None, buckets=None) -> DataFrame:
+    return _current(spark, root, "files", "symlink", upto, only, columns, buckets)
 
 
-def current_batches(spark, root, upto=None, only=None) -> DataFrame:
-    return _current(spark, root, "batches", BATCHES, "batch", upto, only)
+def current_batches(spark, root, upto=None, only=None, buckets=None) -> DataFrame:
+    return _current(spark, root, "batches", "batch", upto, only, None, buckets)
 
 
-def current_samples(spark, root, upto=None, only=None) -> DataFrame:
-    return _current(spark, root, "samples", SAMPLES, "sample", upto, only)
+def current_samples(spark, root, upto=None, only=None, buckets=None) -> DataFrame:
+    return _current(spark, root, "samples", "sample", upto, only, None, buckets)
 
 
 _COMPARED = ["symlink", "born", "status", "filepath", "fingerprint", "size", "dev", "ino", "nlink", "created",
@@ -100,6 +143,7 @@ def sync_listing(spark: SparkSession, root: str, inventory: DataFrame, link_dir:
 
     Listing and catalog each shuffle once, by link; equal paths have equal links, so duplicates of
     a path collapse in the same fold. Files whose path names no sample go to the rejects table.
+    ``compact_after`` folds the tables after every so many passes.
     """
     version = committed(spark, root) + 1 if version is None else version
     now = fixed(spark, now)
@@ -117,7 +161,7 @@ def sync_events(spark: SparkSession, root: str, events: DataFrame, link_dir: str
                 version: int | None = None, **options) -> int:
     """Index a batch of file events; unknown deletions and paths that name no sample go to the rejects table.
 
-    Only the catalog rows of the links the events name are read past the scan.
+    Only the buckets of the links that the events name are opened.
     """
     version = committed(spark, root) + 1 if version is None else version
     now = fixed(spark, now)
@@ -127,54 +171,68 @@ def sync_events(spark: SparkSession, root: str, events: DataFrame, link_dir: str
             F.max("ts").alias("ts")).withColumn("reason", F.lit("path names no sample"))
         placed = E.placeable(events, link_dir)
         seen = written(E.observations(placed, link_dir), "observed")
-        links = seen.select("symlink").union(seen.select("from_link")).filter("symlink is not null").distinct()
-        stored = current_files(spark, root, version - 1, only=links, columns=_COMPARED)
+        links = seen.select("symlink").union(seen.select("from_link")).filter("symlink is not null")
+        at = tables.buckets_of(links, files=_by_link())
+        stored = current_files(spark, root, version - 1, only=links.distinct(), columns=_COMPARED, buckets=at["files"])
         found = written(E.observed_diff(seen, stored, link_dir), "event-diff")
         tables.append_rows(_fit(E.rejected(found), REJECTS).unionByName(_fit(lost, REJECTS)), root, "rejects", version)
         return _write_pass(spark, root, version, E.applicable(found), link_dir, now, **options)
 
 
 def _write_pass(spark, root, version, changed, link_dir, now, reports=None,
-                processing_dir="/processing", result_dir="/results"):
+                processing_dir="/processing", result_dir="/results", compact_after=None):
     before = version - 1
     # Every table below is derived from the changes alone, so they are computed once.
     changed = written(changed.select(*[c for c in _DIFF if c in changed.columns]), "changes")
-    stored = current_files(spark, root, before, only=changed.select("symlink"))
-    tables.append_rows(_file_rows(stored, changed, link_dir, version, now), root, "files", version)
+    at = _touched(changed)
+    stored = current_files(spark, root, before, only=changed.select("symlink"), buckets=at["batch"])
+    _append(_file_rows(stored, changed, link_dir, version, now), root, "files", version)
     tables.append_rows(D.change_log(changed).withColumn("version", F.lit(version).cast("bigint")),
                        root, "changes", version)
 
     def files_of(some_pairs):
         columns = ["symlink", "born", "status", *PAIR, "created", "modified"]
-        return current_files(spark, root, version, only=some_pairs, columns=columns)
+        return current_files(spark, root, version, only=some_pairs, columns=columns, buckets=at["batch"])
 
-    touched = written(R.contributions(changed).select(*PAIR).distinct(), "touched")
-    mine = read_membership(spark, root, before, only=touched)
-    tables.append_rows(_pair_rows(mine, changed, files_of), root, "membership", version)
+    touched = R.contributions(changed).select(*PAIR).distinct()
+    mine = read_membership(spark, root, before, only=touched, buckets=at["batch"])
+    _append(_pair_rows(mine, changed, files_of), root, "membership", version)
 
     names = R.affected(changed, "batch")
-    pairs = read_membership(spark, root, version, only=names)
-    current = current_batches(spark, root, before, names)
+    pairs = read_membership(spark, root, version, only=names, buckets=at["batch"])
+    current = current_batches(spark, root, before, names, at["batch"])
     batches = _fit(_entity_rows(current, R.batch_rollup(pairs), "batch", version, now), BATCHES)
     batches = _with_reports(batches, current, None if reports is None else current_batches(spark, root, before), reports,
                             version, now)
-    tables.append_rows(_fit(batches, BATCHES), root, "batches", version)
+    _append(batches, root, "batches", version)
 
     # A sample's dates come from its whole batches, so those are read along with its own pairs.
     names = R.affected(changed, "sample")
     wanted = read_membership(spark, root, version, only=names).select("batch").distinct()
     pairs = read_membership(spark, root, version, only=wanted)
     rolled = R.sample_rollup(pairs, names)
-    samples = _entity_rows(current_samples(spark, root, before, names), rolled, "sample", version, now)
+    samples = _entity_rows(current_samples(spark, root, before, names, at["sample"]), rolled, "sample", version, now)
     samples = samples.withColumns({
         "sample_id": sample_id(F.col("sample"), F.col("fingerprint")),
         "processing_dir": entity_dir(F.lit(processing_dir), F.col("sample"), F.col("fingerprint")),
         "result_dir": entity_dir(F.lit(result_dir), F.col("sample"), F.col("fingerprint"))})
-    tables.append_rows(_fit(samples, SAMPLES), root, "samples", version)
-    tables.append_rows(D.indexing_counts(changed), root, "passes", version)
+    _append(samples, root, "samples", version)
+    tables.finish(D.indexing_counts(changed), root, "passes", version)
+    if compact_after and (version + 1) % compact_after == 0:
+        compact(spark, root)
     return version
 
 
+def _touched(changed) -> dict[str, list[int]]:
+    """The buckets that changes fall in, by batch and by sample."""
+    def of(place, *columns):
+        return [F.when(F.col(c).isNotNull(), place(c)) for c in columns]
+
+    found = tables.buckets_of(changed, **{f"b{k}": x for k, x in enumerate([_by_link(), *of(_by_batch, "old_batch", "new_batch")])},
+                              **{f"s{k}": x for k, x in enumerate(of(_by_sample, "old_sample", "new_sample"))})
+    return {name: sorted(set().union(*(v for k, v in found.items() if k[0] == name[0]))) for name in ("batch", "sample")}
+
+
 _DIFF = ["symlink", "change_type", "changed", "batch", "sample"] + [
     f"{p}_{c}" for p in ("old", "new")
     for c in ("filepath", "fingerprint", "size", "dev", "ino", "modified", "created", "nlink", "batch", "sample")]

@@ -142,9 +142,8 @@ def _stored_cycle(spark, root, jobs, exit_codes, samples, results, rules, rules_
         admitted = written(cycle.admitted, "admitted")
         given = admitted.select("task_id", "sorting", "rank").join(
             hand_over(admitted).select("task_id", "job_id"), "task_id")
-        tables.append_rows(_fit(given, ADMITTED), root, "admitted", version)
-    given = tables.read_rows(spark, root, "admitted", ADMITTED, version).filter(
-        F.col("_version") == version).select("task_id", "job_id")
+        tables.finish(_fit(given, ADMITTED), root, "admitted", version)
+    given = tables.read_finished(spark, root, "admitted", ADMITTED, version).select("task_id", "job_id")
     moved = cycle.tasks.filter("changed")
     queued = J.queue_task(_fit(cycle.tasks, TASKS), given, now).withColumn("last_update", now)
     changed = written(V.live(
@@ -156,5 +155,5 @@ def _stored_cycle(spark, root, jobs, exit_codes, samples, results, rules, rules_
     tables.append_rows(_outputs(done, listing, rules, rules_table, shapers), root, "results", version)
     touched = documents.join(changed.select("sample_id"), "sample_id", "left_semi")
     tables.append_rows(_fit(J.record_in_samples(touched, changed), SAMPLE_TASKS), root, "sample_tasks", version)
-    tables.append_rows(changed.groupBy("status").agg(F.count(F.lit(1)).alias("n")), root, "cycles", version)
+    tables.finish(changed.groupBy("status").agg(F.count(F.lit(1)).alias("n")), root, "cycles", version)
     return version

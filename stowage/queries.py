@@ -628,13 +628,13 @@ def vanished_pairs(spark, d):
 
 @query
 def catalog_roundtrip(spark, d):
-    """Two passes written as versions, folded, compacted and read again."""
+    """Two passes written in buckets, folded, compacted and read again."""
     root = run_dir(spark, "catalog")
     columns = ["symlink", "filepath", "size", "fingerprint"]
     old, new = V.catalog_active(spark, d).select(*columns), V.files_now(spark, d).select(*columns)
-    tables.append_rows(old, root, "files", 0)
-    tables.append_rows(new, root, "files", 1)
-    tables.compact(spark, root, "files", new.schema, "symlink")
+    for version, rows in enumerate((old, new)):
+        tables.append_rows(rows, root, "files", version, tables.bucket("symlink"))
+    tables.compact(spark, root, "files", new.schema, "symlink", 1, place=tables.bucket("symlink"))
     return tables.read_live(spark, root, "files", new.schema, "symlink")
 
 

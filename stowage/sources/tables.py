@@ -1,86 +1,123 @@
-"""Catalog tables as versioned parquet.
+"""Catalog tables as Parquet in buckets.
 
-A table is a folder of numbered versions; a version holds only the rows a pass wrote, so a pass
-costs what it changed and not what the catalog holds. ``read_live`` folds the versions to the newest
-row per key, ``compact`` writes that fold as a base every later read starts from. A version counts
-once Spark has put its ``_SUCCESS`` there; writing one again replaces it, so repeats are harmless.
+A table is a folder that Spark's writer partitions: by a bucket of what the table is looked up by (``in_bucket``), and
+within it by the pass that wrote (``as_of``). A pass replaces the partitions of its own number in the buckets it touches
+and leaves all others alone, so that repeating it is harmless; a read that knows its buckets lists and opens no others.
+``live`` rows are the newest of each key. ``compact`` folds the buckets that have gathered many passes.
+
+What counts is told by a table of finished passes: readers take rows up to the pass they ask for.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.predicates import compile_conditions
 from ..operators.versions import live
+from ..session import written
 
+#: Buckets of a table; a fixed number for the life of a catalog. A pass reads and writes those its keys fall in.
+BUCKETS = 32
+_PLACE = T.StructType([T.StructField("in_bucket", T.IntegerType()), T.StructField("as_of", T.LongType())])
 
-def _versions(spark, folder):
-    """Committed version numbers below a folder."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    done = [s.getPath() for s in fs.listStatus(path)
-            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    return sorted(int(p.getName().split("=")[1]) for p in done)
 
+def bucket(*columns) -> Column:
+    """The bucket of the rows with these values."""
+    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int")
 
-def _folder(root, table, kind, version=None):
-    base = f"{root.rstrip('/')}/{table}/{kind}"
-    return base if version is None else f"{base}/version={version}"
 
+def buckets_of(rows: DataFrame, **places: Column) -> dict[str, list[int]]:
+    """The buckets that rows fall in, for each of several ways to place them; one small aggregate."""
+    found = rows.agg(*[F.collect_set(place).alias(name) for name, place in places.items()]).first()
+    return {name: sorted(found[name]) for name in places}
+
+
+def _children(spark, folder, prefix):
+    """Paths of the partitions of a folder by the number in their name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return fs, {int(p.getName()[len(prefix):]): p for p in found if p.getName().startswith(prefix)}
 
-def latest_version(spark: SparkSession, root: str, table: str) -> int:
-    """The newest committed version, or -1."""
-    found = [v for kind in ("base", "delta") for v in _versions(spark, _folder(root, table, kind))]
-    return max(found, default=-1)
 
+def append_rows(df: DataFrame, root: str, table: str, version: int, place: Column | None = None) -> None:
+    """Write a pass's rows, to the buckets that ``place`` says; without one, to a single bucket.
 
-def append_rows(df: DataFrame, root: str, table: str, version: int) -> None:
-    """Write a pass's rows as one version; no rows is a version without rows."""
-    df.write.mode("overwrite").parquet(_folder(root, table, "delta", version))
+    Rows are dealt by bucket before they are written; adaptive execution splits a bucket that has very many.
+    """
+    rows = df.withColumns({"in_bucket": F.lit(0) if place is None else place, "as_of": F.lit(version).cast("bigint")})
+    if place is not None:
+        rows = rows.hint("rebalance", "in_bucket")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("in_bucket", "as_of").parquet(
+        f"{root.rstrip('/')}/{table}")
 
 
-def read_rows(spark: SparkSession, root: str, table: str, schema: T.StructType,
-              upto: int | None = None) -> DataFrame:
-    """Every row that may still count, with its ``_version``: the newest base and what came after."""
-    def within(v):
-        return upto is None or v <= upto
+def finish(df: DataFrame, root: str, table: str, version: int) -> None:
+    """Write the rows that tell that a pass is finished; also none do."""
+    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{table}/as_of={version}")
 
-    bases = [v for v in _versions(spark, _folder(root, table, "base")) if within(v)]
-    start = max(bases, default=-1)
-    deltas = [v for v in _versions(spark, _folder(root, table, "delta")) if v > start and within(v)]
-    folders = [(_folder(root, table, "base", start), start)] if bases else []
-    folders += [(_folder(root, table, "delta", v), v) for v in deltas]
-    versioned = T.StructType([*schema.fields, T.StructField("_version", T.LongType())])
-    if not folders:
-        return spark.createDataFrame([], versioned)
-    number = F.regexp_extract(F.col("_metadata.file_path"), r"version=(\d+)/[^/]*$", 1).cast("bigint")
-    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*[f for f, _ in folders])
-    return rows.withColumn("_version", number)
 
+def read_finished(spark: SparkSession, root: str, table: str, schema: T.StructType, version: int) -> DataFrame:
+    """The rows that ``finish`` wrote for a pass."""
+    return spark.read.schema(schema).parquet(f"{root.rstrip('/')}/{table}/as_of={version}")
 
-def read_live(spark: SparkSession, root: str, table: str, schema: T.StructType, key,
-              upto: int | None = None, only: DataFrame | None = None, columns=None, order=()) -> DataFrame:
-    """The newest row per key (``order`` decides within one version).
 
-    ``only`` restricts the read to rows whose columns of that name occur in it, before anything is
-    shuffled; it must not cut a key in two. ``columns`` prunes the scan, since a fold of whole rows
+def latest_version(spark: SparkSession, root: str, table: str) -> int:
+    """The newest finished pass, or -1."""
+    fs, passes = _children(spark, f"{root.rstrip('/')}/{table}", "as_of=")
+    done = (v for v in sorted(passes, reverse=True) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(passes[v], "_SUCCESS")))
+    return next(done, -1)
+
+
+def read_rows(spark: SparkSession, root: str, table: str, schema: T.StructType, upto: int | None = None,
+              buckets: list[int] | None = None) -> DataFrame:
+    """Every row that may still count, with its ``as_of``: of some buckets, up to a pass."""
+    folder = f"{root.rstrip('/')}/{table}"
+    _, there = _children(spark, folder, "in_bucket=")
+    wanted = sorted(there) if buckets is None else [b for b in buckets if b in there]
+    if not wanted:
+        return spark.createDataFrame([], T.StructType([*schema.fields, _PLACE["as_of"]]))
+    # Only the folders asked for are listed; the filter says the same to the plan.
+    rows = spark.read.schema(T.StructType([*schema.fields, *_PLACE.fields])).option("basePath", folder).parquet(
+        *([folder] if buckets is None else [f"{folder}/in_bucket={b}" for b in wanted]))
+    if buckets is not None:
+        rows = rows.filter(F.col("in_bucket").isin(wanted))
+    return (rows if upto is None else rows.filter(F.col("as_of") <= upto)).drop("in_bucket")
+
+
+def read_live(spark: SparkSession, root: str, table: str, schema: T.StructType, key, upto: int | None = None,
+              only: DataFrame | None = None, columns=None, order=(), buckets: list[int] | None = None) -> DataFrame:
+    """The newest row per key (``order`` decides within one pass).
+
+    ``only`` restricts the read to rows whose columns of that name occur in it, before anything is shuffled; it must not
+    cut a key in two. ``buckets`` are those that such rows can be in. ``columns`` prunes the scan, since a fold of whole rows
     hides which of them are used.
     """
-    rows = read_rows(spark, root, table, schema, upto)
+    rows = read_rows(spark, root, table, schema, upto, buckets)
     if columns:
-        rows = rows.select(*columns, "_version")
+        rows = rows.select(*columns, "as_of")
     if only is not None:
         rows = rows.join(only, only.columns, "left_semi")
-    return live(rows, key, "_version", *order).drop("_version")
+    return live(rows, key, "as_of", *order).drop("as_of")
+
 
+def compact(spark: SparkSession, root: str, table: str, schema: T.StructType, key, upto: int, passes: int = 1,
+            place: Column | None = None) -> list[int]:
+    """Fold the buckets that hold more than so many passes to the newest row per key; which those are.
 
-def compact(spark: SparkSession, root: str, table: str, schema: T.StructType, key) -> int:
-    """Fold all versions into a base numbered as the newest of them."""
-    version = latest_version(spark, root, table)
-    if version >= 0:
-        rows = read_live(spark, root, table, schema, key, version)
-        rows.write.mode("overwrite").parquet(_folder(root, table, "base", version))
-    return version
+    The folded rows are written as of ``upto``, which must be finished, and then the older partitions go. Readers as of it or
+    later see the same throughout: what is there twice for a while folds to the same rows.
+    """
+    folder = f"{root.rstrip('/')}/{table}"
+    _, there = _children(spark, folder, "in_bucket=")
+    held = {b: {v: p for v, p in _children(spark, f"{folder}/in_bucket={b}", "as_of=")[1].items() if v <= upto} for b in there}
+    full = sorted(b for b, own in held.items() if len(own) > passes)
+    if full:
+        rows = read_rows(spark, root, table, schema, upto, full)
+        append_rows(written(live(rows, key, "as_of").drop("as_of"), "compacted"), root, table, upto, place)
+        for b in full:
+            for v, path in held[b].items():
+                if v < upto:
+                    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return full
 
 
 def find(rows: DataFrame, conditions=(), include=None, exclude=(), limit: int = 0) -> DataFrame:

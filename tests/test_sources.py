@@ -2,6 +2,7 @@
 
 import json
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,6 +56,42 @@ def test_intermediates_go_when_their_pass_ends(spark, tmp_path):
     assert kept and not any(os.path.exists(f.removeprefix("file://")) for f in kept)
 
 
+def test_passes_at_once_and_in_each_other_keep_their_own(spark):
+    def alive(frame):
+        return all(os.path.exists(f.removeprefix("file://")) for f in frame.inputFiles())
+
+    first, second, seen = threading.Event(), threading.Event(), {}
+
+    def one():
+        with session.intermediates(spark):
+            seen["one"] = session.written(spark.range(3).toDF("i"), "one")
+            first.set()
+            second.wait(60)
+        seen["other"] = alive(seen["two"])
+
+    def two():
+        first.wait(60)
+        with session.intermediates(spark):
+            seen["two"] = session.written(spark.range(4).toDF("i"), "two")
+            second.set()
+            threads[0].join(60)
+            seen["count"] = seen["two"].count()
+
+    threads = [threading.Thread(target=f) for f in (one, two)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(120)
+    assert seen["other"] and seen["count"] == 4 and not alive(seen["one"]) and not alive(seen["two"])
+    with session.intermediates(spark):
+        outer = session.written(spark.range(2).toDF("i"), "outer")
+        with session.intermediates(spark):
+            inner = session.written(spark.range(2).toDF("i"), "inner")
+        assert alive(outer) and not alive(inner)
+        later = session.written(spark.range(2).toDF("i"), "later")
+    assert not alive(outer) and not alive(later)
+
+
 def test_reports_are_kept_and_looked_up(spark, tmp_path):
     root = str(tmp_path)
     at = V.ts(V.NOW)
@@ -140,29 +177,45 @@ def test_rule_defaults(spark):
     assert rules.load_rules(spark, V.RULES).count() == 3
 
 
-def test_versions_fold_to_the_newest(spark, tmp_path):
+def test_passes_fold_to_the_newest(spark, tmp_path):
     root = str(tmp_path)
     schema = spark.createDataFrame([("a", 1)], "k string, v int").schema
-    assert tables.latest_version(spark, root, "t") == -1
+    place = tables.bucket("k")
+
+    def append(version, *rows):
+        tables.append_rows(spark.createDataFrame(rows, schema), root, "t", version, place)
+
+    assert tables.latest_version(spark, root, "passes") == -1
     assert tables.read_live(spark, root, "t", schema, "k").count() == 0
-    tables.append_rows(spark.createDataFrame([("a", 1), ("b", 1)], schema), root, "t", 0)
-    tables.append_rows(spark.createDataFrame([("a", 2)], schema), root, "t", 1)
-    tables.append_rows(spark.createDataFrame([("c", 3)], schema), root, "t", 2)
+    append(0, ("a", 1), ("b", 1))
+    append(1, ("a", 2))
+    append(2, ("c", 3))
 
     def state(**options):
         return {r["k"]: r["v"] for r in tables.read_live(spark, root, "t", schema, "k", **options).collect()}
 
     assert state() == {"a": 2, "b": 1, "c": 3}
     assert state(upto=0) == {"a": 1, "b": 1}
-    assert state(only=spark.createDataFrame([("a",)], "k string")) == {"a": 2}
-    assert tables.compact(spark, root, "t", schema, "k") == 2
-    assert state() == {"a": 2, "b": 1, "c": 3}
-    tables.append_rows(spark.createDataFrame([("b", 9)], schema), root, "t", 3)
-    assert state() == {"a": 2, "b": 9, "c": 3}
-    # A version written again replaces itself; an unfinished one does not count.
-    tables.append_rows(spark.createDataFrame([("b", 8)], schema), root, "t", 3)
-    (tmp_path / "t" / "delta" / "version=4").mkdir()
-    assert state() == {"a": 2, "b": 8, "c": 3} and tables.latest_version(spark, root, "t") == 3
+    some = spark.createDataFrame([("a",)], "k string")
+    at = tables.buckets_of(some, at=place)["at"]
+    assert state(only=some) == state(only=some, buckets=at) == {"a": 2}
+    assert state(buckets=[]) == {}
+    # A pass written again replaces itself.
+    append(1, ("a", 4))
+    assert state() == {"a": 4, "b": 1, "c": 3}
+    assert tables.compact(spark, root, "t", schema, "k", 2, place=place) == at
+    assert state() == {"a": 4, "b": 1, "c": 3} and len(os.listdir(tmp_path / "t" / f"in_bucket={at[0]}")) == 1
+    append(3, ("b", 9))
+    assert state() == {"a": 4, "b": 9, "c": 3}
+
+
+def test_unfinished_passes_do_not_count(spark, tmp_path):
+    root = str(tmp_path)
+    for version in (0, 1, 10):
+        tables.finish(spark.range(version).toDF("n"), root, "passes", version)
+    (tmp_path / "passes" / "as_of=11").mkdir()
+    assert tables.latest_version(spark, root, "passes") == 10
+    assert tables.read_finished(spark, root, "passes", spark.range(1).toDF("n").schema, 0).count() == 0
 
 
 def test_a_repeated_pass_changes_nothing(spark, sf_dir, tmp_path):
@@ -180,10 +233,8 @@ def test_a_repeated_pass_changes_nothing(spark, sf_dir, tmp_path):
     assert state() == first
     assert I.sync_listing(spark, root, now, V.LINK_DIR, V.ts(V.NOW)) == 2
     assert state() == first
-    assert tuple(spark.read.parquet(f"{root}/passes/delta/version=2").first()) == (0, 0, 0)
-    for table, schema, key in (("files", I.FILES, "row_id"), ("membership", I.MEMBERSHIP, I.PAIR),
-                               ("batches", I.BATCHES, "row_id"), ("samples", I.SAMPLES, "row_id")):
-        tables.compact(spark, root, table, schema, key)
+    assert tuple(I.read_pass(spark, root, 2).first()) == (0, 0, 0)
+    I.compact(spark, root)
     assert state() == first
     files = I.current_files(spark, root)
     assert files.count() == now.count()
