@@ -19,8 +19,8 @@ TOP = 2000
 #: One in so many documents is in the sample, where a phrase counts as frequent from this share of what it should have there.
 SAMPLE = 8
 LOWERED = 0.8
-#: Words that a task counts at once.
-CHUNK = 4_000_000
+#: Words that a task counts at once; some 150 bytes of memory each.
+CHUNK = 1_500_000
 #: Bits of the filter that tells tasks which phrases are frequent: 16 MB, whatever their number. Beyond some ten million
 #: phrases it lets ever more others through, which are then counted too; no result changes.
 FILTER_BITS = 27
@@ -151,13 +151,13 @@ def _counted(ids: np.ndarray, words: pa.Array, hashes: np.ndarray, lang: str, ru
         shown = shown[shown > 0]
         yield 1, words.take(pa.array(shown)), counts[shown]
     # The place of each position's phrase among the different ones; -1 where it is no part of longer ones.
-    number = np.where(alive[ids], ids, -1)
+    number = np.where(alive[ids], ids, np.int32(-1))
     for k in range(2, rule.longest + 1):
         at = np.flatnonzero((number[:-1] >= 0) & (number[1:] >= 0))
         if not len(at):
             return
         codes, place, own, counts = np.unique(
-            number[at] * size + ids[at + (k - 1)], return_index=True, return_inverse=True, return_counts=True)
+            number[at].astype(np.int64) * size + ids[at + (k - 1)], return_index=True, return_inverse=True, return_counts=True)
         start, before = at[place], codes // size
         phrase = _longer(phrase[before], hashes[codes % size])
         noted = (None, None) if notes is None else (notes[before], notes[number[start + 1]])
@@ -166,7 +166,7 @@ def _counted(ids: np.ndarray, words: pa.Array, hashes: np.ndarray, lang: str, ru
             shown = slice(None) if take is True else np.flatnonzero(take)
             parts = [words.take(pa.array(ids[start[shown] + j])) for j in range(k)]
             yield k, pc.binary_join_element_wise(*parts, " "), counts[shown]
-        number = np.full(len(ids), -1, np.int64)
+        number = np.full(len(ids), -1, np.int32)
         number[at] = np.where(alive[own], own, -1)
 
 
@@ -177,7 +177,7 @@ def phrase_counts(docs: DataFrame, rule, lang: str = "lang", text: str = "text",
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         words = pa.array([b"", *words[1:]], pa.binary()).cast(pa.string())
         for name, arrays in texts.items():
-            run = np.concatenate(arrays).astype(np.int64)
+            run = np.concatenate(arrays)
             total = np.array([np.count_nonzero(run)])
             for length, phrases, counts in [(0, pa.array([""]), total), *_counted(run, words, hashes, name, rule)]:
                 for cut in range(0, len(phrases), 1 << 16):
