@@ -20,7 +20,7 @@ TOP = 2000
 SAMPLE = 8
 LOWERED = 0.8
 #: Words that a task counts at once; some 150 bytes of memory each.
-CHUNK = 1_500_000
+CHUNK = 1_000_000
 #: Bits of the filter that tells tasks which phrases are frequent: 16 MB, whatever their number. Beyond some ten million
 #: phrases it lets ever more others through, which are then counted too; no result changes.
 FILTER_BITS = 27
@@ -193,8 +193,8 @@ def phrase_counts(docs: DataFrame, rule, lang: str = "lang", text: str = "text",
 
     def step(batches):
         (texts, ids), size = fresh(), 0
-        for batch in batches:
-            for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for part in (batch.slice(at, 256) for batch in batches for at in range(0, batch.num_rows, 256)):
+            for name, body in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 found = words_and_gaps(body)
                 if found:
                     texts[name].append(np.fromiter(map(ids.__getitem__, found), np.int32, len(found)))
