@@ -67,6 +67,11 @@ def link_name(batch: Column, sample: Column, name: Column) -> Column:
     return F.concat_ws(":", batch, sample, name)
 
 
+def first_token(name) -> Column:
+    """The part of a link's or batch's name before the first colon: the same for a batch and for the links of its files."""
+    return F.substring_index(name, ":", 1)
+
+
 def link_path(link_dir: Column, batch: Column, sample: Column, name: Column) -> Column:
     return F.concat_ws("/", link_dir, link_name(batch, sample, name))
 

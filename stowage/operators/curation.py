@@ -1,6 +1,6 @@
 """Batches whose run metadata are not understood yet, and what depends on them."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Flow cell to pore, sequencing kit to chemistry.
 PORES = {
@@ -12,6 +12,99 @@ CHEMISTRIES = {
 }
 
 
+# Basecalling models, their sampling frequency and the versions of the modified bases they can call.
+MODELS = (
+    ("dna_r10.4.1_e8.2_400bps_fast@v5.0.0", "5000", {}),
+    ("dna_r10.4.1_e8.2_400bps_hac@v5.0.0", "5000", {"4mC_5mC": "3", "5mCG_5hmCG": "3", "5mC_5hmC": "3", "6mA": "3"}),
+    ("dna_r10.4.1_e8.2_400bps_sup@v5.0.0", "5000", {"4mC_5mC": "3", "5mCG_5hmCG": "3", "5mC_5hmC": "3", "6mA": "3"}),
+    ("dna_r10.4.1_e8.2_400bps_fast@v4.3.0", "5000", {}),
+    ("dna_r10.4.1_e8.2_400bps_hac@v4.3.0", "5000", {"5mCG_5hmCG": "1", "5mC_5hmC": "1", "6mA": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_sup@v4.3.0", "5000", {"5mCG_5hmCG": "1", "5mC_5hmC": "1", "6mA": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_fast@v4.2.0", "5000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_hac@v4.2.0", "5000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_sup@v4.2.0", "5000", {"5mCG_5hmCG": "3.1", "5mC_5hmC": "1", "5mC": "2", "6mA": "3"}),
+    ("dna_r10.4.1_e8.2_400bps_fast@v4.1.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_hac@v4.1.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_sup@v4.1.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_260bps_fast@v4.1.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_260bps_hac@v4.1.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_260bps_sup@v4.1.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_fast@v4.0.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_hac@v4.0.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_sup@v4.0.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_260bps_fast@v4.0.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_260bps_hac@v4.0.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_260bps_sup@v4.0.0", "4000", {"5mCG_5hmCG": "2"}),
+    ("dna_r10.4.1_e8.2_260bps_fast@v3.5.2", "4000", {"5mCG": "2"}),
+    ("dna_r10.4.1_e8.2_260bps_hac@v3.5.2", "4000", {"5mCG": "2"}),
+    ("dna_r10.4.1_e8.2_260bps_sup@v3.5.2", "4000", {"5mCG": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_fast@v3.5.2", "4000", {"5mCG": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_hac@v3.5.2", "4000", {"5mCG": "2"}),
+    ("dna_r10.4.1_e8.2_400bps_sup@v3.5.2", "4000", {"5mCG": "2"}),
+    ("dna_r9.4.1_e8_sup@v3.6", "4000", {}),
+    ("dna_r9.4.1_e8_fast@v3.4", "4000", {"5mCG_5hmCG": "0", "5mCG": "0.1"}),
+    ("dna_r9.4.1_e8_hac@v3.3", "4000", {"5mCG_5hmCG": "0", "5mCG": "0.1"}),
+    ("dna_r9.4.1_e8_sup@v3.3", "4000", {"5mCG_5hmCG": "0", "5mCG": "0.1"}),
+)
+_MODEL = r"^([a-z]+)_(r[0-9.]+)_(e[0-9.]+)(_([0-9]+)bps)?_([a-z]+)@v([0-9.]+)$"
+
+
+def version_parts(text: Column) -> Column:
+    """``4.10`` as the numbers 4 and 10, which compare as versions do; what is no version is null."""
+    return F.when(text.rlike(r"^[0-9]+(\.[0-9]+)*$"), F.split(text, r"\.").cast("array<int>"))
+
+
+def model_table(spark: SparkSession, models=MODELS) -> DataFrame:
+    """One row for each model: what its name says, and its modified bases as a map."""
+    rows = spark.createDataFrame(list(models), "model string, freq string, modifications map<string,string>")
+
+    def part(number):
+        return F.regexp_extract("model", _MODEL, number)
+
+    return rows.select(
+        "model", "freq", part(1).alias("molecule"), part(2).alias("pore"), part(3).alias("chemistry"), part(5).alias("speed"),
+        part(6).alias("kind"), version_parts(part(7)).alias("version"), "modifications")
+
+
+def by_modification(models: DataFrame) -> DataFrame:
+    """One row for each model and modified base that it can call."""
+    return models.select(*[c for c in models.columns if c != "modifications"],
+                         F.explode("modifications").alias("modification", "modification_version"))
+
+
+def newest_up_to(rows: DataFrame, dimension: DataFrame, keys, version: str, values) -> DataFrame:
+    """Rows with the ``values`` of the newest dimension row of the same keys whose version is at or below their own.
+
+    The dimension is folded to one row a key, its versions in order, so that a row meets one row, however many versions
+    there are of a key; a row without a version, or older than all, gets nulls. Versions compare as arrays of numbers.
+    """
+    folded = dimension.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
+        F.col(version).alias("_at"), F.struct(*values).alias("_value")))).alias("_versions"))
+    found = F.filter("_versions", lambda v: v["_at"] <= F.col(version))
+    joined = rows.join(folded, list(keys), "left").withColumn("_found", F.try_element_at(found, F.lit(-1)))
+    return joined.select(*rows.columns, *[F.col(f"_found._value.{v}").alias(v) for v in values])
+
+
+def waiting(batches: DataFrame, runs: DataFrame, codes: DataFrame, needed: dict[str, str], hold_seconds: int | None, now: Column) -> DataFrame:
+    """Batches with what keeps them waiting: ``unknowns`` (needed properties without a value), ``lacking`` (their kind and
+    code, where the run has one), ``debounce`` (modified within the hold time).
+
+    ``needed`` names the code column of ``runs`` for each property, which is the ``kind`` of its ``codes``.
+    """
+    found = batches.join(runs.select("batch", *needed.values()), "batch", "left")
+    for kind, column in needed.items():
+        own = codes.filter(F.col("kind") == kind).select(F.col("code").alias(column), F.col("value").alias(kind))
+        found = found.join(own, column, "left")
+    lacks = {k: F.col(k).isNull() for k in needed}
+    age = F.unix_timestamp(now) - F.unix_timestamp(F.col("modified").cast("timestamp"))
+    unknowns = [F.when(lacks[k], F.lit(k)) for k in needed]
+    lacking = [F.when(lacks[k] & F.col(c).isNotNull(), F.struct(F.lit(k).alias("kind"), F.col(c).alias("code"))) for k, c in needed.items()]
+    return found.withColumns({
+        "unknowns": F.array_compact(F.array(*unknowns).cast("array<string>")),
+        "lacking": F.array_compact(F.array(*lacking).cast("array<struct<kind:string,code:string>>")),
+        "debounce": F.lit(False) if hold_seconds is None else F.coalesce(age <= hold_seconds, F.lit(False))})
+
+
 def lookup(rows: DataFrame, dimension: DataFrame, key: str, code: str, value: str, into: str) -> DataFrame:
     """A left lookup in a code table; an unknown code gives null. The codes must be unique."""
     codes = dimension.select(F.col(code).alias(key), F.col(value).alias(into))

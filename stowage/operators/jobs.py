@@ -99,13 +99,15 @@ def reconcile(tasks: DataFrame, jobs: DataFrame, exit_codes: DataFrame, now: Col
 
     A queued or processing task whose job is listed follows it; one whose job is gone is finished and
     judged by its exit code (``job_id, exit_code``), a missing code counting as failure. Other tasks,
-    and tasks that never had a job, come through unchanged and stay out of the joins.
+    and tasks that never had a job, come through unchanged and stay out of the joins. Of a job that is listed more than once the
+    row with the latest start counts, then with the latest limit; of several exit codes of a job the greatest.
     """
     running = F.col("status").isin(*IN_QUEUE) & F.col("job_id").isNotNull()
     held = tasks.filter(~F.coalesce(running, F.lit(False)))
-    listed = jobs.select("job_id", F.col("status").alias("_status"), F.col("start").alias("_start"),
-                         F.col("limit").alias("_limit"), F.lit(True).alias("_listed"))
-    codes = exit_codes.select("job_id", F.col("exit_code").alias("_code"))
+    listed = jobs.groupBy("job_id").agg(F.max(F.struct("start", "limit", "status")).alias("_j")).select(
+        "job_id", F.col("_j.status").alias("_status"), F.col("_j.start").alias("_start"), F.col("_j.limit").alias("_limit"),
+        F.lit(True).alias("_listed"))
+    codes = exit_codes.groupBy("job_id").agg(F.max("exit_code").alias("_code"))
     joined = tasks.filter(running).join(listed, "job_id", "left").join(codes, "job_id", "left")
 
     live = F.col("_listed").isNotNull()

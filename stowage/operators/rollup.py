@@ -39,6 +39,13 @@ def batch_rollup(pairs: DataFrame) -> DataFrame:
     return _finished(_merged(pairs, "batch", "samples"))
 
 
+def dated_sample_rollup(pairs: DataFrame, batches: DataFrame) -> DataFrame:
+    """``sample_rollup`` of whole samples' pairs, the time ranges taken from the batches' own rows."""
+    ranges = batches.select("batch", F.col("created").alias("_created"), F.col("modified").alias("_modified"))
+    dated = pairs.join(ranges, "batch").withColumns({"created": F.col("_created"), "modified": F.col("_modified")})
+    return _finished(_merged(dated, "sample", "batches"))
+
+
 def sample_rollup(pairs: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Sizes and fingerprint from the sample's own files, the time range from its whole batches.
 
@@ -47,9 +54,7 @@ def sample_rollup(pairs: DataFrame, names: DataFrame | None = None) -> DataFrame
     ranges = pairs.groupBy("batch").agg(
         F.min("created").alias("_created"), F.max("modified").alias("_modified"))
     own = pairs if names is None else pairs.join(names, "sample", "left_semi")
-    dated = own.join(ranges, "batch").withColumns({
-        "created": F.col("_created"), "modified": F.col("_modified")})
-    return _finished(_merged(dated, "sample", "batches"))
+    return dated_sample_rollup(own, ranges.select("batch", F.col("_created").alias("created"), F.col("_modified").alias("modified")))
 
 
 def members(pairs: DataFrame, entity: str, member: str) -> DataFrame:
@@ -136,13 +141,13 @@ def _deltas(diff):
     )
 
 
-def apply_deltas(pairs: DataFrame, diff: DataFrame, files) -> DataFrame:
+def apply_deltas(pairs: DataFrame, diff: DataFrame, files, emptied: bool = False) -> DataFrame:
     """The membership table after a diff, touching only pairs that changed.
 
     Counts, sizes and fingerprint words are exact under subtraction. A time range can only shrink
     when a removed file held one of its ends; those pairs alone are read again from ``files``, the
     listing after the change: a DataFrame, or a function from (batch, sample) rows to their files.
-    Pairs left without files disappear.
+    Pairs left without files disappear, or with ``emptied`` stay as rows without any.
     """
     deltas = _deltas(diff)
     lost_end = (F.col("_gone_created") <= F.col("created")) | (F.col("_gone_modified") >= F.col("modified"))
@@ -156,14 +161,15 @@ def apply_deltas(pairs: DataFrame, diff: DataFrame, files) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     joined = pairs.join(deltas, PAIR, "full_outer").join(ranges, PAIR, "left")
     is_stale = F.coalesce(lost_end, F.lit(False))
-    return joined.select(
+    after = joined.select(
         *PAIR,
         (F.coalesce("n_files", zero) + F.coalesce("_n", zero)).alias("n_files"),
         (F.coalesce("size", zero) + F.coalesce("_size", zero)).alias("size"),
         F.when(is_stale, F.col("_min_created")).otherwise(F.least("created", "_created")).alias("created"),
         F.when(is_stale, F.col("_max_modified")).otherwise(F.greatest("modified", "_modified")).alias("modified"),
         *[(F.coalesce(w, zero) + F.coalesce(f"_{w}", zero)).alias(w) for w in WORDS],
-    ).filter(F.col("n_files") > 0)
+    )
+    return after if emptied else after.filter(F.col("n_files") > 0)
 
 
 def affected(diff: DataFrame, key: str) -> DataFrame:

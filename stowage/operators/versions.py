@@ -178,6 +178,28 @@ def next_versions(current: DataFrame, rollup: DataFrame, key: str) -> DataFrame:
     }).drop("_was")
 
 
+def version_rows(current: DataFrame, rollup: DataFrame, key: str, born: Column, now: Column) -> DataFrame:
+    """``next_versions`` and the versions they replace, deprecated, in one go: the rows that a pass writes.
+
+    An active entity that the rollup lacks has run empty and is deprecated too. Rows carry ``born``, the pass that made
+    the version, and ``row_id``; each side has a key once.
+    """
+    kinds = {f.name: f.dataType for f in [*rollup.schema, *current.schema]}
+    names = list(kinds)
+
+    def entry(side, frame, **own):
+        return F.struct(*[own.get(n, F.col(f"{side}.{n}") if n in frame.columns else F.lit(None)).cast(kinds[n]).alias(n) for n in names])
+
+    both = current.filter(active()).select(key, F.struct(*current.columns).alias("_c")).join(
+        rollup.select(key, F.struct(*rollup.columns).alias("_r")), key, "full_outer")
+    differs = ~F.col("_c.fingerprint").eqNullSafe(F.col("_r.fingerprint"))
+    new = entry("_r", rollup, row_id=F.concat_ws("@", key, born), born=born, status=F.lit("indexed"), updated_at_DB=now,
+                previous_version=F.coalesce("_c.fingerprint", F.lit("")))
+    old = entry("_c", current, status=F.lit("deprecated"), next_version=F.col("_r.fingerprint"), updated_at_DB=now)
+    return both.filter(differs).select(F.inline(F.array_compact(F.array(
+        F.when(F.col("_r").isNotNull(), new), F.when(F.col("_c").isNotNull(), old)))))
+
+
 def vanished(current: DataFrame, rollup: DataFrame, key: str) -> DataFrame:
     """Active entities that have no files any more."""
     return current.filter(active()).join(rollup.select(key), key, "left_anti")

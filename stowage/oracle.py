@@ -3,6 +3,8 @@
 Written independently of the operators, for a different engine (DuckDB); used only to check results.
 """
 
+from .operators.curation import MODELS
+
 NOW = "TIMESTAMP '2002-01-01 00:00:00'"
 CATALOG_TIME = "TIMESTAMP '2001-01-01 00:00:00'"
 
@@ -762,7 +764,50 @@ JOIN new_samples s ON r.sample_id = s.sample
 WHERE r.sample_id IN (SELECT sample_id FROM results) AND s.size > 0 AND CAST(substr(r.sample_id, 2) AS BIGINT) % 3 <> 0""",
      "rules_met", "new_samples", "results")
 
+_cte("known_files", """
+SELECT * FROM files WHERE batch IN (SELECT 'B' || n_nationkey FROM nation WHERE n_nationkey <> 7)""", "files")
+_cte("rested_files", """
+SELECT * FROM files WHERE batch IN (
+  SELECT batch FROM new_batches WHERE modified < epoch_us(TIMESTAMP '2001-07-31 23:55:00'))""", "files", "new_batches")
+_NAMED = "^([a-z]+)_(r[0-9.]+)_(e[0-9.]+)(_([0-9]+)bps)?_([a-z]+)@v([0-9.]+)$"
+_cte("models", f"""
+SELECT model, freq, regexp_extract(model, '{_NAMED}', 2) AS pore, regexp_extract(model, '{_NAMED}', 3) AS chemistry,
+       regexp_extract(model, '{_NAMED}', 5) AS speed, regexp_extract(model, '{_NAMED}', 6) AS kind,
+       [CAST(x AS INTEGER) FOR x IN string_split(regexp_extract(model, '{_NAMED}', 7), '.')] AS version
+FROM (VALUES {', '.join(f"('{m}', '{f}')" for m, f, _ in MODELS)}) v(model, freq)""")
+_cte("model_bases", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{m}', '{b}', '{v}')" for m, _, bases in MODELS for b, v in bases.items()) + ") v(model, modification, modification_version)")
+_cte("model_runs", """
+SELECT p_partkey, CASE WHEN p_size > 25 THEN 'r10.4.1' ELSE 'r9.4.1' END AS pore,
+       CASE WHEN p_size > 25 THEN 'e8.2' ELSE 'e8' END AS chemistry,
+       CASE WHEN p_size > 38 THEN '400' WHEN p_size > 25 THEN '260' ELSE '' END AS speed,
+       ['fast', 'hac', 'sup'][p_partkey % 3 + 1] AS kind, ['5mCG', '6mA', '5mCG_5hmCG'][p_size % 3 + 1] AS modification,
+       [CAST(3 + p_partkey % 3 AS INTEGER), CAST(p_size % 8 AS INTEGER)] AS version FROM part""")
+
 ORACLE.update({
+    "reconcile_repeated": ORACLE["reconcile_tasks"],
+    "stream_quiet_sync": sql("""
+SELECT b.batch, b.n_files + coalesce(2 * n, 0) AS n_files, CAST(b.size + coalesce(s, 0) AS BIGINT) AS size FROM new_batches b
+LEFT JOIN (SELECT 'B' || c_custkey % 40 AS batch, count(*) AS n, sum(2 * c_custkey + 30) AS s FROM customer GROUP BY 1) l
+ON b.batch = l.batch""", "new_batches"),
+    "listed_tree": sql("""
+SELECT p_brand AS brand, 1 AS n_files, true AS with_content FROM part WHERE p_brand <> 'Brand#11' GROUP BY 1"""),
+    "curated_passes": sql(f"SELECT sample, n_batches, n_files, size, fingerprint FROM ({_samples('known_files')})", "known_files"),
+    "curations_kept": sql("""
+SELECT batch, held, CASE WHEN n_nationkey IS NULL THEN 'pore,experiment_type' WHEN held THEN 'experiment_type' ELSE '' END AS unknowns,
+       CASE WHEN r_name = 'ASIA' THEN 'v2' ELSE 'v1' END AS refs_version
+FROM (SELECT b.batch, n_nationkey, r_name, n_nationkey IS NULL OR n_nationkey = 7 AS held FROM new_batches b
+      LEFT JOIN nation ON b.batch = 'B' || n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)
+WHERE held OR r_name = 'ASIA'""", "new_batches"),
+    "resting_batches": sql(f"SELECT sample, n_batches, n_files, size FROM ({_samples('rested_files')})", "rested_files"),
+    "model_lookup": sql("""
+SELECT r.p_partkey, m.model, m.freq, r.modification, c.model AS calling, c.modification_version FROM model_runs r
+LEFT JOIN (SELECT p_partkey, arg_max(model, m.version) AS model, arg_max(freq, m.version) AS freq
+           FROM model_runs r JOIN models m USING (pore, chemistry, speed, kind) WHERE m.version <= r.version GROUP BY 1) m USING (p_partkey)
+LEFT JOIN (SELECT p_partkey, arg_max(m.model, m.version) AS model, arg_max(b.modification_version, m.version) AS modification_version
+           FROM model_runs r JOIN models m USING (pore, chemistry, speed, kind)
+           JOIN model_bases b ON b.model = m.model AND b.modification = r.modification
+           WHERE m.version <= r.version GROUP BY 1) c USING (p_partkey)""", "model_runs", "models", "model_bases"),
     "null_time_neighbours": sql("""
 SELECT event_id, lag(event_id) OVER w AS before_id, lead(event_id) OVER w AS after_id FROM untimed
 WINDOW w AS (PARTITION BY src_path ORDER BY ts NULLS FIRST, event_id)""", "untimed"),

@@ -2,8 +2,8 @@
 
 A pass reads the catalog as of the pass before it and appends its rows to each table, ``passes`` last. A pass that
 is run again reads the same state and writes the same rows, so a pass interrupted anywhere is simply repeated.
-``files``, ``membership`` and ``batches`` lie in buckets of the batch, ``samples`` in buckets of the sample: a pass opens
-the buckets that its changes fall in.
+``files``, ``membership`` and ``batches`` lie in buckets of the batch, ``samples`` and ``sample_membership`` (the same
+rows as ``membership``) in buckets of the sample: a pass opens the buckets that its changes fall in.
 
 Tables (keys): ``files`` (row_id), ``membership`` (batch, sample), ``batches`` (row_id),
 ``samples`` (row_id), ``changes``, ``rejects``, ``passes``. A ``row_id`` names one version of an
@@ -19,6 +19,7 @@ from ..operators import diff as D, events as E, rollup as R, versions as V
 from ..operators.reports import batch_reports
 from ..session import fixed, intermediates, written
 from ..sources import tables
+from .curation import Curation, by_batch as _by_batch, read_held, review
 
 _S, _L, _TS = T.StringType(), T.LongType(), T.TimestampType()
 
@@ -51,10 +52,6 @@ def _by_link(link="symlink") -> Column:
     return _by_batch(F.substring_index(link, "/", -1))
 
 
-def _by_batch(batch="batch") -> Column:
-    return tables.bucket(F.substring_index(batch, ":", 1))
-
-
 def _by_sample(sample="sample") -> Column:
     return tables.bucket(sample)
 
@@ -62,7 +59,7 @@ def _by_sample(sample="sample") -> Column:
 #: Schema, key and bucket of the tables that are folded to the newest row of a key.
 FOLDED = {
     "files": (FILES, "row_id", _by_link), "membership": (MEMBERSHIP, PAIR, _by_batch),
-    "batches": (BATCHES, "row_id", _by_batch), "samples": (SAMPLES, "row_id", _by_sample)}
+    "sample_membership": (MEMBERSHIP, PAIR, _by_sample), "batches": (BATCHES, "row_id", _by_batch), "samples": (SAMPLES, "row_id", _by_sample)}
 
 
 def committed(spark: SparkSession, root: str) -> int:
@@ -143,7 +140,8 @@ def sync_listing(spark: SparkSession, root: str, inventory: DataFrame, link_dir:
 
     Listing and catalog each shuffle once, by link; equal paths have equal links, so duplicates of
     a path collapse in the same fold. Files whose path names no sample go to the rejects table.
-    ``compact_after`` folds the tables after every so many passes.
+    ``compact_after`` folds the tables after every so many passes. With ``curation``, batches that wait count for no sample;
+    it is given to every pass of a catalog or to none.
     """
     version = committed(spark, root) + 1 if version is None else version
     now = fixed(spark, now)
@@ -180,7 +178,7 @@ def sync_events(spark: SparkSession, root: str, events: DataFrame, link_dir: str
 
 
 def _write_pass(spark, root, version, changed, link_dir, now, reports=None,
-                processing_dir="/processing", result_dir="/results", compact_after=None):
+                processing_dir="/processing", result_dir="/results", compact_after=None, curation: Curation | None = None):
     before = version - 1
     # Every table below is derived from the changes alone, so they are computed once.
     changed = written(changed.select(*[c for c in _DIFF if c in changed.columns]), "changes")
@@ -196,22 +194,37 @@ def _write_pass(spark, root, version, changed, link_dir, now, reports=None,
 
     touched = R.contributions(changed).select(*PAIR).distinct()
     mine = read_membership(spark, root, before, only=touched, buckets=at["batch"])
-    _append(_pair_rows(mine, changed, files_of), root, "membership", version)
+    pairs = written(_fit(R.apply_deltas(mine, changed, files_of, emptied=True), MEMBERSHIP), "pairs")
+    for table in ("membership", "sample_membership"):  # the same rows, to be found by batch and by sample
+        _append(pairs, root, table, version)
 
+    born = F.lit(version).cast("bigint")
     names = R.affected(changed, "batch")
     pairs = read_membership(spark, root, version, only=names, buckets=at["batch"])
     current = current_batches(spark, root, before, names, at["batch"])
-    batches = _fit(_entity_rows(current, R.batch_rollup(pairs), "batch", version, now), BATCHES)
+    batches = _fit(V.version_rows(current, R.batch_rollup(pairs), "batch", born, now), BATCHES)
+    if reports is not None:
+        batches = written(batches, "batches")
     batches = _with_reports(batches, current, None if reports is None else current_batches(spark, root, before), reports,
                             version, now)
     _append(batches, root, "batches", version)
 
-    # A sample's dates come from its whole batches, so those are read along with its own pairs.
     names = R.affected(changed, "sample")
-    wanted = read_membership(spark, root, version, only=names).select("batch").distinct()
-    pairs = read_membership(spark, root, version, only=wanted)
-    rolled = R.sample_rollup(pairs, names)
-    samples = _entity_rows(current_samples(spark, root, before, names, at["sample"]), rolled, "sample", version, now)
+    if curation:
+        flipped = review(spark, root, version, R.affected(changed, "batch"), lambda some, buckets: current_batches(
+            spark, root, version, some, buckets), curation, now)
+        there = tables.buckets_of(flipped, at=_by_batch())["at"]
+        others = read_membership(spark, root, version, flipped, there).select("sample")
+        names = written(names.union(others).distinct(), "samples-named")
+        at["sample"] = tables.buckets_of(names, at=_by_sample())["at"]
+    # A sample's dates come from its whole batches.
+    pairs = written(_read(spark, root, "sample_membership", version, only=names, buckets=at["sample"]).filter("n_files > 0"), "sample-pairs")
+    wanted = tables.buckets_of(pairs, batch=_by_batch())["batch"]
+    if curation:
+        pairs = pairs.join(read_held(spark, root, version, wanted).select("batch"), "batch", "left_anti")
+    dates = current_batches(spark, root, version, pairs.select("batch").distinct(), wanted)
+    current = current_samples(spark, root, before, names, at["sample"])
+    samples = V.version_rows(current, R.dated_sample_rollup(pairs, dates), "sample", born, now)
     samples = samples.withColumns({
         "sample_id": sample_id(F.col("sample"), F.col("fingerprint")),
         "processing_dir": entity_dir(F.lit(processing_dir), F.col("sample"), F.col("fingerprint")),
@@ -296,21 +309,3 @@ def _with_reports(batches, current, every, reports, version, now):
         "updated_at_DB": F.when(F.col("_others"), now).otherwise(F.col("updated_at_DB")),
         **{k: F.coalesce(k, f"_{k}") for k in REPORT_TYPES}})
     return _fit(filled, BATCHES).unionByName(old)
-
-
-def _pair_rows(mine, changed, files_of):
-    """The touched memberships after the change; an emptied one is written with no files."""
-    after = R.apply_deltas(mine, changed, files_of)
-    emptied = mine.join(after.select(*PAIR), PAIR, "left_anti").withColumn("n_files", F.lit(0).cast("bigint"))
-    return _fit(after, MEMBERSHIP).unionByName(_fit(emptied, MEMBERSHIP))
-
-
-def _entity_rows(current, rolled, key, version, now):
-    """New versions of the touched entities, and the versions they replace or that ran empty."""
-    born = F.lit(version).cast("bigint")
-    new = V.next_versions(current.select(key, "fingerprint", "status"), rolled, key).withColumns({
-        "row_id": F.concat_ws("@", key, born), "born": born, "updated_at_DB": now})
-    now_there = rolled.select(key, F.col("fingerprint").alias("_next"))
-    old = current.join(now_there, key, "left").filter(~F.col("_next").eqNullSafe(F.col("fingerprint")))
-    old = old.withColumns({"status": F.lit("deprecated"), "next_version": F.col("_next"), "updated_at_DB": now})
-    return new.unionByName(old.drop("_next"), allowMissingColumns=True)

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import views as V
 from .functions import documents, durations, fingerprints, paths, predicates, states, templates
 from .operators import curation, diff, events, jobs, ordered, outputs, reports, rollup, shapers, versions, work
-from .plans import indexing, scheduling
+from .plans import curation as plan_curation, indexing, scheduling
 from .schemas import SAMPLE_DEFAULTS, SAMPLES
 from .session import run_dir, written
-from .sources import rules as rule_source, tables
+from .sources import listing, rules as rule_source, tables
 from .streaming import events as event_stream, state as state_stream
 
 QUERIES = {}
@@ -638,6 +638,18 @@ def catalog_roundtrip(spark, d):
     return tables.read_live(spark, root, "files", new.schema, "symlink")
 
 
+@query
+def listed_tree(spark, d):
+    """A tree that is written here, a folder for each brand, and listed without one of the folders."""
+    root = run_dir(spark, "tree")
+    V.table(spark, d, "part").select("p_partkey", "p_brand").repartition("p_brand").write.partitionBy("p_brand").parquet(root)
+    path = root.removeprefix("file://").removeprefix("file:")
+    found = listing.scan_listing(spark, [path], ["parquet"], exclude_dirs=["p_brand=Brand%2311", "p_brand=Brand#11"])
+    folder = F.regexp_extract("filepath", "/p_brand=([^/]*)/[^/]*$", 1)
+    return found.groupBy(F.regexp_replace(folder, "%23", "#").alias("brand")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.min(F.col("size") > 0).alias("with_content"))
+
+
 @query
 def newest_files(spark, d):
     f = V.files_now(spark, d).select("symlink", "size", us("modified").alias("modified_us"))
@@ -768,16 +780,30 @@ def task_documents(spark, d):
         "task_id", F.col("sample_meta.name").alias("sample_name"), F.col("result_meta.n_results").alias("n_results"))
 
 
+def _reconciled_columns(tasks):
+    return tasks.select(
+        "task_id", "status", "job_status", us("start").alias("start_us"), us("limit").alias("limit_us"),
+        us("finish").alias("finish_us"), "exit_code", "time_in_processing", "time_from_creation_to_finish",
+        us("last_update").alias("updated_us"))
+
+
 def _reconciled(spark, d):
     return jobs.reconcile(V.tasks(spark, d), _jobs(spark, d), V.exit_codes(spark, d), _now())
 
 
 @query
 def reconcile_tasks(spark, d):
-    return _reconciled(spark, d).select(
-        "task_id", "status", "job_status", us("start").alias("start_us"), us("limit").alias("limit_us"),
-        us("finish").alias("finish_us"), "exit_code", "time_in_processing", "time_from_creation_to_finish",
-        us("last_update").alias("updated_us"))
+    return _reconciled_columns(_reconciled(spark, d))
+
+
+@query
+def reconcile_repeated(spark, d):
+    """Tasks against a listing that has every job twice, and two exit codes for each: every task comes out once."""
+    j, codes = _jobs(spark, d), V.exit_codes(spark, d)
+    earlier = j.withColumns({"start": F.col("start") - F.expr("INTERVAL 1 HOUR"), "status": F.lit("BOOT")})
+    lower = codes.withColumn("exit_code", (F.col("exit_code") - 1).cast(codes.schema["exit_code"].dataType))
+    out = jobs.reconcile(V.tasks(spark, d), j.unionByName(earlier), codes.unionByName(lower), _now())
+    return _reconciled_columns(out)
 
 
 @query
@@ -1019,6 +1045,69 @@ def indexed_samples(spark, d):
         "sample", "n_batches", "n_files", "size", "fingerprint", "sample_id", "result_dir")
 
 
+def _curation(spark, d, version):
+    """Runs with a flow cell for each region and a kit for each nation; the first codes lack some, the second fewer."""
+    n, r = V.table(spark, d, "nation"), V.table(spark, d, "region")
+    runs = n.select(F.concat(F.lit("B"), "n_nationkey").alias("batch"), F.concat(F.lit("FC"), "n_regionkey").alias("flow_cell"),
+                    F.concat(F.lit("K"), "n_nationkey").alias("kit"))
+    cells = r.filter(F.lit(version > 1) | (F.col("r_name") != "ASIA")).select(
+        F.lit("pore").alias("kind"), F.concat(F.lit("FC"), "r_regionkey").alias("code"), F.col("r_name").alias("value"))
+    kits = n.filter("n_nationkey <> 7").select(F.lit("experiment_type"), F.concat(F.lit("K"), "n_nationkey"), F.lit("dna"))
+    return plan_curation.Curation(runs, cells.union(kits), f"v{version}", hold_seconds=None)
+
+
+def _curated_passes(spark, d):
+    """Two passes with codes that leave batches waiting, and a third, over the same listing, with more codes."""
+    root = run_dir(spark, "curated")
+    before = V.previous_inventory(spark, d).filter("state is null or state = 'indexed'")
+    for listing, now, codes in ((before, V.ts(V.CATALOG_TIME), 1), (V.inventory(spark, d), _now(), 1), (V.inventory(spark, d), _now(), 2)):
+        indexing.sync_listing(spark, root, listing, V.LINK_DIR, now, curation=_curation(spark, d, codes))
+    return root
+
+
+@query
+def curated_passes(spark, d):
+    """Sample totals after the third pass: of the batches that were known, and of those it released."""
+    return indexing.current_samples(spark, _curated_passes(spark, d)).select("sample", "n_batches", "n_files", "size", "fingerprint")
+
+
+@query
+def curations_kept(spark, d):
+    """What the three passes keep of batches that wait or have waited."""
+    return plan_curation.read_curations(spark, _curated_passes(spark, d)).select(
+        "batch", "held", joined("unknowns").alias("unknowns"), "refs_version")
+
+
+@query
+def resting_batches(spark, d):
+    """Sample totals of a pass at a time when some batches have not come to rest."""
+    n = V.table(spark, d, "nation").limit(0)
+    curation_ = plan_curation.Curation(n.select(F.col("n_name").alias("batch")), n.select(
+        *[F.col("n_name").alias(c) for c in ("kind", "code", "value")]), "v0", needed={})
+    root = run_dir(spark, "resting")
+    indexing.sync_listing(spark, root, V.inventory(spark, d), V.LINK_DIR, V.ts("2001-08-01 00:05:00"), curation=curation_)
+    return indexing.current_samples(spark, root).select("sample", "n_batches", "n_files", "size")
+
+
+@query
+def model_lookup(spark, d):
+    """The newest basecalling model at or below a version, for parts taken as runs; and the newest that calls a modified base."""
+    p = V.table(spark, d, "part")
+    keys = ["pore", "chemistry", "speed", "kind"]
+    runs = p.select(
+        "p_partkey", F.when(F.col("p_size") > 25, "r10.4.1").otherwise("r9.4.1").alias("pore"),
+        F.when(F.col("p_size") > 25, "e8.2").otherwise("e8").alias("chemistry"),
+        F.when(F.col("p_size") > 38, "400").when(F.col("p_size") > 25, "260").otherwise("").alias("speed"),
+        F.element_at(F.array(*map(F.lit, ("fast", "hac", "sup"))), (F.col("p_partkey") % 3 + 1).cast("int")).alias("kind"),
+        F.element_at(F.array(*map(F.lit, ("5mCG", "6mA", "5mCG_5hmCG"))), (F.col("p_size") % 3 + 1).cast("int")).alias("modification"),
+        curation.version_parts(F.concat(F.lit(3) + F.col("p_partkey") % 3, F.lit("."), F.col("p_size") % 8)).alias("version"))
+    models = curation.model_table(spark)
+    any_base = curation.newest_up_to(runs, models, keys, "version", ["model", "freq"])
+    calling = curation.by_modification(models).withColumnRenamed("model", "calling")
+    found = curation.newest_up_to(any_base, calling, [*keys, "modification"], "version", ["calling", "modification_version"])
+    return found.select("p_partkey", "model", "freq", "modification", "calling", "modification_version")
+
+
 @query
 def scheduling_cycle(spark, d):
     """One cycle over all tasks: their next states, and which of them get a slot."""
@@ -1117,6 +1206,21 @@ def stream_sync(spark, d):
         "batch", "n_samples", "n_files", "size", "created", "modified", "fingerprint"))
 
 
+@query
+def stream_quiet_sync(spark, d):
+    """The same with modifications that wait for quiet, and logs that are rotated within seconds; at the end what still waits."""
+    root = run_dir(spark, "quiet")
+    before = V.previous_inventory(spark, d).filter("state is null or state = 'indexed'")
+    first = indexing.sync_listing(spark, root, before, V.LINK_DIR, V.ts(V.CATALOG_TIME)) + 1
+    rows, checkpoint = V.change_events(spark, d).unionByName(V.rotated_logs(spark, d)), run_dir(spark, "quiet-checkpoint")
+    cuts = ["2002-01-01 00:02:00", "2002-01-01 00:03:00"]
+    _in_parts(spark, rows, "quiet-events", lambda path: event_stream.sync_catalog(
+        event_stream.quiet_events(event_stream.read_events(spark, path, schema=rows.schema)), root, V.LINK_DIR, _now(), checkpoint, first
+    ).awaitTermination(), cuts)
+    indexing.sync_events(spark, root, event_stream.open_modifications(spark, checkpoint), V.LINK_DIR, _now())
+    return indexing.current_batches(spark, root).select("batch", "n_files", "size")
+
+
 @query
 def stream_transitions(spark, d):
     """Job-state changes with stored state, the polls arriving in three parts."""

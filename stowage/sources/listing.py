@@ -1,7 +1,7 @@
 """Listing file trees."""
 
+import itertools
 import os
-import re
 from functools import reduce
 
 import pyarrow as pa
@@ -17,64 +17,78 @@ class EmptyListing(FileNotFoundError):
     """No file with a wanted extension was found."""
 
 
-WALKED = "filepath string, size long, mtime timestamp, ctime timestamp, dev long, ino long, nlink long, is_dir boolean, error string"
+WALKED = ("filepath string, size long, mtime timestamp, ctime timestamp, dev long, ino long, nlink long, is_dir boolean, error string, "
+          "raw binary")
+#: Entries of a folder that are held at once.
+PART = 10_000
 
 
-def _visit(batches):
-    """For folders: a row for every file and folder in them, and one with the error of a folder that cannot be read."""
-    for batch in batches:
-        rows = []
-        for folder in batch.column(0).to_pylist():
-            try:
-                with os.scandir(folder) as entries:
-                    found = list(entries)
-            except OSError as error:
-                rows.append((folder, None, None, None, None, None, None, True, error.strerror or "unreadable"))
-                continue
-            for entry in found:
+def text_of(raw: bytes) -> str:
+    """A path as text; bytes that are not UTF-8 are written ``%XX``."""
+    return "".join(f"%{ord(c) - 0xDC00:02X}" if "\udc80" <= c <= "\udcff" else c for c in raw.decode("utf-8", "surrogateescape"))
+
+
+def _entries(folder, excluded):
+    """A row for every file and folder in a folder, which is read entry by entry; one with the error if it cannot be read."""
+    try:
+        with os.scandir(folder) as entries:
+            for entry in entries:
+                if entry.name in excluded and entry.is_dir(follow_symlinks=False):
+                    continue
                 try:
                     stat = entry.stat()
-                    rows.append((entry.path, stat.st_size, stat.st_mtime_ns // 1000, stat.st_ctime_ns // 1000, stat.st_dev,
-                                 stat.st_ino, stat.st_nlink, entry.is_dir(follow_symlinks=False), None))
+                    yield (text_of(entry.path), stat.st_size, stat.st_mtime_ns // 1000, stat.st_ctime_ns // 1000, stat.st_dev,
+                           stat.st_ino, stat.st_nlink, entry.is_dir(follow_symlinks=False), None, entry.path)
                 except OSError as error:  # it went meanwhile, or is a link to nowhere
-                    rows.append((entry.path, None, None, None, None, None, None, False, error.strerror or "unreadable"))
-        columns = list(zip(*rows)) or [()] * 9
-        kinds = [pa.string(), pa.int64(), pa.timestamp("us", "UTC"), pa.timestamp("us", "UTC"), pa.int64(), pa.int64(),
-                 pa.int64(), pa.bool_(), pa.string()]
-        names = [c.split()[0] for c in WALKED.split(", ")]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+                    yield text_of(entry.path), None, None, None, None, None, None, False, error.strerror or "unreadable", entry.path
+    except OSError as error:
+        yield text_of(folder), None, None, None, None, None, None, True, error.strerror or "unreadable", folder
+
+
+def _visit(excluded, part):
+    kinds = [pa.string(), pa.int64(), pa.timestamp("us", "UTC"), pa.timestamp("us", "UTC"), pa.int64(), pa.int64(),
+             pa.int64(), pa.bool_(), pa.string(), pa.binary()]
+    names = [c.split()[0] for c in WALKED.split(", ")]
+
+    def visit(batches):
+        for batch in batches:
+            rows = (row for folder in batch.column(0).to_pylist() for row in _entries(folder, excluded))
+            while some := list(itertools.islice(rows, part)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), kinds)], names=names)
+
+    return visit
 
 
-def walk(spark: SparkSession, roots) -> DataFrame:
+def walk(spark: SparkSession, roots, exclude_dirs=(), part: int = PART) -> DataFrame:
     """Everything below folders of a mount that all executors have: files, folders, and what could not be read.
 
-    One job for each level of the tree lists its folders in parallel; nothing of the tree is held by the driver, names of
-    any form are kept, and an unreadable folder is a row with its ``error`` and does not stop the others.
+    One job for each level of the tree lists its folders in parallel; nothing of the tree is held by the driver, and of a
+    folder ``part`` entries at most by its task. Names may be any bytes: ``raw`` has them, ``filepath`` as text. Folders
+    named as one of ``exclude_dirs`` below the roots are neither listed nor opened. An unreadable folder is a row with its
+    ``error`` and does not stop the others.
     """
-    folders = spark.createDataFrame([(r.rstrip("/") or "/",) for r in roots], "filepath string")
+    folders = spark.createDataFrame([(bytearray(os.fsencode(r.rstrip("/") or "/")),) for r in roots], "raw binary")
+    visit = _visit(frozenset(os.fsencode(d) for d in exclude_dirs), part)
     levels = []
     while True:
         # Spread anew, since a few folders may hold most of the next level.
-        found = written(folders.repartition(spark.sparkContext.defaultParallelism).mapInArrow(_visit, WALKED), "listing")
+        found = written(folders.repartition(spark.sparkContext.defaultParallelism).mapInArrow(visit, WALKED), "listing")
         levels.append(found)
-        folders = found.filter("is_dir and error is null").select("filepath")
+        folders = found.filter("is_dir and error is null").select("raw")
         if folders.isEmpty():
             return reduce(DataFrame.unionByName, levels)
 
 
 def scan_listing(spark: SparkSession, roots, extensions=(), exclude_dirs=(), empty_ok: bool = False) -> DataFrame:
-    """Files under the roots by extension, without the excluded folders; contents are never read.
+    """Files under the roots by extension, without those in excluded folders below them; contents are never read.
 
     Rows are (filepath, size, mtime). Roots are folders of a mount, walked by executors. For an object store, where
     listing a tree of this size is a service of its own, take an inventory: ``read_inventory``.
     """
-    listed = walk(spark, roots).filter("not is_dir and error is null").select(
+    listed = walk(spark, roots, exclude_dirs).filter("not is_dir and error is null").select(
         clean_path(F.col("filepath")).alias("filepath"), "size", "mtime")
     if extensions:
         listed = listed.filter(has_extension(F.col("filepath"), extensions))
-    if exclude_dirs:
-        names = "|".join(re.escape(d) for d in exclude_dirs)
-        listed = listed.filter(~F.col("filepath").rlike(f"/({names})/"))
     if not empty_ok and listed.isEmpty():
         raise EmptyListing(f"no {', '.join(extensions) or 'files'} under {', '.join(roots)}")
     return listed

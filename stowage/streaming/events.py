@@ -1,5 +1,7 @@
 """Event streams: reading, debouncing, and applying them to a stored catalog."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,24 +39,107 @@ def debounce(events: DataFrame, keys, ts: str = "ts", gap: str = FILE_DEBOUNCE,
         "n_events", *[F.col(f"_last.{p}").alias(p) for p in payload])
 
 
-def quiet_events(events: DataFrame, ts: str = "ts", gap: str = WRITE_DEBOUNCE, watermark: str = "0 seconds") -> DataFrame:
-    """File events in front of the catalog: of each burst of a path the last one, once the path is quiet.
-
-    A move stands for the path it names as its source; only the last event of a burst goes on, with the newest stat
-    fields that the burst brought. The last event decides what the burst is; a burst that
-    begins with a creation and ends otherwise than by a loss is a creation.
+_STAT = ("size", "ctime", "mtime", "dev", "ino", "nlink", "is_dir")
+_PACKED = "size long, ctime long, mtime long, dev long, ino long, nlink long, is_dir boolean"
+
+
+def _packed() -> Column:
+    """An event's stat fields as one text, null where it brought none."""
+    fields = [F.unix_micros(c).alias(c) if c in ("ctime", "mtime") else F.col(c) for c in _STAT]
+    return F.when(F.col("size").isNotNull(), F.to_json(F.struct(*fields)))
+
+
+def _modifications(rows: DataFrame, ts: str) -> DataFrame:
+    """Rows (src_path, at, stat) as file events."""
+    stat = rows.withColumn("stat", F.from_json("stat", _PACKED))
+    return stat.select(
+        F.lit("modified").alias("event_type"), "src_path", F.lit(None).cast("string").alias("dest_path"), F.timestamp_micros("at").alias(ts),
+        *[(F.timestamp_micros(f"stat.{c}") if c in ("ctime", "mtime") else F.col(f"stat.{c}")).alias(c) for c in _STAT])
+
+
+#: Events of one path that are held before they are folded.
+_MOST = 20_000
+
+
+def _folded(rows: list[tuple]) -> list[tuple]:
+    """Of modifications and losses of a path (time, whether a loss, stat), in order: the losses, and between them the last
+    modification and the last that brought content. Folding again with more rows is the same as folding once."""
+    kept, last, full = [], None, None
+
+    def close():
+        kept.extend(x for x in ((full, last) if full is not last else (last,)) if x)
+
+    for row in sorted(rows, key=lambda r: r[:2]):
+        if row[1]:
+            close()
+            kept.append(row)
+            last = full = None
+        else:
+            last, full = row, row if row[2] is not None else full
+    close()
+    return kept
+
+
+def _waiting(milliseconds: int):
+    """Keeps a path's last modification until no other has come for so long, or until the path is lost."""
+    import pandas as pd
+
+    def made(key, found):
+        return pd.DataFrame({"src_path": [key[0]] * len(found), "at": [at for at, _ in found], "stat": [s for _, s in found]})
+
+    def step(key, frames, state):
+        rows = [(state.get[0], False, state.get[1])] if state.exists else []
+        if state.hasTimedOut:
+            state.remove()
+            yield made(key, [(at, stat) for at, _, stat in rows])
+            return
+        for frame in frames:
+            stats = (s if isinstance(s, str) else None for s in frame["stat"].tolist())
+            rows.extend(zip(frame["at"].tolist(), frame["loss"].tolist(), stats))
+            if len(rows) > _MOST:  # a path may have any number of events
+                rows = _folded(rows)
+        due, last = [], None
+        for at, loss, stat in _folded(rows):
+            if loss and last:
+                due.append(last)
+            last = None if loss else (at, stat if stat is not None else last and last[1])
+        if last:
+            state.update(last)
+            state.setTimeoutDuration(milliseconds)
+        elif state.exists:
+            state.remove()
+        if due:
+            yield made(key, due)
+
+    return step
+
+
+def quiet_events(events: DataFrame, ts: str = "ts", gap: str = WRITE_DEBOUNCE) -> DataFrame:
+    """File events in front of the catalog: modifications once their path is quiet, everything else at once.
+
+    A modification waits until ``gap`` of the clock has passed without another of its path; then one event goes on, with the
+    last time and the newest stat fields. A path that is moved or deleted has its waiting modification go on
+    before that, in the same micro-batch, so that no content is lost on the way and no lost path comes back. What
+    still waits when the stream stops is in its state: it goes on after a restart, or see ``open_modifications``.
+    Modifications without a path or a time do not wait.
     """
-    stat = F.struct("size", "ctime", "mtime", "dev", "ino", "nlink")
-    last = F.max_by(F.struct("event_type", "dest_path", "is_dir"), F.struct(ts, "event_type")).alias("_last")
-    bursts = events.withWatermark(ts, watermark).groupBy("src_path", F.session_window(ts, gap)).agg(
-        last, F.max(ts).alias("_at"), F.max_by(stat, F.when(F.col("size").isNotNull(), F.col(ts))).alias("_stat"),
-        F.max(F.col("event_type") == "created").alias("_made"))
-    kept = F.col("_last.event_type").isin("deleted", "moved")
-    return bursts.select(
-        F.when(F.col("_made") & ~kept, "created").otherwise(F.col("_last.event_type")).alias("event_type"), "src_path",
-        F.col("_last.dest_path").alias("dest_path"), F.col("_at").alias("ts"),
-        *[F.col(f"_stat.{c}").alias(c) for c in ("size", "ctime", "mtime", "dev", "ino", "nlink")],
-        F.col("_last.is_dir").alias("is_dir"))
+    seconds = F.expr(f"INTERVAL {gap}")
+    milliseconds = int(events.sparkSession.sql("SELECT 1").select(
+        (F.unix_micros(F.timestamp_micros(F.lit(0)) + seconds) / 1000).cast("bigint")).first()[0])
+    modified = F.coalesce((F.col("event_type") == "modified") & F.col("src_path").isNotNull() & F.col(ts).isNotNull(), F.lit(False))
+    lost = F.coalesce(F.col("event_type").isin("moved", "deleted") & F.col("src_path").isNotNull() & F.col(ts).isNotNull(), F.lit(False))
+    watched = events.filter(modified | lost).select(
+        "src_path", F.unix_micros(ts).alias("at"), lost.alias("loss"), F.when(~lost, _packed()).alias("stat"))
+    due = watched.groupBy("src_path").applyInPandasWithState(
+        _waiting(milliseconds), "src_path string, at long, stat string", "at long, stat string", "append", "ProcessingTimeTimeout")
+    at_once = events.filter(~modified)
+    return at_once.unionByName(_modifications(due, ts).select(*events.columns))
+
+
+def open_modifications(spark: SparkSession, checkpoint: str, ts: str = "ts") -> DataFrame:
+    """The modifications that a stopped stream of ``quiet_events`` still holds, as events; its state stays as it is."""
+    state = spark.read.format("statestore").load(checkpoint).select("key.src_path", "value.groupState.*")
+    return _modifications(state.filter("at is not null"), ts)
 
 
 def hold_batches(events: DataFrame, ts: str = "ts", hold: str = BATCH_HOLD, watermark: str = "0 seconds") -> DataFrame:
@@ -92,10 +177,12 @@ def start(df: DataFrame, path: str, checkpoint: str, once: bool = True, interval
 
 
 def sync_catalog(events: DataFrame, root: str, link_dir: str, now: Column, checkpoint: str, first_version: int,
-                 once: bool = True, interval: str = FLUSH_INTERVAL) -> StreamingQuery:
+                 once: bool = True, interval: str = FLUSH_INTERVAL,
+                 reports: Callable[[SparkSession], DataFrame] | None = None, **options) -> StreamingQuery:
     """Keep a stored catalog up to date with a stream of file events.
 
-    To index a file only once it is no longer written, give it ``quiet_events``.
+    To have modifications wait until a file is no longer written, give it ``quiet_events``. ``reports`` gives the report files
+    that exist as of each micro-batch, such as ``state.read_reports`` of a stream of their events; ``options`` go to each pass.
 
     Micro-batch ``n`` is pass ``first_version + n``; one that was already finished before a restart is
     skipped, one that was interrupted is written again. Deletions, additions, moves, batches and
@@ -104,7 +191,8 @@ def sync_catalog(events: DataFrame, root: str, link_dir: str, now: Column, check
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark, version = batch.sparkSession, first_version + batch_id
         if version > committed(spark, root):
-            sync_events(spark, root, batch, link_dir, now, version)
+            known = {} if reports is None else {"reports": reports(spark)}
+            sync_events(spark, root, batch, link_dir, now, version, **known, **options)
 
     writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()

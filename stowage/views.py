@@ -392,6 +392,25 @@ def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("is_dir", F.lit(False))
 
 
+def rotated_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log for each customer that is made, moved aside and made anew within five seconds."""
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    folder = F.concat(F.lit("/src/S"), F.col("c_custkey"), F.lit("/20020101_1200_P1_B"), F.col("c_custkey") % 40, F.lit("/raw/log"))
+    new, old = F.concat(folder, F.lit(".pod5")), F.concat(folder, F.lit("-1.pod5"))
+
+    def event(kind, second, path, dest, size):
+        when = ts(NOW) + F.make_dt_interval(mins=F.lit(5), secs=F.lit(second))
+        present = None if size is None else F.col("c_custkey") + size
+        return c.select(
+            F.lit(kind).alias("event_type"), path.alias("src_path"), dest.cast("string").alias("dest_path"), when.alias("ts"),
+            *[(F.lit(None) if present is None else v).cast(t).alias(n) for n, v, t in (
+                ("size", present, "bigint"), ("ctime", when, "timestamp"), ("mtime", when, "timestamp"), ("dev", F.lit(1), "bigint"),
+                ("ino", F.col("c_custkey"), "bigint"), ("nlink", F.lit(1), "bigint"))], F.lit(False).alias("is_dir"))
+
+    return event("created", 0, new, F.lit(None), 10).unionByName(event("moved", 3, new, old, None)).unionByName(
+        event("created", 5, new, F.lit(None), 20))
+
+
 def report_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The file events again, on report files that may be moved aside."""
     e = file_events(spark, sf_dir)
