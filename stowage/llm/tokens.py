@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import sys
 
@@ -11,7 +12,11 @@ import numpy as np
 REMEMBERED = 300_000
 #: Stands after each text; no text in UTF-8 has this byte.
 _END = b"\xff"
+#: The characters by which byte-level models write the bytes that Latin-1 has no visible character for.
+_VISIBLE = {b: 256 + k for k, b in enumerate(b for b in range(256) if b < 33 or 127 <= b < 161 or b == 173)}
 _ALNUM = np.array([48 <= c <= 57 or 97 <= c <= 122 for c in range(256)])
+#: What begins a word of its own after a letter or digit: any sign of ASCII but the apostrophe.
+_SIGN = np.array([32 < c < 127 and not chr(c).isalnum() and c != 39 for c in range(256)])
 
 
 def default_tokenizer() -> str:
@@ -20,6 +25,10 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _visible(word: bytes) -> str:
+    return word.decode("latin-1").translate(_VISIBLE)
+
+
 class _Memory:
     """Ids by word: those met of late, and those met before that."""
 
@@ -45,7 +54,8 @@ class WordEncoder:
     """Ids by a tokenizer that lower-cases and drops white space, so that words can be encoded one by one.
 
     Holds for tokenizers whose splitting pattern never joins characters across ASCII white space, nor a letter or digit
-    with a full stop or comma after it. Ids of words are remembered across the tasks of a Python worker.
+    with a sign after it that is no apostrophe, and whose model is one of byte pairs. Ids of words are remembered across the
+    tasks of a Python worker.
     """
 
     def __init__(self, path: str):
@@ -56,20 +66,22 @@ class WordEncoder:
         store = sys.modules["tokenizers"].__dict__.setdefault("_stowage_words", {})
         if path not in store:
             tokenizer = Tokenizer.from_file(path)
-            ends = np.array([(tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(tokenizer.get_vocab_size())])
             added = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
             if not all(t.isascii() for t in added):
                 raise ValueError("added tokens are looked for in ASCII only")
-            store[path] = tokenizer, ends, added, _Memory()
-        self.tokenizer, self.ends_word, self.added, self.memory = store[path]
+            model = tokenizer.model
+            for word in ("word", "straße", "übergrößenträger", "cœur", "ÿ"):
+                if [t.id for t in model.tokenize(_visible(word.encode()))] != tokenizer.encode(word, add_special_tokens=False).ids:
+                    raise ValueError("the tokenizer's model is not one of words in bytes")
+            store[path] = tokenizer, model, added, _Memory()
+        self.tokenizer, self.model, self.added, self.memory = store[path]
 
     def _split(self, texts: list[bytes]) -> list[bytes]:
-        """The words of lower-cased texts, with an end after each text; full stops and commas after letters begin a word."""
+        """The words of lower-cased texts, with an end after each text; signs after letters begin a word."""
         joined = np.frombuffer(b"  " + b" \xff ".join([*texts, b""]), np.uint8)
-        stop = (joined[2:] == 46) | (joined[2:] == 44)
         before = joined[1:-1]
-        # Of the letters beyond ASCII these are of two bytes: a-grave to y-diaeresis, without the division sign.
-        parts = stop & (_ALNUM[before] | ((joined[:-2] == 0xC3) & (before >= 0xA0) & (before != 0xB7)))
+        # Of the letters beyond ASCII these: A-grave to y-diaeresis, without the signs of multiplication and division.
+        parts = _SIGN[joined[2:]] & (_ALNUM[before] | ((joined[:-2] == 0xC3) & (before != 0x97) & (before != 0xB7)))
         at = np.flatnonzero(parts) + 2
         spaced = np.full(len(joined) + len(at), 32, np.uint8)
         kept = np.ones(len(spaced), bool)
@@ -80,22 +92,24 @@ class WordEncoder:
     def _learn(self, words: list[bytes]) -> None:
         """Remember the ids of new words.
 
-        Lower-case Latin words are encoded in one text and cut where a token ends a word; others one by one.
+        Of Latin words in lower case nothing is to be normalised or split, so that the model is asked for them directly.
         """
-        known, plain, other = self.memory.late, [], []
+        known, plain, shown, other = self.memory.late, [], [], []
         for word in words:
+            text = word.decode()
             if word.isalpha():  # in ASCII
                 plain.append(word)
+                shown.append(text)
+            elif text.isalpha() and (max(text) < "Ā" or text.islower() and max(text) < "ɐ"):
+                plain.append(word)
+                shown.append(_visible(text.lower().encode()))
             else:
-                text = word.decode()
-                (plain if text.isalpha() and text.islower() and max(text) < "ɐ" else other).append(word)
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.nonzero(self.ends_word[ids])[0] + 1
-            if len(ends) != len(plain):
-                raise ValueError("the tokenizer does not mark the ends of words")
-            data, cuts = ids.tobytes(), (4 * ends).tolist()
-            known.update(zip(plain, map(data.__getitem__, map(slice, [0, *cuts[:-1]], cuts))))
+                other.append(word)
+        tokenize = self.model.tokenize
+        found = [[t.id for t in tokenize(text)] for text in shown]
+        data = np.fromiter(itertools.chain.from_iterable(found), "<u4").tobytes()
+        cuts = (4 * np.cumsum([0, *map(len, found)])).tolist()
+        known.update(zip(plain, map(data.__getitem__, map(slice, cuts[:-1], cuts[1:]))))
         for word, found in zip(other, self.tokenizer.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)):
             known[word] = np.array(found.ids, "<u4").tobytes()
 

@@ -35,6 +35,7 @@ def test_words_encode_like_whole_texts():
     whole = Tokenizer.from_file(default_tokenizer())
     texts = [t for _, t in STRANGE if t] + ["Don't. it's,'tis ##,x 1,2.3 É.é,<|endoftext|>. á, İstanbul ΣΑΣ.", "...,,.a", " x y"]
     texts.append("".join(map(chr, range(32, 1500))))
+    texts += [a + chr(k) + b for k in range(33, 0x250) for a, b in (("x", "y"), ("é", "'s"), ("9", ""), ("", "ß"))]
     for text, ids in zip(texts, WordEncoder(default_tokenizer()).encode(texts)):
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
 
@@ -45,7 +46,7 @@ MARKS = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "
 
 
 @settings(max_examples=600, deadline=None)
-@given(st.lists(st.sampled_from([*CONTROLS, *MARKS, "a", "B", "word", "É", "7", ".", ",", "'s", "!"]), max_size=12).map("".join))
+@given(st.lists(st.sampled_from([*CONTROLS, *MARKS, "a", "B", "word", "É", "ß", "×", "7", ".", ",", "'s", "'", "!", "$$$", "(", "_", "-"]), max_size=12).map("".join))
 @example("a\x1cb")
 @example("a\x1f")
 @example("\x1d \x1e")
