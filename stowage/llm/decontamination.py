@@ -17,12 +17,19 @@ SUBSTITUTIONS = 2
 #: Word positions that a seed reads; it ignores the others. Whichever two words of thirteen differ, one of the seeds
 #: has a place that reads neither (tests/llm/test_decontamination.py tries all), so no overlap is missed.
 SEEDS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
-#: Shorter items than ``WINDOW`` must be found word for word; items of fewer words than this are not searched.
-SHORTEST = 5
+#: Items shorter than ``WINDOW`` are searched whole; from this length on one of their words may differ.
+TOLERANT = 8
 #: Characters of benchmark text that are held by a task at once (about 30 bytes of memory each). A larger benchmark
 #: is searched in blocks of this size, each against all documents.
 BLOCK_CHARS = 4 << 20
 
+
+
+def allowed(words: int) -> int:
+    """How many words of a window, or of a whole item that is shorter, may differ."""
+    return SUBSTITUTIONS if words >= WINDOW else 1 if words >= TOLERANT else 0
+
+
 _WORD = re.compile(r"\w+")
 _ODD = np.random.RandomState(7).randint(1, 2**62, 64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -64,13 +71,18 @@ class _Index:
         lengths = np.diff(self.ends)
         self.owner = np.repeat(np.arange(len(lengths)), lengths)
         self.window = np.where(lengths >= WINDOW, WINDOW, lengths)
+        self.least = self.window - np.array([allowed(n) for n in range(WINDOW + 1)])[self.window]
         self.seeds = []
-        seeds = [(seed, lengths >= WINDOW) for seed in SEEDS]
-        seeds += [(tuple(range(n)), lengths == n) for n in range(SHORTEST, WINDOW) if (lengths == n).any()]
-        for places, of in seeds:
+        seeds = [(seed, lengths >= WINDOW, False) for seed in SEEDS]
+        for n in np.unique(lengths[(lengths > 0) & (lengths < WINDOW)]).tolist():
+            # Whichever single word differs, either the even or the odd places are as they were.
+            seeds += [(tuple(range(k, n, 1 + allowed(n))), lengths == n, True) for k in range(1 + allowed(n))]
+        for places, of, whole in seeds:
             hashes = _spaced(self.words, places)
             at = np.arange(len(hashes))
             at = at[(self.owner[at] == self.owner[at + places[-1]]) & of[self.owner[at]]]
+            if whole:
+                at = at[at == self.ends[self.owner[at]]]
             if len(at):
                 at = at[np.argsort(hashes[at], kind="stable")]
                 bits = min(26, max(12, int(len(at)).bit_length() + 5))
@@ -109,7 +121,7 @@ def _overlaps(words, ends, index):
             continue
         equal = words[first:last] == index.words[first - shift:last - shift]
         sums = np.concatenate([[0], np.cumsum(equal)])
-        good = np.nonzero(sums[window:] - sums[:-window] >= window - (SUBSTITUTIONS if window == WINDOW else 0))[0]
+        good = np.nonzero(sums[window:] - sums[:-window] >= index.least[item])[0]
         if len(good):
             covered = np.zeros(last - first + 1, np.int64)
             np.add.at(covered, good, 1)
@@ -123,7 +135,7 @@ def _overlaps(words, ends, index):
 
 def _blocks(benchmark, item, item_text, block_chars):
     """The benchmark in blocks of bounded size, each sent to all tasks in its turn."""
-    tests = benchmark.select(item, item_text).filter(F.col(item_text).isNotNull())
+    tests = benchmark.select(item, item_text).filter(F.col(item_text).isNotNull()).distinct()
     number = math.ceil((tests.agg(F.sum(F.length(item_text))).first()[0] or 0) / block_chars)
     for block in range(number):
         part = tests.filter(F.pmod(F.xxhash64(F.lit(3), item, item_text), F.lit(number)) == block)
@@ -163,9 +175,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", t
 
     Words are runs of letters, digits and underscores, lower-cased. A document overlaps an item where, in some alignment
     without gaps, ``WINDOW`` successive words have ``WINDOW - SUBSTITUTIONS`` or more equal ones; items shorter than the
-    window must be there word for word, items under ``SHORTEST`` words match nothing. Whole texts are searched.
-    Null and empty texts, on either side, match nothing; repeated rows give repeated results; keys may be null;
-    other columns are ignored; if either table is empty, so is the result.
+    window must be there as a whole, with one word differing if they have ``TOLERANT`` or more, else word for word.
+    Whole texts are searched. Null and empty texts, and items without a word, match nothing; repeated documents give repeated
+    results, equal rows of the benchmark are one; keys may be null; other columns are ignored; if either table is
+    empty, so is the result.
 
     Documents are not shuffled: hashes of a bounded block of the benchmark go to every task, which joins them with the
     hashes of its own documents and verifies the hits in place, so that a passage in very many documents is no hot key.

@@ -23,9 +23,9 @@ def plain(texts, items, known={}):
         for j, item in items:
             other = [w.lower() for w in D._WORD.findall(item or "")]
             window = min(D.WINDOW, len(other))
-            if window < D.SHORTEST:
+            if not window:
                 continue
-            wrong = D.SUBSTITUTIONS if window == D.WINDOW else 0
+            wrong = 2 if window == 13 else 1 if window >= 8 else 0
             covered = set()
             for shift in range(-len(other), len(words)):
                 pairs = [(k, words[k] == other[k - shift]) for k in range(len(words)) if 0 <= k - shift < len(other)]
@@ -51,6 +51,16 @@ def tables(spark):
             part[draw.randrange(len(part))] = draw.choice(WORDS).upper()
         texts.append((100 + k, ", ".join(words[:20] + part + words[20:])))
     texts += [(300, " ".join([sentence(60, 20)] * 3)), (300, sentence(60, 20))]
+    # Short items whole, with one word changed, and with two.
+    for n in range(1, 13):
+        item = [f"{w}{n}" for w in sentence(400 + n, n).split()]
+        items.append((100 + n, " ".join(item)))
+        for changes in range(3):
+            part = list(item)
+            for k in draw.sample(range(n), min(n, changes)):
+                part[k] = "changed"
+            texts.append((1000 + 10 * n + changes, " ".join([*sentence(500 + n, 9).split(), *part, *sentence(600 + n, 9).split()])))
+    items += [(50, None), (1 + 100, items[-12][1]), (102, items[-11][1])]
     return texts, items, documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")
 
 
