@@ -82,21 +82,24 @@ class Filter:
 
 
 def filter_of(phrases: DataFrame, size: int = FILTER_BITS) -> Filter:
-    """The filter of (lang, phrase) rows; made by aggregation, so that the driver gets it once, whatever the number of rows."""
+    """The filter of (lang, phrase, hash) rows, by the hash where there is no phrase; made by aggregation, so that the driver
+    gets it once, whatever the number of rows."""
     def step(batches):
         for batch in batches:
-            hashes = [phrase_hash(lang, phrase) for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            places, bits = Filter.bits_of(np.concatenate(hashes or [np.zeros(0, np.uint64)]), size)
+            langs, names, hashes = (batch.column(k).to_pylist() for k in range(3))
+            found = np.array([phrase_hash(x, name)[0] if name else np.int64(h).view(np.uint64) for x, name, h in zip(langs, names, hashes)], np.uint64)
+            places, bits = Filter.bits_of(found, size)
             yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(bits.view(np.int64))], names=["place", "bits"])
 
-    table = phrases.select("lang", "phrase").mapInArrow(step, "place long, bits long").groupBy("place").agg(
+    table = phrases.select("lang", "phrase", "hash").mapInArrow(step, "place long, bits long").groupBy("place").agg(
         F.bit_or("bits").alias("bits")).toArrow()
     return Filter(table.column("place").to_numpy(), table.column("bits").to_numpy().view(np.uint64), size)
 
 
 # --- what a pass counts ---------------------------------------------------------------------------------
 # A rule is asked for the different phrases of each length: their hashes, and what it noted of their first and last parts.
-# It tells which are counted, which can be part of longer ones, and what it notes of them.
+# It tells which are counted, which of these by name, which can be part of longer ones, and what it notes of them. Phrases that
+# are not counted by name are counted by their 64-bit hash, whose count is never less than the phrase's.
 
 class Pairs:
     """All words and pairs: the first look at the sample."""
@@ -104,7 +107,8 @@ class Pairs:
     longest = 2
 
     def __call__(self, k, hashes, first, last):
-        return True, np.ones(len(hashes), bool), None
+        every = np.ones(len(hashes), bool)
+        return every, ~every, every, None
 
 
 class BeyondPairs:
@@ -114,44 +118,54 @@ class BeyondPairs:
         self.frequent, self.longest = frequent, longest
 
     def __call__(self, k, hashes, first, last):
-        return (False, self.frequent.has(hashes), None) if k < 3 else (True, np.ones(len(hashes), bool), None)
+        every = np.ones(len(hashes), bool)
+        return (~every, ~every, self.frequent.has(hashes), None) if k < 3 else (every, ~every, every, None)
 
 
 class SampleAndBorder:
-    """What is frequent in the sample, and its negative border: what is not, though all its parts are."""
+    """What is frequent in the sample, by name, and its negative border: what is not, though all its parts are."""
 
     def __init__(self, sampled: Filter, longest: int):
         self.sampled, self.longest = sampled, longest
 
     def __call__(self, k, hashes, first, last):
-        return True, self.sampled.has(hashes), None
+        expected = self.sampled.has(hashes)
+        return np.ones(len(hashes), bool), expected, expected, None
 
 
 class Expansion:
-    """What has not been counted yet and has no part known to be rare."""
+    """By name: what of the border may be frequent, and what has not been counted yet and has no part known to be rare."""
 
-    def __init__(self, sampled: Filter, frequent: Filter, longest: int):
-        self.sampled, self.frequent, self.longest = sampled, frequent, longest
+    def __init__(self, sampled: Filter, suspected: Filter, frequent: Filter, longest: int):
+        self.sampled, self.suspected, self.frequent, self.longest = sampled, suspected, frequent, longest
 
     def __call__(self, k, hashes, first, last):
-        counted = np.ones(len(hashes), bool) if k == 1 else first & last
-        return ~counted, ~counted | self.frequent.has(hashes), self.sampled.has(hashes)
+        expected, suspected = self.sampled.has(hashes), self.suspected.has(hashes)
+        fresh = np.zeros(len(hashes), bool) if k == 1 else ~(first & last)
+        take = fresh | (suspected & ~expected)
+        return take, take, fresh | suspected | self.frequent.has(hashes), expected
 
 
 def _counted(ids: np.ndarray, words: pa.Array, hashes: np.ndarray, lang: str, rule):
-    """(length, phrases, counts) of a run of word ids in which 0 is a gap."""
+    """(length, phrases or None, hashes, counts) of a run of word ids in which 0 is a gap."""
     size = np.int64(len(words))
-    counts = np.bincount(ids, minlength=size)
+
+    def shown(k, take, named, start, phrase, counts):
+        by_name, by_hash = np.flatnonzero(take & named), np.flatnonzero(take & ~named)
+        if len(by_name):
+            parts = [words.take(pa.array(ids[start[by_name] + j])) for j in range(k)]
+            yield k, parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " "), None, counts[by_name]
+        if len(by_hash):
+            yield k, None, phrase[by_hash].view(np.int64), counts[by_hash]
+
+    single, start, counts = np.unique(ids, return_index=True, return_counts=True)
     phrase = _first(hashes, lang)
-    take, alive, notes = rule(1, phrase, None, None)
-    alive = alive & (counts > 0)
-    alive[0] = False
-    if take is not False:
-        shown = np.flatnonzero(counts * take)
-        shown = shown[shown > 0]
-        yield 1, words.take(pa.array(shown)), counts[shown]
+    take, named, alive, notes = rule(1, phrase[single], None, None)
+    yield from shown(1, take & (single > 0), named, start, phrase[single], counts)
     # The place of each position's phrase among the different ones; -1 where it is no part of longer ones.
-    number = np.where(alive[ids], ids, np.int32(-1))
+    place = np.full(size, -1, np.int32)
+    place[single] = np.where(alive & (single > 0), np.arange(len(single)), -1)
+    number, phrase = place[ids], phrase[single]
     for k in range(2, rule.longest + 1):
         at = np.flatnonzero((number[:-1] >= 0) & (number[1:] >= 0))
         if not len(at):
@@ -161,17 +175,17 @@ def _counted(ids: np.ndarray, words: pa.Array, hashes: np.ndarray, lang: str, ru
         start, before = at[place], codes // size
         phrase = _longer(phrase[before], hashes[codes % size])
         noted = (None, None) if notes is None else (notes[before], notes[number[start + 1]])
-        take, alive, notes = rule(k, phrase, *noted)
-        if take is not False:
-            shown = slice(None) if take is True else np.flatnonzero(take)
-            parts = [words.take(pa.array(ids[start[shown] + j])) for j in range(k)]
-            yield k, pc.binary_join_element_wise(*parts, " "), counts[shown]
+        take, named, alive, notes = rule(k, phrase, *noted)
+        yield from shown(k, take, named, start, phrase, counts)
         number = np.full(len(ids), -1, np.int32)
         number[at] = np.where(alive[own], own, -1)
 
 
 def phrase_counts(docs: DataFrame, rule, lang: str = "lang", text: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """``lang``, ``words`` (the length), ``phrase``, ``n``: exact counts of the phrases that the rule takes; length 0 counts all words."""
+    """``lang``, ``words`` (the length), ``phrase``, ``hash``, ``n``: counts of the phrases that the rule takes.
+
+    Those it names are counted exactly, with hash 0; the others by their hash, with an empty phrase. Length 0 counts all words.
+    """
     def flush(texts, ids):
         words = list(ids)
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
@@ -179,12 +193,14 @@ def phrase_counts(docs: DataFrame, rule, lang: str = "lang", text: str = "text",
         for name, arrays in texts.items():
             run = np.concatenate(arrays)
             total = np.array([np.count_nonzero(run)])
-            for length, phrases, counts in [(0, pa.array([""]), total), *_counted(run, words, hashes, name, rule)]:
-                for cut in range(0, len(phrases), 1 << 16):
-                    part = phrases.slice(cut, 1 << 16)
+            for length, phrases, marks, counts in itertools.chain([(0, pa.array([""]), None, total)], _counted(run, words, hashes, name, rule)):
+                for cut in range(0, len(counts), 1 << 16):
+                    part = counts[cut:cut + (1 << 16)].astype(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(part)), pa.array(np.full(len(part), length, np.int32)), part,
-                         pa.array(counts[cut:cut + (1 << 16)].astype(np.int64))], names=["lang", "words", "phrase", "n"])
+                        [pa.repeat(name, len(part)), pa.array(np.full(len(part), length, np.int32)),
+                         pa.repeat("", len(part)) if phrases is None else phrases.slice(cut, 1 << 16),
+                         pa.array(np.zeros(len(part), np.int64) if marks is None else marks[cut:cut + (1 << 16)]), pa.array(part)],
+                        names=["lang", "words", "phrase", "hash", "n"])
 
     def fresh():
         ids = defaultdict(itertools.count().__next__)
@@ -205,36 +221,35 @@ def phrase_counts(docs: DataFrame, rule, lang: str = "lang", text: str = "text",
         yield from flush(texts, ids)
 
     kept = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    parts = kept.mapInArrow(step, "lang string, words int, phrase string, n long")
-    return parts.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    parts = kept.mapInArrow(step, "lang string, words int, phrase string, hash long, n long")
+    return parts.groupBy("lang", "words", "phrase", "hash").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, key: str = "doc_id", lang: str = "lang", text: str = "text",
                      sample: int = SAMPLE, lowered: float = LOWERED) -> tuple[DataFrame, int]:
     """All phrases of up to ``longest`` words that occur ``least`` times or more in a language, with their exact counts, stored; and the passes over all texts.
 
-    A phrase is frequent in the sample if it has ``lowered`` of the share of ``least`` that falls to it. The full pass counts these and
-    their negative border. If a phrase of the border is frequent, longer ones were not counted that could be too: a
-    further pass counts whatever has no part known to be rare, until no frequent phrase is left outside what was expected.
-    Length 0 has the number of all words of a language.
+    A phrase is frequent in the sample if it has ``lowered`` of the share of ``least`` that falls to it. The full pass counts these by
+    name and their negative border by hash. If something of the border may be frequent, longer ones were not counted that could be
+    too: a further pass counts both, and whatever else has no part known to be rare. That leaves nothing open that could be
+    frequent, so the search is closed. Length 0 has the number of all words of a language.
     """
     wanted = max(1, int(lowered * least / sample))
     drawn = docs.filter(F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(sample)) == 0)
-    short = stored(phrase_counts(drawn, Pairs(), lang, text).filter(F.col("n") >= wanted), "sample-pairs")
-    long = stored(phrase_counts(drawn, BeyondPairs(filter_of(short), longest), lang, text).filter(F.col("n") >= wanted), "sample-phrases")
-    sampled = short.filter("words between 1 and 2").select("lang", "phrase").unionByName(long.filter("words > 2").select("lang", "phrase"))
-    expected = filter_of(sampled)
-    keep = (F.col("words") == 0) | (F.col("n") >= least)
-    found = stored(phrase_counts(docs, SampleAndBorder(expected, longest), lang, text).filter(keep), "phrases")
-    passes, counts = 1, [found]
-    missed = found.filter(F.col("words").between(1, longest - 1)).join(sampled, ["lang", "phrase"], "left_anti")
-    if not missed.isEmpty():
-        # The rule leaves nothing uncounted that can be frequent, so that this pass closes the search.
-        rule = Expansion(expected, filter_of(found.filter("words > 0")), longest)
+    short = stored(phrase_counts(drawn, Pairs(), lang, text).filter((F.col("words") > 0) & (F.col("n") >= wanted)), "sample-pairs")
+    long = stored(phrase_counts(drawn, BeyondPairs(filter_of(short), longest), lang, text).filter(
+        (F.col("words") > 0) & (F.col("n") >= wanted)), "sample-phrases")
+    expected = filter_of(short.unionByName(long))
+    found = stored(phrase_counts(docs, SampleAndBorder(expected, longest), lang, text).filter(
+        (F.col("words") == 0) | (F.col("n") >= least)), "phrases")
+    named, suspects = found.filter("words = 0 or phrase <> ''"), found.filter("words > 0 and phrase = ''")
+    passes, counts = 1, [named]
+    if not suspects.isEmpty():
+        rule = Expansion(expected, filter_of(suspects), filter_of(named.filter("words > 0")), longest)
         counts.append(stored(phrase_counts(docs, rule, lang, text).filter((F.col("words") > 0) & (F.col("n") >= least)), "more-phrases"))
         passes += 1
-    whole = stored(counts[0] if len(counts) == 1 else counts[0].unionByName(counts[1]), "frequent-phrases")
-    for part in (short, long, *counts):
+    whole = stored((counts[0] if len(counts) == 1 else counts[0].unionByName(counts[1])).drop("hash"), "frequent-phrases")
+    for part in (short, long, found, *counts[1:]):
         forget(part)
     return whole, passes
 

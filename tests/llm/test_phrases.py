@@ -94,10 +94,18 @@ def test_a_full_filter_changes_nothing(docs, monkeypatch):
 
 def test_chunks(docs):
     rule = P.Pairs()
-    whole, parts = ({tuple(r)[:3]: r.n for r in P.phrase_counts(docs, rule, chunk=c).collect()} for c in (P.CHUNK, 50))
+    whole, parts = ({tuple(r)[:4]: r.n for r in P.phrase_counts(docs, rule, chunk=c).collect()} for c in (P.CHUNK, 50))
     assert whole == parts
 
 
+def test_counts_by_hash_are_those_by_name(docs):
+    """Of all words and pairs, each by its own hash."""
+    counts, _ = counted(ROWS, 2)
+    by_hash = {(lang, int(P.phrase_hash(lang, " ".join(words)).view(np.int64)[0])): c for (lang, words), c in counts.items()}
+    rows = P.phrase_counts(docs, P.Pairs()).filter("words > 0").collect()
+    assert {(r.lang, r.hash): r.n for r in rows} == by_hash and all(r.phrase == "" for r in rows)
+
+
 def test_wide_products(spark):
     """1000 a n and l r beyond 64 bits."""
     row = spark.sql("SELECT (1000BD * CAST(a AS DECIMAL(38,0)) * CAST(n AS DECIMAL(38,0))) div (CAST(l AS DECIMAL(38,0)) * CAST(r AS DECIMAL(38,0))) AS s"
