@@ -34,6 +34,12 @@ def forget_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def others(columns: list[str], *names: str) -> list[str]:
+    """The columns but those named so, in any case: Spark does not tell names apart by case."""
+    lowered = {n.lower() for n in names}
+    return [c for c in columns if c.lower() not in lowered]
+
+
 def unsigned_hex(column: str | Column) -> Column:
     """A 64-bit number as 16 lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(column), 16, "0"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .common import others
+
 WINDOW = 3
 
 
@@ -48,12 +50,12 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", window
     by a hash of the text, then by line, stays; every line that a later occurrence covers goes, also within one
     document. Texts of fewer lines have no passage. Rows equal in key and text are one document and are treated
     alike; null keys come first; a null text stays null with 0 removed, and a text all of whose lines go becomes
-    empty. All columns come back in their order; an input column named as ``count`` is replaced.
+    empty. All columns come back in their order; an input column named as ``count``, in any case, is replaced.
 
     Documents are joined to what they lose by key and text hash; the number of lines that a row holds is bounded by
     its own document.
     """
-    names = [c for c in docs.columns if c != count]
+    names = others(docs.columns, count or "")
     whole = _lines(docs.select(*[F.col(f"`{c}`") for c in names]), key, text)
     joined = whole.join(removed_lines(docs, key, text, window).withColumnRenamed("_doc", "_of"),
                         F.col("_doc") == F.col("_of"), "left")  # null keys are equal within structs

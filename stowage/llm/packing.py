@@ -52,6 +52,8 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     text is ``end`` alone. Only a document's last piece is shorter than ``length``.
     """
     path = tokenizer or default_tokenizer()
+    if key.lower() in ("start", "length", "doc_tokens", "ids", "sequence_id", "offset"):
+        raise ValueError("the key needs a name that no column of pieces has")
 
     def step(batches):
         encoder = WordEncoder(path)
@@ -81,7 +83,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int =
 
     Pieces go to groups at random, in number proportional to the text, and each group is packed by itself,
     longest first, ties by key, start and ids. Repeated rows are packed each for itself; they are spread over
-    groups like others. Null keys are kept. Other columns are ignored; an empty table gives an empty result.
+    groups like others. The draw goes by where a row stands in its task, so ``docs`` should come from a scan, or be stored first. Null keys are kept. Other columns are ignored; an empty table gives an empty result.
     """
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     groups = max(1, math.ceil(total / group_bytes))

@@ -11,6 +11,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import others
+
 #: Hashed features.
 WIDTH = 1 << 18
 #: At most so many labelled documents of each grade are fitted on: those with the least hash in each of as many slots.
@@ -139,10 +141,10 @@ def graded(docs: DataFrame, model: Model, text: str = "text", at_least: int | No
 
     Whole texts are graded. A null text, or one without a word or sign, has null grades and is not accepted. A model of
     no grades gives null grades and accepts every other text; a model of a single grade gives that grade with
-    probability one. Equal texts get equal results. Input columns with the three names are replaced.
+    probability one. Equal texts get equal results. Input columns with the three names, in any case, are replaced.
     """
     names = [c.split()[0] for c in GRADES.split(", ")]
-    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names])
+    kept = docs.select(*[F.col(f"`{c}`") for c in others(docs.columns, *names)])
     held = docs.sparkSession.sparkContext.broadcast((model.grades, model.weights, model.thresholds))
     lowest = at_least if at_least is not None else max(model.grades, default=0)
     place, out = kept.columns.index(text), [*kept.columns, *names]

@@ -7,6 +7,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .common import others
+
 #: Slots of the table, a prime well above a hundred times the shards; it bounds what is broadcast (12 bytes a slot).
 SLOTS = 65_537
 
@@ -51,18 +53,22 @@ def placed(rows: DataFrame, shards: list[str], key: str = "doc_id", slots: int =
     """All rows with ``slot`` (int) and ``shard`` (string), a function of the key alone.
 
     Equal keys, null among them, share a shard. Nothing is shuffled: the table of ``slots`` rows is broadcast, so rows
-    may share keys in any proportion. Input columns named ``slot`` or ``shard`` are replaced.
+    may share keys in any proportion. Input columns named ``slot`` or ``shard``, in any case, are replaced.
     """
     spark: SparkSession = rows.sparkSession
     table = lookup_table(shards, slots)
     found = spark.createDataFrame(pa.table({
         "slot": pa.array(np.arange(slots, dtype=np.int32)), "shard": pa.array(shards, pa.string()).take(pa.array(table))}))
-    kept = rows.select(*[F.col(f"`{c}`") for c in rows.columns if c not in ("slot", "shard")])
+    kept = rows.select(*[F.col(f"`{c}`") for c in others(rows.columns, "slot", "shard")])
     return kept.withColumn("slot", slot_of(key, slots)).join(F.broadcast(found), "slot").select(*kept.columns, "slot", "shard")
 
 
 def write_shards(rows: DataFrame, path: str, files: int = 1) -> None:
-    """Write placed rows under ``path``, a folder for each shard with about ``files`` files in it."""
+    """Write placed rows under ``path``, a folder for each shard with about ``files`` files in it.
+
+    Rows are dealt to files by where they stand in their task, so ``rows`` should come from a scan, as ``placed`` gives them, or
+    be stored first: a lost task that reads a shuffle again could deal them anew.
+    """
     spread = F.pmod(F.xxhash64(F.struct(*rows.columns), F.monotonically_increasing_id()), F.lit(files))
     rows.withColumn("_file", spread).repartition("shard", "_file").drop("_file").write.partitionBy("shard").mode(
         "overwrite").parquet(path)

@@ -28,6 +28,30 @@ def test_strange_texts(spark):
     assert by[22].lang_best == "aa" and not by[22].accepted  # a tie
 
 
+def test_like_plain_compression(spark):
+    """Sizes by the codec itself, of the letters cut out and lower-cased here."""
+    import regex
+    import zstandard
+
+    found = {"aa": sentence(1, 3000).encode(), "bb": sentence(2, 3000)[::-1].encode(), "cc": "le ruisseau dort près du moulin à vent".encode() * 50}
+    rows = STRANGE + [(30 + k, sentence(k, 40)[:: 1 if k % 2 else -1]) for k in range(12)] + [(50, "Près du MOULIN, le vent dort: 12 ruisseaux?")]
+
+    def size(text, content):
+        data = "".join(c if c.isalpha() else " " for c in text)
+        data = regex.sub(" +", " ", data).lower().encode()
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        codec = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters(**L.SETTINGS), dict_data=held)
+        return sum(len(codec.compress(data[k:k + L.PART])) for k in range(0, len(data), L.PART))
+
+    got = {(r.doc_id, r.lang_best, r.score) for r in L.languages(documents(spark, rows), found).collect()}
+    for key, text in rows:
+        if text and any(c.isalpha() for c in text):
+            sizes = sorted((size(text, content), k, name) for k, (name, content) in enumerate(found.items()))
+            assert (key, sizes[0][2], 1 - sizes[0][0] / sizes[1][0]) in got
+        else:
+            assert (key, "und", 0.0) in got
+
+
 def test_nothing_learned(spark):
     docs = documents(spark, STRANGE)
     assert L.dictionaries(docs.withColumn("lang", F.lit(None).cast("string"))) == {}

@@ -31,9 +31,9 @@ def test_like_plain(spark):
         rows.append((100 + k, "\n".join(draw.choice(["a", "b", "", " ", "line\twith", "é"]) + str(draw.randrange(4)) * draw.randrange(2)
                                         for _ in range(draw.randrange(1, 30)))))
     rows += rows[20:25]
-    docs = documents(spark, rows).withColumnRenamed("shard", "lines_removed")
+    docs = documents(spark, rows).withColumnRenamed("shard", "Lines_Removed")
     out = line_dedup.dedup_lines(docs)
-    assert [c for c in out.columns if c != "lines_removed"] == [c for c in docs.columns if c != "lines_removed"]
+    assert [c for c in out.columns if c != "lines_removed"] == [c for c in docs.columns if c != "Lines_Removed"]
     assert sorted(((r.doc_id, r.text, r.lines_removed) for r in out.collect()), key=repr) == plain(rows)
 
 

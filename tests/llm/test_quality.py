@@ -29,8 +29,36 @@ def test_gradient_finds_the_optimum():
     assert np.allclose(above, [1 - weights[0], weights[2]], atol=0.02)
 
 
+def test_no_step_betters_the_fit():
+    """Against the objective written out plainly: no change of a weight or threshold betters it by more than a trifle."""
+    draw = np.random.RandomState(3)
+    rows = [np.flatnonzero(draw.random_sample(6) < 0.5) for _ in range(60)]
+    score = np.array([r.size and (r == 0).any() * 2.0 - (r == 3).any() * 1.5 for r in rows], float) + draw.normal(0, 0.8, 60)
+    grades = np.digitize(score, [-0.7, 0.9])
+    model = Q.fit_model(rows, grades, steps=6000)
+    totals = np.bincount(grades)
+    weight = (totals ** 0.75 / (totals ** 0.75).sum() / totals)[grades]
+
+    def objective(w, cuts):
+        total = 0.0
+        for r, y, v in zip(rows, grades, weight):
+            edges = [0.0, *(1 / (1 + np.exp(-(c - w[r].sum()))) for c in cuts), 1.0]
+            total -= v * np.log(edges[y + 1] - edges[y])
+        return total + 3e-4 * np.abs(w).sum()
+
+    w, cuts = model.weights[:6].copy(), model.thresholds.copy()
+    least = objective(w, cuts)
+    assert least < objective(np.zeros(6), cuts) - 0.05
+    for x in (w, cuts):
+        for k in range(len(x)):
+            for move in (-0.5, -0.1, -0.02, 0.02, 0.1, 0.5):
+                x[k] += move
+                assert np.any(np.diff(cuts) <= 0) or objective(w, cuts) > least - 1e-3
+                x[k] -= move
+
+
 def test_strange_texts(spark):
-    docs = documents(spark, STRANGE).withColumnRenamed("node", "expected_grade")
+    docs = documents(spark, STRANGE).withColumnsRenamed({"node": "Expected_Grade", "accepted": "Accepted"})
     labels = spark.createDataFrame([(1, 2), (8, 0), (8, 1), (7, 2), (None, 1), (5, None), (2, 1), (999, 0)], "doc_id long, grade int")
     model = Q.fit(docs, labels, F.col("grade"))
     assert model.grades == [0, 2]

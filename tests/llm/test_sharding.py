@@ -52,6 +52,26 @@ def test_placed(spark):
     assert H.placed(documents(spark, []), SHARDS).collect() == []
 
 
+def test_slots_are_hashes_of_the_keys(spark):
+    docs = documents(spark, STRANGE).withColumnRenamed("shard", "Shard").withColumnRenamed("node", "SLOT")
+    rows = H.placed(docs, SHARDS).collect()
+    import xxhash
+
+    for r in rows:
+        known = xxhash.xxh64_intdigest(b"slot", 42)
+        value = known if r.doc_id is None else xxhash.xxh64_intdigest(str(r.doc_id), known)
+        assert r.slot == (value - (1 << 64) if value >> 63 else value) % H.SLOTS
+    assert [c for c in rows[0].asDict()] == [*(c for c in docs.columns if c not in ("Shard", "SLOT")), "slot", "shard"]
+
+
+def test_query(spark, sf_dir):
+    from stowage.llm.queries import SHARDS as production, op10_sharding
+
+    rows, table = op10_sharding(spark, sf_dir).collect(), H.lookup_table(production)
+    assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    assert all(r.shard == production[table[r.slot]] for r in rows)
+
+
 def test_written_shards(spark):
     path = tempfile.mkdtemp(prefix="shards-") + "/out"
     out = H.placed(documents(spark, STRANGE), SHARDS)
