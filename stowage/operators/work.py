@@ -161,16 +161,18 @@ def first_per_queue(tasks: DataFrame, capacity: dict[str, int]) -> DataFrame:
     """At most a full queue's worth of prepared tasks per queue, best first, with their rank.
 
     Tasks are ranked within parts of a queue, and only the first of each part, as many as the queue holds, are ranked
-    again by queue: at most ``RANK_PARTS`` times its capacity.
+    again by queue: at most ``RANK_PARTS`` times its capacity. The largest capacity is a literal bound as well, so that the
+    planner limits every group before it is shuffled, and not only after.
     """
     ready = weighted(tasks).filter(F.col("sorting").isin(*capacity))
     order = [F.col("position").asc_nulls_last(), F.col("task_id")]
     sizes = F.create_map(*[F.lit(x) for pair in sorted(capacity.items()) for x in pair])
-    most, part = F.try_element_at(sizes, F.col("sorting")), F.pmod(F.xxhash64("task_id"), F.lit(RANK_PARTS))
+    part = F.pmod(F.xxhash64("task_id"), F.lit(RANK_PARTS))
+    within_queue = (F.col("rank") <= max(capacity.values(), default=0)) & (F.col("rank") <= F.try_element_at(sizes, F.col("sorting")))
     within = F.row_number().over(Window.partitionBy("sorting", "_part").orderBy(*order))
-    first = ready.withColumn("_part", part).withColumn("rank", within).filter(F.col("rank") <= most)
+    first = ready.withColumn("_part", part).withColumn("rank", within).filter(within_queue)
     rank = F.row_number().over(Window.partitionBy("sorting").orderBy(*order))
-    return first.withColumn("rank", rank).filter(F.col("rank") <= most).drop("position", "_part")
+    return first.withColumn("rank", rank).filter(within_queue).drop("position", "_part")
 
 
 def admit(tasks: DataFrame, capacity: dict[str, int]) -> DataFrame:

@@ -785,6 +785,20 @@ SELECT p_partkey, CASE WHEN p_size > 25 THEN 'r10.4.1' ELSE 'r9.4.1' END AS pore
        [CAST(3 + p_partkey % 3 AS INTEGER), CAST(p_size % 8 AS INTEGER)] AS version FROM part""")
 
 ORACLE.update({
+    "read_job_documents": sql(
+        "SELECT job_id, parent_job_id, status, start_us FROM jobs WHERE job_id // 5000 % 7 <> 3", "jobs"),
+    "damaged_job_documents": sql("""
+SELECT DISTINCT job_id // 5000 AS document, 'no job listing' AS reason, '{"jobs":[' AS begins FROM jobs WHERE job_id // 5000 % 7 = 3""", "jobs"),
+    "read_accounting_text": sql("""
+SELECT CAST(job_id AS VARCHAR) AS job_id, status AS state, '0:0' AS exit_code FROM jobs WHERE job_id % 11 <> 4 AND job_id % 13 <> 5""", "jobs"),
+    "damaged_accounting_lines": sql("""
+SELECT CASE WHEN job_id % 11 = 4 THEN 'no state' ELSE 'no job number' END AS reason,
+       CASE WHEN job_id % 11 = 4 THEN CAST(job_id AS VARCHAR) ELSE 'job' || job_id || ' ' || status END AS text
+FROM jobs WHERE job_id % 11 = 4 OR job_id % 13 = 5""", "jobs"),
+    "read_exit_code_files": sql("""
+SELECT s_suppkey, CAST(CASE WHEN s_suppkey % 9 <> 5 THEN s_suppkey % 256 END AS INTEGER) AS exit_code FROM supplier"""),
+    "damaged_exit_code_files": sql("""
+SELECT s_suppkey, 'no exit code' AS reason, 'oops' AS text FROM supplier WHERE s_suppkey % 9 = 5"""),
     "reconcile_repeated": ORACLE["reconcile_tasks"],
     "stream_quiet_sync": sql("""
 SELECT b.batch, b.n_files + coalesce(2 * n, 0) AS n_files, CAST(b.size + coalesce(s, 0) AS BIGINT) AS size FROM new_batches b

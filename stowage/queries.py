@@ -11,7 +11,7 @@ from .operators import curation, diff, events, jobs, ordered, outputs, reports,
 from .plans import curation as plan_curation, indexing, scheduling
 from .schemas import SAMPLE_DEFAULTS, SAMPLES
 from .session import run_dir, written
-from .sources import listing, rules as rule_source, tables
+from .sources import jobs as job_source, listing, rules as rule_source, tables
 from .streaming import events as event_stream, state as state_stream
 
 QUERIES = {}
@@ -123,6 +123,75 @@ def normalised_jobs(spark, d):
         us("limit").alias("limit_us"))
 
 
+# --- files with damage in them, written here and read -------------------------------------------------
+
+def _job_documents(spark, d):
+    """Job listings of some thousand numbers a document, every seventh cut short."""
+    root, raw = run_dir(spark, "job-documents"), V.raw_jobs(spark, d)
+    document = F.floor(F.col("job_id") / 5000)
+    whole = raw.groupBy(document.alias("document")).agg(F.collect_list(F.struct(*raw.columns)).alias("jobs")).select(
+        "document", F.to_json(F.struct("jobs")).alias("text"))
+    cut = F.when(F.col("document") % 7 == 3, F.expr("left(text, length(text) - 9)")).otherwise(F.col("text"))
+    whole.select("document", cut.alias("text")).repartition("document").write.partitionBy("document").text(root)
+    return root
+
+
+@query
+def read_job_documents(spark, d):
+    return job_source.read_jobs(spark, _job_documents(spark, d)).select("job_id", "parent_job_id", "status", us("start").alias("start_us"))
+
+
+@query
+def damaged_job_documents(spark, d):
+    found = job_source.damaged_jobs(spark, _job_documents(spark, d))
+    return found.select(F.regexp_extract("filepath", "/document=([0-9]+)/", 1).cast("bigint").alias("document"), "reason",
+                        F.substring("text", 1, 9).alias("begins"))
+
+
+def _accounting_text(spark, d):
+    """A line for each job under a header; some lines lack the state, some the number."""
+    root, j = run_dir(spark, "accounting"), _jobs(spark, d)
+    line = F.when(F.col("job_id") % 11 == 4, F.format_string(" %d", "job_id")).when(
+        F.col("job_id") % 13 == 5, F.format_string("job%d %s", "job_id", "status")).otherwise(
+        F.format_string("  %d   %s   0:0", "job_id", "status"))
+    header = j.limit(1).select(F.explode(F.array(F.lit("  JobID   State ExitCode"), F.lit("-----  ----- ------"), F.lit(""))).alias("value"))
+    header.unionByName(j.select(line.alias("value"))).write.text(root)
+    return root
+
+
+@query
+def read_accounting_text(spark, d):
+    return job_source.read_accounting(spark, _accounting_text(spark, d))
+
+
+@query
+def damaged_accounting_lines(spark, d):
+    return job_source.damaged_accounting(spark, _accounting_text(spark, d)).select("reason", F.trim("text").alias("text"))
+
+
+def _exit_code_files(spark, d):
+    """A file for each supplier, with a code in its first line or something else."""
+    root, s = run_dir(spark, "exit-codes"), V.table(spark, d, "supplier").select("s_suppkey")
+    first = F.when(F.col("s_suppkey") % 9 == 5, "oops").otherwise((F.col("s_suppkey") % 256).cast("string"))
+    lines = s.select("s_suppkey", F.posexplode(F.array(first, F.lit("7"))).alias("line", "value"))
+    lines.repartition("s_suppkey").sortWithinPartitions("s_suppkey", "line").drop("line").write.partitionBy("s_suppkey").text(root)
+    return root
+
+
+def _supplier():
+    return F.regexp_extract("filepath", "/s_suppkey=([0-9]+)/", 1).cast("bigint").alias("s_suppkey")
+
+
+@query
+def read_exit_code_files(spark, d):
+    return job_source.read_exit_codes(spark, _exit_code_files(spark, d)).select(_supplier(), "exit_code")
+
+
+@query
+def damaged_exit_code_files(spark, d):
+    return job_source.damaged_exit_codes(spark, _exit_code_files(spark, d)).select(_supplier(), "reason", "text")
+
+
 @query
 def command_lines(spark, d):
     template = V.RULES["polish_v0-3-1"]["command_template"]

@@ -195,4 +195,13 @@ def sync_catalog(events: DataFrame, root: str, link_dir: str, now: Column, check
             sync_events(spark, root, batch, link_dir, now, version, **known, **options)
 
     writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()
+    if not once:
+        return writer.trigger(processingTime=interval).start()
+    # A stream that keeps state by the clock would else go on with empty batches and never stop.
+    spark, name = events.sparkSession, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        return writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(name, before)

@@ -1,12 +1,13 @@
 """What the planner makes of the operators: pruning, pushdown, limits, partial aggregation."""
 
+import os
 import re
 
 import pytest
 
 from stowage import views as V
 from stowage.operators import diff as D, events as E, rollup as R, versions, work as W
-from stowage.sources import rules
+from stowage.sources import rules, tables
 
 
 @pytest.fixture(scope="module")
@@ -48,6 +49,28 @@ def test_queues_are_ranked_in_parts_first(stored, capacity):
     assert len(keys) == 2 and "_part" not in keys[0] and "_part" in keys[1]
 
 
+def test_queues_are_limited_on_both_sides_of_the_shuffle(stored):
+    plan = physical(W.first_per_queue(stored("tasks"), {"SJF": 2, "LJF": 14}))
+    assert re.findall(r"WindowGroupLimit .*?, 14, (Partial|Final)", plan) == ["Final", "Partial"] * 2
+
+
+def test_passes_open_only_the_buckets_of_their_changes(spark, tmp_path):
+    root = str(tmp_path)
+    schema = spark.createDataFrame([("a", 1)], "k string, v int").schema
+    rows = spark.range(2000).selectExpr("concat('k', id) AS k", "int(id) AS v")
+    tables.append_rows(rows, root, "t", 0, tables.bucket("k"))
+    wanted = spark.createDataFrame([("k1",), ("k2",)], "k string")
+    at = tables.buckets_of(wanted, at=tables.bucket("k"))["at"]
+    assert 1 <= len(at) <= 2 < len(os.listdir(tmp_path / "t")) // 2
+    frame = tables.read_live(spark, root, "t", schema, "k", 0, wanted, buckets=at)
+    plan = physical(frame)
+    named = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
+    listed = ",".join(map(str, at))
+    assert "in_bucket#" in named and (f"IN ({listed})" in named or f"= {listed})" in named) and "as_of" in named
+    assert {re.search("in_bucket=([0-9]+)", f).group(1) for f in frame.inputFiles()} == {str(b) for b in at}
+    assert {r["k"]: r["v"] for r in frame.collect()} == {"k1": 1, "k2": 2}
+
+
 def exchanges_below(frame, node):
     """The lines of the plan below the first such node, to the next exchange."""
     lines = physical(frame).splitlines()

@@ -4,6 +4,7 @@ import json
 import os
 import threading
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +44,49 @@ def test_listing_keeps_any_name_and_goes_on_past_what_it_cannot_read(spark, tree
     assert set(lost) == {f"{tree}/gone.pod5", f"{tree}/absent"}
 
 
+def test_listing_takes_names_of_any_bytes(spark, tmp_path):
+    folder = os.fsencode(tmp_path / "tree")
+    os.makedirs(folder + b"/d\xe9")
+    for name in (b"a\xff.pod5", b"d\xe9/b.pod5", "ü%41.pod5".encode()):
+        with open(folder + b"/" + name, "wb") as f:
+            f.write(b"xyz")
+    found = {r["filepath"][len(os.fsdecode(folder)) + 1:]: r["size"] for r in listing.scan_listing(spark, [str(tmp_path / "tree")], ["pod5"]).collect()}
+    assert found == {"a%FF.pod5": 3, "d%E9/b.pod5": 3, "ü%41.pod5": 3}
+    raw = {bytes(r["raw"]) for r in listing.walk(spark, [str(tmp_path / "tree")]).collect()}
+    assert raw == {folder + n for n in (b"/a\xff.pod5", b"/d\xe9", b"/d\xe9/b.pod5", "/ü%41.pod5".encode())}
+
+
+def test_excluded_folders_are_not_opened_and_the_root_may_lie_in_one(spark, tmp_path):
+    root = tmp_path / "skip" / "root"
+    for name in ("a.pod5", "skip/b.pod5", "deep/skip/c.pod5", "deep/d.pod5"):
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b"1")
+    (root / "skip").chmod(0)
+    try:
+        found = {r["filepath"][len(str(root)) + 1:] for r in listing.scan_listing(spark, [str(root)], ["pod5"], ["skip"]).collect()}
+        walked = {r["filepath"][len(str(root)) + 1:] for r in listing.walk(spark, [str(root)], ["skip"]).collect()}
+    finally:
+        (root / "skip").chmod(0o755)
+    assert found == {"a.pod5", "deep/d.pod5"} and walked == {"a.pod5", "deep", "deep/d.pod5"}
+
+
+def test_large_folders_come_in_parts(tmp_path):
+    for k in range(2500):
+        (tmp_path / f"{k}.pod5").touch()
+    batch = pa.RecordBatch.from_arrays([pa.array([os.fsencode(tmp_path)], pa.binary())], names=["raw"])
+    parts = [b.num_rows for b in listing._visit(frozenset(), 1000)([batch])]
+    assert parts == [1000, 1000, 500]
+
+
+def test_damaged_input_is_set_aside(spark, tmp_path):
+    for name, text in (("a.json", '{"jobs": [{"job_id": 1, "job_state": ["RUNNING"]}]}'), ("b.json", '{"jobs": [{"job_id": 2'),
+                       ("c.json", '{"jobs": [{"job_id": "x"}]}'), ("d.json", "{}"), ("e.json", "")):
+        (tmp_path / name).write_text(text)
+    assert [r["job_id"] for r in jobs.read_jobs(spark, str(tmp_path)).collect()] == [1]
+    lost = {r["filepath"].rsplit("/", 1)[1]: r["text"] for r in jobs.damaged_jobs(spark, str(tmp_path)).collect()}
+    assert lost == {"b.json": '{"jobs": [{"job_id": 2', "c.json": '{"jobs": [{"job_id": "x"}]}'}
+
+
 def test_shared_folder(spark):
     assert session._folder("hdfs:///x", "yarn") == "hdfs:///x"
     assert session._folder(None, "local[4]") == session._folder(None, "local")

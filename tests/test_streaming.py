@@ -1,9 +1,11 @@
 """Streams against their batch counterparts."""
 
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
+from hypothesis import given, strategies as st
 from pyspark.sql import functions as F
 
 from stowage import views as V
@@ -74,20 +76,59 @@ def test_transitions_within_a_micro_batch_and_across_restarts(spark, tmp_path):
     assert found == [("t", "", "a"), ("t", "a", "b"), ("t", "b", "c"), ("u", "", "x")]
 
 
-def test_a_file_is_indexed_once_it_is_quiet(spark, tmp_path):
+def test_modifications_wait_and_everything_else_goes_on_at_once(spark, tmp_path):
     root, source, checkpoint = (str(tmp_path / n) for n in ("cat", "in", "cp"))
-    a, b, c = path("S1", "B1", "a.pod5"), path("S1", "B1", "b.pod5"), path("S1", "B1", "c.pod5")
+    a, b, c, d = (path("S1", "B1", f"{n}.pod5") for n in "abcd")
 
-    def drop(*rows):
+    def drop(*rows, gap="1 hour"):
         spark.createDataFrame(list(rows), FILE_EVENTS).coalesce(1).write.mode("append").parquet(source)
-        S.sync_catalog(S.quiet_events(S.read_events(spark, source), gap="90 seconds"), root, "/links", V.ts(V.NOW), checkpoint, 0
-                       ).awaitTermination()
+        S.sync_catalog(S.quiet_events(S.read_events(spark, source), gap=gap), root, "/links", V.ts(V.NOW), checkpoint, 0).awaitTermination()
+        return state()
+
+    def state():
         return {r["filepath"]: r["size"] for r in I.current_files(spark, root).collect()}
 
-    assert drop(event("created", a, 1, 10), event("modified", a, 2, 20), event("created", b, 2, 5)) == {}
-    # The watermark passes b and a; c is still being written.
-    assert drop(event("created", c, 10, 7), event("modified", c, 11, 8)) == {a: 20, b: 5}
-    assert drop(event("modified", c, 12, 9), event("deleted", b, 30)) == {a: 20, b: 5, c: 9}
+    def waiting():
+        return sorted((r["src_path"], r["size"], r["event_type"]) for r in S.open_modifications(spark, checkpoint).collect())
+
+    assert drop(event("created", a, 1, 10), event("modified", a, 2, 20), event("created", b, 2, 5)) == {a: 10, b: 5}
+    assert waiting() == [(a, 20, "modified")]
+    # Later ones, in any order, take the place of those that wait; one without stat fields keeps the newest there were.
+    assert drop(event("modified", a, 5), event("modified", a, 4, 25), event("modified", b, 6, 7), event("created", c, 3, 1)) == {a: 10, b: 5, c: 1}
+    assert waiting() == [(a, 25, "modified"), (b, 7, "modified")]
+    # A path that goes takes its content with it, and does not come back.
+    assert drop(event("moved", a, 8, dest=d), event("deleted", b, 9)) == {d: 25, c: 1}
+    assert waiting() == [] and state() == {d: 25, c: 1}
+    assert drop(event("modified", d, 10, 30), gap="1 second") == {d: 25, c: 1}
+    time.sleep(2)
+    assert drop(event("modified", c, 11, 2), gap="1 second") == {d: 30, c: 1}
+    I.sync_events(spark, root, S.open_modifications(spark, checkpoint), "/links", V.ts(V.NOW))
+    assert state() == {d: 30, c: 2}
+
+
+def test_logs_that_are_rotated_within_seconds_are_all_kept(spark, tmp_path):
+    root, source, checkpoint = (str(tmp_path / n) for n in ("cat", "in", "cp"))
+    log, old = path("S1", "B1", "log.pod5"), path("S1", "B1", "log-1.pod5")
+    rows = [event("created", log, 0, 10, ino=1), event("moved", log, 1, dest=old), event("created", log, 2, 20, ino=2)]
+    spark.createDataFrame(rows, FILE_EVENTS).write.parquet(source)
+    S.sync_catalog(S.quiet_events(S.read_events(spark, source)), root, "/links", V.ts(V.NOW), checkpoint, 0).awaitTermination()
+    assert {r["filepath"]: r["size"] for r in I.current_files(spark, root).collect()} == {log: 20, old: 10}
+
+
+@given(st.lists(st.tuples(st.integers(0, 9), st.booleans(), st.sampled_from([None, "s", "t"])), max_size=12), st.integers(0, 12))
+def test_folding_a_busy_path_loses_nothing(rows, cut):
+    def due(events):
+        out, last = [], None
+        for at, loss, stat in events:
+            if loss and last:
+                out.append(last)
+            last = None if loss else (at, stat if stat is not None else last and last[1])
+        return out, last
+
+    plain = due(sorted(rows, key=lambda r: r[:2]))
+    assert due(S._folded(rows)) == plain
+    ordered_rows = sorted(rows, key=lambda r: r[:2])
+    assert due(S._folded(S._folded(ordered_rows[:cut]) + ordered_rows[cut:])) == plain
 
 
 def test_create_then_rename_twice_then_create_again(spark):
