@@ -21,9 +21,9 @@ SAMPLE = 8
 LOWERED = 0.8
 #: Words that a task counts at once; some 150 bytes of memory each.
 CHUNK = 1_000_000
-#: Bits of the filter that tells tasks which phrases are frequent: 16 MB, whatever their number. Beyond some ten million
+#: Bits of the filter that tells tasks which phrases are frequent: 8 MB, whatever their number. Beyond some five million
 #: phrases it lets ever more others through, which are then counted too; no result changes.
-FILTER_BITS = 27
+FILTER_BITS = 26
 #: What parts pieces becomes a line feed, a tab a space, A-Z lower case.
 _BYTES = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
 #: Stands between pieces; no text in UTF-8 has this byte.
@@ -184,7 +184,8 @@ def _counted(ids: np.ndarray, words: pa.Array, hashes: np.ndarray, lang: str, ru
 def phrase_counts(docs: DataFrame, rule, lang: str = "lang", text: str = "text", chunk: int = CHUNK) -> DataFrame:
     """``lang``, ``words`` (the length), ``phrase``, ``hash``, ``n``: counts of the phrases that the rule takes.
 
-    Those it names are counted exactly, with hash 0; the others by their hash, with an empty phrase. Length 0 counts all words.
+    Those it names are counted exactly, with hash 0; the others by their hash, which tells languages apart, with an empty phrase and
+    language. Length 0 counts all words.
     """
     def flush(texts, ids):
         words = list(ids)
@@ -197,7 +198,7 @@ def phrase_counts(docs: DataFrame, rule, lang: str = "lang", text: str = "text",
                 for cut in range(0, len(counts), 1 << 16):
                     part = counts[cut:cut + (1 << 16)].astype(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(name, len(part)), pa.array(np.full(len(part), length, np.int32)),
+                        [pa.repeat("" if phrases is None else name, len(part)), pa.array(np.full(len(part), length, np.int32)),
                          pa.repeat("", len(part)) if phrases is None else phrases.slice(cut, 1 << 16),
                          pa.array(np.zeros(len(part), np.int64) if marks is None else marks[cut:cut + (1 << 16)]), pa.array(part)],
                         names=["lang", "words", "phrase", "hash", "n"])
@@ -218,6 +219,7 @@ def phrase_counts(docs: DataFrame, rule, lang: str = "lang", text: str = "text",
                 if size >= chunk:
                     yield from flush(texts, ids)
                     (texts, ids), size = fresh(), 0
+                    pa.default_memory_pool().release_unused()
         yield from flush(texts, ids)
 
     kept = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
