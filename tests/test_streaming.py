@@ -179,7 +179,7 @@ def test_events_reach_the_catalog_and_restarts_skip_finished_passes(spark, tmp_p
          event("created", c, 3, 5, ino=3), event("deleted", path("S9", "B9", "x.pod5"), 4))
     run()
     assert files() == {a: (10, "B1"), b: (25, "B1"), c: (5, "B2")}
-    rejects = spark.read.parquet(f"{root}/rejects/delta/version=0")
+    rejects = I.read_rejects(spark, root, 0)
     assert [r["symlink"] for r in rejects.collect()] == ["/links/pod5/B9:S9:x.pod5"]
 
     # A move inside the batch, a move into another one (content carried on), a deletion.
