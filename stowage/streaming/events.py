@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.paths import batch_name
 from ..plans.indexing import committed, sync_events
 from ..schemas import FILE_EVENTS
+from ..session import intermediates, written
 
 # The default waiting times.
 FILE_DEBOUNCE = "5 seconds"
@@ -57,8 +58,11 @@ def _modifications(rows: DataFrame, ts: str) -> DataFrame:
         *[(F.timestamp_micros(f"stat.{c}") if c in ("ctime", "mtime") else F.col(f"stat.{c}")).alias(c) for c in _STAT])
 
 
-#: Events of one path that are held before they are folded.
+#: Events that are held before those of each path are folded.
 _MOST = 20_000
+#: Parts that waiting paths are dealt to: Python is called once for a part and not for each path. Fixed for the life of a checkpoint.
+PARTS = 4096
+_WAITING = "paths array<string>, ats array<long>, stats array<string>, dues array<long>"
 
 
 def _folded(rows: list[tuple]) -> list[tuple]:
@@ -81,35 +85,44 @@ def _folded(rows: list[tuple]) -> list[tuple]:
 
 
 def _waiting(milliseconds: int):
-    """Keeps a path's last modification until no other has come for so long, or until the path is lost."""
+    """Keeps the last modification of each path of a part until no other has come for so long, or until the path is lost."""
     import pandas as pd
 
-    def made(key, found):
-        return pd.DataFrame({"src_path": [key[0]] * len(found), "at": [at for at, _ in found], "stat": [s for _, s in found]})
-
     def step(key, frames, state):
-        rows = [(state.get[0], False, state.get[1])] if state.exists else []
-        if state.hasTimedOut:
-            state.remove()
-            yield made(key, [(at, stat) for at, _, stat in rows])
-            return
+        now = state.getCurrentProcessingTimeMs()
+        waiting = {path: rest for path, *rest in zip(*state.get)} if state.exists else {}
+        rows, held, most = {}, 0, _MOST
         for frame in frames:
             stats = (s if isinstance(s, str) else None for s in frame["stat"].tolist())
-            rows.extend(zip(frame["at"].tolist(), frame["loss"].tolist(), stats))
-            if len(rows) > _MOST:  # a path may have any number of events
-                rows = _folded(rows)
-        due, last = [], None
-        for at, loss, stat in _folded(rows):
-            if loss and last:
-                due.append(last)
-            last = None if loss else (at, stat if stat is not None else last and last[1])
-        if last:
-            state.update(last)
-            state.setTimeoutDuration(milliseconds)
+            for path, *row in zip(frame["src_path"].tolist(), frame["at"].tolist(), frame["loss"].tolist(), stats):
+                rows.setdefault(path, []).append(tuple(row))
+            held += len(frame)
+            if held > most:  # a path may have any number of events
+                rows = {path: _folded(found) for path, found in rows.items()}
+                held = sum(map(len, rows.values()))
+                most = max(_MOST, 2 * held)
+        due = []
+        for path, found in rows.items():
+            if path in waiting:
+                at, stat, _ = waiting.pop(path)
+                found = [(at, False, stat), *found]
+            last = None
+            for at, loss, stat in _folded(found):
+                if loss and last:
+                    due.append((path, *last))
+                last = None if loss else (at, stat if stat is not None else last and last[1])
+            if last:
+                waiting[path] = (*last, now + milliseconds)
+        for path in [path for path, (_, _, when) in waiting.items() if when <= now]:  # never one that was named just now
+            at, stat, _ = waiting.pop(path)
+            due.append((path, at, stat))
+        if waiting:
+            state.update(tuple(map(list, zip(*((path, *rest) for path, rest in waiting.items())))))
+            state.setTimeoutDuration(max(1, min(when for _, _, when in waiting.values()) - now))
         elif state.exists:
             state.remove()
         if due:
-            yield made(key, due)
+            yield pd.DataFrame(due, columns=["src_path", "at", "stat"])
 
     return step
 
@@ -130,16 +143,17 @@ def quiet_events(events: DataFrame, ts: str = "ts", gap: str = WRITE_DEBOUNCE) -
     lost = F.coalesce(F.col("event_type").isin("moved", "deleted") & F.col("src_path").isNotNull() & F.col(ts).isNotNull(), F.lit(False))
     watched = events.filter(modified | lost).select(
         "src_path", F.unix_micros(ts).alias("at"), lost.alias("loss"), F.when(~lost, _packed()).alias("stat"))
-    due = watched.groupBy("src_path").applyInPandasWithState(
-        _waiting(milliseconds), "src_path string, at long, stat string", "at long, stat string", "append", "ProcessingTimeTimeout")
+    due = watched.withColumn("part", F.pmod(F.xxhash64("src_path"), F.lit(PARTS)).cast("int")).groupBy("part").applyInPandasWithState(
+        _waiting(milliseconds), "src_path string, at long, stat string", _WAITING, "append", "ProcessingTimeTimeout")
     at_once = events.filter(~modified)
     return at_once.unionByName(_modifications(due, ts).select(*events.columns))
 
 
 def open_modifications(spark: SparkSession, checkpoint: str, ts: str = "ts") -> DataFrame:
     """The modifications that a stopped stream of ``quiet_events`` still holds, as events; its state stays as it is."""
-    state = spark.read.format("statestore").load(checkpoint).select("key.src_path", "value.groupState.*")
-    return _modifications(state.filter("at is not null"), ts)
+    state = spark.read.format("statestore").load(checkpoint).select("value.groupState.*").filter("paths is not null")
+    rows = state.select(F.inline(F.arrays_zip("paths", "ats", "stats"))).toDF("src_path", "at", "stat")
+    return _modifications(rows, ts)
 
 
 def hold_batches(events: DataFrame, ts: str = "ts", hold: str = BATCH_HOLD, watermark: str = "0 seconds") -> DataFrame:
@@ -192,7 +206,9 @@ def sync_catalog(events: DataFrame, root: str, link_dir: str, now: Column, check
         spark, version = batch.sparkSession, first_version + batch_id
         if version > committed(spark, root):
             known = {} if reports is None else {"reports": reports(spark)}
-            sync_events(spark, root, batch, link_dir, now, version, **known, **options)
+            with intermediates(spark):
+                # A batch is read more than once, and each time would have its keyed state worked out again.
+                sync_events(spark, root, written(batch, "batch"), link_dir, now, version, **known, **options)
 
     writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if not once:

@@ -235,3 +235,27 @@ def test_interval_trigger_starts_and_stops(spark, tmp_path, interval):
     query.processAllAvailable()
     query.stop()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_waiting_paths_share_calls_and_a_batch_is_worked_out_once(spark, tmp_path, monkeypatch):
+    """Python is called for parts of the paths, and the state of a micro-batch's parts is worked out once."""
+    root, source, checkpoint = (str(tmp_path / n) for n in ("cat", "in", "cp"))
+    monkeypatch.setattr(S, "PARTS", 3)
+    calls, made = spark.sparkContext.accumulator(0), S._waiting
+
+    def counted(milliseconds):
+        step = made(milliseconds)
+
+        def count(*given):
+            calls.add(1)
+            yield from step(*given)
+
+        return count
+
+    monkeypatch.setattr(S, "_waiting", counted)
+    paths = [path("S1", "B1", f"{n}.pod5") for n in range(40)]
+    spark.createDataFrame([event("modified", p, 1, n) for n, p in enumerate(paths)], FILE_EVENTS).write.parquet(source)
+    S.sync_catalog(S.quiet_events(S.read_events(spark, source), gap="1 hour"), root, "/links", V.ts(V.NOW), checkpoint, 0).awaitTermination()
+    assert calls.value == 3
+    waiting = {r["src_path"]: r["size"] for r in S.open_modifications(spark, checkpoint).collect()}
+    assert waiting == {p: n for n, p in enumerate(paths)}
