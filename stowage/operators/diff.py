@@ -30,6 +30,18 @@ def as_files(inventory: DataFrame, link_dir: str, keep=()) -> DataFrame:
     )
 
 
+#: What of a file does not follow from the rest of it.
+_GIVEN = ("symlink", "filepath", "size", "created", "modified", "dev", "ino", "nlink")
+
+
+def listed_files(inventory: DataFrame, link_dir: str) -> DataFrame:
+    """``one_per_link`` of the listed files, with what a pass needs; what follows from path and stat fields is made after the shuffle."""
+    once = one_per_link(as_files(inventory, link_dir).select(*_GIVEN)).withColumnRenamed("symlink", "_link")
+    return with_identity(once, link_dir).select(
+        F.col("_link").alias("symlink"), *_GIVEN[1:], "batch", "sample",
+        file_fingerprint(F.col("size"), F.col("dev"), F.col("ino"), F.col("modified")).alias("fingerprint"))
+
+
 def unplaceable(inventory: DataFrame, link_dir: str) -> DataFrame:
     """Listed files whose path names no sample."""
     placed = with_identity(inventory.withColumn("filepath", clean_path(F.col("filepath"))), link_dir)
@@ -46,9 +58,9 @@ def one_per_link(files: DataFrame) -> DataFrame:
 
     Of rows with that path the one modified last stands, and of those the least by all other columns.
     """
-    rest = [c for c in files.columns if c != "symlink"]
-    age = [-F.unix_micros("modified")] if "modified" in rest else []
-    first = F.min_by(F.struct(*rest), F.struct("filepath", *age, *[c for c in rest if c != "filepath"])).alias("_row")
+    rest = [c for c in files.columns if c not in ("symlink", "filepath")]
+    age = [(-F.unix_micros("modified")).alias("_age")] if "modified" in rest else []
+    first = F.min(F.struct("filepath", *age, *rest)).alias("_row")  # the order has the whole row, which so goes through the shuffle once
     return files.groupBy("symlink").agg(first).select("symlink", "_row.*").select(*files.columns)
 
 

@@ -49,7 +49,6 @@ def observations(events: DataFrame, link_dir: str) -> DataFrame:
     stat = F.struct("size", "dev", "ino", "nlink", F.col("ctime").alias("created"), F.col("mtime").alias("modified"))
     seen = there.select("ts", F.when(F.col("size").isNotNull(), stat).alias("stat"), F.inline(parts))
     at = F.struct("ts", "present", "filepath")
-    seen = written(seen, "seen")
     # What a link holds comes from the last event that brought content, or from the link it was renamed from then.
     brings = F.col("stat").isNotNull() | F.col("from_link").isNotNull()
     content = F.struct("ts", "stat", "from_link")
@@ -63,7 +62,7 @@ def observations(events: DataFrame, link_dir: str) -> DataFrame:
         *columns, F.lit(None).cast("string").alias("from_link"), "content.stat")
     moved = folded.filter("content.from_link is not null and content.stat is null")
     origin = _origins(moved.select("symlink", F.col("content.ts").alias("at"), "content.from_link"), seen.filter(brings))
-    moved = moved.select(*columns).join(origin, "symlink")
+    moved = written(moved.select(*columns).join(origin, "symlink"), "renamed")
     return settled.unionByName(moved).select(
         *[c for c in settled.columns if c != "stat"], *[F.col(f"stat.{c}").alias(c) for c in _STAT])
 
@@ -115,12 +114,12 @@ def event_diff(events: DataFrame, catalog: DataFrame, link_dir: str) -> DataFram
     return observed_diff(observations(events, link_dir), catalog, link_dir)
 
 
-def observed_diff(seen: DataFrame, catalog: DataFrame, link_dir: str) -> DataFrame:
-    """The same for events already folded to observations."""
+def observed_diff(seen: DataFrame, catalog: DataFrame, link_dir: str, carried=()) -> DataFrame:
+    """The same for events already folded to observations; ``carried`` names further columns of the catalog, each wanted as ``old_``."""
     live = catalog.filter(active())
     known = live.select(
         "symlink", F.lit(True).alias("_known"), F.col("filepath").alias("old_filepath"),
-        *[F.col(c).alias(f"old_{c}") for c in ("fingerprint", *_STAT, "batch", "sample")])
+        *[F.col(c).alias(f"old_{c}") for c in ("fingerprint", *_STAT, "batch", "sample", *carried)])
     # Content of a renamed file comes from its old link, unless an event brought it.
     origin = live.select(F.col("symlink").alias("from_link"), F.struct(*_STAT).alias("_origin"))
     joined = seen.join(known, "symlink", "left")
@@ -148,7 +147,7 @@ def observed_diff(seen: DataFrame, catalog: DataFrame, link_dir: str) -> DataFra
             for p in ("old", "new")]
     passing = ~present & ~stored & F.col("appeared")
     return printed.filter(~passing).select(
-        "symlink", change.alias("change_type"), *both, "ts",
+        "symlink", change.alias("change_type"), *both, *[f"old_{c}" for c in carried], "ts",
         F.coalesce("new_batch", "old_batch").alias("batch"), F.coalesce("new_sample", "old_sample").alias("sample"),
         F.when(stored & present, changes_array()).alias("changed"))
 

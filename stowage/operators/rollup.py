@@ -141,13 +141,14 @@ def _deltas(diff):
     )
 
 
-def apply_deltas(pairs: DataFrame, diff: DataFrame, files, emptied: bool = False) -> DataFrame:
+def apply_deltas(pairs: DataFrame, diff: DataFrame, files, emptied: bool = False, touched: bool = False) -> DataFrame:
     """The membership table after a diff, touching only pairs that changed.
 
     Counts, sizes and fingerprint words are exact under subtraction. A time range can only shrink
     when a removed file held one of its ends; those pairs alone are read again from ``files``, the
     listing after the change: a DataFrame, or a function from (batch, sample) rows to their files.
     Pairs left without files disappear, or with ``emptied`` stay as rows without any.
+    With ``touched`` only the pairs that changed come back.
     """
     deltas = _deltas(diff)
     lost_end = (F.col("_gone_created") <= F.col("created")) | (F.col("_gone_modified") >= F.col("modified"))
@@ -159,7 +160,7 @@ def apply_deltas(pairs: DataFrame, diff: DataFrame, files, emptied: bool = False
         ranges = ranges.join(stale, PAIR, "left_semi")
 
     zero = F.lit(0).cast("bigint")
-    joined = pairs.join(deltas, PAIR, "full_outer").join(ranges, PAIR, "left")
+    joined = pairs.join(deltas, PAIR, "right" if touched else "full_outer").join(ranges, PAIR, "left")
     is_stale = F.coalesce(lost_end, F.lit(False))
     after = joined.select(
         *PAIR,

@@ -12,7 +12,7 @@ entity: its key and the pass it was born in.
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.fingerprints import WORDS
+from ..functions.fingerprints import WORDS, file_fingerprint
 from ..functions.paths import REPORT_TYPES, entity_dir, sample_id, with_identity
 from ..functions.predicates import active
 from ..operators import diff as D, events as E, rollup as R, versions as V
@@ -77,9 +77,10 @@ def _append(df, root, table, version) -> None:
     tables.append_rows(_fit(df, schema), root, table, version, place())
 
 
-def read_files(spark, root, upto=None) -> DataFrame:
-    """Every version of every file."""
-    return _read(spark, root, "files", upto)
+def read_files(spark, root, upto=None, columns=None) -> DataFrame:
+    """Every version of every file; ``columns`` prunes the fold."""
+    rows = _read(spark, root, "files", upto, columns=None if columns is None else list(dict.fromkeys(["row_id", *columns])))
+    return rows if columns is None else rows.select(*columns)
 
 
 def read_membership(spark, root, upto=None, only=None, buckets=None) -> DataFrame:
@@ -130,7 +131,9 @@ def current_samples(spark, root, upto=None, only=None, buckets=None) -> DataFram
     return _current(spark, root, "samples", "sample", upto, only, None, buckets)
 
 
-_COMPARED = ["symlink", "born", "status", "filepath", "fingerprint", "size", "dev", "ino", "nlink", "created",
+#: Of a stored file what its old row takes along; the rest of that row follows from the difference.
+_KEPT = ("born", "status", "previous_version")
+_COMPARED = ["symlink", *_KEPT, "filepath", "size", "dev", "ino", "nlink", "created",
              "modified", "batch", "sample"]
 
 
@@ -149,9 +152,11 @@ def sync_listing(spark: SparkSession, root: str, inventory: DataFrame, link_dir:
         shallow = D.unplaceable(inventory, link_dir).select(F.col("filepath").alias("symlink"), now.alias("ts"), F.lit(
             "path names no sample").alias("reason"))
         tables.append_rows(_fit(shallow, REJECTS), root, "rejects", version)
-        files = D.one_per_link(D.as_files(inventory, link_dir))
-        stored = current_files(spark, root, version - 1, columns=_COMPARED)
-        changed = D.changed_files(D.snapshot_diff(files, stored))
+        files = D.listed_files(inventory, link_dir).withColumns({c: F.lit(None).cast(FILES[c].dataType) for c in _KEPT})
+        stored = _printed(current_files(spark, root, version - 1, columns=_COMPARED))
+        found = D.snapshot_diff(files, stored, carried=("batch", "sample", "created", "nlink", *_KEPT))
+        # Every table below is derived from the changes alone, so they are computed once.
+        changed = written(D.changed_files(found).select(*_DIFF), "changes")
         return _write_pass(spark, root, version, changed, link_dir, now, **options)
 
 
@@ -168,11 +173,11 @@ def sync_events(spark: SparkSession, root: str, events: DataFrame, link_dir: str
         lost = with_identity(shallow, link_dir).filter("sample = ''").groupBy(F.col("filepath").alias("symlink")).agg(
             F.max("ts").alias("ts")).withColumn("reason", F.lit("path names no sample"))
         placed = E.placeable(events, link_dir)
-        seen = written(E.observations(placed, link_dir), "observed")
+        seen = E.observations(placed, link_dir)
         links = seen.select("symlink").union(seen.select("from_link")).filter("symlink is not null")
         at = tables.buckets_of(links, files=_by_link())
-        stored = current_files(spark, root, version - 1, only=links.distinct(), columns=_COMPARED, buckets=at["files"])
-        found = written(E.observed_diff(seen, stored, link_dir), "event-diff")
+        stored = _printed(current_files(spark, root, version - 1, only=links.distinct(), columns=_COMPARED, buckets=at["files"]))
+        found = written(E.observed_diff(seen, stored, link_dir, _KEPT).select(*_DIFF, "ts"), "event-diff")
         tables.append_rows(_fit(E.rejected(found), REJECTS).unionByName(_fit(lost, REJECTS)), root, "rejects", version)
         return _write_pass(spark, root, version, E.applicable(found), link_dir, now, **options)
 
@@ -180,11 +185,8 @@ def sync_events(spark: SparkSession, root: str, events: DataFrame, link_dir: str
 def _write_pass(spark, root, version, changed, link_dir, now, reports=None,
                 processing_dir="/processing", result_dir="/results", compact_after=None, curation: Curation | None = None):
     before = version - 1
-    # Every table below is derived from the changes alone, so they are computed once.
-    changed = written(changed.select(*[c for c in _DIFF if c in changed.columns]), "changes")
     at = _touched(changed)
-    stored = current_files(spark, root, before, only=changed.select("symlink"), buckets=at["batch"])
-    _append(_file_rows(stored, changed, link_dir, version, now), root, "files", version)
+    tables.append_rows(_file_rows(changed, link_dir, version, now), root, "files", version)
     tables.append_rows(D.change_log(changed).withColumn("version", F.lit(version).cast("bigint")),
                        root, "changes", version)
 
@@ -192,17 +194,19 @@ def _write_pass(spark, root, version, changed, link_dir, now, reports=None,
         columns = ["symlink", "born", "status", *PAIR, "created", "modified"]
         return current_files(spark, root, version, only=some_pairs, columns=columns, buckets=at["batch"])
 
-    touched = R.contributions(changed).select(*PAIR).distinct()
+    wide = _wide(spark, root, changed, before)
+    touched = None if wide else R.contributions(changed).select(*PAIR).distinct()
     mine = read_membership(spark, root, before, only=touched, buckets=at["batch"])
-    pairs = written(_fit(R.apply_deltas(mine, changed, files_of, emptied=True), MEMBERSHIP), "pairs")
+    pairs = written(_fit(R.apply_deltas(mine, changed, files_of, emptied=True, touched=True), MEMBERSHIP), "pairs")
     for table in ("membership", "sample_membership"):  # the same rows, to be found by batch and by sample
         _append(pairs, root, table, version)
 
     born = F.lit(version).cast("bigint")
     names = R.affected(changed, "batch")
-    pairs = read_membership(spark, root, version, only=names, buckets=at["batch"])
+    pairs = read_membership(spark, root, version, only=None if wide else names, buckets=at["batch"])
+    rolled = R.batch_rollup(pairs)
     current = current_batches(spark, root, before, names, at["batch"])
-    batches = _fit(V.version_rows(current, R.batch_rollup(pairs), "batch", born, now), BATCHES)
+    batches = _fit(V.version_rows(current, rolled.join(names, "batch", "left_semi") if wide else rolled, "batch", born, now), BATCHES)
     if reports is not None:
         batches = written(batches, "batches")
     batches = _with_reports(batches, current, None if reports is None else current_batches(spark, root, before), reports,
@@ -248,7 +252,18 @@ def _touched(changed) -> dict[str, list[int]]:
 
 _DIFF = ["symlink", "change_type", "changed", "batch", "sample"] + [
     f"{p}_{c}" for p in ("old", "new")
-    for c in ("filepath", "fingerprint", "size", "dev", "ino", "modified", "created", "nlink", "batch", "sample")]
+    for c in ("filepath", "fingerprint", "size", "dev", "ino", "modified", "created", "nlink", "batch", "sample")] + [
+    f"old_{c}" for c in _KEPT]
+
+
+def _printed(files, side=""):
+    """Files with their fingerprints, which follow from the stat fields and so need not go through a shuffle."""
+    return files.withColumn(f"{side}fingerprint", file_fingerprint(*[F.col(f"{side}{c}") for c in ("size", "dev", "ino", "modified")]))
+
+
+def _wide(spark, root, changed, before) -> bool:
+    """Whether a pass changes so much that choosing what it touches costs more than reading its buckets whole; by file footers."""
+    return 4 * changed.count() > tables.read_rows(spark, root, "membership", MEMBERSHIP, before).count()
 
 
 def _fit(df, schema):
@@ -256,29 +271,39 @@ def _fit(df, schema):
         (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def _file_rows(stored, changed, link_dir, version, now):
-    """New versions and additions, and the touched old rows: deprecated, deleted or moved."""
+def _file_rows(changed, link_dir, version, now):
+    """New versions and additions, and the touched old rows: deprecated, deleted or moved; with their bucket.
+
+    An active row has no next version and was not deleted, and its names follow from its path: changes tell all of it. They are
+    dealt to buckets as they are, and the rows made there.
+    """
     born = F.lit(version).cast("bigint")
-    arrived = changed.filter(F.col("change_type").isin("added", "modified", "moved_modified"))
-    new = with_identity(arrived.drop("batch", "sample").withColumnRenamed("new_filepath", "filepath"), link_dir)
-    new = new.select(
-        F.concat_ws("@", "symlink", born).alias("row_id"), born.alias("born"), "symlink", "filepath", "name",
-        "directory", "basename", "extension", "batch", "sample",
-        *[F.col(f"new_{c}").alias(c) for c in ("size", "created", "modified", "dev", "ino", "nlink", "fingerprint")],
-        F.lit("indexed").alias("status"), F.coalesce("old_fingerprint", F.lit("")).alias("previous_version"),
-        now.alias("updated_at_DB"))
-    touched = changed.filter(F.col("change_type") != "added").select(
-        "symlink", "change_type", "new_fingerprint", "new_filepath")
-    old = stored.join(touched, "symlink")
+    stat = ("size", "created", "modified", "dev", "ino", "nlink", "batch", "sample")
+    own = {p: [f"{p}_{c}" for c in ("filepath", *stat)] for p in ("old", "new")}
+    rows = tables.dealt(changed.select("symlink", "change_type", *own["old"], *own["new"], *[f"old_{c}" for c in _KEPT]), _by_link())
+    rows = _printed(_printed(rows, "old_"), "new_")
+
+    def side(prefix):
+        return [F.col(f"{prefix}_{c}").alias(c) for c in ("filepath", *stat, "fingerprint")]
+
+    arrives, known = F.col("change_type").isin("added", "modified", "moved_modified"), F.col("change_type") != "added"
     gone, moved = F.col("change_type") == "deleted", F.col("change_type") == "moved"
-    marked = old.withColumns({
-        "status": F.when(gone, "deleted").when(moved, F.col("status")).otherwise("deprecated"),
-        "deleted_at": F.when(gone, now),
-        "next_version": F.when(gone | moved, F.col("next_version")).otherwise(F.col("new_fingerprint")),
-        "filepath": F.when(moved, F.col("new_filepath")).otherwise(F.col("filepath")),
-        "updated_at_DB": now,
-    }).withColumn("directory", F.when(moved, F.regexp_replace("filepath", "/[^/]*$", "")).otherwise(F.col("directory")))
-    return _fit(new, FILES).unionByName(_fit(marked, FILES))
+    new = F.struct(
+        "symlink", born.alias("born"), *side("new"), F.lit("indexed").alias("status"), F.when(known, F.col("old_fingerprint")).otherwise("").alias("previous_version"),
+        F.lit(None).cast("string").alias("next_version"), F.lit(None).cast("timestamp").alias("deleted_at"), F.lit(None).cast("string").alias("_moved"))
+    old = F.struct(
+        "symlink", F.col("old_born").alias("born"), *side("old"),
+        F.when(gone, "deleted").when(moved, F.col("old_status")).otherwise("deprecated").alias("status"),
+        F.col("old_previous_version").alias("previous_version"),
+        F.when(~(gone | moved), F.col("new_fingerprint")).alias("next_version"), F.when(gone, now).alias("deleted_at"),
+        F.when(moved, F.col("new_filepath")).alias("_moved"))
+    both = rows.select("in_bucket", F.inline(F.array_compact(F.array(F.when(arrives, new), F.when(known, old)))))
+    named = with_identity(both.withColumnsRenamed({"symlink": "_link", "batch": "_batch", "sample": "_sample"}), link_dir).withColumns({
+        "symlink": F.col("_link"), "batch": F.col("_batch"), "sample": F.col("_sample")})
+    placed = named.withColumns({
+        "row_id": F.concat_ws("@", "symlink", "born"), "updated_at_DB": now, "filepath": F.coalesce("_moved", "filepath"),
+        "directory": F.when(F.col("_moved").isNull(), F.col("directory")).otherwise(F.regexp_replace("_moved", "/[^/]*$", ""))})
+    return placed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FILES], "in_bucket")
 
 
 def _with_reports(batches, current, every, reports, version, now):

@@ -1096,7 +1096,8 @@ def _indexed(spark, d):
 @query
 def indexed_files(spark, d):
     """Every file version the two passes left, with the links between them."""
-    return indexing.read_files(spark, _indexed(spark, d)).select(
+    columns = ["symlink", "born", "filepath", "size", "status", "previous_version", "next_version", "deleted_at"]
+    return indexing.read_files(spark, _indexed(spark, d), columns=columns).select(
         "symlink", "born", "filepath", "size", "status", "previous_version", "next_version",
         us("deleted_at").alias("deleted_us"))
 

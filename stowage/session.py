@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Of what is written: fingerprints are hexadecimal digits, which need a codec that counts them.
+COMPRESSION = "zstd"
 _local_folder = []
 
 
@@ -64,7 +66,7 @@ def written(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write once and read back: cuts the lineage with files that survive the loss of executors."""
     spark = df.sparkSession
     path = run_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=COMPRESSION)
     if (folders := _collecting.get()) is not None:
         folders.append(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.predicates import compile_conditions
 from ..operators.versions import live
-from ..session import written
+from ..session import COMPRESSION, written
 
 #: Buckets of a table; a fixed number for the life of a catalog. A pass reads and writes those its keys fall in.
 BUCKETS = 32
@@ -38,16 +38,21 @@ def _children(spark, folder, prefix):
     return fs, {int(p.getName()[len(prefix):]): p for p in found if p.getName().startswith(prefix)}
 
 
+def dealt(df: DataFrame, place: Column) -> DataFrame:
+    """Rows with their bucket, dealt by it; adaptive execution splits a bucket that has very many."""
+    return df.withColumn("in_bucket", place).hint("rebalance", "in_bucket")
+
+
 def append_rows(df: DataFrame, root: str, table: str, version: int, place: Column | None = None) -> None:
     """Write a pass's rows, to the buckets that ``place`` says; without one, to a single bucket.
 
-    Rows are dealt by bucket before they are written; adaptive execution splits a bucket that has very many.
+    Rows are dealt by bucket before they are written, unless they have been (``dealt``) and have ``in_bucket``.
     """
-    rows = df.withColumns({"in_bucket": F.lit(0) if place is None else place, "as_of": F.lit(version).cast("bigint")})
-    if place is not None:
-        rows = rows.hint("rebalance", "in_bucket")
+    if "in_bucket" not in df.columns:
+        df = df.withColumn("in_bucket", F.lit(0)) if place is None else dealt(df, place)
+    rows = df.withColumn("as_of", F.lit(version).cast("bigint"))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("in_bucket", "as_of").parquet(
-        f"{root.rstrip('/')}/{table}")
+        f"{root.rstrip('/')}/{table}", compression=COMPRESSION)
 
 
 def finish(df: DataFrame, root: str, table: str, version: int) -> None:

@@ -120,3 +120,28 @@ def test_hierarchy_expands_pairs_and_not_files(stored):
 def test_newest_versions_are_folded_before_the_shuffle(stored):
     plan = physical(versions.live(stored("files_now").select("symlink", "size", "modified"), "symlink", "modified"))
     assert plan.count("Exchange") == 1 and "partial_max_by" in plan
+
+
+def test_a_pass_reads_the_stored_files_once_and_narrow(spark, tmp_path, monkeypatch):
+    """What a pass writes of files follows from the difference: no fold of whole file rows, and fingerprints stay out of it."""
+    from stowage import views as V
+    from stowage.plans import indexing
+    from pyspark.sql import functions as F
+
+    folds, read = [], indexing.tables.read_live
+
+    def seen(spark, root, table, schema, key, upto=None, only=None, columns=None, *rest, **more):
+        if table == "files":
+            folds.append(columns)
+        return read(spark, root, table, schema, key, upto, only, columns, *rest, **more)
+
+    monkeypatch.setattr(indexing.tables, "read_live", seen)
+    listing = V.inventory(spark, "/root/testdata/sf0.001")
+    for now, rows in (("2001-01-01", listing), ("2001-01-02", listing.withColumn("size", F.col("size") + (F.col("ino") % 5 == 0).cast("long")))):
+        indexing.sync_listing(spark, str(tmp_path), rows, V.LINK_DIR, V.ts(now))
+    assert folds and all(columns and "fingerprint" not in columns for columns in folds)
+    found = indexing.read_files(spark, str(tmp_path)).filter("ino % 5 = 0")
+    old, new = found.filter("born = 0"), found.filter("born = 1")
+    pairs = old.alias("o").join(new.alias("n"), "symlink").filter(
+        "o.status = 'deprecated' and n.status = 'indexed' and o.next_version = n.fingerprint and n.previous_version = o.fingerprint and o.size + 1 = n.size")
+    assert pairs.count() == old.count() == new.count() > 0
