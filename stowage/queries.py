@@ -16,6 +16,7 @@ from .streaming import events as event_stream, state as state_stream
 
 QUERIES = {}
 HOUR = 3600
+FILES_A_TASK = 250
 FLAGS = ["is_file", "is_dir", "is_symlink"]
 
 
@@ -132,7 +133,7 @@ def _job_documents(spark, d):
     whole = raw.groupBy(document.alias("document")).agg(F.collect_list(F.struct(*raw.columns)).alias("jobs")).select(
         "document", F.to_json(F.struct("jobs")).alias("text"))
     cut = F.when(F.col("document") % 7 == 3, F.expr("left(text, length(text) - 9)")).otherwise(F.col("text"))
-    whole.select("document", cut.alias("text")).repartition("document").write.partitionBy("document").text(root)
+    whole.select("document", cut.alias("text")).repartition("document").write.partitionBy("document").text(root, compression="gzip")
     return root
 
 
@@ -174,7 +175,10 @@ def _exit_code_files(spark, d):
     root, s = run_dir(spark, "exit-codes"), V.table(spark, d, "supplier").select("s_suppkey")
     first = F.when(F.col("s_suppkey") % 9 == 5, "oops").otherwise((F.col("s_suppkey") % 256).cast("string"))
     lines = s.select("s_suppkey", F.posexplode(F.array(first, F.lit("7"))).alias("line", "value"))
-    lines.repartition("s_suppkey").sortWithinPartitions("s_suppkey", "line").drop("line").write.partitionBy("s_suppkey").text(root)
+    # Files are many and small: by their bytes one task would write them all, and the driver would move them one by one.
+    parts = s.count() // FILES_A_TASK + 1
+    lines.repartition(parts, "s_suppkey").sortWithinPartitions("s_suppkey", "line").drop("line").write.partitionBy("s_suppkey").option(
+        "mapreduce.fileoutputcommitter.algorithm.version", 2).text(root)
     return root
 
 

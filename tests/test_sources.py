@@ -324,3 +324,17 @@ def test_union_of_listings(spark, tree):
     one = listing.scan_listing(spark, [f"{tree}/S1"], ["pod5"])
     twice = D.union_roots(one, one)
     assert D.one_per_path(twice).count() == one.count() == twice.count() // 2
+
+
+def test_small_files_are_written_by_as_many_tasks_as_they_need(spark, sf_dir, monkeypatch):
+    """Exit-code files are dealt by number, since their bytes would make one task of them; job documents are compressed."""
+    import os
+    from stowage import queries
+
+    monkeypatch.setattr(queries, "FILES_A_TASK", 4)
+    root = queries._exit_code_files(spark, sf_dir)
+    names = [n for _, _, files in os.walk(root.removeprefix("file:")) for n in files if n.startswith("part-")]
+    suppliers = queries.V.table(spark, sf_dir, "supplier").count()
+    assert len(names) == suppliers and len({n.split("-")[1] for n in names}) > suppliers // 16
+    root = queries._job_documents(spark, sf_dir)
+    assert {n.endswith(".txt.gz") for _, _, files in os.walk(root.removeprefix("file:")) for n in files if n.startswith("part-")} == {True}
