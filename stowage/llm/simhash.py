@@ -370,14 +370,14 @@ PAIRS = "kind byte, a long, b long, key long, lo int, hi int, role byte, fp long
 def _pairs(max_bits, similarity, most):
     """Near pairs as rows of kind 0: for each row of a run the first ``most`` rows before it that are near.
 
-    The rows of runs where some row has more of them come along as kind 1.
+    The rows of pairs beyond that come along as kind 1.
     """
 
     def step(batches):
         for run, (key, lo, hi, role, node, fp, size, label, *odd) in _by_run(batches):
             further = PARITY[:len(odd)]
             names = [c.split()[0] for c in _with(PAIRS, further).split(", ")]
-            seen, more = np.zeros(len(run), np.int64), np.zeros(int(run[-1]) + 1, bool)
+            seen, rows = np.zeros(len(run), np.int64), np.zeros(len(run), bool)
             for left, right in _near(run, role, node, fp, size, label, max_bits, similarity, odd):
                 order = np.argsort(right, kind="stable")
                 left, right = left[order], right[order]
@@ -386,7 +386,7 @@ def _pairs(max_bits, similarity, most):
                 rank = np.arange(len(right)) - np.nonzero(begin)[0][group] + seen[right]
                 np.add.at(seen, right, 1)
                 first = rank < most
-                more[run[right[~first]]] = True
+                rows[left[~first]] = rows[right[~first]] = True
                 a, b = node[left[first]], node[right[first]]
                 for k in range(0, len(a), 1 << 18):
                     x, y = a[k:k + (1 << 18)], b[k:k + (1 << 18)]
@@ -394,7 +394,6 @@ def _pairs(max_bits, similarity, most):
                         [pa.array(np.zeros(len(x), np.int8)), pa.array(x), pa.array(y)] + [pa.nulls(len(x), t) for t in (
                             pa.int64(), pa.int32(), pa.int32(), pa.int8(), pa.int64(), pa.int32(), *[pa.int64()] * len(odd))],
                         names=names)
-            rows = more[run]
             if rows.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.ones(rows.sum(), np.int8)), pa.array(node[rows]), pa.array(node[rows]), *(pa.array(x[rows]) for x in (
@@ -407,10 +406,12 @@ def _pairs(max_bits, similarity, most):
 def _cells(points: DataFrame, max_bits: int, parts: tuple[int, ...]) -> DataFrame:
     """The signature rows of ``points``, dealt to cells: by their ``bands`` (binary) if they have them, else by ``fp``.
 
+    ``label`` says what is connected already; without it a row is connected with itself alone.
+
     A block value with more than ``CELL`` fingerprints is dealt to groups, and each pair of groups is a cell of its
     own; probes of it go to each group once. So a task holds two groups, whatever the value's share of the rows.
     """
-    further, banded = _further(points), "bands" in points.columns
+    further, banded = _further(points) + [c for c in ("label",) if c in points.columns], "bands" in points.columns
     if banded:
         points = points.select("bands", "node", "size", *further)
         exact, signatures = points.select("bands").mapInArrow(_band_signatures(), "key long"), _band_signatures
@@ -434,7 +435,8 @@ def _cells(points: DataFrame, max_bits: int, parts: tuple[int, ...]) -> DataFram
         "other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
     lo = F.when(F.col("role") == 0, F.least("own", "other")).otherwise(F.col("other"))
     hi = F.when(F.col("role") == 0, F.greatest("own", "other")).otherwise(F.col("other"))
-    return rows.select("key", lo.alias("lo"), hi.alias("hi"), "role", "node", "fp", "size", F.col("node").alias("label"), *further)
+    label = F.col("label" if "label" in points.columns else "node").alias("label")
+    return rows.select("key", lo.alias("lo"), hi.alias("hi"), "role", "node", "fp", "size", label, *_further(points))
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
@@ -454,28 +456,35 @@ def verified_groups(points: DataFrame, max_bits: int, parts: tuple[int, ...], si
                     rounds: tuple[int, ...] = (1, 64)) -> DataFrame:
     """``node``, ``root`` of the components of near pairs that ``verify`` leaves.
 
-    Near are pairs that share a band where ``points`` has ``bands``, whatever their bits; otherwise those at ``max_bits`` or fewer.
+    Near are pairs whose ``fp`` differ in ``max_bits`` bits or fewer. Where ``points`` has ``bands``, pairs that share a band and
+    that those have not connected are tried after them, whatever their bits.
     Pairs whose sets cannot have that Jaccard similarity, by their sizes and by the columns ``PARITY`` where ``points``
     has them, are left out where they are found: texts of one mould that are not alike make no rows.
-    ``verify(pairs, nodes)`` takes pairs ``a``, ``b`` and the nodes that later pairs may have, and returns those that hold.
+    ``verify(pairs, nodes)`` takes pairs ``a``, ``b`` and the nodes that later pairs of this search may have (None: no others than
+    before), and returns those that hold.
     In each run a row first meets as many rows before it as the first round says; where it has more, the run waits for
     the next round and the pairs that are not connected by then. The last round takes all of them. So a large group
     that holds together is connected through its first members, and every pair that could still connect something
     is tried.
     """
-    rows, links = _cells(points, max_bits, parts), []
-    max_bits = 64 if "bands" in points.columns else max_bits
-    for most in (*rounds, 1 << 62):
-        found = stored(_dealt(rows).mapInArrow(_pairs(max_bits, similarity, most), _with(PAIRS, _further(points))), "pairs")
-        pairs = found.filter("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        waiting = found.filter("kind = 1")
-        links.append(stored(verify(pairs, waiting.select(F.col("a").alias("node")).distinct()), "links"))
-        joined = components(functools.reduce(DataFrame.union, links), "near-duplicates")
-        if waiting.isEmpty():
-            return joined
-        rows = waiting.join(joined.withColumnRenamed("node", "a"), "a", "left").select(
-            "key", "lo", "hi", "role", F.col("a").alias("node"), "fp", "size", F.coalesce("root", "a").alias("label"), *_further(points))
-    raise AssertionError("the last round leaves nothing to wait")
+    searches, links, joined = [c for c in ("fp", "bands") if c in points.columns], [], None
+    for search in searches:
+        marked = points.drop(*(c for c in searches if c != search))
+        if joined is not None:
+            marked = stored(marked.join(joined, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root"), "labelled")
+        rows, bits = _cells(marked, max_bits, parts), max_bits if search == "fp" else 64
+        for number, most in enumerate((*rounds, 1 << 62)):
+            found = stored(_dealt(rows).mapInArrow(_pairs(bits, similarity, most), _with(PAIRS, _further(points))), "pairs")
+            pairs = found.filter("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            waiting = found.filter("kind = 1")
+            later = None if number else waiting.select(F.col("a").alias("node")).distinct()
+            links.append(stored(verify(pairs, later), "links"))
+            joined = components(functools.reduce(DataFrame.union, links), "near-duplicates")
+            if waiting.isEmpty():
+                break
+            rows = waiting.join(joined.withColumnRenamed("node", "a"), "a", "left").select(
+                "key", "lo", "hi", "role", F.col("a").alias("node"), "fp", "size", F.coalesce("root", "a").alias("label"), *_further(points))
+    return joined
 
 
 def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
@@ -500,20 +509,21 @@ def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shi
 
 # --- one document of each group --------------------------------------------------------------------------
 
-def _sketches(check: int, mark, name: str, kind):
-    """With ``mark`` of the text and its different hashes as the column ``name``."""
+def _sketches(check: int, marks: dict):
+    """With a column for each of ``marks``: its type, and what it makes of the text and its different hashes."""
 
     def step(batch):
-        marks, sizes, odd = [], [], []
+        found, sizes, odd = {name: [] for name in marks}, [], []
         for text in batch.column(2).to_pylist():
             checked = np.unique(shingle_hashes(text, check))
-            marks.append(mark(text, checked))
+            for name, (_, mark) in marks.items():
+                found[name].append(mark(text, checked))
             sizes.append(len(checked))
             odd.append(parities(checked))
         return pa.RecordBatch.from_arrays([
-            batch.column(0), batch.column(1), pa.array(marks, kind), pa.array(sizes, pa.int32()),
+            batch.column(0), batch.column(1), *(pa.array(found[name], kind) for name, (kind, _) in marks.items()), pa.array(sizes, pa.int32()),
             *(pa.array(x.view(np.int64)) for x in np.ascontiguousarray(np.array(odd).T))],
-            names=["_key", "node", name, "size", *PARITY])
+            names=["_key", "node", *marks, "size", *PARITY])
 
     return by_batch(step)
 
@@ -530,15 +540,15 @@ def _alike(similarity: float):
     return by_batch(step)
 
 
-def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 2, max_bits: int | None = None,
-                     check: int = 5, similarity: float = 0.8, parts: tuple[int, ...] = (3, 4, 5)) -> DataFrame:
+def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 2, max_bits: int = 3,
+                     check: int = 5, similarity: float = 0.8, parts: tuple[int, ...] = (3, 4, 5), bands: bool = True) -> DataFrame:
     """One row of each group of near duplicates, with all its columns: the one with the least key.
 
     Two texts are near duplicates if the sets of their ``check``-word shingles have a Jaccard similarity of ``similarity``
-    or more, which is computed exactly. It is computed for the pairs that share a band of min-wise hashes; a pair at
-    ``similarity`` shares none with odds of ``MISSED``, whichever words differ, and one more alike with less. With
-    ``max_bits``, only for the pairs whose fingerprints (over the different runs of ``shingle`` words) are at so many bits
-    or fewer, which loses pairs. Groups are connected components.
+    or more, which is computed exactly. It is computed for the pairs whose fingerprints (over the different runs of ``shingle``
+    words) are at ``max_bits`` bits or fewer, all of which the pigeonhole search finds. Pairs that are alike beyond so many bits
+    come after them, from ``bands`` of min-wise hashes, unless these have connected them: a pair at ``similarity`` shares no band
+    with odds of ``MISSED``, whichever words differ, and one more alike with less. Groups are connected components.
     Equal texts are one group; null texts and texts
     without a word are equal in this. Of rows with equal key and text any one stays; null keys come last. An empty
     table stays empty.
@@ -547,19 +557,17 @@ def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     words = F.when(blank.rlike(r"[^\x20\x09-\x0D]"), blank).otherwise("")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(key).alias("_key"),
                        F.xxhash64(words).alias("node"), words.alias("_text"))
-    if max_bits is None:
-        name, none, kind = "bands", F.lit(b""), pa.binary()
+    sketches = {"fp": (pa.int64(), lambda text, checked: int(
+        np.uint64(fingerprint(np.unique(shingle_hashes(text, shingle)))).view(np.int64)))}
+    empty = {"fp": F.lit(0).cast("long")}
+    if bands:
         drawn = permutations(similarity)  # here, so that executors get the numbers with the function
-        step = _sketches(check, lambda text, checked: band_values(checked, drawn).tobytes(), name, kind)
-    else:
-        name, none, kind = "fp", F.lit(0).cast("long"), pa.int64()
-        step = _sketches(check, lambda text, checked: int(
-            np.uint64(fingerprint(np.unique(shingle_hashes(text, shingle)))).view(np.int64)), name, kind)
-    marks = stored(rows.select("_key", "node", "_text").mapInArrow(step, rows.select(
-        "_key", "node", none.alias(name), F.lit(0).alias("size"),
+        sketches["bands"], empty["bands"] = (pa.binary(), lambda text, checked: band_values(checked, drawn).tobytes()), F.lit(b"")
+    marks = stored(rows.select("_key", "node", "_text").mapInArrow(_sketches(check, sketches), rows.select(
+        "_key", "node", *(c.alias(name) for name, c in empty.items()), F.lit(0).alias("size"),
         *(F.lit(0).cast("long").alias(c) for c in PARITY)).schema), "sketches")
     nodes = stored(marks.groupBy("node").agg(
-        F.min("_key").alias("_least"), *(F.first(c).alias(c) for c in (name, "size", *PARITY))), "texts")
+        F.min("_key").alias("_least"), *(F.first(c).alias(c) for c in (*sketches, "size", *PARITY))), "texts")
 
     def sets(batch):
         found = [np.unique(shingle_hashes(t, check)).tobytes() for t in batch.column(1).to_pylist()]
@@ -569,14 +577,17 @@ def unique_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", s
 
     def verify(pairs, later):
         pairs = stored(pairs, "candidates")
-        if not known:
-            # The text of one row for each node that has a partner, or may yet get one.
+        if later is not None:
+            # The text of one row for each node that has a partner, or may yet get one in this search.
             wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(later).distinct()
+            for before in known:
+                wanted = wanted.join(before, "node", "left_anti")
             chosen = wanted.join(nodes, "node").select(F.struct("node", F.col("_least").alias("key")).alias("_of"))
             texts = rows.select(F.struct("node", F.col("_key").alias("key")).alias("_at"), "node", "_text").join(
                 chosen, F.col("_at") == F.col("_of"), "left_semi").select("node", "_text").dropDuplicates(["node"])
             known.append(stored(texts.mapInArrow(by_batch(sets), "node long, set binary"), "shingles"))
-        left, right = (known[0].select(F.col("node").alias(n), F.col("set").alias(f"_{n}")) for n in "ab")
+        shingles = functools.reduce(DataFrame.union, known)
+        left, right = (shingles.select(F.col("node").alias(n), F.col("set").alias(f"_{n}")) for n in "ab")
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "_a", "_b")
         return both.mapInArrow(_alike(similarity), "a long, b long")
 

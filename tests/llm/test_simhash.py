@@ -246,3 +246,22 @@ def test_texts_of_one_mould_are_rejected_by_their_bands(spark, monkeypatch):
     monkeypatch.setattr(S, "verified_groups", counted)
     assert S.unique_documents(documents(spark, rows)).count() == 60
     assert sum(seen) < 60
+
+
+def test_fingerprints_are_searched_first_and_bands_take_the_rest(spark, monkeypatch):
+    """Copies by both kinds of search: each pair at three bits comes from the fingerprints, what they lose from the bands."""
+    pairs = [tuple(" ".join(f"{w}{kind[:3]}" for w in text.split()) for text in p) for kind, found in copies_of_kinds(8).items() for p in found]
+    rows, searched, cells = [(2 * k + side, t) for k, p in enumerate(pairs) for side, t in enumerate(p)], [], S._cells
+
+    def counted(points, max_bits, parts):
+        searched.append((("fp" if "fp" in points.columns else "bands"), max_bits))
+        return cells(points, max_bits, parts)
+
+    monkeypatch.setattr(S, "_cells", counted)
+    marks = [[S.fingerprint(np.unique(S.shingle_hashes(t, 2))) for t in p] for p in pairs]
+    near = {2 * k + 1 for k, (a, b) in enumerate(marks) if (a ^ b).bit_count() <= 3}
+    assert 1 < len(near) < len(pairs) - 1
+    assert sorted(r.doc_id for r in S.unique_documents(documents(spark, rows)).collect()) == list(range(0, len(rows), 2))
+    assert searched == [("fp", 3), ("bands", 3)]
+    left = {r.doc_id for r in S.unique_documents(documents(spark, rows), bands=False).collect()}
+    assert left == {k for k, _ in rows} - near
