@@ -188,10 +188,9 @@ def property_differences(old: DataFrame, new: DataFrame, key: str, properties) -
 
 def member_differences(old: DataFrame, new: DataFrame, entity: str, member: str) -> DataFrame:
     """Members gained and lost between two versions' long membership tables."""
-    left = old.select(entity, member).distinct()
-    right = new.select(entity, member).distinct()
-    added = right.join(left, [entity, member], "left_anti").withColumn("difference", F.lit("added"))
-    removed = left.join(right, [entity, member], "left_anti").withColumn("difference", F.lit("removed"))
+    left, right = old.select(entity, member), new.select(entity, member)
+    added = right.join(left, [entity, member], "left_anti").distinct().withColumn("difference", F.lit("added"))
+    removed = left.join(right, [entity, member], "left_anti").distinct().withColumn("difference", F.lit("removed"))
     return added.unionByName(removed)
 
 
