@@ -167,7 +167,7 @@ def test_members_are_compared_before_they_are_made_distinct(spark):
     """Of both sides only what differs is grouped, so that a task holds no table of all members."""
     old = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("b", 2), (None, 3)], "batch string, link int")
     new = spark.createDataFrame([("a", 1), ("c", 4), ("c", 4), (None, 3)], "batch string, link int")
-    out = diff.member_differences(old, new, "batch", "link")
+    out = D.member_differences(old, new, "batch", "link")
     assert sorted(map(tuple, out.collect()), key=repr) == sorted([
         ("b", 2, "removed"), ("c", 4, "added"), (None, 3, "added"), (None, 3, "removed")], key=repr)
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
