@@ -31,7 +31,8 @@ def with_neighbours(df: DataFrame, keys, order: str, values, before: str | None
                     after: str | None = None, tie=(), bucket_seconds: int = DAY) -> DataFrame:
     """Add structs of the previous (``before``) and following (``after``) row's ``values`` in the key.
 
-    They are null on the key's first and last row. ``tie`` makes equal times deterministic.
+    They are null on the key's first and last row. ``tie`` makes equal times deterministic. Values that are names of the
+    order or the tie go through the shuffle of the buckets' ends once, as part of the order.
     """
     order_by = [order, *tie]
     payload, at = F.struct(*values), F.struct(*order_by)
@@ -42,7 +43,12 @@ def with_neighbours(df: DataFrame, keys, order: str, values, before: str | None
     sides = [(into, offset, edge_of) for into, offset, edge_of in
              ((before, F.lag, F.max_by), (after, F.lead, F.min_by)) if into]
 
-    ends = rows.groupBy(*_CELL).agg(*[edge_of(payload, at).alias(f"_end_{into}") for into, _, edge_of in sides])
+    if all(isinstance(v, str) and v in order_by for v in values):
+        outer = {F.max_by: F.max, F.min_by: F.min}
+        ends = rows.groupBy(*_CELL).agg(*[outer[edge_of](at).alias(f"_at_{into}") for into, _, edge_of in sides]).select(
+            *_CELL, *[F.struct(*[F.col(f"_at_{into}.{v}") for v in values]).alias(f"_end_{into}") for into, _, _ in sides])
+    else:
+        ends = rows.groupBy(*_CELL).agg(*[edge_of(payload, at).alias(f"_end_{into}") for into, _, edge_of in sides])
     edges = ends.select(*_CELL, F.struct(*[
         offset(f"_end_{into}").over(across).alias(into) for into, offset, _ in sides]).alias("_edge"))
     near = rows.withColumns({f"_near_{into}": offset(payload).over(inside) for into, offset, _ in sides})

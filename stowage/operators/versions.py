@@ -17,10 +17,10 @@ INSERTED_AT, UPDATED_AT = "created_at_DB", "updated_at_DB"
 def version_chain(rows: DataFrame, key: str, order: str, fingerprint: str = "fingerprint",
                   bucket_seconds: int = 30 * DAY) -> DataFrame:
     """Add ``previous_version`` and ``next_version``: the neighbours' fingerprints of the same key."""
-    chained = with_neighbours(rows, [key], order, [F.col(fingerprint).alias("fp")], before="_back",
+    chained = with_neighbours(rows, [key], order, [fingerprint], before="_back",
                               after="_ahead", tie=[fingerprint], bucket_seconds=bucket_seconds)
     return chained.withColumns({
-        "previous_version": F.col("_back.fp"), "next_version": F.col("_ahead.fp"),
+        "previous_version": F.col("_back")[fingerprint], "next_version": F.col("_ahead")[fingerprint],
     }).drop("_back", "_ahead")
 
 
