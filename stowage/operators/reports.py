@@ -27,7 +27,8 @@ def batch_reports(batches: DataFrame, reports: DataFrame, name: str = "batch") -
     pieces = cut.select(
         F.substring(F.col("_text"), F.col("_from"), F.col("_length")).alias(name),
         "report_type", "filepath")
-    first = pieces.groupBy(name).agg(*[
+    # Most pieces name no batch; they are left out before they are sorted for the aggregate.
+    first = pieces.join(batches.select(name).distinct(), name, "left_semi").groupBy(name).agg(*[
         F.min(F.when(F.col("report_type") == kind, F.col("filepath"))).alias(kind)
         for kind in REPORT_TYPES])
     return batches.join(first, name, "left")

@@ -171,3 +171,11 @@ def test_members_are_compared_before_they_are_made_distinct(spark):
     assert sorted(map(tuple, out.collect()), key=repr) == sorted([
         ("b", 2, "removed"), ("c", 4, "added"), (None, 3, "added"), (None, 3, "removed")], key=repr)
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
+
+
+def test_report_pieces_that_name_no_batch_are_not_grouped(spark):
+    found = P.find_reports(spark.createDataFrame([("/r/final_summary_B1_run.txt",), ("/r/final_summary_B22_run.txt",)], "filepath string"))
+    out = P.batch_reports(spark.createDataFrame([("B1",), ("B3",), (None,)], "batch string"), found)
+    assert sorted(map(tuple, out.select("batch", "final_summary").collect()), key=repr) == sorted([
+        ("B1", "/r/final_summary_B1_run.txt"), ("B3", None), (None, None)], key=repr)
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
