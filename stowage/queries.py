@@ -1193,9 +1193,14 @@ def scheduling_cycle(spark, d):
     return cycle.tasks.select("task_id", "status", "sorting").join(admitted, "task_id", "left")
 
 
+def _sample_bytes(spark, d):
+    """The bytes of each sample's files, written: every rule and every cycle reads them, and the listing is gone through once."""
+    return written(_pairs(spark, d).groupBy(F.col("sample").alias("sample_id")).agg(F.sum("size").alias("input_files_size")), "sample-bytes")
+
+
 def _cycle_shapers(spark, d):
     """Shapers that take a task's bytes from its sample's files."""
-    totals = rollup.sample_rollup(_pairs(spark, d)).select(F.col("sample").alias("sample_id"), F.col("size").alias("input_files_size"))
+    totals = _sample_bytes(spark, d)
 
     def shape(t):
         return t.join(totals, "sample_id", "left").withColumns({
@@ -1440,7 +1445,7 @@ def completed_cycle(spark, d):
         number = F.regexp_extract("task_id", "^S([0-9]+)_", 1).cast("bigint") * 10
         return admitted.select("task_id", (number + F.when(F.col("pipeline_id") == "polish_v0-3-1", 1).otherwise(2)).alias("job_id"))
 
-    totals = rollup.sample_rollup(_pairs(spark, d)).select(F.col("sample").alias("sample_id"), F.col("size").alias("input_files_size"))
+    totals = _sample_bytes(spark, d)
 
     def shape(t):
         return t.join(totals, "sample_id", "left").withColumns(
@@ -1455,7 +1460,7 @@ def completed_cycle(spark, d):
         registry.register(rule, shape, output)
     listing = V.listing(spark, d).withColumn("task_id", F.concat(
         F.lit("S"), F.regexp_extract("filepath", "_([0-9]+)(_a|_ab)?[.][a-z]+$", 1), F.lit("_polish_v0-3-1")))
-    given = dict(samples=V.samples(spark, d).drop("tasks"), results=V.results(spark, d), rules=_rules(),
+    given = dict(samples=V.samples(spark, d).drop("tasks"), results=written(V.results(spark, d), "documents"), rules=_rules(),
                  rules_table=rule_source.load_rules(spark, V.RULES), shapers=registry, capacity={"SJF": 10**6, "LJF": 10**6},
                  now=F.current_timestamp(), hand_over=hand_over, listing=listing)
     for listed, ended in ((running.limit(0), codes.limit(0)), (running, codes.limit(0)), (running.limit(0), codes)):

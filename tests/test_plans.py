@@ -145,3 +145,17 @@ def test_a_pass_reads_the_stored_files_once_and_narrow(spark, tmp_path, monkeypa
     pairs = old.alias("o").join(new.alias("n"), "symlink").filter(
         "o.status = 'deprecated' and n.status = 'indexed' and o.next_version = n.fingerprint and n.previous_version = o.fingerprint and o.size + 1 = n.size")
     assert pairs.count() == old.count() == new.count() > 0
+
+
+def test_cycles_do_not_go_through_the_listing_again(spark, sf_dir, monkeypatch):
+    """What three cycles take of the listing is there before the first one."""
+    from stowage import queries
+
+    cycles = []
+    monkeypatch.setattr(queries.scheduling, "run_stored_cycle", lambda *_, **given: cycles.append(given))
+    queries.QUERIES["completed_cycle"](spark, sf_dir)
+    tasks = spark.createDataFrame([("t", "S1", "polish_v0-3-1")], "task_id string, sample_id string, pipeline_id string")
+    assert len(cycles) == 3
+    for given in cycles:
+        shaped = given["shapers"].get("polish_v0-3-1")[0](tasks)
+        assert not [f for f in shaped.inputFiles() + given["results"].inputFiles() if "orders.parquet" in f]
