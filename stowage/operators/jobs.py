@@ -104,7 +104,9 @@ def reconcile(tasks: DataFrame, jobs: DataFrame, exit_codes: DataFrame, now: Col
     """
     running = F.col("status").isin(*IN_QUEUE) & F.col("job_id").isNotNull()
     held = tasks.filter(~F.coalesce(running, F.lit(False)))
-    listed = jobs.groupBy("job_id").agg(F.max(F.struct("start", "limit", "status")).alias("_j")).select(
+    # Most jobs listed are children or others' jobs: those of no running task go before they are grouped.
+    asked = jobs.join(tasks.filter(running).select("job_id"), "job_id", "left_semi")
+    listed = asked.groupBy("job_id").agg(F.max(F.struct("start", "limit", "status")).alias("_j")).select(
         "job_id", F.col("_j.status").alias("_status"), F.col("_j.start").alias("_start"), F.col("_j.limit").alias("_limit"),
         F.lit(True).alias("_listed"))
     codes = exit_codes.groupBy("job_id").agg(F.max("exit_code").alias("_code"))

@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from stowage import views as V
 from stowage.operators import diff as D, events as E, rollup as R, versions, work as W
@@ -159,3 +160,13 @@ def test_cycles_do_not_go_through_the_listing_again(spark, sf_dir, monkeypatch):
     for given in cycles:
         shaped = given["shapers"].get("polish_v0-3-1")[0](tasks)
         assert not [f for f in shaped.inputFiles() + given["results"].inputFiles() if "orders.parquet" in f]
+
+
+def test_only_jobs_of_running_tasks_are_grouped(spark, sf_dir):
+    from stowage.operators import jobs as J
+
+    listed = spark.range(10).selectExpr("id AS job_id", "current_timestamp() AS start", "current_timestamp() AS limit", "'RUNNING' AS status")
+    out = J.reconcile(V.tasks(spark, sf_dir), listed, V.exit_codes(spark, sf_dir), V.ts(V.NOW))
+    lines = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    grouped = next(k for k, line in enumerate(lines) if "Aggregate" in line and "AS _j#" in line)
+    assert "Join LeftSemi" in lines[grouped + 1] + lines[grouped + 2]
