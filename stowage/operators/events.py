@@ -38,55 +38,63 @@ def observations(events: DataFrame, link_dir: str) -> DataFrame:
     there = with_identity(here, link_dir, "dest_path").withColumnRenamed("symlink", "_dest_link")
     renamed = (F.col("event_type") == "moved") & (F.col("_src_link") != F.col("_dest_link"))
 
-    def entry(link, path, present, origin):
-        return F.struct(link.alias("symlink"), path.alias("filepath"), present.alias("present"), origin.alias("from_link"))
+    def entry(link, path, present, origin, left=False):
+        return F.struct(link.alias("symlink"), path.alias("filepath"), present.alias("present"), origin.alias("from_link"), F.lit(left).alias("left"))
 
     nowhere, nobody = F.lit(None).cast("string"), F.lit(None).cast("string")
     source = entry(F.col("_src_link"), F.col("src_path"), ~F.col("event_type").isin("deleted", "moved"), nobody)
     target = entry(F.col("_dest_link"), F.col("dest_path"), F.lit(True), F.when(renamed, F.col("_src_link")))
     parts = F.when(F.col("event_type") != "moved", F.array(source)).when(renamed, F.array(
-        entry(F.col("_src_link"), nowhere, F.lit(False), nobody), target)).otherwise(F.array(target))
+        entry(F.col("_src_link"), nowhere, F.lit(False), nobody, left=True), target)).otherwise(F.array(target))
     stat = F.struct("size", "dev", "ino", "nlink", F.col("ctime").alias("created"), F.col("mtime").alias("modified"))
     seen = there.select("ts", F.when(F.col("size").isNotNull(), stat).alias("stat"), F.inline(parts))
-    at = F.struct("ts", "present", "filepath")
     # What a link holds comes from the last event that brought content, or from the link it was renamed from then.
     brings = F.col("stat").isNotNull() | F.col("from_link").isNotNull()
     content = F.struct("ts", "stat", "from_link")
     folded = written(seen.groupBy("symlink").agg(
-        F.max_by(F.struct("present", "filepath"), at).alias("last"),
+        F.max(F.struct("ts", "present", "filepath")).alias("last"),
         F.max_by(content, F.when(brings, F.struct("ts", F.col("stat").isNotNull()))).alias("content"),
-        F.max("ts").alias("ts"), F.max("present").alias("appeared"),
+        F.max("ts").alias("ts"), F.max("present").alias("appeared"), F.max("left").alias("left"),
     ), "folded")
-    columns = ["symlink", "ts", "last.*", "appeared"]
-    settled = folded.filter("content.from_link is null or content.stat is not null").select(
-        *columns, F.lit(None).cast("string").alias("from_link"), "content.stat")
-    moved = folded.filter("content.from_link is not null and content.stat is null")
-    origin = _origins(moved.select("symlink", F.col("content.ts").alias("at"), "content.from_link"), seen.filter(brings))
+    columns = ["symlink", "ts", "last.present", "last.filepath", "appeared"]
+    # A link that is gone in the end has no content, wherever it had come from.
+    asks = F.coalesce(F.col("last.present") & F.col("content.from_link").isNotNull() & F.col("content.stat").isNull(), F.lit(False))
+    settled = folded.filter(~asks).select(
+        *columns, F.lit(None).cast("string").alias("from_link"), F.when(F.col("last.present"), F.col("content.stat")).alias("stat"))
+    moved = folded.filter(asks)
+    origin = _origins(moved.select("symlink", F.col("content.ts").alias("at"), "content.from_link"), folded, seen.filter(brings))
     moved = written(moved.select(*columns).join(origin, "symlink"), "renamed")
     return settled.unionByName(moved).select(
         *[c for c in settled.columns if c != "stat"], *[F.col(f"stat.{c}").alias(c) for c in _STAT])
 
 
-def _origins(renamed, contents):
+def _origins(renamed, folded, contents):
     """For each renamed link (``symlink``, ``at``, ``from_link``) the content its file had before the move.
 
     ``stat`` where the events brought it, else ``from_link``, the stored link at the beginning of the chain of moves.
-    Only renamed rows take part; each hop goes back in time, so the hops end.
+    Only renamed rows take part; each hop goes back in time, so the hops end. A hop looks at the last content of links that
+    files were renamed from, and at their events only where that content came after the move.
     """
-    earlier = contents.select(F.col("symlink").alias("from_link"), F.col("ts").alias("_ts"), F.col("stat").alias("_stat"),
-                              F.col("from_link").alias("_before"))
+    newest = folded.filter("left and content is not null").select(F.col("symlink").alias("from_link"), F.col("content").alias("c"))
+    earlier = contents.select(F.col("symlink").alias("from_link"), F.struct("ts", "stat", F.col("from_link")).alias("_c"))
+
+    def before(c):
+        # Of two events at one time the one that brings content came first.
+        return F.coalesce((F.col(f"{c}.ts") < F.col("at")) | ((F.col(f"{c}.ts") == F.col("at")) & F.col(f"{c}.stat").isNotNull()), F.lit(False))
+
     done, open_ = [renamed.limit(0).select("symlink", "from_link", F.lit(None).cast(contents.schema["stat"].dataType).alias("stat"))], renamed
     while not open_.isEmpty():
-        # Of two events at one time the one that brings content came first.
-        met = open_.join(earlier, "from_link").filter(
-            (F.col("_ts") < F.col("at")) | ((F.col("_ts") == F.col("at")) & F.col("_stat").isNotNull()))
-        last = met.groupBy("symlink").agg(F.max_by(
-            F.struct("_ts", "_stat", "_before"), F.struct("_ts", F.col("_stat").isNotNull())).alias("c"))
-        hop = written(open_.join(last, "symlink", "left"), "hops")
-        done.append(hop.filter("c is null or c._stat is not null").select(
-            "symlink", F.when(F.col("c").isNull(), F.col("from_link")).alias("from_link"), F.col("c._stat").alias("stat")))
-        open_ = hop.filter("c._stat is null and c._before is not null").select(
-            "symlink", F.col("c._ts").alias("at"), F.col("c._before").alias("from_link"))
+        hop = written(open_.join(newest, "from_link", "left"), "hops")
+        late = F.col("c").isNotNull() & ~before("c")
+        if not hop.filter(late).isEmpty():
+            asked = hop.filter(late).drop("c")
+            last = asked.join(earlier, "from_link").filter(before("_c")).groupBy("symlink").agg(
+                F.max_by("_c", F.struct("_c.ts", F.col("_c.stat").isNotNull())).alias("c"))
+            hop = hop.filter(~late).unionByName(written(asked.join(last, "symlink", "left").select(*hop.columns), "late-hops"))
+        done.append(hop.filter("c is null or c.stat is not null").select(
+            "symlink", F.when(F.col("c").isNull(), F.col("from_link")).alias("from_link"), F.col("c.stat").alias("stat")))
+        open_ = hop.filter("c.stat is null and c.from_link is not null").select(
+            "symlink", F.col("c.ts").alias("at"), F.col("c.from_link").alias("from_link"))
     return reduce(DataFrame.unionByName, done)
 
 

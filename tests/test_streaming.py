@@ -143,6 +143,24 @@ def test_create_then_rename_twice_then_create_again(spark):
         t3: ("added", 10), t2: ("added", 99)}
 
 
+def test_only_links_that_are_there_look_for_their_content(spark):
+    """A name that a file only passed through asks for nothing; the last one asks the stored link at the beginning."""
+    t1, t2, t3 = (path("S1", "B1", n) for n in ("1.pod5", "2.pod5", "3.pod5"))
+    rows = [event("moved", t1, 1, dest=t2), event("moved", t2, 2, dest=t3)]
+    seen = {r["filepath"] or r["symlink"]: (r["present"], r["from_link"]) for r in E.observations(
+        spark.createDataFrame(rows, FILE_EVENTS), "/links").collect()}
+    first, second = ("/links/pod5/B1:S1:1.pod5", "/links/pod5/B1:S1:2.pod5")
+    assert seen == {first: (False, None), second: (False, None), t3: (True, first)}
+
+
+def test_content_after_a_move_is_not_that_of_the_move(spark):
+    """A stored file is renamed and its old name written anew: the new name has the stored content, then what a later move brings."""
+    t1, t2, t3 = (path("S1", "B1", n) for n in ("1.pod5", "2.pod5", "3.pod5"))
+    rows = [event("moved", t1, 1, dest=t2), event("created", t1, 2, 7, ino=9), event("moved", t1, 3, dest=t3), event("created", t1, 4, 8, ino=10)]
+    seen = {r["filepath"]: (r["from_link"], r["size"]) for r in E.observations(spark.createDataFrame(rows, FILE_EVENTS), "/links").collect()}
+    assert seen == {t1: (None, 8), t2: ("/links/pod5/B1:S1:1.pod5", None), t3: (None, 7)}
+
+
 def test_shallow_paths_are_rejected_by_event_passes(spark, tmp_path):
     root, good = str(tmp_path), path("S1", "B1", "a.pod5")
     rows = [event("created", "/x/y.pod5", 1, 1), event("created", good, 1, 2), event("moved", good, 2, dest="/x/z.pod5")]
