@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.predicates import compile_conditions
 from ..operators.versions import live
-from ..session import COMPRESSION, written
+from ..session import COMPRESSION
 
 #: Buckets of a table; a fixed number for the life of a catalog. A pass reads and writes those its keys fall in.
 BUCKETS = 32
+#: A bucket is folded in so many parts, each a file at most.
+FOLD_PARTS = 8
 _PLACE = T.StructType([T.StructField("in_bucket", T.IntegerType()), T.StructField("as_of", T.LongType())])
 
 
@@ -116,8 +118,11 @@ def compact(spark: SparkSession, root: str, table: str, schema: T.StructType, ke
     held = {b: {v: p for v, p in _children(spark, f"{folder}/in_bucket={b}", "as_of=")[1].items() if v <= upto} for b in there}
     full = sorted(b for b, own in held.items() if len(own) > passes)
     if full:
-        rows = read_rows(spark, root, table, schema, upto, full)
-        append_rows(written(live(rows, key, "as_of").drop("as_of"), "compacted"), root, table, upto, place)
+        keys = [key] if isinstance(key, str) else list(key)
+        # Dealt once, by bucket and part of it; a key has one bucket, so that rows are folded where they will be written from.
+        cell = {"in_bucket": F.lit(0) if place is None else place, "_part": F.pmod(F.xxhash64(*keys), F.lit(FOLD_PARTS))}
+        rows = read_rows(spark, root, table, schema, upto, full).withColumns(cell).repartition(*cell)
+        append_rows(live(rows, [*cell, *keys], "as_of").drop("as_of", "_part"), root, table, upto)
         for b in full:
             for v, path in held[b].items():
                 if v < upto:

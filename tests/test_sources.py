@@ -253,6 +253,28 @@ def test_passes_fold_to_the_newest(spark, tmp_path):
     assert state() == {"a": 4, "b": 9, "c": 3}
 
 
+def test_compaction_deals_rows_once(spark, tmp_path, monkeypatch):
+    root, schema, place, plans = str(tmp_path), "k string, v int", tables.bucket("k"), []
+    schema = spark.createDataFrame([], schema).schema
+    for version in (0, 1, 2):
+        rows = spark.range(300).selectExpr("cast(id as string) AS k", f"cast(id + {version} as int) AS v").filter(f"v % {version + 1} = 0")
+        tables.append_rows(rows, root, "t", version, place)
+    before = {r["k"]: r["v"] for r in tables.read_live(spark, root, "t", schema, "k").collect()}
+    append = tables.append_rows
+
+    def seen(df, *rest):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        append(df, *rest)
+
+    monkeypatch.setattr(tables, "append_rows", seen)
+    assert len(tables.compact(spark, root, "t", schema, "k", 2, place=place)) == tables.BUCKETS
+    assert len(plans) == 1 and plans[0].count("Exchange") == 1 and "max_by" in plans[0]
+    rows = tables.read_rows(spark, root, "t", schema).collect()
+    assert {r["k"]: r["v"] for r in rows} == before and len(rows) == len(before) == 300 and {r["as_of"] for r in rows} == {2}
+    placed = spark.read.parquet(f"{root}/t")
+    assert placed.filter(placed["in_bucket"] != place).count() == 0
+
+
 def test_unfinished_passes_do_not_count(spark, tmp_path):
     root = str(tmp_path)
     for version in (0, 1, 10):
