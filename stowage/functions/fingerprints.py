@@ -41,14 +41,18 @@ def file_fingerprint_blake2s() -> object:
     return lambda size, dev, ino, mtime: digest(size, dev, ino, F.unix_micros(mtime) / F.lit(1e6))
 
 
-def _word(fingerprint, index):
-    digits = F.substring(fingerprint, index * _HEX_PER_WORD + 1, _HEX_PER_WORD)
-    return F.conv(digits, 16, 10).cast("long")
+def _words(fingerprint):
+    """The words, of which two at a time are read from the digits."""
+    bits, words = 4 * _HEX_PER_WORD, []
+    for start in range(1, len(WORDS) * _HEX_PER_WORD, 2 * _HEX_PER_WORD):
+        two = F.conv(F.substring(fingerprint, start, 2 * _HEX_PER_WORD), 16, 10).cast("long")
+        words += [F.shiftright(two, bits), two.bitwiseAND(F.lit(2**bits - 1))]
+    return words
 
 
 def fingerprint_words(fingerprint: Column, sign: Column | None = None) -> list[Column]:
     """The member's words, aliased; ``sign`` of -1 takes a member out of a set."""
-    words = [_word(fingerprint, i) for i in range(len(WORDS))]
+    words = _words(fingerprint)
     if sign is not None:
         words = [w * sign for w in words]
     return [w.alias(name) for w, name in zip(words, WORDS)]
@@ -56,7 +60,7 @@ def fingerprint_words(fingerprint: Column, sign: Column | None = None) -> list[C
 
 def sum_words(fingerprint: Column) -> list[Column]:
     """Aggregates that accumulate members' words."""
-    return [F.sum(_word(fingerprint, i)).alias(name) for i, name in enumerate(WORDS)]
+    return [F.sum(w).alias(name) for w, name in zip(_words(fingerprint), WORDS)]
 
 
 def merge_words() -> list[Column]:

@@ -132,7 +132,7 @@ def _deltas(diff):
     sign, gone, came = F.col("sign"), F.col("sign") < 0, F.col("sign") > 0
     signed = contributions(diff).select("*", *fingerprint_words(F.col("fingerprint"), sign))
     return signed.groupBy(*PAIR).agg(
-        F.sum("sign").alias("_n"), F.sum(F.col("size") * sign).alias("_size"),
+        F.sum("sign").alias("_n"), F.count(F.when(gone, 1)).alias("_gone"), F.sum(F.col("size") * sign).alias("_size"),
         F.min(F.when(came, F.col("created"))).alias("_created"),
         F.max(F.when(came, F.col("modified"))).alias("_modified"),
         F.min(F.when(gone, F.col("created"))).alias("_gone_created"),
@@ -141,36 +141,52 @@ def _deltas(diff):
     )
 
 
-def apply_deltas(pairs: DataFrame, diff: DataFrame, files, emptied: bool = False, touched: bool = False) -> DataFrame:
+def apply_deltas(pairs: DataFrame, diff: DataFrame, files, emptied: bool = False, touched: bool = False,
+                 mark: str | None = None, kept=None) -> DataFrame:
     """The membership table after a diff, touching only pairs that changed.
 
     Counts, sizes and fingerprint words are exact under subtraction. A time range can only shrink
     when a removed file held one of its ends; those pairs alone are read again from ``files``, the
     listing after the change: a DataFrame, or a function from (batch, sample) rows to their files.
+    A pair all of whose files are gone has the range of those that came.
     Pairs left without files disappear, or with ``emptied`` stay as rows without any.
-    With ``touched`` only the pairs that changed come back.
+    With ``touched`` only the pairs that changed come back; ``mark`` names a flag that tells them from others.
+    ``kept`` stores a DataFrame that is read more than once.
     """
-    deltas = _deltas(diff)
     lost_end = (F.col("_gone_created") <= F.col("created")) | (F.col("_gone_modified") >= F.col("modified"))
-    stale = deltas.join(pairs.select(*PAIR, "created", "modified"), PAIR).filter(lost_end).select(*PAIR)
-    # A pair may own any share of the files: they are summed up in every task before they meet the stale pairs.
-    ranges = (files(stale) if callable(files) else files).groupBy(*PAIR).agg(
-        F.min("created").alias("_min_created"), F.max("modified").alias("_max_modified"))
-    if not callable(files):
-        ranges = ranges.join(stale, PAIR, "left_semi")
-
+    replaced = F.coalesce(F.col("_gone") >= F.col("n_files"), F.lit(False))
     zero = F.lit(0).cast("bigint")
-    joined = pairs.join(deltas, PAIR, "right" if touched else "full_outer").join(ranges, PAIR, "left")
-    is_stale = F.coalesce(lost_end, F.lit(False))
+    joined = pairs.join(_deltas(diff), PAIR, "right" if touched else "full_outer")
     after = joined.select(
         *PAIR,
         (F.coalesce("n_files", zero) + F.coalesce("_n", zero)).alias("n_files"),
         (F.coalesce("size", zero) + F.coalesce("_size", zero)).alias("size"),
-        F.when(is_stale, F.col("_min_created")).otherwise(F.least("created", "_created")).alias("created"),
-        F.when(is_stale, F.col("_max_modified")).otherwise(F.greatest("modified", "_modified")).alias("modified"),
+        F.when(replaced, F.col("_created")).otherwise(F.least("created", "_created")).alias("created"),
+        F.when(replaced, F.col("_modified")).otherwise(F.greatest("modified", "_modified")).alias("modified"),
         *[(F.coalesce(w, zero) + F.coalesce(f"_{w}", zero)).alias(w) for w in WORDS],
+        *([] if mark is None else [F.col("_n").isNotNull().alias(mark)]),
+        F.coalesce(lost_end & ~replaced, F.lit(False)).alias("_stale"),
     )
-    return after if emptied else after.filter(F.col("n_files") > 0)
+    after = after if emptied else after.filter(F.col("n_files") > 0)
+    if kept:
+        after = kept(after, "after")
+    stale = after.filter("_stale").select(*PAIR)
+    if kept:
+        stale = kept(stale, "stale")
+    # A pair may own any share of the files: they are summed up in every task before they meet the stale pairs.
+    ranges = (files(stale) if callable(files) else files).groupBy(*PAIR).agg(
+        F.min("created").alias("_min_created"), F.max("modified").alias("_max_modified"))
+    if not callable(files):
+        ranges = ranges.join(stale, PAIR, "left_semi")
+
+    def mended(rows):
+        return rows.join(ranges, PAIR, "left").withColumns({
+            "created": F.when(F.col("_stale"), F.col("_min_created")).otherwise(F.col("created")),
+            "modified": F.when(F.col("_stale"), F.col("_max_modified")).otherwise(F.col("modified"))}).select(*after.columns)
+
+    # Where it is stored, only the stale rows meet their ranges.
+    after = after.filter(~F.col("_stale")).unionByName(kept(mended(after.filter("_stale")), "mended")) if kept else mended(after)
+    return after.drop("_stale")
 
 
 def affected(diff: DataFrame, key: str) -> DataFrame:

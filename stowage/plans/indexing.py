@@ -69,7 +69,7 @@ def committed(spark: SparkSession, root: str) -> int:
 
 def _read(spark, root, table, upto=None, **options) -> DataFrame:
     schema, key, _ = FOLDED[table]
-    return tables.read_live(spark, root, table, schema, key, upto, **options)
+    return tables.read_live(spark, root, table, schema, key, upto, standing=F.lit(True), **options)
 
 
 def _append(df, root, table, version) -> None:
@@ -114,9 +114,8 @@ def compact(spark, root, passes: int = 1) -> None:
 
 
 def _current(spark, root, table, key, upto, only=None, columns=None, buckets=None):
-    """The active version per key, found by folding on the key itself: one shuffle, kept for joins."""
-    rows = tables.read_live(spark, root, table, FOLDED[table][0], key, upto, only, columns, order=("born",), buckets=buckets)
-    return rows.filter(active())
+    """The active version per key, found by folding on the key itself: one shuffle, kept for joins. Of folded rows a key has one at most."""
+    return tables.read_live(spark, root, table, FOLDED[table][0], key, upto, only, columns, order=("born",), buckets=buckets, standing=active())
 
 
 def current_files(spark, root, upto=None, only=None, columns=None, buckets=None) -> DataFrame:
@@ -195,39 +194,49 @@ def _write_pass(spark, root, version, changed, link_dir, now, reports=None,
         return current_files(spark, root, version, only=some_pairs, columns=columns, buckets=at["batch"])
 
     wide = _wide(spark, root, changed, before)
-    touched = None if wide else R.contributions(changed).select(*PAIR).distinct()
-    mine = read_membership(spark, root, before, only=touched, buckets=at["batch"])
-    pairs = written(_fit(R.apply_deltas(mine, changed, files_of, emptied=True, touched=True), MEMBERSHIP), "pairs")
+    if wide:  # all pairs as they are after the pass, so that nothing below has to fold them again
+        mine = read_membership(spark, root, before)
+        after = R.apply_deltas(mine, changed, files_of, emptied=True, mark="touched", kept=written if version else None)
+        after = after if version else written(after, "pairs")
+        pairs = after.filter("touched")
+    else:
+        touched = R.contributions(changed).select(*PAIR).distinct()
+        mine = read_membership(spark, root, before, only=touched, buckets=at["batch"])
+        pairs = written(_fit(R.apply_deltas(mine, changed, files_of, emptied=True, touched=True), MEMBERSHIP), "pairs")
     for table in ("membership", "sample_membership"):  # the same rows, to be found by batch and by sample
         _append(pairs, root, table, version)
 
     born = F.lit(version).cast("bigint")
-    names = R.affected(changed, "batch")
-    pairs = read_membership(spark, root, version, only=None if wide else names, buckets=at["batch"])
-    rolled = R.batch_rollup(pairs)
-    current = current_batches(spark, root, before, names, at["batch"])
-    batches = _fit(V.version_rows(current, rolled.join(names, "batch", "left_semi") if wide else rolled, "batch", born, now), BATCHES)
+    names = {key: pairs.select(key).distinct() for key in PAIR}
+    rolled = R.batch_rollup(after.filter("n_files > 0") if wide else read_membership(
+        spark, root, version, only=names["batch"], buckets=at["batch"]))
+    current = current_batches(spark, root, before, names["batch"], at["batch"])
+    batches = _fit(V.version_rows(current, rolled.join(names["batch"], "batch", "left_semi") if wide else rolled, "batch", born, now), BATCHES)
     if reports is not None:
         batches = written(batches, "batches")
     batches = _with_reports(batches, current, None if reports is None else current_batches(spark, root, before), reports,
                             version, now)
     _append(batches, root, "batches", version)
 
-    names = R.affected(changed, "sample")
     if curation:
-        flipped = review(spark, root, version, R.affected(changed, "batch"), lambda some, buckets: current_batches(
+        flipped = review(spark, root, version, names["batch"], lambda some, buckets: current_batches(
             spark, root, version, some, buckets), curation, now)
-        there = tables.buckets_of(flipped, at=_by_batch())["at"]
-        others = read_membership(spark, root, version, flipped, there).select("sample")
-        names = written(names.union(others).distinct(), "samples-named")
-        at["sample"] = tables.buckets_of(names, at=_by_sample())["at"]
     # A sample's dates come from its whole batches.
-    pairs = written(_read(spark, root, "sample_membership", version, only=names, buckets=at["sample"]).filter("n_files > 0"), "sample-pairs")
-    wanted = tables.buckets_of(pairs, batch=_by_batch())["batch"]
+    if wide:  # every sample is rolled up; those that come out as they were give no rows
+        pairs, wanted, named = after.filter("n_files > 0"), None, None
+    else:
+        named = names["sample"]
+        if curation:
+            there = tables.buckets_of(flipped, at=_by_batch())["at"]
+            others = read_membership(spark, root, version, flipped, there).select("sample")
+            named = written(named.union(others).distinct(), "samples-named")
+            at["sample"] = tables.buckets_of(named, at=_by_sample())["at"]
+        pairs = written(_read(spark, root, "sample_membership", version, only=named, buckets=at["sample"]).filter("n_files > 0"), "sample-pairs")
+        wanted = tables.buckets_of(pairs, batch=_by_batch())["batch"]
     if curation:
         pairs = pairs.join(read_held(spark, root, version, wanted).select("batch"), "batch", "left_anti")
-    dates = current_batches(spark, root, version, pairs.select("batch").distinct(), wanted)
-    current = current_samples(spark, root, before, names, at["sample"])
+    dates = current_batches(spark, root, version, None if wide else pairs.select("batch").distinct(), wanted)
+    current = current_samples(spark, root, before, named, None if wide else at["sample"])
     samples = V.version_rows(current, R.dated_sample_rollup(pairs, dates), "sample", born, now)
     samples = samples.withColumns({
         "sample_id": sample_id(F.col("sample"), F.col("fingerprint")),

@@ -14,7 +14,7 @@ from ..functions.predicates import compile_conditions
 from ..operators.versions import live
 from ..session import COMPRESSION
 
-#: Buckets of a table; a fixed number for the life of a catalog. A pass reads and writes those its keys fall in.
+#: Buckets of a table, 64 at most; a fixed number for the life of a catalog. A pass reads and writes those its keys fall in.
 BUCKETS = 32
 #: A bucket is folded in so many parts, each a file at most.
 FOLD_PARTS = 8
@@ -27,9 +27,10 @@ def bucket(*columns) -> Column:
 
 
 def buckets_of(rows: DataFrame, **places: Column) -> dict[str, list[int]]:
-    """The buckets that rows fall in, for each of several ways to place them; one small aggregate."""
-    found = rows.agg(*[F.collect_set(place).alias(name) for name, place in places.items()]).first()
-    return {name: sorted(found[name]) for name in places}
+    """The buckets that rows fall in, for each of several ways to place them; one small aggregate of a bit for each bucket."""
+    one = F.lit(1).cast("bigint")
+    found = rows.agg(*[F.bit_or(F.call_function("shiftleft", one, place)).alias(name) for name, place in places.items()]).first()
+    return {name: [b for b in range(BUCKETS) if (found[name] or 0) >> b & 1] for name in places}
 
 
 def _children(spark, folder, prefix):
@@ -80,8 +81,9 @@ def read_rows(spark: SparkSession, root: str, table: str, schema: T.StructType,
     folder = f"{root.rstrip('/')}/{table}"
     _, there = _children(spark, folder, "in_bucket=")
     wanted = sorted(there) if buckets is None else [b for b in buckets if b in there]
-    if not wanted:
-        return spark.createDataFrame([], T.StructType([*schema.fields, _PLACE["as_of"]]))
+    if not wanted:  # a local relation, which the planner knows to have no rows, so that it leaves out what is joined to them
+        return spark.sql("SELECT * FROM VALUES (0) AS none(n)").filter("n > 0").select(*[
+            F.lit(None).cast(f.dataType).alias(f.name) for f in [*schema.fields, _PLACE["as_of"]]])
     # Only the folders asked for are listed; the filter says the same to the plan.
     rows = spark.read.schema(T.StructType([*schema.fields, *_PLACE.fields])).option("basePath", folder).parquet(
         *([folder] if buckets is None else [f"{folder}/in_bucket={b}" for b in wanted]))
@@ -90,20 +92,35 @@ def read_rows(spark: SparkSession, root: str, table: str, schema: T.StructType,
     return (rows if upto is None else rows.filter(F.col("as_of") <= upto)).drop("in_bucket")
 
 
+def folded(spark: SparkSession, root: str, table: str, upto: int | None = None, buckets: list[int] | None = None) -> bool:
+    """Whether no bucket has rows of two passes, so that none of its rows replaces another."""
+    folder = f"{root.rstrip('/')}/{table}"
+    _, there = _children(spark, folder, "in_bucket=")
+    for b in sorted(there) if buckets is None else [b for b in buckets if b in there]:
+        passes = _children(spark, f"{folder}/in_bucket={b}", "as_of=")[1]
+        if sum(upto is None or v <= upto for v in passes) > 1:
+            return False
+    return True
+
+
 def read_live(spark: SparkSession, root: str, table: str, schema: T.StructType, key, upto: int | None = None,
-              only: DataFrame | None = None, columns=None, order=(), buckets: list[int] | None = None) -> DataFrame:
+              only: DataFrame | None = None, columns=None, order=(), buckets: list[int] | None = None,
+              standing: Column | None = None) -> DataFrame:
     """The newest row per key (``order`` decides within one pass).
 
     ``only`` restricts the read to rows whose columns of that name occur in it, before anything is shuffled; it must not
     cut a key in two. ``buckets`` are those that such rows can be in. ``columns`` prunes the scan, since a fold of whole rows
-    hides which of them are used.
+    hides which of them are used. ``standing`` tells which of the newest rows are wanted, of tables that a pass writes no row twice
+    to: where buckets hold one pass each, at most one row of a key is so, and there is nothing to fold.
     """
     rows = read_rows(spark, root, table, schema, upto, buckets)
     if columns:
         rows = rows.select(*columns, "as_of")
     if only is not None:
         rows = rows.join(only, only.columns, "left_semi")
-    return live(rows, key, "as_of", *order).drop("as_of")
+    if standing is None or not folded(spark, root, table, upto, buckets):
+        rows = live(rows, key, "as_of", *order)
+    return (rows if standing is None else rows.filter(standing)).drop("as_of")
 
 
 def compact(spark: SparkSession, root: str, table: str, schema: T.StructType, key, upto: int, passes: int = 1,

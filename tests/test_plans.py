@@ -170,3 +170,54 @@ def test_only_jobs_of_running_tasks_are_grouped(spark, sf_dir):
     lines = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
     grouped = next(k for k, line in enumerate(lines) if "Aggregate" in line and "AS _j#" in line)
     assert "Join LeftSemi" in lines[grouped + 1] + lines[grouped + 2]
+
+
+def test_a_wide_pass_folds_no_pairs(spark, tmp_path, monkeypatch):
+    """Tables with one pass in each bucket are read as they stand, and a pass that changes much has all pairs once and folds them no more."""
+    from stowage.plans import indexing
+
+    folds, fold = [], tables.live
+
+    def seen(rows, key, *order):
+        folds.append(key)
+        return fold(rows, key, *order)
+
+    monkeypatch.setattr(tables, "live", seen)
+    listing, root = V.inventory(spark, "/root/testdata/sf0.001"), str(tmp_path)
+    indexing.sync_listing(spark, root, listing, V.LINK_DIR, V.ts("2001-01-01"))
+    assert not folds
+    larger = listing.filter("ino % 7 != 0").withColumn("size", F.col("size") + (F.col("ino") % 2 == 0).cast("long"))
+    indexing.sync_listing(spark, root, larger, V.LINK_DIR, V.ts("2001-01-02"))
+    assert indexing.PAIR not in folds
+    files = D.as_files(larger, V.LINK_DIR)
+    pairs = indexing.read_membership(spark, root)
+    assert sorted(pairs.collect()) == sorted(R.membership(files).select(*pairs.columns).collect())
+    batches = indexing.current_batches(spark, root)
+    expected = R.dated_sample_rollup(pairs, batches)
+    now = indexing.current_samples(spark, root).select(*expected.columns)
+    assert sorted(now.collect()) == sorted(expected.collect()) and now.count() > 0
+
+
+def test_only_pairs_that_keep_files_are_read_again(spark, sf_dir):
+    files = D.as_files(V.inventory(spark, sf_dir), V.LINK_DIR)
+    after = files.withColumn("size", F.col("size") + 1)
+    after = after.withColumn("fingerprint", F.sha2(F.col("size").cast("string"), 256))
+    changed = D.changed_files(D.snapshot_diff(after, files))
+    asked = []
+
+    def again(stale):
+        asked.append(stale.count())
+        return after.join(stale, R.PAIR, "left_semi")
+
+    found = R.apply_deltas(R.membership(files), changed, again)
+    expected = R.membership(after).select(*found.columns)
+    assert sorted(found.collect()) == sorted(expected.collect()) and asked == [0]
+
+
+def test_buckets_are_found_without_sets(spark):
+    rows = spark.range(1000).selectExpr("string(id) AS k", "CASE WHEN id < 3 THEN string(id) END AS few", "string(null) AS none")
+    found = tables.buckets_of(rows, k=tables.bucket("k"), few=F.when(F.col("few").isNotNull(), tables.bucket("few")),
+                              none=F.when(F.col("none").isNotNull(), tables.bucket("none")))
+    assert found["k"] == list(range(tables.BUCKETS)) and found["none"] == []
+    assert found["few"] == sorted({r[0] for r in rows.filter("few is not null").select(tables.bucket("few")).collect()})
+    assert tables.buckets_of(rows.filter("k = ''"), k=tables.bucket("k"))["k"] == []
