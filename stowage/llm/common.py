@@ -14,11 +14,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written to the shared folder and read back: they outlive lost executors."""
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
+    """The rows written to the shared folder and read back: they outlive lost executors. ``options`` go to Spark's writer."""
     spark = df.sparkSession
     path = run_dir(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.stored_at = path
     return back

@@ -52,6 +52,9 @@ def weight(documents: int, holding: int) -> int:
 
 _ARRAYS = {"lengths": "<i8", "hashes": "<u8", "term_ends": "<i8", "list_ends": "<i8", "places": "<u4", "counts": "<u4"}
 _BINARY = [*_ARRAYS, "terms"]
+#: How an index is stored: a row group for each shard, since the writer else gathers a hundred rows of megabytes before it looks at
+#: their size, and the reader takes a group whole; without statistics, which hold the least and greatest of each group until the file ends.
+ROW_GROUPS = {"parquet.block.row.count.limit": "1", "parquet.enable.dictionary": "false", "parquet.column.statistics.enabled": "false"}
 
 
 class _Shard:
@@ -315,7 +318,7 @@ def ranked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     """``search`` over an index of ``docs`` that is written to the shared folder first. The result is stored, the index deleted."""
     from .common import forget
 
-    found = stored(index(docs, key, text), "search-index")
+    found = stored(index(docs, key, text), "search-index", **ROW_GROUPS)
     result = stored(search(found, items, key=key, **options), "search-result")
     forget(found)
     return result

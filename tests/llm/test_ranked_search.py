@@ -2,11 +2,14 @@ import math
 import random
 import re
 from collections import Counter
+from functools import partial
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from helpers import STRANGE, WORDS, documents
-from stowage.llm import ranked_search as R
+from stowage.llm import common, ranked_search as R
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -86,6 +89,24 @@ def test_empty_tables(spark, tables):
         assert out.collect() == [] and out.columns == ["item_id", "rank", "doc_id", "score"]
 
 
+def test_a_stored_index_is_written_and_read_a_shard_at_a_time(spark, monkeypatch):
+    """A row group has one shard and no statistics, which would hold shards until the file is closed."""
+    groups = []
+
+    def forget(stored):
+        for path in Path(stored.stored_at.removeprefix("file:")).glob("*.parquet"):
+            found = pq.ParquetFile(path).metadata
+            groups.extend(found.row_group(k) for k in range(found.num_row_groups))
+
+    monkeypatch.setattr(common, "forget", forget)
+    monkeypatch.setattr(R, "index", partial(R.index, shard_documents=256))
+    docs = [(k, f"river stone word{k % 7}") for k in range(1024)]
+    best = R.ranked(documents(spark, docs).coalesce(1), spark.createDataFrame([(1, "word3 river")], "item_id long, text string"))
+    assert [(r.rank, r.doc_id) for r in best.orderBy("rank").collect()] == [(k + 1, 3 + 7 * k) for k in range(10)]
+    assert [g.num_rows for g in groups] == [1] * 4
+    assert not any(g.column(c).is_stats_set for g in groups for c in range(g.num_columns))
+
+
 def test_skipping_loses_nothing():
     """Any mix of short and long lists, against all sums; and blocks are in fact skipped."""
     draw = np.random.RandomState(2)
