@@ -1,5 +1,6 @@
 """Event streams: reading, debouncing, and applying them to a stored catalog."""
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -15,6 +16,12 @@ FILE_DEBOUNCE = "5 seconds"
 WRITE_DEBOUNCE = "10 seconds"
 FLUSH_INTERVAL = "30 seconds"
 BATCH_HOLD = "10 minutes"
+#: What waits may be most of a catalog: it is kept in RocksDB on the executors' disks, not in their heaps. A stream that was begun otherwise goes on so.
+_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # Else every partition of the state sets megabytes of disk aside, however small it is.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def read_events(spark: SparkSession, path: str, format: str = "parquet", schema: T.StructType = FILE_EVENTS,
@@ -212,12 +219,24 @@ def sync_catalog(events: DataFrame, root: str, link_dir: str, now: Column, check
 
     writer = events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if not once:
-        return writer.trigger(processingTime=interval).start()
+        with _set(events.sparkSession, _ON_DISK):
+            return writer.trigger(processingTime=interval).start()
     # A stream that keeps state by the clock would else go on with empty batches and never stop.
-    spark, name = events.sparkSession, "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
+    with _set(events.sparkSession, _ON_DISK | {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}):
         return writer.trigger(availableNow=True).start()
+
+
+@contextlib.contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]):
+    """A stream that is started inside keeps these settings; those of the session are as before afterwards."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

@@ -277,3 +277,28 @@ def test_waiting_paths_share_calls_and_a_batch_is_worked_out_once(spark, tmp_pat
     assert calls.value == 3
     waiting = {r["src_path"]: r["size"] for r in S.open_modifications(spark, checkpoint).collect()}
     assert waiting == {p: n for n, p in enumerate(paths)}
+
+
+def test_waiting_paths_are_kept_on_disk(spark, tmp_path, monkeypatch):
+    """The state lies in RocksDB, the session keeps its settings, and a stream that was begun with its state in the heap goes on."""
+    names = [*S._ON_DISK]
+    before = [spark.conf.get(name, None) for name in names]
+    monkeypatch.setattr(S, "sync_events", lambda *_: None)  # a micro-batch is worked out, the catalog is left alone
+
+    def drop(name, *rows):
+        root, source, checkpoint = (str(tmp_path / name / n) for n in ("cat", "in", "cp"))
+        spark.createDataFrame(list(rows), FILE_EVENTS).coalesce(1).write.mode("append").parquet(source)
+        query = S.sync_catalog(S.quiet_events(S.read_events(spark, source), gap="1 hour"), root, "/links", V.ts(V.NOW), checkpoint, 0)
+        query.awaitTermination()
+        assert [spark.conf.get(name, None) for name in names] == before
+        return {path.suffix for path in (tmp_path / name / "cp" / "state").rglob("*.*") if path.suffix in (".delta", ".zip")}, sorted(
+            (r["src_path"], r["size"]) for r in S.open_modifications(spark, checkpoint).collect())
+
+    a, b = path("S1", "B1", "a.pod5"), path("S1", "B1", "b.pod5")
+    first, second = (event("modified", a, 1, 10), event("modified", b, 1, 7)), (event("modified", a, 2, 20), event("deleted", b, 3))
+    assert drop("new", *first) == ({".zip"}, [(a, 10), (b, 7)])
+    assert drop("new", *second) == ({".zip"}, [(a, 20)])
+    with monkeypatch.context() as patched:
+        patched.setattr(S, "_ON_DISK", {})
+        assert drop("old", *first) == ({".delta"}, [(a, 10), (b, 7)])
+    assert drop("old", *second) == ({".delta"}, [(a, 20)])
